@@ -22,9 +22,13 @@ def trip_interval(pickup: Column | str, dropoff: Column | str) -> Column:
 
 
 def duration_minutes(pickup: Column | str, dropoff: Column | str) -> Column:
-    """Minutes between two timestamps as double, exact to the microsecond."""
-    micros = F.timestamp_diff("MICROSECOND", _col(pickup), _col(dropoff))
-    return micros / F.lit(1e6) / F.lit(60.0)
+    """Minutes between two timestamps as double, exact to the microsecond.
+
+    The interval becomes decimal seconds, which involves no time zone; `timestampdiff` would read
+    zone-less times in the session's zone and be off across a clock change.
+    """
+    seconds = trip_interval(pickup, dropoff).cast("interval second").cast("decimal(18,6)")
+    return seconds.cast("double") / F.lit(60.0)
 
 
 def in_bounds(duration: Column | str) -> Column:
@@ -32,6 +36,12 @@ def in_bounds(duration: Column | str) -> Column:
     return _col(duration).between(MIN_MINUTES, MAX_MINUTES)
 
 
+def trip_in_bounds(pickup: Column | str, dropoff: Column | str) -> Column:
+    """`in_bounds` of the duration, compared as intervals: no conversion per row."""
+    low, high = (F.expr(f"INTERVAL '{m}' MINUTE") for m in (MIN_MINUTES, MAX_MINUTES))
+    return trip_interval(pickup, dropoff).between(low, high)
+
+
 def is_missing(c: Column | str) -> Column:
     """Null or NaN (a table that went through floating point may hold either)."""
     c = _col(c)

@@ -20,12 +20,15 @@ class PairOls:
     slope: float
     intercept: float  # the mean effect: what an unseen category gets
     key: str
-    number: str
+    number: str | None
 
 
-def fit(rows: DataFrame, key: str, number: str, label: str = "label", weight: str = "n") -> PairOls:
-    """`rows` are cells or trips with a weight column. Collinear numbers give slope 0."""
-    w, x, y = F.col(weight), F.col(number), F.col(label)
+def fit(rows: DataFrame, key: str, number: str | None, label: str = "label", weight: str = "n") -> PairOls:
+    """`rows` are cells or trips with a weight column.
+
+    Without a number, or with one that never varies inside a category, the slope is 0.
+    """
+    w, x, y = F.col(weight), F.col(number) if number else F.lit(0.0), F.col(label)
     # Minutes and miles are small numbers, so sums of their products lose no digits that matter.
     groups = rows.groupBy(key).agg(
         F.sum(w).alias("w"), (F.sum(w * x) / F.sum(w)).alias("mean_x"), (F.sum(w * y) / F.sum(w)).alias("mean_y"),
@@ -45,4 +48,5 @@ def fit(rows: DataFrame, key: str, number: str, label: str = "label", weight: st
 def predict(model: PairOls, rows: DataFrame) -> DataFrame:
     joined = rows.join(model.effects, model.key, "left")
     base = F.coalesce("effect", F.lit(model.intercept))
-    return joined.withColumn("prediction", base + F.lit(model.slope) * F.col(model.number)).drop("effect")
+    shift = F.lit(model.slope) * F.col(model.number) if model.number else F.lit(0.0)
+    return joined.withColumn("prediction", base + shift).drop("effect")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import as_timestamp, duration_minutes, in_bounds, month_split, trip_interval, zone_code
+from kerbside.functions.columns import as_timestamp, duration_minutes, month_split, trip_in_bounds, trip_interval, zone_code
 from kerbside.sources.trips import TIME_COLUMNS
 
 ZONE_COLUMNS = ("PULocationID", "DOLocationID")
@@ -21,8 +21,9 @@ def with_duration(trips: DataFrame, pickup: str = "pickup_datetime", dropoff: st
     return trips.withColumn("duration", duration_minutes(pickup, dropoff))
 
 
-def drop_outliers(trips: DataFrame, duration: str = "duration") -> DataFrame:
-    return trips.filter(in_bounds(duration))
+def drop_outliers(trips: DataFrame, pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> DataFrame:
+    """Keep trips of an accepted length. The test is fused into the scan stage."""
+    return trips.filter(trip_in_bounds(pickup, dropoff))
 
 
 def with_zone_codes(trips: DataFrame, zones: Sequence[str] = ZONE_COLUMNS) -> DataFrame:
@@ -31,7 +32,7 @@ def with_zone_codes(trips: DataFrame, zones: Sequence[str] = ZONE_COLUMNS) -> Da
 
 def prepare(trips: DataFrame, zones: Sequence[str] = ZONE_COLUMNS) -> DataFrame:
     """Canonical trips to trips ready for features: duration, accepted rows, zones as text."""
-    return with_zone_codes(drop_outliers(with_duration(trips)), zones)
+    return with_zone_codes(with_duration(drop_outliers(trips)), zones)
 
 
 def prepare_raw(raw: DataFrame, color: str, zones: Sequence[str] = ZONE_COLUMNS) -> DataFrame:
@@ -40,7 +41,7 @@ def prepare_raw(raw: DataFrame, color: str, zones: Sequence[str] = ZONE_COLUMNS)
         raise ValueError(f"unknown trip colour {color!r}; known: {sorted(TIME_COLUMNS)}")
     pickup, dropoff = TIME_COLUMNS[color]
     timed = raw.withColumns({c: as_timestamp(c) for c in (pickup, dropoff)})
-    return with_zone_codes(drop_outliers(with_duration(timed, pickup, dropoff)), zones)
+    return with_zone_codes(with_duration(drop_outliers(timed, pickup, dropoff), pickup, dropoff), zones)
 
 
 def with_month_split(trips: DataFrame, train, val, test) -> DataFrame:

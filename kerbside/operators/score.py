@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators.numbering import dense_ride_ids, source_ride_ids
-from kerbside.operators.prepare import drop_outliers, with_duration
+from kerbside.operators.prepare import drop_outliers
 from kerbside.operators.train import predict
 
 # Where predictions of one month go.
@@ -15,7 +15,7 @@ OUTPUT_PATTERN = "taxi_type={color}/year={year:04d}/month={month:02d}"
 
 def score_trips(model, trips: DataFrame, numbering: str = "source") -> DataFrame:
     """Canonical trips with row positions to predictions, with the partition columns of the output."""
-    kept = drop_outliers(with_duration(trips))
+    kept = drop_outliers(trips)
     if numbering not in ("source", "dense"):
         raise ValueError(f"unknown numbering {numbering!r}; known: source, dense")
     numbered = source_ride_ids(kept) if numbering == "source" else dense_ride_ids(kept)

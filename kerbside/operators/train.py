@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.feature import SQLTransformer, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators import cells as cell
-from kerbside.operators.encode import PAIR, FeatureSpec, fit_encoder, labels, width
+from kerbside.operators import pair_ols
+from kerbside.operators.encode import PAIR, FeatureSpec, feature_names, fit_encoder, labels, width, with_keys
 from kerbside.session import ensure_checkpoint_dir
 
 # The accepted model types and the parameters the models are trained with unless
@@ -73,24 +74,108 @@ def fit(
 def _linear(train: DataFrame, spec: FeatureSpec, params: dict):
     """Ordinary least squares.
 
-    One-hot blocks plus an intercept are collinear. For few columns a vanishing ridge on the normal
-    equations picks the solution of least norm, so the intercept (and with it the answer for an
-    unseen zone) is the mean of the category effects. It is scaled by the number of trips, to leave
-    rare categories alone. Wide encodings use L-BFGS on standardised columns; predictions of known
-    categories agree.
+    One-hot blocks plus an intercept are collinear: effects may be shifted against the intercept.
+    The solution of least norm is kept, in which the effects of a categorical average to zero. Its
+    intercept, the answer for a ride of unseen zones, is then the mean effect.
+
+    The effects are computed exactly, without a penalty that would bend rare categories, and put
+    into a linear model over the one-hot vector by fitting its corner points (see `_corner_model`).
+    Only several wide categoricals at once go to L-BFGS; it gives the same predictions for known
+    categories.
     """
     encoder = fit_encoder(train, spec)
-    common = {"labelCol": cell.LABEL, "weightCol": cell.WEIGHT, "featuresCol": "features"}
     columns = width(encoder, spec)
-    if columns <= MAX_NORMAL_COLUMNS:
-        ridge = max(1e-12, min(1e-9, 1e-4 / train.agg(F.sum(cell.WEIGHT)).first()[0]))
-        estimator = LinearRegression(solver="normal", standardization=False, regParam=ridge, **common)
+    if not spec.categorical:
+        model = _least_squares(encoder.transform(train))
+    elif len(spec.categorical) == 1 and len(spec.numerical) <= 1:
+        model = _corner_model(encoder, spec, _absorbed_corners(train, spec), columns)
+    elif columns <= MAX_NORMAL_COLUMNS:
+        model = _corner_model(encoder, spec, _contrast_corners(train, spec, encoder), columns)
     else:
-        estimator = LinearRegression(solver="l-bfgs", standardization=True, regParam=0.0, tol=1e-9, maxIter=200, **common)
-    model = estimator.fit(encoder.transform(train))
+        wide = LinearRegression(
+            solver="l-bfgs", regParam=0.0, tol=1e-9, maxIter=200,
+            labelCol=cell.LABEL, weightCol=cell.WEIGHT, featuresCol="features",
+        )
+        model = wide.fit(encoder.transform(train))
     return PipelineModel([*encoder.stages, model]), {"columns": columns, **params}
 
 
+def _least_squares(encoded: DataFrame, features: str = "features"):
+    return LinearRegression(
+        solver="normal", regParam=0.0, labelCol=cell.LABEL, weightCol=cell.WEIGHT, featuresCol=features
+    ).fit(encoded)
+
+
+def _absorbed_corners(train: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """One categorical of any size: its effects are one aggregation and stay distributed."""
+    key = f"{spec.categorical[0]}_key"
+    number = spec.numerical[0] if spec.numerical else None
+    fitted = pair_ols.fit(with_keys(train, spec), key, number, cell.LABEL, cell.WEIGHT)
+    zero = [F.lit(0.0).alias(number)] if number else []
+    known = fitted.effects.select(key, *zero, F.col("effect").alias(cell.LABEL))
+    rows = [(None, 0.0, fitted.intercept)] + ([(None, 1.0, fitted.intercept + fitted.slope)] if number else [])
+    extra = train.sparkSession.createDataFrame(rows, f"{key} STRING, x DOUBLE, {cell.LABEL} DOUBLE")
+    return known.unionByName(extra.withColumnRenamed("x", number) if number else extra.drop("x"))
+
+
+def _contrast_corners(train: DataFrame, spec: FeatureSpec, encoder: PipelineModel) -> DataFrame:
+    """Several categoricals: fit against the most frequent category of each, then centre.
+
+    Leaving one category out makes the columns independent, so the normal equations have one
+    solution and are solved exactly.
+    """
+    names = feature_names(encoder, spec)
+    left_out = {f"{c}={v}" for c, v in _most_frequent(train, spec).items()}
+    kept = [i for i, n in enumerate(names) if n not in left_out]
+    sliced = VectorSlicer(inputCol="features", outputCol="contrast", indices=kept).transform(encoder.transform(train))
+    fitted = _least_squares(sliced, "contrast")
+    coefficient = dict.fromkeys(names, 0.0) | {names[i]: float(v) for i, v in zip(kept, fitted.coefficients)}
+
+    keys = [f"{c}_key" for c in spec.categorical]
+    columns = [*keys, *spec.numerical]
+    effects = {c: {v: coefficient[f"{c}={v}"] for v in vs} for c, vs in zip(spec.categorical, labels(encoder))}
+    means = {c: sum(e.values()) / len(e) for c, e in effects.items()}
+    intercept = fitted.intercept + sum(means.values())
+
+    def row(column: str | None, value, label: float):
+        empty = [None] * len(keys) + [0.0] * len(spec.numerical)
+        if column:
+            empty[columns.index(column)] = value
+        return (*empty, label)
+
+    rows = [row(None, None, intercept)]
+    rows += [row(f"{c}_key", v, intercept + e - means[c]) for c in effects for v, e in effects[c].items()]
+    rows += [row(n, 1.0, intercept + coefficient[n]) for n in spec.numerical]
+    schema = ", ".join([f"{k} STRING" for k in keys] + [f"{n} DOUBLE" for n in spec.numerical] + [f"{cell.LABEL} DOUBLE"])
+    return train.sparkSession.createDataFrame(rows, schema)
+
+
+def _most_frequent(train: DataFrame, spec: FeatureSpec) -> dict[str, str]:
+    entry = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("name"), spec.key(c).alias("value")) for c in spec.categorical])
+    )
+    sizes = train.select(entry.alias("f"), cell.WEIGHT).groupBy("f.name", "f.value").agg(F.sum(cell.WEIGHT).alias("w"))
+    top = sizes.groupBy("name").agg(F.max_by("value", F.struct("w", "value")).alias("value"))
+    return {r["name"]: r["value"] for r in top.collect()}
+
+
+def _corner_model(encoder: PipelineModel, spec: FeatureSpec, corners: DataFrame, columns: int):
+    """The linear model that takes the given values at the zero vector and at every unit vector.
+
+    There are as many corners as unknowns, so the fit reproduces them.
+    """
+    encoded = corners.withColumn(cell.WEIGHT, F.lit(1.0))
+    if columns <= MAX_NORMAL_COLUMNS:
+        encoded = encoded.repartition(1)  # as many rows as columns
+    for stage in encoder.stages[1:]:  # the first stage derives the keys, which corners state directly
+        encoded = stage.transform(encoded)
+    if columns <= MAX_NORMAL_COLUMNS:
+        return _least_squares(encoded)
+    return LinearRegression(
+        solver="l-bfgs", regParam=0.0, tol=1e-14, maxIter=500, labelCol=cell.LABEL, featuresCol="features"
+    ).fit(encoded)
+
+
 def _tree_spec(spec: FeatureSpec) -> FeatureSpec:
     """Trees take the two zones of a pair as two categories: two splits isolate any pair, while a
     column per pair would be stored densely for every row."""
@@ -143,11 +228,12 @@ def _boosted(train: DataFrame, spec: FeatureSpec, params: dict, validation: Data
         maxBins=bins,
         seed=int(params["seed"]),
         checkpointInterval=10,
+        validationTol=0.0001,
     )
     if validation is not None:
         held_out = encoder.transform(validation).select(*columns, F.lit(True).alias("held_out"))
         encoded = encoded.unionByName(held_out)
-        estimator = estimator.setValidationIndicatorCol("held_out").setValidationTol(0.0001)
+        estimator = estimator.setValidationIndicatorCol("held_out")
     return PipelineModel([*encoder.stages, estimator.fit(encoded)]), params
 
 

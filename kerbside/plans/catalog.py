@@ -33,6 +33,9 @@ QUERIES: dict[str, Query] = {}
 PICKUP = FeatureSpec(("PULocationID",))
 # The feature sets compared on the leaderboard; each gives one mean-per-category model.
 FEATURE_SETS = ("PULocationID", "DOLocationID", "PU_DO", "trip_distance", "color")
+# Durations have two decimals, so their means are often exactly half way between two numbers of few
+# digits, where engines may round either way. Seven digits keep clear of that.
+MEAN_DIGITS = 7
 SMALL_FOREST = {"n_estimators": 10, "max_depth": 6, "random_state": 42}
 
 
@@ -41,8 +44,8 @@ def query(f: Query) -> Query:
     return f
 
 
-def kept(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prepare.drop_outliers(event_trips(spark, sf_dir))
+def kept(spark: SparkSession, sf_dir: str, positions: bool = False) -> DataFrame:
+    return prepare.drop_outliers(event_trips(spark, sf_dir, positions))
 
 
 def _text(ts: str):
@@ -108,19 +111,19 @@ def feature_rows(spark, sf_dir):
 
 @query
 def ride_id_source(spark, sf_dir):
-    return source_ride_ids(kept(spark, sf_dir)).select("event_id", "ride_id")
+    return source_ride_ids(kept(spark, sf_dir, positions=True)).select("event_id", "ride_id")
 
 
 @query
 def ride_id_source_files(spark, sf_dir):
     """The form for months of several files: positions continue from file to file."""
-    trips = event_trips(spark, sf_dir)
+    trips = event_trips(spark, sf_dir, positions=True)
     return source_ride_ids(prepare.drop_outliers(trips), trips).select("event_id", "ride_id")
 
 
 @query
 def ride_id_dense(spark, sf_dir):
-    return dense_ride_ids(kept(spark, sf_dir)).select("event_id", "ride_id")
+    return dense_ride_ids(kept(spark, sf_dir, positions=True)).select("event_id", "ride_id")
 
 
 # ---- filters and checks ---------------------------------------------------------------------
@@ -298,7 +301,7 @@ def ols_group_mean(spark, sf_dir):
     """Least squares on one categorical is the mean per category."""
     model, cells = _fit(spark, sf_dir, PICKUP)
     scored = models.predict(model, cells.select("PULocationID").distinct())
-    return scored.select("PULocationID", F.round("prediction", 3).alias("prediction"))
+    return scored.select("PULocationID", F.round("prediction", MEAN_DIGITS).alias("prediction"))
 
 
 @query
@@ -357,7 +360,7 @@ def prediction_histogram(spark, sf_dir):
     model, _ = _fit(spark, sf_dir, PICKUP)
     scored = models.predict(model, kept(spark, sf_dir).filter("split = 'test'"))
     return profile.histogram(
-        scored.select("duration", F.round("prediction", 3).alias("prediction")), ["prediction", "duration"], 0.0, 60.0, 20
+        scored.select("duration", F.round("prediction", MEAN_DIGITS).alias("prediction")), ["prediction", "duration"], 0.0, 60.0, 20
     )
 
 
@@ -502,7 +505,7 @@ def promotion(spark, sf_dir):
 def _written_predictions(spark, sf_dir, numbering: str = "source") -> DataFrame:
     model, _ = _fit(spark, sf_dir, PICKUP)
     path = new_folder(spark, "predictions")
-    score.write_predictions(score.score_trips(model, event_trips(spark, sf_dir), numbering), path)
+    score.write_predictions(score.score_trips(model, event_trips(spark, sf_dir, positions=True), numbering), path)
     return score.read_predictions(spark, path)
 
 
@@ -510,13 +513,13 @@ def _written_predictions(spark, sf_dir, numbering: str = "source") -> DataFrame:
 def batch_score(spark, sf_dir):
     """All trips scored, written by colour and month, and read back."""
     done = _written_predictions(spark, sf_dir)
-    return done.withColumn("predicted_duration", F.round("predicted_duration", 3))
+    return done.withColumn("predicted_duration", F.round("predicted_duration", MEAN_DIGITS))
 
 
 @query
 def batch_score_dense(spark, sf_dir):
     done = _written_predictions(spark, sf_dir, "dense")
-    return done.select("ride_id", F.round("predicted_duration", 3).alias("predicted_duration"))
+    return done.select("ride_id", F.round("predicted_duration", MEAN_DIGITS).alias("predicted_duration"))
 
 
 @query
@@ -529,7 +532,7 @@ def batch_summary(spark, sf_dir):
 def batch_score_zones(spark, sf_dir):
     """The flagship: least squares on both zones, fitted on train, scoring all other trips."""
     model, _ = _fit(spark, sf_dir, ZONES)
-    trips = event_trips(spark, sf_dir).filter("split != 'train'")
+    trips = event_trips(spark, sf_dir, positions=True).filter("split != 'train'")
     return score.score_trips(model, trips).select("ride_id", "predicted_duration")
 
 
@@ -542,7 +545,7 @@ def alias_score(spark, sf_dir):
     registry.set_alias(spark, f"{root}/aliases", "durations", "champion", run_id, "approved")
     model = load_by_alias(spark, root, "durations", "durations", "champion")
     scored = models.predict(model, kept(spark, sf_dir))
-    return scored.select("event_id", F.round("prediction", 3).alias("prediction"))
+    return scored.select("event_id", F.round("prediction", MEAN_DIGITS).alias("prediction"))
 
 
 @query
@@ -554,7 +557,7 @@ def request_scores(spark, sf_dir):
     trips.select("PULocationID", "DOLocationID", "trip_distance").write.json(path)
     answers = score.score_requests(model, records.read_requests(spark, path), "run-1")
     return answers.groupBy("PULocationID", "model_version").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg("duration"), 3).alias("duration")
+        F.count(F.lit(1)).alias("n"), F.round(F.max("duration"), MEAN_DIGITS).alias("duration")
     )
 
 
@@ -617,7 +620,7 @@ def prediction_events(spark, sf_dir):
     events = service.prediction_events(model, envelopes(spark, sf_dir), "run-1")
     parsed = records.messages(events).select("key", F.from_json("value", codec.PREDICTION_EVENT).alias("e"))
     return parsed.select(
-        "key", "e.model", "e.version", "e.prediction.ride_id", F.round("e.prediction.ride_duration", 3).alias("ride_duration")
+        "key", "e.model", "e.version", "e.prediction.ride_id", F.round("e.prediction.ride_duration", MEAN_DIGITS).alias("ride_duration")
     )
 
 
@@ -641,7 +644,7 @@ def stream_score(spark, sf_dir):
     root = run_stream(spark, sf_dir, model)
     events = sinks.read_events(spark, f"{root}/events")
     return events.select(
-        "model", "version", "prediction.ride_id", F.round("prediction.ride_duration", 3).alias("ride_duration")
+        "model", "version", "prediction.ride_id", F.round("prediction.ride_duration", MEAN_DIGITS).alias("ride_duration")
     )
 
 

@@ -27,7 +27,7 @@ WITH raw AS (
 
 LINEITEM = """
 WITH raw AS (
-  SELECT l_shipdate AS pickup, l_shipdate + to_microseconds(CAST(round(l_extendedprice * 60e3) AS BIGINT)) AS dropoff,
+  SELECT l_shipdate AS pickup, l_shipdate + to_microseconds(CAST(round(l_extendedprice / CAST(1000 AS DOUBLE) * 60e6) AS BIGINT)) AS dropoff,
          l_suppkey % 265 + 1 AS pu, l_partkey % 265 + 1 AS dz, l_quantity / CAST(2 AS DOUBLE) AS trip_distance,
          CASE WHEN l_linestatus = 'O' THEN 'green' ELSE 'yellow' END AS color
   FROM lineitem WHERE l_linestatus IN ('O', 'F')
@@ -202,7 +202,7 @@ SELECT split, count(DISTINCT (pu_code, do_code, trip_distance)) AS cells, count(
        round(sum(duration), 6) AS label_sum FROM kept GROUP BY split
 """,
     "ols_group_mean": MEANS + """
-SELECT k.pu_code AS "PULocationID", round(coalesce(m, u), 3) AS prediction
+SELECT k.pu_code AS "PULocationID", round(coalesce(m, u), 7) AS prediction
 FROM (SELECT DISTINCT pu_code FROM kept) k LEFT JOIN model USING (pu_code) CROSS JOIN unseen
 """,
     "ols_numeric": TRIPS + """
@@ -222,7 +222,7 @@ SELECT split, count(*) AS n, round(sqrt(avg((duration - p) * (duration - p))), 6
 SELECT split, count(*) AS n, round(sqrt(avg((duration - p) * (duration - p))), 3) AS rmse FROM kept_scored GROUP BY split
 """,
     "prediction_histogram": MEANS + _histogram(
-        """SELECT 'prediction' AS kind, round(p, 3) AS v FROM kept_scored WHERE split = 'test'
+        """SELECT 'prediction' AS kind, round(p, 7) AS v FROM kept_scored WHERE split = 'test'
            UNION ALL SELECT 'duration', duration FROM kept_scored WHERE split = 'test'""",
         0.0,
         60.0,
@@ -253,19 +253,19 @@ UNION ALL SELECT 'staging', 'staging_champion', run_id, 'approved' FROM placed W
 UNION ALL SELECT 'production', 'current', run_id, 'approved' FROM placed WHERE place = 1
 """,
     "batch_score": MEANS + f"""
-SELECT {_SOURCE_ID} AS ride_id, round(p, 3) AS predicted_duration, color AS taxi_type,
+SELECT {_SOURCE_ID} AS ride_id, round(p, 7) AS predicted_duration, color AS taxi_type,
        CAST(year(pickup) AS INTEGER) AS year, CAST(month(pickup) AS INTEGER) AS month FROM kept_scored
 """,
     "batch_score_dense": MEANS + f"""
-SELECT {_DENSE_ID} AS ride_id, round(p, 3) AS predicted_duration FROM kept_scored
+SELECT {_DENSE_ID} AS ride_id, round(p, 7) AS predicted_duration FROM kept_scored
 """,
     "batch_summary": MEANS + """
 SELECT count(*) AS n, round(sum(p), 3) AS total, round(avg(p), 3) AS mean, round(stddev_pop(p), 3) AS std_population
 FROM kept_scored
 """,
-    "alias_score": MEANS + "SELECT event_id, round(p, 3) AS prediction FROM kept_scored",
+    "alias_score": MEANS + "SELECT event_id, round(p, 7) AS prediction FROM kept_scored",
     "request_scores": MEANS + """
-SELECT CAST(pu AS BIGINT) AS "PULocationID", 'run-1' AS model_version, count(*) AS n, round(avg(p), 3) AS duration
+SELECT CAST(pu AS BIGINT) AS "PULocationID", 'run-1' AS model_version, count(*) AS n, round(max(p), 7) AS duration
 FROM scored GROUP BY pu
 """,
     "envelope_roundtrip": TRIPS + """
@@ -279,10 +279,10 @@ FROM trips WHERE pu IS NULL
 """,
     "prediction_events": MEANS + """
 SELECT CAST(event_id AS VARCHAR) AS key, 'ride_duration_prediction_model' AS model, 'run-1' AS version,
-       event_id AS ride_id, round(p, 3) AS ride_duration FROM scored WHERE pu IS NOT NULL
+       event_id AS ride_id, round(p, 7) AS ride_duration FROM scored WHERE pu IS NOT NULL
 """,
     "stream_score": MEANS + """
-SELECT 'ride_duration_prediction_model' AS model, 'run-1' AS version, event_id AS ride_id, round(p, 3) AS ride_duration
+SELECT 'ride_duration_prediction_model' AS model, 'run-1' AS version, event_id AS ride_id, round(p, 7) AS ride_duration
 FROM scored WHERE pu IS NOT NULL
 """,
     "stream_messages": TRIPS + """

@@ -76,7 +76,7 @@ def prepare_features(
     The cells are the feature sets: small, splittable, and enough for every fit.
     """
     trips = read_months(spark, base, [(color, *m) for m in months])
-    trips = with_month_split(drop_outliers(with_duration(trips)), *months)
+    trips = with_duration(drop_outliers(with_month_split(trips, *months)))
     collapse(trips, spec).write.mode("overwrite").partitionBy("split").parquet(f"{dest}/features")
     encoder = fit_encoder(load_features(spark, dest).filter("split = 'train'"), spec)
     encoder.write().overwrite().save(f"{dest}/encoder")

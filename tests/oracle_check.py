@@ -18,6 +18,9 @@ TABLES = (
 ).split()
 
 
+SQL_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
 def database(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -43,6 +46,10 @@ def compare(con, df, sql: str) -> list[str]:
     actual = _multiset(df.columns, [tuple(r) for r in df.collect()])
     if expected[0] != actual[0]:
         return [f"columns {actual[0]} != {expected[0]}"]
+    types = {d[0]: str(d[1]) for d in result.description}
+    unlike = {c: (t, types[c]) for c, t in df.dtypes if SQL_TYPES.get(t, t) != types[c]}
+    if unlike:
+        return [f"types {unlike}"]
     extra, lost = actual[1] - expected[1], expected[1] - actual[1]
     if not extra and not lost:
         return []

@@ -12,6 +12,9 @@ RECORD = (
     "data STRING, approximateArrivalTimestamp DOUBLE>, eventSource STRING, eventVersion STRING, "
     "eventID STRING, eventName STRING, invokeIdentityArn STRING, awsRegion STRING, eventSourceARN STRING"
 )
+# What scoring reads of a record; a reader given this schema skips the other fields.
+USED_RECORD = "kinesis STRUCT<partitionKey STRING, data STRING, approximateArrivalTimestamp DOUBLE>, eventID STRING"
+USED_ENVELOPE = f"Records ARRAY<STRUCT<{USED_RECORD}>>"
 ENVELOPE = f"Records ARRAY<STRUCT<{RECORD}>>"
 PREDICTION_EVENT = "model STRING, version STRING, prediction STRUCT<ride_duration DOUBLE, ride_id BIGINT>"
 

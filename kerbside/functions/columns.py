@@ -67,7 +67,10 @@ def pair_key(pickup_zone: Column | str, dropoff_zone: Column | str) -> Column:
 
 
 def ride_id(year: Column | str, month: Column | str, position: Column | str) -> Column:
-    return F.format_string("%04d/%02d_%d", _col(year), _col(month), _col(position))
+    """`YYYY/MM_<position>`. Built by padding: `format_string` parses its pattern for every row."""
+    yyyy = F.lpad(_col(year).cast("string"), 4, "0")
+    mm = F.lpad(_col(month).cast("string"), 2, "0")
+    return F.concat(yyyy, F.lit("/"), mm, F.lit("_"), _col(position).cast("string"))
 
 
 def next_month(year: Column | str, month: Column | str) -> Column:

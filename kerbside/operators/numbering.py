@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from kerbside.functions.columns import ride_id
 from kerbside.sources.trips import SOURCE_FILE, SOURCE_ROW
 
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 MONTH = ("year", "month")
 
 

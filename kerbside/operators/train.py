@@ -6,6 +6,7 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.feature import SQLTransformer, VectorSlicer
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.operators import cells as cell
-from kerbside.operators import pair_ols
+from kerbside.operators import linear, pair_ols
 from kerbside.operators.encode import PAIR, FeatureSpec, feature_names, fit_encoder, labels, width, with_keys
 from kerbside.session import ensure_checkpoint_dir
 
@@ -83,14 +84,26 @@ def _linear(train: DataFrame, spec: FeatureSpec, params: dict):
     Only several wide categoricals at once go to L-BFGS; it gives the same predictions for known
     categories.
     """
-    encoder = fit_encoder(train, spec)
+    if not spec.numerical:
+        return _linear_on(train, train, spec, params)
+    # Distinct categories with their weight: all the encoder has to see.
+    zones = [c for c in spec.inputs if c not in spec.numerical]
+    known = train.groupBy(*zones).agg(F.sum(cell.WEIGHT).alias(cell.WEIGHT)).persist()
+    try:
+        return _linear_on(train, known, spec, params)
+    finally:
+        known.unpersist()
+
+
+def _linear_on(train: DataFrame, known: DataFrame, spec: FeatureSpec, params: dict):
+    encoder = fit_encoder(known, spec)
     columns = width(encoder, spec)
     if not spec.categorical:
         model = _least_squares(encoder.transform(train))
     elif len(spec.categorical) == 1 and len(spec.numerical) <= 1:
         model = _corner_model(encoder, spec, _absorbed_corners(train, spec), columns)
     elif columns <= MAX_NORMAL_COLUMNS:
-        model = _corner_model(encoder, spec, _contrast_corners(train, spec, encoder), columns)
+        model = _corner_model(encoder, spec, _contrast_corners(train, known, spec, encoder), columns)
     else:
         wide = LinearRegression(
             solver="l-bfgs", regParam=0.0, tol=1e-9, maxIter=200,
@@ -113,48 +126,49 @@ def _absorbed_corners(train: DataFrame, spec: FeatureSpec) -> DataFrame:
     fitted = pair_ols.fit(with_keys(train, spec), key, number, cell.LABEL, cell.WEIGHT)
     zero = [F.lit(0.0).alias(number)] if number else []
     known = fitted.effects.select(key, *zero, F.col("effect").alias(cell.LABEL))
-    rows = [(None, 0.0, fitted.intercept)] + ([(None, 1.0, fitted.intercept + fitted.slope)] if number else [])
-    extra = train.sparkSession.createDataFrame(rows, f"{key} STRING, x DOUBLE, {cell.LABEL} DOUBLE")
-    return known.unionByName(extra.withColumnRenamed("x", number) if number else extra.drop("x"))
+    extra = {key: [None], cell.LABEL: [fitted.intercept]}
+    if number:
+        extra = {key: [None, None], number: [0.0, 1.0], cell.LABEL: [fitted.intercept, fitted.intercept + fitted.slope]}
+    return known.unionByName(_corner_table(train.sparkSession, extra))
 
 
-def _contrast_corners(train: DataFrame, spec: FeatureSpec, encoder: PipelineModel) -> DataFrame:
+def _contrast_corners(train: DataFrame, known: DataFrame, spec: FeatureSpec, encoder: PipelineModel) -> DataFrame:
     """Several categoricals: fit against the most frequent category of each, then centre.
 
     Leaving one category out makes the columns independent, so the normal equations have one
     solution and are solved exactly.
     """
     names = feature_names(encoder, spec)
-    left_out = {f"{c}={v}" for c, v in _most_frequent(train, spec).items()}
+    left_out = {f"{c}={v}" for c, v in _most_frequent(known, spec).items()}
     kept = [i for i, n in enumerate(names) if n not in left_out]
     sliced = VectorSlicer(inputCol="features", outputCol="contrast", indices=kept).transform(encoder.transform(train))
     fitted = _least_squares(sliced, "contrast")
     coefficient = dict.fromkeys(names, 0.0) | {names[i]: float(v) for i, v in zip(kept, fitted.coefficients)}
 
     keys = [f"{c}_key" for c in spec.categorical]
-    columns = [*keys, *spec.numerical]
     effects = {c: {v: coefficient[f"{c}={v}"] for v in vs} for c, vs in zip(spec.categorical, labels(encoder))}
     means = {c: sum(e.values()) / len(e) for c, e in effects.items()}
     intercept = fitted.intercept + sum(means.values())
 
-    def row(column: str | None, value, label: float):
-        empty = [None] * len(keys) + [0.0] * len(spec.numerical)
-        if column:
-            empty[columns.index(column)] = value
-        return (*empty, label)
+    corners = [({}, intercept)]
+    corners += [({f"{c}_key": v}, intercept + e - means[c]) for c in effects for v, e in effects[c].items()]
+    corners += [({n: 1.0}, intercept + coefficient[n]) for n in spec.numerical]
+    table = {k: [at.get(k) for at, _ in corners] for k in keys}
+    table |= {n: [at.get(n, 0.0) for at, _ in corners] for n in spec.numerical}
+    table[cell.LABEL] = [label for _, label in corners]
+    return _corner_table(train.sparkSession, table)
 
-    rows = [row(None, None, intercept)]
-    rows += [row(f"{c}_key", v, intercept + e - means[c]) for c in effects for v, e in effects[c].items()]
-    rows += [row(n, 1.0, intercept + coefficient[n]) for n in spec.numerical]
-    schema = ", ".join([f"{k} STRING" for k in keys] + [f"{n} DOUBLE" for n in spec.numerical] + [f"{cell.LABEL} DOUBLE"])
-    return train.sparkSession.createDataFrame(rows, schema)
 
+def _corner_table(spark: SparkSession, columns: Mapping[str, list]) -> DataFrame:
+    kinds = {c: pa.string() if c.endswith("_key") else pa.float64() for c in columns}
+    return spark.createDataFrame(pa.table({c: pa.array(v, kinds[c]) for c, v in columns.items()}))
 
-def _most_frequent(train: DataFrame, spec: FeatureSpec) -> dict[str, str]:
+
+def _most_frequent(known: DataFrame, spec: FeatureSpec) -> dict[str, str]:
     entry = F.explode(
         F.array(*[F.struct(F.lit(c).alias("name"), spec.key(c).alias("value")) for c in spec.categorical])
     )
-    sizes = train.select(entry.alias("f"), cell.WEIGHT).groupBy("f.name", "f.value").agg(F.sum(cell.WEIGHT).alias("w"))
+    sizes = known.select(entry.alias("f"), cell.WEIGHT).groupBy("f.name", "f.value").agg(F.sum(cell.WEIGHT).alias("w"))
     top = sizes.groupBy("name").agg(F.max_by("value", F.struct("w", "value")).alias("value"))
     return {r["name"]: r["value"] for r in top.collect()}
 
@@ -238,7 +252,14 @@ def _boosted(train: DataFrame, spec: FeatureSpec, params: dict, validation: Data
 
 
 def predict(model: Transformer | Trained, rides: DataFrame) -> DataFrame:
-    """Append `prediction`; the encoder's working columns are dropped again."""
+    """Append `prediction`. Linear models add effects, all others run the pipeline."""
+    if isinstance(model, Trained) and linear.is_linear(model.pipeline):
+        return linear.predict(model.pipeline, model.spec, rides)
+    return predict_vectors(model, rides)
+
+
+def predict_vectors(model: Transformer | Trained, rides: DataFrame) -> DataFrame:
+    """Append `prediction` by running the pipeline; the encoder's working columns are dropped again."""
     pipeline = model.pipeline if isinstance(model, Trained) else model
     return pipeline.transform(rides).select(*rides.columns, "prediction")
 

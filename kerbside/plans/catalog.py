@@ -10,18 +10,18 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions import codec
-from kerbside.functions.columns import in_bounds, next_month, pair_key, zone_code, zone_text
+from kerbside.functions.columns import next_month, pair_key, zone_code, zone_text
 from kerbside.operators import encode, pair_ols, prepare, profile, registry, score, search
 from kerbside.operators import train as models
-from kerbside.operators.cells import LABEL, SPREAD, WEIGHT, collapse, rmse
+from kerbside.operators.cells import LABEL, WEIGHT, collapse, rmse, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
 from kerbside.operators.numbering import dense_ride_ids, source_ride_ids
 from kerbside.plans.batch import load_by_alias
-from kerbside.plans.training import feature_cells, train_and_log
+from kerbside.plans.training import feature_cells, train_and_log, training_rows
 from kerbside.session import new_folder
 from kerbside.sources.tables import event_trips, lineitem_trips
 from kerbside.sources.trips import write_canonical, read_canonical
@@ -32,7 +32,13 @@ QUERIES: dict[str, Query] = {}
 
 PICKUP = FeatureSpec(("PULocationID",))
 # The feature sets compared on the leaderboard; each gives one mean-per-category model.
-FEATURE_SETS = ("PULocationID", "DOLocationID", "PU_DO", "trip_distance", "color")
+FEATURE_SETS = {
+    "PULocationID": ("pu",),
+    "DOLocationID": ("dz",),
+    "PU_DO": ("pu", "dz"),
+    "trip_distance": ("trip_distance",),
+    "color": ("color",),
+}
 # Durations have two decimals, so their means are often exactly half way between two numbers of few
 # digits, where engines may round either way. Seven digits keep clear of that.
 MEAN_DIGITS = 7
@@ -291,7 +297,7 @@ def feature_sets(spark, sf_dir):
 
 
 def _fit(spark, sf_dir, spec: FeatureSpec, model_type: str = "LR", params: dict | None = None):
-    cells = feature_cells(event_trips(spark, sf_dir), spec)
+    cells = training_rows(event_trips(spark, sf_dir), spec, model_type)
     train, val = (cells.filter(F.col("split") == s) for s in ("train", "val"))
     return models.fit(train, spec, model_type, params, val if model_type == "XGB" else None), cells
 
@@ -332,9 +338,8 @@ def ols_orthogonality(spark, sf_dir):
 @query
 def ols_pair_distance(spark, sf_dir):
     """Exact least squares on pair and distance, for any number of pairs."""
-    cells = feature_cells(event_trips(spark, sf_dir), PAIR_DISTANCE)
-    keyed = encode.with_keys(cells, PAIR_DISTANCE)
-    model = pair_ols.fit(keyed.filter("split = 'train'"), "PU_DO_key", "trip_distance", LABEL, WEIGHT)
+    rows = encode.with_keys(uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE), PAIR_DISTANCE)
+    model = pair_ols.fit(rows.filter("split = 'train'"), "PU_DO_key", "trip_distance", LABEL, WEIGHT)
     trips = encode.with_keys(kept(spark, sf_dir).filter("split = 'test'"), PAIR_DISTANCE)
     scored = pair_ols.predict(model, trips)
     return scored.select("event_id", F.round("prediction", 6).alias("prediction"))
@@ -348,9 +353,9 @@ def rmse_by_split(spark, sf_dir):
 
 @query
 def pair_rmse_by_split(spark, sf_dir):
-    cells = encode.with_keys(feature_cells(event_trips(spark, sf_dir), PAIR_DISTANCE), PAIR_DISTANCE)
-    model = pair_ols.fit(cells.filter("split = 'train'"), "PU_DO_key", "trip_distance", LABEL, WEIGHT)
-    scored = pair_ols.predict(model, cells)
+    rows = encode.with_keys(uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE), PAIR_DISTANCE)
+    model = pair_ols.fit(rows.filter("split = 'train'"), "PU_DO_key", "trip_distance", LABEL, WEIGHT)
+    scored = pair_ols.predict(model, rows)
     return scored.groupBy("split").agg(F.sum(WEIGHT).cast("bigint").alias("n"), F.round(rmse(), 6).alias("rmse"))
 
 
@@ -410,25 +415,44 @@ def retrain_top(spark, sf_dir):
 def mean_model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per feature set: the mean per category on train, its RMSE on every split.
 
-    All sets are measured together. Trips become cells of (set, category, split) before anything is
-    compared, so the join below sees categories, not trips.
+    One pass over the trips aggregates the two zones with the colour, and the distance by itself;
+    both have few groups, so tasks send little. The sets are then put together from these groups.
     """
-    trips = kept(spark, sf_dir)
-    values = {
-        "PULocationID": zone_code("PULocationID"),
-        "DOLocationID": zone_code("DOLocationID"),
-        "PU_DO": pair_key("PULocationID", "DOLocationID"),
-        "trip_distance": F.col("trip_distance").cast("string"),
-        "color": F.col("color"),
-    }
-    pairs = F.explode(F.array(*[F.struct(F.lit(s).alias("set"), values[s].alias("key")) for s in FEATURE_SETS]))
+    trips = kept(spark, sf_dir).select(
+        "split",
+        "duration",
+        F.coalesce(F.col("PULocationID").cast("int"), F.lit(-1)).alias("pu"),
+        F.coalesce(F.col("DOLocationID").cast("int"), F.lit(-1)).alias("dz"),
+        "color",
+        "trip_distance",
+    )
+    groups = trips.groupingSets(
+        [["split", "pu", "dz", "color"], ["split", "trip_distance"]], "split", "pu", "dz", "color", "trip_distance"
+    ).agg(
+        F.grouping("pu").alias("by_distance"),
+        F.count(F.lit(1)).alias("n"),
+        F.avg("duration").alias("mean"),
+        (F.var_pop("duration") * F.count(F.lit(1))).alias("spread"),
+    )
+    members = F.explode(
+        F.array(
+            *[
+                F.struct(F.lit(name).alias("set"), F.concat_ws("_", *used).alias("key"), F.lit(int(used == ("trip_distance",))).alias("by_distance"))
+                for name, used in FEATURE_SETS.items()
+            ]
+        )
+    )
+    total = F.sum("n")
+    mean = F.sum(F.col("n") * F.col("mean")) / total
     cells = (
-        trips.select("split", "duration", pairs.alias("f"))
+        groups.select("*", members.alias("f"))
+        .filter(F.col("f.by_distance") == F.col("by_distance"))
         .groupBy("split", F.col("f.set").alias("feature_set"), F.col("f.key").alias("key"))
         .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg("duration").alias("mean"),
-            (F.var_pop("duration") * F.count(F.lit(1))).alias("spread"),
+            total.alias("n"),
+            mean.alias("mean"),
+            # Spread inside the groups plus the spread of their means.
+            (F.sum("spread") + F.sum(F.col("n") * F.col("mean") * F.col("mean")) - total * mean * mean).alias("spread"),
         )
     )
     train = cells.filter("split = 'train'").select("feature_set", "key", F.col("mean").alias("effect"))

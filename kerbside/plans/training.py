@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import registry, search
 from kerbside.operators import train as models
-from kerbside.operators.cells import collapse
+from kerbside.operators.cells import collapse, uncollapsed
 from kerbside.operators.encode import ZONES_DISTANCE, FeatureSpec, fit_encoder
 from kerbside.operators.prepare import drop_outliers, with_duration, with_month_split
 from kerbside.sources.trips import following_month, read_months
@@ -21,6 +21,18 @@ def feature_cells(trips: DataFrame, spec: FeatureSpec) -> DataFrame:
     return collapse(drop_outliers(trips), spec).persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def training_rows(trips: DataFrame, spec: FeatureSpec, model_type: str) -> DataFrame:
+    """What a model is fitted on.
+
+    Least squares needs numbers only through sums per category, which tasks combine before they
+    send anything; cells of every distinct number would be a larger shuffle for nothing. So it reads
+    the trips themselves when there are numbers, and cells otherwise. Trees always take cells.
+    """
+    if model_type == "LR" and spec.numerical:
+        return uncollapsed(drop_outliers(trips), spec)
+    return feature_cells(trips, spec)
+
+
 def train_and_log(
     spark: SparkSession,
     cells: DataFrame,
@@ -61,7 +73,7 @@ def train_month(
     following = following_month(year, month)
     trips = with_duration(read_months(spark, base, [(color, year, month), (color, *following)]))
     split = F.when((F.col("year") == year) & (F.col("month") == month), "train").otherwise("val")
-    cells = feature_cells(trips.withColumn("split", split), spec)
+    cells = training_rows(trips.withColumn("split", split), spec, model_type)
     try:
         return train_and_log(spark, cells, spec, root, experiment, model_type)
     finally:

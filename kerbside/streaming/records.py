@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.codec import ENVELOPE, RIDE, encode_event, event_json, parse_event, payload_text, prediction_event
+from kerbside.functions.codec import RIDE, USED_ENVELOPE, encode_event, event_json, parse_event, payload_text, prediction_event
 
 
-def read_envelopes(spark: SparkSession, path: str, streaming: bool = True, **options: str) -> DataFrame:
-    """Envelopes from a folder of JSON lines. A stream replays the folder from its first file."""
+def read_envelopes(
+    spark: SparkSession, path: str, streaming: bool = True, schema: str = USED_ENVELOPE, **options: str
+) -> DataFrame:
+    """Envelopes from a folder of JSON lines. A stream replays the folder from its first file.
+
+    `schema` may be the full ENVELOPE; by default only the fields that scoring uses are parsed.
+    """
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(ENVELOPE).options(**options).json(path)
+    return reader.schema(schema).options(**options).json(path)
 
 
 def read_topic(spark: SparkSession, options: Mapping[str, str], streaming: bool = True) -> DataFrame:
@@ -56,27 +63,51 @@ def decode(envelopes: DataFrame) -> DataFrame:
     return records.withColumn("payload", payload_text(F.col("data"))).withColumn("event", parse_event(F.col("payload")))
 
 
-def is_usable(inputs: list[str]):
-    """A record can be scored when it parses to a ride with an id and all inputs of the model."""
-    ok = F.col("event.ride").isNotNull() & F.col("event.ride_id").isNotNull()
-    for name in inputs:
-        ok = ok & F.col(f"event.ride.{name}").isNotNull()
-    return F.coalesce(ok, F.lit(False))
+def reject_reason(inputs: list[str]):
+    """Why a record cannot be scored; null when it can.
+
+    A usable record parses to a ride with an id and all inputs of the model.
+    """
+    missing = [F.col(f"event.ride.{name}").isNull() for name in inputs]
+    return (
+        F.when(F.col("payload").isNull(), "not base64")
+        .when(F.col("event.ride").isNull(), "no ride")
+        .when(F.col("event.ride_id").isNull(), "no ride id")
+        .when(reduce(or_, missing, F.lit(False)), "input missing")
+    )
+
+
+def judged(decoded: DataFrame, inputs: list[str]) -> DataFrame:
+    """Every record with its ride columns and its reject reason; only rejects keep their payload.
+
+    Numbers missing in a reject read 0, so that good and bad records pass the model together.
+    """
+    reason = reject_reason(inputs)
+    return decoded.select(
+        "event_id",
+        "arrival",
+        "event.ride.PULocationID",
+        "event.ride.DOLocationID",
+        F.when(reason.isNotNull(), F.coalesce("event.ride.trip_distance", F.lit(0.0)))
+        .otherwise(F.col("event.ride.trip_distance"))
+        .alias("trip_distance"),
+        "event.ride_id",
+        reason.alias("reason"),
+        F.when(reason.isNotNull(), F.col("data")).alias("data"),
+    )
 
 
 def rides(decoded: DataFrame, inputs: list[str]) -> DataFrame:
-    return decoded.filter(is_usable(inputs)).select("event_id", "arrival", "event.ride.*", "event.ride_id")
+    return decoded.filter(reject_reason(inputs).isNull()).select("event_id", "arrival", "event.ride.*", "event.ride_id")
 
 
 def rejects(decoded: DataFrame, inputs: list[str]) -> DataFrame:
-    """Records that cannot be scored, with the stage that failed. Nothing is lost, nothing is scored."""
-    reason = (
-        F.when(F.col("payload").isNull(), "not base64")
-        .when(F.col("event.ride").isNull(), "no ride")
-        .when(F.col("event.ride_id").isNull(), "no ride id")
-        .otherwise("input missing")
-    )
-    return decoded.filter(~is_usable(inputs)).select("event_id", "arrival", "data", reason.alias("reason"))
+    """Records that cannot be scored, with the step that failed. Nothing is lost, nothing is scored."""
+    return rejected(judged(decoded, inputs))
+
+
+def rejected(records: DataFrame) -> DataFrame:
+    return records.filter("reason IS NOT NULL").select("event_id", "arrival", "data", "reason")
 
 
 def events(scored: DataFrame, version: str | None) -> DataFrame:

@@ -1,7 +1,7 @@
 """The stream scorer: envelopes in, prediction events out to any number of sinks.
 
-Each micro-batch is decoded once, split into usable and rejected records, scored as a whole and
-handed to the sinks. Delivery is at least once, so sinks write per batch and overwrite on replay.
+Each micro-batch is decoded and scored once, as a whole, and split into events and rejects for the
+sinks. Delivery is at least once, so sinks write per batch and overwrite on replay.
 """
 
 from __future__ import annotations
@@ -46,20 +46,21 @@ def start(
     inputs = inputs_of(model)
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        decoded = records.decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        # One pass parses and scores the batch. What is kept for the sinks is small: id and
+        # prediction of good records, the payload of bad ones only.
+        judged = records.judged(records.decode(batch), inputs)
+        scored = predict(model, judged).select("event_id", "arrival", "ride_id", "prediction", "reason", "data")
+        outputs = len(sinks) + (quarantine is not None)
+        if outputs > 1:
+            scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if sinks:
-                events = records.events(predict(model, records.rides(decoded, inputs)), version)
-                if len(sinks) > 1:
-                    events = events.persist(StorageLevel.MEMORY_AND_DISK)
-                for sink in sinks:
-                    sink(events, batch_id)
-                if len(sinks) > 1:
-                    events.unpersist()
+            for sink in sinks:
+                sink(records.events(scored.filter("reason IS NULL"), version), batch_id)
             if quarantine:
-                quarantine(records.rejects(decoded, inputs), batch_id)
+                quarantine(records.rejected(scored), batch_id)
         finally:
-            decoded.unpersist()
+            if outputs > 1:
+                scored.unpersist()
 
     writer = envelopes.writeStream.foreachBatch(publish).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "10 seconds"})).start()

@@ -56,8 +56,9 @@ def test_linear_equals_brute_force_on_rows(spark, rides, spec):
     assert math.isclose(model.intercept, b, abs_tol=1e-6)
 
     others = trips(spark, [trip(5, 99, 98), trip(5, 2, 98), trip(5, 99, 1), trip(5, None, 3)]).union(rides.filter("split = 'test'"))
-    found = models.predict(model, others).collect()
-    assert np.allclose([r.prediction for r in found], design(found, spec, names) @ w + b, atol=1e-6)
+    for predict in (models.predict, models.predict_vectors):
+        found = predict(model, others).collect()
+        assert np.allclose([r.prediction for r in found], design(found, spec, names) @ w + b, atol=1e-6)
 
 
 def test_wide_linear_models(rides, monkeypatch):
@@ -98,6 +99,9 @@ def test_missing_numbers(spark):
     encoder = encode.fit_encoder(trips(spark, [trip(5), trip(6)]), ZONES_DISTANCE)
     with pytest.raises(Exception, match="null"):
         encoder.transform(table).select("features").collect()
+    linear = models.fit(collapse(trips(spark, [trip(5), trip(6, 3, 4, 2.0)]), ZONES_DISTANCE), ZONES_DISTANCE)
+    with pytest.raises(Exception, match="trip_distance is missing"):
+        models.predict(linear, table).collect()
     keep = encode.fit_encoder(trips(spark, [trip(5)]), ZONES_DISTANCE, on_missing="keep")
     assert any(np.isnan(r.features.toArray()).any() for r in keep.transform(table).select("features").collect())
 

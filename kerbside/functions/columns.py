@@ -48,10 +48,15 @@ def is_missing(c: Column | str) -> Column:
     return c.isNull() | F.isnan(c.cast("double"))
 
 
+def zone_number(c: Column | str) -> Column:
+    """Zone as a whole number, missing (null or NaN) as -1. Cheap to group and join by."""
+    number = F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
+    return F.coalesce(number, F.lit(float(UNKNOWN_ZONE))).cast("bigint")
+
+
 def zone_code(c: Column | str) -> Column:
     """Zone as text: missing is `-1`, `1.0` is `1`. Applying it to its own result changes nothing."""
-    number = F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))
-    return F.coalesce(number, F.lit(float(UNKNOWN_ZONE))).cast("bigint").cast("string")
+    return zone_number(c).cast("string")
 
 
 def zone_text(c: Column | str) -> Column:

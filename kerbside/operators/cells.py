@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import zone_code
+from kerbside.functions.columns import zone_number
 from kerbside.operators.encode import FeatureSpec
 
 WEIGHT = "n"
@@ -25,10 +25,13 @@ LABEL = "label"
 SPREAD = "spread"
 
 
+def _inputs(spec: FeatureSpec) -> list[Column]:
+    return [F.col(c) if c in spec.numerical else zone_number(c).alias(c) for c in spec.inputs]
+
+
 def collapse(trips: DataFrame, spec: FeatureSpec, label: str = "duration", by: Sequence[str] = ("split",)) -> DataFrame:
-    inputs = [F.col(c) if c in spec.numerical else zone_code(c).alias(c) for c in spec.inputs]
     return (
-        trips.select(*by, *inputs, F.col(label).alias(LABEL))
+        trips.select(*by, *_inputs(spec), F.col(label).alias(LABEL))
         .groupBy(*by, *spec.inputs)
         .agg(
             F.count(F.lit(1)).cast("double").alias(WEIGHT),
@@ -41,9 +44,8 @@ def collapse(trips: DataFrame, spec: FeatureSpec, label: str = "duration", by: S
 
 def uncollapsed(trips: DataFrame, spec: FeatureSpec, label: str = "duration", by: Sequence[str] = ("split",)) -> DataFrame:
     """The same columns with one cell per trip (no shuffle), for features that hardly repeat."""
-    inputs = [F.col(c) if c in spec.numerical else zone_code(c).alias(c) for c in spec.inputs]
     return trips.select(
-        *by, *inputs, F.lit(1.0).alias(WEIGHT), F.col(label).alias(LABEL), F.lit(0.0).alias(SPREAD)
+        *by, *_inputs(spec), F.lit(1.0).alias(WEIGHT), F.col(label).alias(LABEL), F.lit(0.0).alias(SPREAD)
     )
 
 

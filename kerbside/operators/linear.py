@@ -8,13 +8,17 @@ are joined by key. Unseen categories find nothing and add zero, as in the vector
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.operators.encode import FeatureSpec, feature_names
+from kerbside.functions.columns import zone_number
+from kerbside.operators.encode import PAIR, FeatureSpec, feature_names
 
 # Rows of an effect table (about 40 bytes each) that every executor may hold.
 MAX_BROADCAST = 500_000
@@ -30,21 +34,24 @@ def coefficients(pipeline: PipelineModel, spec: FeatureSpec) -> dict[str, float]
 
 
 def effects(spark: SparkSession, weights: dict[str, float], name: str) -> DataFrame:
-    """Effect per category of one categorical."""
+    """Effect per category of one categorical, keyed by its zone numbers."""
     prefix = f"{name}="
     found = {f.removeprefix(prefix): w for f, w in weights.items() if f.startswith(prefix)}
-    columns = {f"_{name}_key": pa.array(found.keys(), pa.string()), f"_{name}_effect": pa.array(found.values(), pa.float64())}
+    keys = zip(*[map(int, category.split("_")) for category in found]) if found else [[]]
+    columns = {f"_{name}_{i}": pa.array(k, pa.int64()) for i, k in enumerate(keys)}
+    columns[f"_{name}_effect"] = pa.array(found.values(), pa.float64())
     table = spark.createDataFrame(pa.table(columns))
     return F.broadcast(table) if len(found) <= MAX_BROADCAST else table
 
 
 def predict(pipeline: PipelineModel, spec: FeatureSpec, rides: DataFrame) -> DataFrame:
     weights = coefficients(pipeline, spec)
-    spark = rides.sparkSession
     total = F.lit(pipeline.stages[-1].intercept)
     joined = rides
     for name in spec.categorical:
-        joined = joined.join(effects(spark, weights, name), spec.key(name) == F.col(f"_{name}_key"), "left")
+        zones = ["PULocationID", "DOLocationID"] if name == PAIR else [name]
+        same = reduce(and_, [zone_number(z) == F.col(f"_{name}_{i}") for i, z in enumerate(zones)])
+        joined = joined.join(effects(rides.sparkSession, weights, name), same, "left")
         total = total + F.coalesce(f"_{name}_effect", F.lit(0.0))
     for name in spec.numerical:
         # A missing number must fail here as it does in the vector, not turn into a null answer.

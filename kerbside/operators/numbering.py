@@ -19,6 +19,9 @@ from kerbside.sources.trips import SOURCE_FILE, SOURCE_ROW
 
 BLOCK = 1 << 17
 MONTH = ("year", "month")
+# Offsets are one row per file. Up to this many (some 20 MB of paths) go to every executor, so the
+# trips stay where they were read.
+MAX_BROADCAST_FILES = 100_000
 
 
 def source_ride_ids(trips: DataFrame, all_trips: DataFrame | None = None) -> DataFrame:
@@ -30,6 +33,8 @@ def source_ride_ids(trips: DataFrame, all_trips: DataFrame | None = None) -> Dat
     if all_trips is None:
         return trips.withColumn("ride_id", ride_id("year", "month", SOURCE_ROW))
     offsets = _file_offsets(all_trips.groupBy(*MONTH, SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows")))
+    if len(all_trips.inputFiles()) <= MAX_BROADCAST_FILES:
+        offsets = F.broadcast(offsets)
     position = F.col("file_offset") + F.col(SOURCE_ROW)
     joined = trips.join(offsets, [*MONTH, SOURCE_FILE])
     return joined.withColumn("ride_id", ride_id("year", "month", position)).drop("file_offset")

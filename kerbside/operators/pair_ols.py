@@ -8,32 +8,43 @@ size Spark measures, large ones are joined by key with skewed keys split.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass
 class PairOls:
-    effects: DataFrame  # key, effect
+    effects: DataFrame  # keys, effect
     slope: float
     intercept: float  # the mean effect: what an unseen category gets
-    key: str
+    keys: list[str]
     number: str | None
+    groups: DataFrame  # kept on the executors until released
 
+    def release(self) -> None:
+        self.groups.unpersist()
 
-def fit(rows: DataFrame, key: str, number: str | None, label: str = "label", weight: str = "n") -> PairOls:
-    """`rows` are cells or trips with a weight column.
+
+def fit(rows: DataFrame, keys: Sequence[str], number: str | None, label: str = "label", weight: str = "n") -> PairOls:
+    """`rows` are cells or trips with a weight column; `keys` (no nulls) name the category.
 
     Without a number, or with one that never varies inside a category, the slope is 0.
     """
     w, x, y = F.col(weight), F.col(number) if number else F.lit(0.0), F.col(label)
     # Minutes and miles are small numbers, so sums of their products lose no digits that matter.
-    groups = rows.groupBy(key).agg(
-        F.sum(w).alias("w"), (F.sum(w * x) / F.sum(w)).alias("mean_x"), (F.sum(w * y) / F.sum(w)).alias("mean_y"),
-        F.sum(w * x * x).alias("xx"), F.sum(w * x * y).alias("xy"),
+    groups = rows.groupBy(*keys).agg(
+        F.sum(w).alias("w"),
+        (F.sum(w * x) / F.sum(w)).alias("mean_x"),
+        (F.sum(w * y) / F.sum(w)).alias("mean_y"),
+        F.sum(w * x * x).alias("xx"),
+        F.sum(w * x * y).alias("xy"),
     )
+    # One row per category, read for the slope now and for the effects later.
+    groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
     within = groups.agg(
         F.sum(F.col("xy") - F.col("w") * F.col("mean_x") * F.col("mean_y")).alias("sxy"),
         F.sum(F.col("xx") - F.col("w") * F.col("mean_x") * F.col("mean_x")).alias("sxx"),
@@ -41,12 +52,12 @@ def fit(rows: DataFrame, key: str, number: str | None, label: str = "label", wei
         F.avg("mean_y").alias("my"),
     ).first()
     slope = within["sxy"] / within["sxx"] if within["sxx"] else 0.0
-    effects = groups.select(key, (F.col("mean_y") - F.lit(slope) * F.col("mean_x")).alias("effect"))
-    return PairOls(effects, slope, within["my"] - slope * within["mx"], key, number)
+    effects = groups.select(*keys, (F.col("mean_y") - F.lit(slope) * F.col("mean_x")).alias("effect"))
+    return PairOls(effects, slope, within["my"] - slope * within["mx"], list(keys), number, groups)
 
 
 def predict(model: PairOls, rows: DataFrame) -> DataFrame:
-    joined = rows.join(model.effects, model.key, "left")
+    joined = rows.join(model.effects, model.keys, "left")
     base = F.coalesce("effect", F.lit(model.intercept))
     shift = F.lit(model.slope) * F.col(model.number) if model.number else F.lit(0.0)
     return joined.withColumn("prediction", base + shift).drop("effect")

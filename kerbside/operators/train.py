@@ -5,6 +5,8 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
+from functools import reduce
+from operator import and_
 
 import pyarrow as pa
 from pyspark.ml import PipelineModel, Transformer
@@ -13,6 +15,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.functions.columns import zone_number
 from kerbside.operators import cells as cell
 from kerbside.operators import linear, pair_ols
 from kerbside.operators.encode import PAIR, FeatureSpec, feature_names, fit_encoder, labels, width, with_keys
@@ -101,7 +104,9 @@ def _linear_on(train: DataFrame, known: DataFrame, spec: FeatureSpec, params: di
     if not spec.categorical:
         model = _least_squares(encoder.transform(train))
     elif len(spec.categorical) == 1 and len(spec.numerical) <= 1:
-        model = _corner_model(encoder, spec, _absorbed_corners(train, spec), columns)
+        absorbed, corners = _absorbed_corners(train, spec)
+        model = _corner_model(encoder, spec, corners, columns)
+        absorbed.release()
     elif columns <= MAX_NORMAL_COLUMNS:
         model = _corner_model(encoder, spec, _contrast_corners(train, known, spec, encoder), columns)
     else:
@@ -119,17 +124,18 @@ def _least_squares(encoded: DataFrame, features: str = "features"):
     ).fit(encoded)
 
 
-def _absorbed_corners(train: DataFrame, spec: FeatureSpec) -> DataFrame:
+def _absorbed_corners(train: DataFrame, spec: FeatureSpec) -> tuple[pair_ols.PairOls, DataFrame]:
     """One categorical of any size: its effects are one aggregation and stay distributed."""
     key = f"{spec.categorical[0]}_key"
     number = spec.numerical[0] if spec.numerical else None
-    fitted = pair_ols.fit(with_keys(train, spec), key, number, cell.LABEL, cell.WEIGHT)
+    zones = [c for c in spec.inputs if c not in spec.numerical]
+    fitted = pair_ols.fit(train, zones, number, cell.LABEL, cell.WEIGHT)
     zero = [F.lit(0.0).alias(number)] if number else []
-    known = fitted.effects.select(key, *zero, F.col("effect").alias(cell.LABEL))
+    known = with_keys(fitted.effects, spec).select(key, *zero, F.col("effect").alias(cell.LABEL))
     extra = {key: [None], cell.LABEL: [fitted.intercept]}
     if number:
         extra = {key: [None, None], number: [0.0, 1.0], cell.LABEL: [fitted.intercept, fitted.intercept + fitted.slope]}
-    return known.unionByName(_corner_table(train.sparkSession, extra))
+    return fitted, known.unionByName(_corner_table(train.sparkSession, extra))
 
 
 def _contrast_corners(train: DataFrame, known: DataFrame, spec: FeatureSpec, encoder: PipelineModel) -> DataFrame:
@@ -264,6 +270,20 @@ def predict_vectors(model: Transformer | Trained, rides: DataFrame) -> DataFrame
     return pipeline.transform(rides).select(*rides.columns, "prediction")
 
 
+def predict_combinations(model: Transformer | Trained, rides: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """`predict` for costly models (many trees): score every combination of inputs once.
+
+    Rides repeat their inputs, so far fewer rows pass the model; the answers are joined back by
+    input. With zones only there are at most zones squared, which Spark broadcasts; more are joined
+    by key, with the partitions of frequent combinations split.
+    """
+    keyed = {c: F.col(c) if c in spec.numerical else zone_number(c) for c in spec.inputs}
+    combinations = rides.select(*[v.alias(c) for c, v in keyed.items()]).distinct()
+    answers = predict_vectors(model, combinations).select(*[F.col(c).alias(f"_{c}") for c in keyed], "prediction")
+    same = reduce(and_, [v.eqNullSafe(F.col(f"_{c}")) for c, v in keyed.items()])
+    return rides.join(answers, same, "left").select(*[F.col(c) for c in rides.columns], "prediction")
+
+
 def constant_model(value: float) -> PipelineModel:
     """A model that always answers `value`, for tests and dry runs."""
     return PipelineModel([SQLTransformer(statement=f"SELECT *, CAST({value!r} AS DOUBLE) AS prediction FROM __THIS__")])

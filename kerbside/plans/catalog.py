@@ -80,7 +80,7 @@ def canonical_trips(spark, sf_dir):
 def stored_months(spark, sf_dir):
     """Trips written by colour, year and month, read back with one month pruned to."""
     path = new_folder(spark, "canonical")
-    write_canonical(lineitem_trips(spark, sf_dir), path)
+    write_canonical(lineitem_trips(spark, sf_dir), path, by_month=False)
     one_year = read_canonical(spark, path).filter((F.col("color") == "green") & (F.col("year") == 1996))
     return one_year.groupBy("color", "year", "month").agg(
         F.count(F.lit(1)).alias("n"), F.sum("PULocationID").alias("zone_sum"), F.sum("trip_distance").alias("distance")
@@ -277,7 +277,10 @@ def vocabulary(spark, sf_dir):
 @query
 def one_hot_long(spark, sf_dir):
     """Feature vectors of the test trips under the train vocabulary; unseen pairs have no entry."""
-    fitted = encode.fit_encoder(_train_cells(spark, sf_dir, PAIR_DISTANCE), PAIR_DISTANCE)
+    pairs = FeatureSpec(("PU_DO",))  # the vocabulary needs no distances
+    cells = _train_cells(spark, sf_dir, pairs)
+    fitted = encode.fit_encoder(cells, PAIR_DISTANCE)
+    cells.unpersist()
     test = kept(spark, sf_dir).filter("split = 'test'")
     return encode.vector_entries(fitted.transform(test), ["event_id"])
 
@@ -302,12 +305,19 @@ def _fit(spark, sf_dir, spec: FeatureSpec, model_type: str = "LR", params: dict
     return models.fit(train, spec, model_type, params, val if model_type == "XGB" else None), cells
 
 
+def _model(spark, sf_dir, spec: FeatureSpec) -> models.Trained:
+    """A fitted model whose cells are no longer needed."""
+    model, cells = _fit(spark, sf_dir, spec)
+    cells.unpersist()
+    return model
+
+
 @query
 def ols_group_mean(spark, sf_dir):
     """Least squares on one categorical is the mean per category."""
     model, cells = _fit(spark, sf_dir, PICKUP)
     scored = models.predict(model, cells.select("PULocationID").distinct())
-    return scored.select("PULocationID", F.round("prediction", MEAN_DIGITS).alias("prediction"))
+    return scored.select(F.col("PULocationID").cast("string").alias("PULocationID"), F.round("prediction", MEAN_DIGITS).alias("prediction"))
 
 
 @query
@@ -327,7 +337,7 @@ def ols_orthogonality(spark, sf_dir):
     residual = F.col(WEIGHT) * (F.col(LABEL) - F.col("prediction"))
     scored = models.predict(model, cells.filter("split = 'train'")).withColumn("residual", residual)
     entry = F.explode(
-        F.array(*[F.concat(F.lit(f"{z}="), F.col(z)) for z in ZONES.categorical])
+        F.array(*[F.concat(F.lit(f"{z}="), F.col(z).cast("string")) for z in ZONES.categorical])
     ).alias("feature")
     sums = scored.select(entry, WEIGHT, "residual").groupBy("feature").agg(
         F.sum(WEIGHT).cast("bigint").alias("n"), (F.abs(F.sum("residual") / F.sum(WEIGHT)) < 1e-5).alias("orthogonal")
@@ -338,10 +348,9 @@ def ols_orthogonality(spark, sf_dir):
 @query
 def ols_pair_distance(spark, sf_dir):
     """Exact least squares on pair and distance, for any number of pairs."""
-    rows = encode.with_keys(uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE), PAIR_DISTANCE)
-    model = pair_ols.fit(rows.filter("split = 'train'"), "PU_DO_key", "trip_distance", LABEL, WEIGHT)
-    trips = encode.with_keys(kept(spark, sf_dir).filter("split = 'test'"), PAIR_DISTANCE)
-    scored = pair_ols.predict(model, trips)
+    rows = uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE, by=("event_id", "split"))
+    model = pair_ols.fit(rows.filter("split = 'train'"), prepare.ZONE_COLUMNS, "trip_distance", LABEL, WEIGHT)
+    scored = pair_ols.predict(model, rows.filter("split = 'test'"))
     return scored.select("event_id", F.round("prediction", 6).alias("prediction"))
 
 
@@ -353,8 +362,8 @@ def rmse_by_split(spark, sf_dir):
 
 @query
 def pair_rmse_by_split(spark, sf_dir):
-    rows = encode.with_keys(uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE), PAIR_DISTANCE)
-    model = pair_ols.fit(rows.filter("split = 'train'"), "PU_DO_key", "trip_distance", LABEL, WEIGHT)
+    rows = uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE)
+    model = pair_ols.fit(rows.filter("split = 'train'"), prepare.ZONE_COLUMNS, "trip_distance", LABEL, WEIGHT)
     scored = pair_ols.predict(model, rows)
     return scored.groupBy("split").agg(F.sum(WEIGHT).cast("bigint").alias("n"), F.round(rmse(), 6).alias("rmse"))
 
@@ -362,7 +371,7 @@ def pair_rmse_by_split(spark, sf_dir):
 @query
 def prediction_histogram(spark, sf_dir):
     """Predicted and actual durations of the test trips, bucket by bucket."""
-    model, _ = _fit(spark, sf_dir, PICKUP)
+    model = _model(spark, sf_dir, PICKUP)
     scored = models.predict(model, kept(spark, sf_dir).filter("split = 'test'"))
     return profile.histogram(
         scored.select("duration", F.round("prediction", MEAN_DIGITS).alias("prediction")), ["prediction", "duration"], 0.0, 60.0, 20
@@ -384,12 +393,22 @@ def gbt_score(spark, sf_dir):
     return _tree_report(spark, sf_dir, "XGB", {"num_boost_round": 10, "max_depth": 4})
 
 
+@query
+def forest_predictions(spark, sf_dir):
+    """A forest's answer for every test trip, computed once per combination of inputs."""
+    model, cells = _fit(spark, sf_dir, ZONES, "RF", SMALL_FOREST)
+    cells.unpersist()
+    scored = models.predict_combinations(model, kept(spark, sf_dir).filter("split = 'test'"), ZONES)
+    return scored.select("event_id", "prediction")
+
+
 @query
 def search_trials(spark, sf_dir):
     """A seeded search: every trial is fitted on train and validated on the days that follow."""
     cells = feature_cells(event_trips(spark, sf_dir), ZONES_DISTANCE)
     space = {**search.FOREST_SPACE, "max_depth": (2, 6, 1), "n_estimators": (4, 10, 1)}
     found = search.search(search.forest_objective(cells, ZONES_DISTANCE), search.trials(spark, space, 4), parallel=4)
+    cells.unpersist()
     rows = [(p["trial"], p["max_depth"], p["n_estimators"], p["min_samples_leaf"], loss) for p, loss in found]
     return spark.createDataFrame(rows, "trial INT, max_depth INT, n_estimators INT, min_samples_leaf INT, rmse DOUBLE")
 
@@ -405,6 +424,7 @@ def retrain_top(spark, sf_dir):
         registry.log_run(spark, path, "search", "RF", params, {"rmse": loss}, run_id=f"trial-{params['trial']}")
     best = registry.top_runs(registry.read_runs(spark, path), "search", 2).collect()
     results = search.retrain(cells, ZONES_DISTANCE, [r["params"] for r in best])
+    cells.unpersist()
     rows = [(run["run_id"], m["val_rmse"], m["test_rmse"]) for run, (_, m) in zip(best, results)]
     return spark.createDataFrame(rows, "run_id STRING, val_rmse DOUBLE, test_rmse DOUBLE")
 
@@ -527,7 +547,7 @@ def promotion(spark, sf_dir):
 
 
 def _written_predictions(spark, sf_dir, numbering: str = "source") -> DataFrame:
-    model, _ = _fit(spark, sf_dir, PICKUP)
+    model = _model(spark, sf_dir, PICKUP)
     path = new_folder(spark, "predictions")
     score.write_predictions(score.score_trips(model, event_trips(spark, sf_dir, positions=True), numbering), path)
     return score.read_predictions(spark, path)
@@ -555,7 +575,7 @@ def batch_summary(spark, sf_dir):
 @query
 def batch_score_zones(spark, sf_dir):
     """The flagship: least squares on both zones, fitted on train, scoring all other trips."""
-    model, _ = _fit(spark, sf_dir, ZONES)
+    model = _model(spark, sf_dir, ZONES)
     trips = event_trips(spark, sf_dir, positions=True).filter("split != 'train'")
     return score.score_trips(model, trips).select("ride_id", "predicted_duration")
 
@@ -567,6 +587,7 @@ def alias_score(spark, sf_dir):
     cells = feature_cells(event_trips(spark, sf_dir), PICKUP)
     run_id = train_and_log(spark, cells, PICKUP, root, "durations")
     registry.set_alias(spark, f"{root}/aliases", "durations", "champion", run_id, "approved")
+    cells.unpersist()
     model = load_by_alias(spark, root, "durations", "durations", "champion")
     scored = models.predict(model, kept(spark, sf_dir))
     return scored.select("event_id", F.round("prediction", MEAN_DIGITS).alias("prediction"))
@@ -575,7 +596,7 @@ def alias_score(spark, sf_dir):
 @query
 def request_scores(spark, sf_dir):
     """Single rides as JSON lines, answered with duration and model version."""
-    model, _ = _fit(spark, sf_dir, PICKUP)
+    model = _model(spark, sf_dir, PICKUP)
     path = new_folder(spark, "requests")
     trips = event_trips(spark, sf_dir).withColumn("PULocationID", F.col("PULocationID").cast("bigint"))
     trips.select("PULocationID", "DOLocationID", "trip_distance").write.json(path)
@@ -640,7 +661,7 @@ def quarantine_split(spark, sf_dir):
 @query
 def prediction_events(spark, sf_dir):
     """Event fields parsed back from the JSON messages."""
-    model, _ = _fit(spark, sf_dir, PICKUP)
+    model = _model(spark, sf_dir, PICKUP)
     events = service.prediction_events(model, envelopes(spark, sf_dir), "run-1")
     parsed = records.messages(events).select("key", F.from_json("value", codec.PREDICTION_EVENT).alias("e"))
     return parsed.select(
@@ -664,7 +685,7 @@ def run_stream(spark: SparkSession, sf_dir: str, model: models.Trained | Pipelin
 @query
 def stream_score(spark, sf_dir):
     """The stream's events, as read from its Parquet sink."""
-    model, _ = _fit(spark, sf_dir, PICKUP)
+    model = _model(spark, sf_dir, PICKUP)
     root = run_stream(spark, sf_dir, model)
     events = sinks.read_events(spark, f"{root}/events")
     return events.select(
@@ -675,7 +696,7 @@ def stream_score(spark, sf_dir):
 @query
 def stream_messages(spark, sf_dir):
     """The stream's keyed messages and its rejects, counted per sink."""
-    model, _ = _fit(spark, sf_dir, PICKUP)
+    model = _model(spark, sf_dir, PICKUP)
     root = run_stream(spark, sf_dir, model)
     sent = sinks.read_messages(spark, f"{root}/messages").select(F.lit("sent").alias("sink"), F.col("key").cast("bigint").alias("id"))
     held = spark.read.parquet(f"{root}/rejects").select(

@@ -83,12 +83,19 @@ def read_months(
     return reduce(DataFrame.unionByName, frames)
 
 
-def write_canonical(trips: DataFrame, path: str) -> None:
-    """Store trips partitioned by colour, year and month, so later reads prune whole months."""
+def write_canonical(trips: DataFrame, path: str, by_month: bool = True) -> None:
+    """Store trips partitioned by colour, year and month, so later reads prune whole months.
+
+    Monthly files are already apart and are written as they are read. Pass `by_month=False` for
+    sources that mix months: every task would write a file per month, so rows are brought together
+    first, in partitions of even size (a large month is split, small ones are merged).
+    """
     columns = [f.split()[0] for f in CANONICAL.split(", ")]
+    table = trips.select(*columns)
+    if not by_month:
+        table = table.hint("rebalance", "color", "year", "month")
     (
-        trips.select(*columns)
-        .write.mode("overwrite")
+        table.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("color", "year", "month")
         .parquet(path)

@@ -141,6 +141,13 @@ def test_trees_learn_and_handle_unseen_zones(spark, rides, model_type):
     assert models.predict(model, trips(spark, [trip(5, 99, 98)])).first().prediction > 0
 
 
+@pytest.mark.parametrize("model_type", ["LR", "RF"])
+def test_combinations_get_the_same_answers(rides, model_type):
+    model = models.fit(collapse(rides, ZONES_DISTANCE).filter("split = 'train'"), ZONES_DISTANCE, model_type, {"n_estimators": 3, "max_depth": 4} if model_type == "RF" else None)
+    both = models.predict_combinations(model, models.predict(model, rides).withColumnRenamed("prediction", "direct"), ZONES_DISTANCE)
+    assert both.count() == 600 and both.filter("abs(direct - prediction) > 1e-9 or prediction is null").count() == 0
+
+
 def test_pairs_of_trees_become_two_zones(rides):
     cells = collapse(rides, PAIR_DISTANCE).filter("split = 'train'")
     model = models.fit(cells, PAIR_DISTANCE, "RF", {"n_estimators": 3, "max_depth": 4})
@@ -177,8 +184,8 @@ def test_requests_with_numbers_and_text_score_alike(spark, rides):
 
 def test_pair_ols_without_variation(spark):
     rows = trips(spark, [trip(5, 1, 1, 2.0), trip(7, 1, 1, 2.0), trip(9, 2, 2, 3.0)])
-    cells = encode.with_keys(collapse(rows, PAIR_DISTANCE), PAIR_DISTANCE)
-    model = pair_ols.fit(cells, "PU_DO_key", "trip_distance", LABEL, WEIGHT)
+    cells = collapse(rows, PAIR_DISTANCE)
+    model = pair_ols.fit(cells, ["PULocationID", "DOLocationID"], "trip_distance", LABEL, WEIGHT)
     assert model.slope == 0.0 and model.intercept == 7.5
 
 

@@ -33,7 +33,7 @@ def parse_event(text: Column) -> Column:
 
 def encode_event(ride: Column, ride_id: Column) -> Column:
     event = F.struct(ride.alias("ride"), ride_id.alias("ride_id"))
-    # base64() breaks no lines by itself, but Spark's default output may be chunked.
+    # Some settings make base64() break its text into lines.
     return F.regexp_replace(F.base64(F.to_json(event, {"ignoreNullFields": "false"}).cast("binary")), "\\s", "")
 
 

@@ -48,6 +48,12 @@ def is_missing(c: Column | str) -> Column:
     return c.isNull() | F.isnan(c.cast("double"))
 
 
+def required(name: str) -> Column:
+    """A number that must be there: missing (null or NaN) fails the job with the column's name."""
+    number = F.nanvl(F.col(name).cast("double"), F.lit(None).cast("double"))
+    return F.coalesce(number, F.raise_error(F.lit(f"{name} is missing")).cast("double"))
+
+
 def zone_number(c: Column | str) -> Column:
     """Zone as a whole number, missing (null or NaN) as -1. Cheap to group and join by."""
     number = F.nanvl(_col(c).cast("double"), F.lit(None).cast("double"))

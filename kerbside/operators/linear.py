@@ -17,7 +17,7 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import zone_number
+from kerbside.functions.columns import required, zone_number
 from kerbside.operators.encode import PAIR, FeatureSpec, feature_names
 
 # Rows of an effect table (about 40 bytes each) that every executor may hold.
@@ -55,6 +55,5 @@ def predict(pipeline: PipelineModel, spec: FeatureSpec, rides: DataFrame) -> Dat
         total = total + F.coalesce(f"_{name}_effect", F.lit(0.0))
     for name in spec.numerical:
         # A missing number must fail here as it does in the vector, not turn into a null answer.
-        number = F.coalesce(name, F.raise_error(F.lit(f"{name} is missing")).cast("double"))
-        total = total + F.lit(weights[name]) * number.cast("double")
+        total = total + F.lit(weights[name]) * required(name)
     return joined.select(*[F.col(c) for c in rides.columns], total.alias("prediction"))

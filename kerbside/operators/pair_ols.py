@@ -15,6 +15,8 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.functions.columns import required
+
 
 @dataclass
 class PairOls:
@@ -32,9 +34,10 @@ class PairOls:
 def fit(rows: DataFrame, keys: Sequence[str], number: str | None, label: str = "label", weight: str = "n") -> PairOls:
     """`rows` are cells or trips with a weight column; `keys` (no nulls) name the category.
 
-    Without a number, or with one that never varies inside a category, the slope is 0.
+    Without a number, or with one that never varies inside a category, the slope is 0. Missing
+    numbers fail; sums would skip them without a word.
     """
-    w, x, y = F.col(weight), F.col(number) if number else F.lit(0.0), F.col(label)
+    w, x, y = F.col(weight), required(number) if number else F.lit(0.0), F.col(label)
     # Minutes and miles are small numbers, so sums of their products lose no digits that matter.
     groups = rows.groupBy(*keys).agg(
         F.sum(w).alias("w"),
@@ -59,5 +62,5 @@ def fit(rows: DataFrame, keys: Sequence[str], number: str | None, label: str = "
 def predict(model: PairOls, rows: DataFrame) -> DataFrame:
     joined = rows.join(model.effects, model.keys, "left")
     base = F.coalesce("effect", F.lit(model.intercept))
-    shift = F.lit(model.slope) * F.col(model.number) if model.number else F.lit(0.0)
+    shift = F.lit(model.slope) * required(model.number) if model.number else F.lit(0.0)
     return joined.withColumn("prediction", base + shift).drop("effect")

@@ -39,6 +39,9 @@ WITHOUT_EFFECT = ("min_samples_split", "reg_alpha", "reg_lambda", "objective", "
 # The normal equations are solved on the driver from one pass; Spark takes 4,096 columns at most.
 MAX_NORMAL_COLUMNS = 4096
 
+# Trees keep statistics per category and node, and sample the square of it to place splits.
+MAX_TREE_CATEGORIES = 4096
+
 
 @dataclass
 class Trained:
@@ -209,6 +212,8 @@ def _tree_encoder(train: DataFrame, spec: FeatureSpec):
     """Indexed categories (one column per zone feature, however many zones) and their bin count."""
     encoder = fit_encoder(train, _tree_spec(spec), one_hot=False)
     bins = max([32] + [len(x) + 1 for x in labels(encoder)])
+    if bins > MAX_TREE_CATEGORIES:
+        raise ValueError(f"{bins - 1} categories in one feature, more than {MAX_TREE_CATEGORIES} for trees: group them first")
     return encoder, bins
 
 

@@ -23,8 +23,8 @@ from kerbside.operators.numbering import dense_ride_ids, source_ride_ids
 from kerbside.plans.batch import load_by_alias
 from kerbside.plans.training import feature_cells, train_and_log, training_rows
 from kerbside.session import new_folder
-from kerbside.sources.tables import event_trips, lineitem_trips
-from kerbside.sources.trips import write_canonical, read_canonical
+from kerbside.sources.tables import event_trips, lineitem_trips, raw_lineitem
+from kerbside.sources.trips import TIME_COLUMNS, canonical, read_canonical, write_canonical
 from kerbside.streaming import records, service, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,7 +63,9 @@ def _text(ts: str):
 
 @query
 def canonical_trips(spark, sf_dir):
-    trips = lineitem_trips(spark, sf_dir)
+    """Both raw layouts projected to one table."""
+    green, yellow = (canonical(raw_lineitem(spark, sf_dir, c), c) for c in TIME_COLUMNS)
+    trips = green.unionByName(yellow)
     return trips.select(
         _text("pickup_datetime").alias("pickup"),
         _text("dropoff_datetime").alias("dropoff"),

@@ -6,11 +6,11 @@ of taxi zones no matter how many trips it records.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import duration_minutes
-from kerbside.sources.trips import SOURCE_FILE, SOURCE_ROW, TIME_COLUMNS, canonical, with_position
+from kerbside.sources.trips import SOURCE_FILE, SOURCE_ROW, TIME_COLUMNS, with_position
 
 ZONES = 265
 
@@ -43,21 +43,36 @@ def event_trips(spark: SparkSession, sf_dir: str, positions: bool = False) -> Da
     )
 
 
+def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips from `lineitem`: many years, both colours, one scan."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet").filter(F.col("l_linestatus").isin("O", "F"))
+    trips = rows.select(
+        F.col("l_shipdate").alias("pickup_datetime"),
+        (F.col("l_shipdate") + _lineitem_length()).alias("dropoff_datetime"),
+        *_lineitem_ride(),
+        F.when(F.col("l_linestatus") == "O", "green").otherwise("yellow").alias("color"),
+        F.year("l_shipdate").alias("year"),
+        F.month("l_shipdate").alias("month"),
+    )
+    return trips.withColumn("duration", duration_minutes("pickup_datetime", "dropoff_datetime"))
+
+
 def raw_lineitem(spark: SparkSession, sf_dir: str, color: str) -> DataFrame:
-    """`lineitem` rows in the raw layout of one colour: many years, dozens of months."""
+    """The trips of one colour in its raw layout, as a monthly file would hold them."""
     pickup, dropoff = TIME_COLUMNS[color]
     rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    length = F.expr("INTERVAL '1' MINUTE") * (F.col("l_extendedprice") / F.lit(1000.0))
     return rows.filter(F.col("l_linestatus") == ("O" if color == "green" else "F")).select(
-        F.col("l_shipdate").alias(pickup),
-        (F.col("l_shipdate") + length).alias(dropoff),
-        (F.col("l_suppkey") % ZONES + 1).alias("PULocationID"),
-        (F.col("l_partkey") % ZONES + 1).alias("DOLocationID"),
-        (F.col("l_quantity") / F.lit(2.0)).alias("trip_distance"),
+        F.col("l_shipdate").alias(pickup), (F.col("l_shipdate") + _lineitem_length()).alias(dropoff), *_lineitem_ride()
     )
 
 
-def lineitem_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    green, yellow = (canonical(raw_lineitem(spark, sf_dir, c), c) for c in TIME_COLUMNS)
-    trips = green.unionByName(yellow)
-    return trips.withColumn("duration", duration_minutes("pickup_datetime", "dropoff_datetime"))
+def _lineitem_length() -> Column:
+    return F.expr("INTERVAL '1' MINUTE") * (F.col("l_extendedprice") / F.lit(1000.0))
+
+
+def _lineitem_ride() -> list[Column]:
+    return [
+        (F.col("l_suppkey") % ZONES + 1).alias("PULocationID"),
+        (F.col("l_partkey") % ZONES + 1).alias("DOLocationID"),
+        (F.col("l_quantity") / F.lit(2.0)).alias("trip_distance"),
+    ]

@@ -99,6 +99,9 @@ def test_missing_numbers(spark):
     encoder = encode.fit_encoder(trips(spark, [trip(5), trip(6)]), ZONES_DISTANCE)
     with pytest.raises(Exception, match="null"):
         encoder.transform(table).select("features").collect()
+    for spec in (PAIR_DISTANCE, ZONES_DISTANCE):
+        with pytest.raises(Exception, match="null|missing"):
+            models.fit(collapse(table, spec), spec)
     linear = models.fit(collapse(trips(spark, [trip(5), trip(6, 3, 4, 2.0)]), ZONES_DISTANCE), ZONES_DISTANCE)
     with pytest.raises(Exception, match="trip_distance is missing"):
         models.predict(linear, table).collect()

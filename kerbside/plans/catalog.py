@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -252,7 +253,8 @@ def next_month_rmse(spark, sf_dir):
 
     Both sides of the join are cells (one row per month and zone), never trips.
     """
-    cells = _month_cells(spark, sf_dir, "PULocationID")
+    # Used three times; one row per month and zone, so kept instead of scanning the trips again.
+    cells = _month_cells(spark, sf_dir, "PULocationID").persist(StorageLevel.MEMORY_AND_DISK)
     model = cells.select("color", next_month("year", "month").alias("period"), "PULocationID", F.col("mean").alias("effect"))
     fallback = model.groupBy("color", "period").agg(F.avg("effect").alias("unseen"))
     val = cells.withColumn("period", F.make_date("year", "month", F.lit(1)))
@@ -476,6 +478,7 @@ def mean_model_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
             # Spread inside the groups plus the spread of their means.
             (F.sum("spread") + F.sum(F.col("n") * F.col("mean") * F.col("mean")) - total * mean * mean).alias("spread"),
         )
+        .persist(StorageLevel.MEMORY_AND_DISK)  # used three times below; one row per category
     )
     train = cells.filter("split = 'train'").select("feature_set", "key", F.col("mean").alias("effect"))
     unseen = train.groupBy("feature_set").agg(F.avg("effect").alias("unseen"))

@@ -26,6 +26,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kerbside.llm.common import text_column
 
@@ -269,7 +270,7 @@ def encode(documents: DataFrame, path: str, text_col: str = "text", id_col: str
 
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Append the text that the ids stand for; bytes that are no UTF-8 become replacement characters."""
-    schema = encoded.schema.add(out_col, "string")
+    schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(path)

@@ -6,13 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe
+from kerbside.llm import bpe, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without byte strings that stand earlier in the table."""
+    return substrings.cut_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, r: n + r["end"] - r["begin"]).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +37,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_substrings": op3_substrings,
     "op10_bpe": op10_bpe,
 }
 

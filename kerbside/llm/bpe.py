@@ -43,7 +43,7 @@ _PLAIN_PIECES = re.compile(
 #: A blank before white space or at the end joins a run, so splitting at blanks would cut it.
 _JOINED = re.compile(r" \s| $")
 #: Words and pieces remembered in a task, in each of two generations.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 def _byte_letters() -> dict[str, int]:

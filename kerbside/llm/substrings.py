@@ -20,8 +20,8 @@ Records travel as packed arrays by hash bucket; a task drops what is already rep
 records first, so a string that stands in a third of all documents reaches a bucket once per task.
 
 Results: a null text is an empty text. A row without doc_id ranks after all others. Rows that share a
-doc_id are rows of their own if their texts differ (no window of one precedes a window of another at
-the same start) and are one document listed several times if their texts are equal.
+doc_id are documents of their own if their texts differ, ranked by a hash of the text, and are one
+document listed several times if their texts are equal.
 """
 
 from __future__ import annotations
@@ -125,11 +125,9 @@ class _Packer:
             return
         got = {f: np.concatenate([p[f] for p in self.parts]).astype(_TYPES[f]) for f in _FIELDS}
         self.parts, self.size = [], 0
-        order = np.lexsort((got["at"], got["t"], got["doc"], got["span"], got["key"]))
-        later = np.zeros(len(order), bool)
-        later[order] = ~runs(got["key"][order], got["span"][order])
+        got, first, later = _ranked(got)
         done = _covered(got["doc"][later], got["t"][later], got["at"][later], got["n"][later].astype(np.int64))
-        got = {f: v[~later] for f, v in got.items()}
+        got = {f: v[first] for f, v in got.items()}
         bucket = ((got["key"] >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
         rows = list(by_bucket(bucket, self.buckets))
         # Repeats found here need no bucket; they are dealt evenly over the rows that go out.
@@ -146,6 +144,19 @@ class _Packer:
         yield pa.RecordBatch.from_arrays(arrays, ["bucket", *_FIELDS, "done"])
 
 
+def _ranked(got: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    """Records by digits and place; which of them come first and which repeat a first one. A record
+    with the place of the first is the same text listed again and is neither."""
+    order = np.lexsort((got["at"], got["t"], got["doc"], got["span"], got["key"]))
+    got = {f: v[order] for f, v in got.items()}
+    first = runs(got["key"], got["span"])
+    leader = np.flatnonzero(first)[np.cumsum(first) - 1]
+    later = np.zeros(len(first), bool)
+    for f in ("doc", "t", "at"):
+        later |= got[f] != got[f][leader]
+    return got, first, later
+
+
 def _covered(doc: np.ndarray, t: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Windows joined to rows (doc, t, first window, number of windows) where they follow each other."""
     if not len(doc):
@@ -167,10 +178,7 @@ def _resolve(table: pa.Table) -> pa.Table:
     for f in _FIELDS:
         parts = [np.frombuffer(b, _TYPES[f]) for b in blobs[f]]
         got[f] = np.concatenate([np.cumsum(p) for p in parts] if f in ("doc", "t") else parts)
-    order = np.lexsort((got["at"], got["t"], got["doc"], got["span"], got["key"]))
-    got = {f: v[order] for f, v in got.items()}
-    first = runs(got["key"], got["span"])
-    again = ~first
+    got, first, again = _ranked(got)
     repeats = _covered(got["doc"][again], got["t"][again], got["at"][again], got["n"][again].astype(np.int64))
     repeats = np.concatenate([repeats, np.frombuffer(b"".join(blobs["done"]), np.int64).reshape(-1, 4)])
     key = got["key"][first]
@@ -271,12 +279,12 @@ def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text, starts, sizes) of every row: the repeated windows, as first window and number of
+    """(doc_id, doc, t, text, starts, sizes) of every row: the repeated windows, as first window and number of
     windows in a row; they may touch. Null where nothing repeats."""
     spark = documents.sparkSession
     rows, size = keyed(documents, id_col, text_col)
     buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    # Joined three times by the same key: Spark shuffles the texts once and reuses the exchange.
+    # Three joins with the same columns and key: Spark shuffles the texts once and reuses the exchange.
     found = []
     packed = rows.select("doc", "t", "text").mapInArrow(_first_pass(buckets), _BLOB)
     for chunk in (CHUNK, 1, 0):
@@ -285,10 +293,10 @@ def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         if not chunk:
             break
         pending = resolved.filter("pending").groupBy("doc", "t").agg(F.flatten(F.collect_list(F.array(F.col("at"), F.col("n").cast("long"), F.col("shift").cast("long")))).alias("pending"))
-        packed = rows.join(pending.hint("shuffle_hash"), ["doc", "t"]).select("doc", "t", "text", "pending").mapInArrow(_next_pass(buckets, chunk), _BLOB)
+        packed = rows.join(pending.hint("shuffle_hash"), ["doc", "t"]).select(*rows.columns, "pending").mapInArrow(_next_pass(buckets, chunk), _BLOB)
     done = found[0].unionByName(found[1]).unionByName(found[2]).filter("NOT pending")
     done = done.groupBy("doc", "t").agg(F.collect_list("at").alias("starts"), F.collect_list("n").alias("sizes"))
-    return rows.join(done.hint("shuffle_hash"), ["doc", "t"], "left").select("doc_id", "text", "starts", "sizes")
+    return rows.join(done.hint("shuffle_hash"), ["doc", "t"], "left").select(*rows.columns, "starts", "sizes")
 
 
 def _removed(starts: list[int], sizes: list[int]) -> list[tuple[int, int]]:

@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kerbside.session import ensure_checkpoint_dir
+
 SLICE = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -178,3 +180,47 @@ def text_bytes(documents: DataFrame, text_col: str = "text") -> int:
 def n_buckets(documents: DataFrame, each: int, least: int, text_col: str = "text") -> int:
     """Buckets so that one holds the records of about `each` bytes of text, however large the input is."""
     return max(least, -(-text_bytes(documents, text_col) // each))
+
+
+def cut(frame: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder: lost executors cost no more than a read."""
+    ensure_checkpoint_dir(frame.sparkSession)
+    return frame.checkpoint()
+
+
+def near(frame: DataFrame, bound: int) -> DataFrame:
+    """Mark a cut table for a broadcast join if it has at most `bound` rows; else Spark joins by key."""
+    return F.broadcast(frame) if frame.count() <= bound else frame
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component) of every node of the edges (a, b): the smallest id that it reaches.
+
+    Alternates two steps until every node points at its smallest: each node hands its larger
+    neighbours to its smallest one, then its smaller ones. Groups are only aggregated, never gathered;
+    both sides of each join are cut tables, so a node with very many edges is split by Spark.
+    """
+
+    def oriented(frame: DataFrame) -> DataFrame:
+        return frame.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
+
+    def state(frame: DataFrame) -> tuple:
+        return tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+
+    links = cut(oriented(edges))
+    before = state(links)
+    while before[0]:
+        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("w")))
+        links = cut(oriented(both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("w").alias("b"))))
+        least = cut(links.groupBy("u").agg(F.min("v").alias("w")))
+        smaller = links.join(least, "u").select(F.col("v").alias("a"), F.col("w").alias("b"))
+        links = cut(oriented(smaller.unionByName(least.select(F.col("u").alias("a"), F.col("w").alias("b")))))
+        after = state(links)
+        if after == before:
+            break
+        before = after
+    # Every node hangs on its smallest by now; that one has no edge down and names itself.
+    return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
+        links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
+    )

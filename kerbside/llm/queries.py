@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, substrings
+from kerbside.llm import bpe, ngram_join, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,11 @@ def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that are linked by similar sets of four-word shingles."""
+    return ngram_join.linked(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +43,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_substrings": op3_substrings,
+    "op4_ngram_join": op4_ngram_join,
     "op10_bpe": op10_bpe,
 }
 

@@ -125,9 +125,10 @@ class _Packer:
             return
         got = {f: np.concatenate([p[f] for p in self.parts]).astype(_TYPES[f]) for f in _FIELDS}
         self.parts, self.size = [], 0
-        got, first, later = _ranked(got)
-        done = _covered(got["doc"][later], got["t"][later], got["at"][later], got["n"][later].astype(np.int64))
-        got = {f: v[first] for f, v in got.items()}
+        ranked, first, later, order = _ranked(got)
+        done = _covered(*(ranked[f][later].astype(np.int64) for f in ("doc", "t", "at", "n")))
+        kept = np.sort(order[first])  # in reading order: neighbours differ little and pack well
+        got = {f: v[kept] for f, v in got.items()}
         bucket = ((got["key"] >> np.uint64(20)) % np.uint64(self.buckets)).astype(np.int64)
         rows = list(by_bucket(bucket, self.buckets))
         # Repeats found here need no bucket; they are dealt evenly over the rows that go out.
@@ -144,9 +145,9 @@ class _Packer:
         yield pa.RecordBatch.from_arrays(arrays, ["bucket", *_FIELDS, "done"])
 
 
-def _ranked(got: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Records by digits and place; which of them come first and which repeat a first one. A record
-    with the place of the first is the same text listed again and is neither."""
+def _ranked(got: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """Records by digits and place; which of them come first, which repeat a first one, and their
+    former order. A record with the place of the first is the same text listed again and is neither."""
     order = np.lexsort((got["at"], got["t"], got["doc"], got["span"], got["key"]))
     got = {f: v[order] for f, v in got.items()}
     first = runs(got["key"], got["span"])
@@ -154,7 +155,7 @@ def _ranked(got: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarr
     later = np.zeros(len(first), bool)
     for f in ("doc", "t", "at"):
         later |= got[f] != got[f][leader]
-    return got, first, later
+    return got, first, later, order
 
 
 def _covered(doc: np.ndarray, t: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -178,8 +179,8 @@ def _resolve(table: pa.Table) -> pa.Table:
     for f in _FIELDS:
         parts = [np.frombuffer(b, _TYPES[f]) for b in blobs[f]]
         got[f] = np.concatenate([np.cumsum(p) for p in parts] if f in ("doc", "t") else parts)
-    got, first, again = _ranked(got)
-    repeats = _covered(got["doc"][again], got["t"][again], got["at"][again], got["n"][again].astype(np.int64))
+    got, first, again, _ = _ranked(got)
+    repeats = _covered(*(got[f][again].astype(np.int64) for f in ("doc", "t", "at", "n")))
     repeats = np.concatenate([repeats, np.frombuffer(b"".join(blobs["done"]), np.int64).reshape(-1, 4)])
     key = got["key"][first]
     starts = np.flatnonzero(runs(key))

@@ -177,11 +177,6 @@ def text_bytes(documents: DataFrame, text_col: str = "text") -> int:
     return documents.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
 
 
-def n_buckets(documents: DataFrame, each: int, least: int, text_col: str = "text") -> int:
-    """Buckets so that one holds the records of about `each` bytes of text, however large the input is."""
-    return max(least, -(-text_bytes(documents, text_col) // each))
-
-
 def cut(frame: DataFrame) -> DataFrame:
     """The rows written to the shared checkpoint folder: lost executors cost no more than a read."""
     ensure_checkpoint_dir(frame.sparkSession)

@@ -36,7 +36,7 @@ from kerbside.llm.common import by_bucket, components, cut, id_text, mix, near,
 #: Records that a task gathers before it packs them.
 GATHERED = 400_000
 #: Text bytes for each bucket of records.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 #: Members of a block in a comparison, and rows up to which a table is sent to all executors (16 MB).
 BLOCK = 128
 BROADCAST_ROWS = 500_000
@@ -283,7 +283,7 @@ def linked(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     largest = filled.agg(F.max("n")).first()[0]
     if largest is None:
         return members.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(texts) // BUCKET_BYTES))
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-text_bytes(texts) // BUCKET_BYTES))
 
     # Classes of equal sets, in two steps: first within a share of the rows, as one may be very frequent.
     key = ["n", "a", "b"]

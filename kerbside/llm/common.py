@@ -123,15 +123,15 @@ def words(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return start, np.flatnonzero(ends) + 1, np.searchsorted(offsets, start, side="right") - 1
 
 
-def shingles(buffer: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of `size` consecutive lower-cased words, by row; sorted by row, then hash.
+def sequences(buffer: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every `size` consecutive words, in order.
 
-    A row with fewer words has its whole sequence as one shingle; a row without words has none.
+    A row with fewer words has its whole sequence as one; a row without words has none.
     """
     start, end, row = words(buffer, offsets)
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    word = Rolling(_LOWER[buffer]).ranges(start, end)
+    word = Rolling(buffer).ranges(start, end)
     n_rows = len(offsets) - 1
     counts = np.bincount(row, minlength=n_rows)
     first = np.zeros(n_rows + 1, np.int64)
@@ -145,11 +145,15 @@ def shingles(buffer: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.nda
         step = mix(hashed * np.uint64(0xD6E8FEB86659FD93) + nxt + np.uint64(k + 1))
         hashed = step if k == 0 else np.where(left > k, step, hashed)
     keep = (left >= size) | ((counts[row] < size) & (left == counts[row]))
-    row, hashed = row[keep], hashed[keep]
+    return row[keep], hashed[keep]
+
+
+def shingles(buffer: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes of `size` consecutive words without regard to case (A-Z), by row, then hash."""
+    row, hashed = sequences(_LOWER[buffer], offsets, size)
     order = np.lexsort((hashed, row))
     row, hashed = row[order], hashed[order]
-    new = np.ones(len(row), bool)
-    new[1:] = (row[1:] != row[:-1]) | (hashed[1:] != hashed[:-1])
+    new = runs(row, hashed)
     return row[new], hashed[new]
 
 

@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, ngram_join, substrings
+from kerbside.llm import bpe, fingerprint, ngram_join, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how alike they are."""
+    return fingerprint.edits(_table(spark, sf_dir, "documents"))
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without byte strings that stand earlier in the table."""
     return substrings.cut_repeats(_table(spark, sf_dir, "documents")).select(
@@ -42,6 +47,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprint": op1_fingerprint,
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
     "op10_bpe": op10_bpe,

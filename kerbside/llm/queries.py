@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprint, ngram_join, substrings
+from kerbside.llm import bpe, fingerprint, ngram_join, pii, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,17 @@ def op1_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edits(_table(spark, sf_dir, "documents"))
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text; `n_added` counts the spans that the bootstrapped patterns found."""
+    return pii.find(_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *(pii.counted(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(pii.written(F.col("base")), 256).alias("base_sha256"),
+        pii.written(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without byte strings that stand earlier in the table."""
     return substrings.cut_repeats(_table(spark, sf_dir, "documents")).select(
@@ -48,6 +59,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
+    "op2_pii": op2_pii,
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
     "op10_bpe": op10_bpe,

@@ -45,7 +45,7 @@ _POSITION = np.uint64(24)  # bits for a position in a stretch, below the bits of
 #: Records that a task gathers before it packs them.
 GATHERED = 300_000
 #: Text bytes for each bucket of records.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 8 << 20
 
 _BLOB = "bucket long, key binary, span binary, doc binary, t binary, at binary, n binary, shift binary, done binary"
 _FIELDS = ("key", "span", "doc", "t", "at", "n", "shift")
@@ -284,7 +284,7 @@ def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     windows in a row; they may touch. Null where nothing repeats."""
     spark = documents.sparkSession
     rows, size = keyed(documents, id_col, text_col)
-    buckets = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     # Three joins with the same columns and key: Spark shuffles the texts once and reuses the exchange.
     found = []
     packed = rows.select("doc", "t", "text").mapInArrow(_first_pass(buckets), _BLOB)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprint, ngram_join, pii, substrings
+from kerbside.llm import bpe, fingerprint, ngram_join, pii, quality, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,17 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def _held_out(divisor: int, remainder: int) -> F.Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == remainder
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every text, learnt from labelled rows outside the held-out fifth."""
+    documents, held = _table(spark, sf_dir, "documents"), _held_out(5, 0)
+    model = quality.fit(documents, _table(spark, sf_dir, "labels").filter(~held), "quality")
+    return quality.score(documents, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -62,6 +73,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
+    "op8_quality": op8_quality,
     "op10_bpe": op10_bpe,
 }
 

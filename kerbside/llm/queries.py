@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprint, ngram_join, pii, quality, substrings
+from kerbside.llm import bpe, fingerprint, ngram_join, pii, quality, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(documents, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learnt from labelled rows outside the held-out third."""
+    documents, held = _table(spark, sf_dir, "documents"), _held_out(3, 1)
+    model = toxicity.fit(documents, _table(spark, sf_dir, "labels").filter(~held), "toxic")
+    return toxicity.score(documents, model).select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the text that they decode to, as digests."""
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -74,6 +81,7 @@ QUERIES = {
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
     "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
 

@@ -7,12 +7,13 @@ elements, at most d in a tile, so of more than d hashed parts at least one is eq
 class files a hash of every part under its tile, and classes that share a hash are compared. A part
 holds about five shingles, so a passage that many documents share does not make them candidates.
 
-Candidates are checked in two rounds, so that a group of near copies never becomes all its pairs:
+Classes that share a part are tied to the smallest of them, their hub: linear in the number of parts.
+Two classes that share a part have a hub in common, so it is enough to compare around hubs, and only
+what is not yet joined, so that a group of near copies never becomes all its pairs:
 
-1. Each class against the smallest class it shares a part with; links are joined to components.
-2. Within the classes that meet at one smallest class, members of different components against each
-   other, in blocks. Every pair that shares a part is in such a set, so no link is lost: pairs left
-   out are those already joined.
+1. Each class against its nearest (smallest) hub; links are joined to components.
+2. Classes with the same nearest hub against each other, in blocks, if their components differ.
+3. Around every hub, classes with different nearest hubs, if their components still differ.
 
 A comparison first bounds the overlap: both sets are hashed to bitmaps, and every differing bit is a
 shingle of one set only. What passes is decided by intersecting the sorted arrays.
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import by_bucket, components, cut, id_text, mix, near, runs, shingles, slices, text_bytes, utf8
@@ -38,7 +39,7 @@ GATHERED = 400_000
 #: Text bytes for each bucket of records.
 BUCKET_BYTES = 8 << 20
 #: Members of a block in a comparison, and rows up to which a table is sent to all executors (16 MB).
-BLOCK = 128
+BLOCK = 256
 BROADCAST_ROWS = 500_000
 
 _BLOB = "bucket long, part binary, doc binary, met binary"
@@ -204,8 +205,9 @@ def _bitmaps(arrays: list[np.ndarray]) -> np.ndarray:
     return np.packbits(bits, axis=1).view(np.uint64)
 
 
-def _compare(ids: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.ndarray, arrays: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between rows of `left` and `right` that join different components, as few as join them."""
+def _compare(ids: np.ndarray, labels: np.ndarray, kinds: np.ndarray, left: np.ndarray, right: np.ndarray, arrays: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links between rows of `left` and `right` that differ in label (component) and kind, as few as
+    join the components that they link."""
     parent: dict[int, int] = {}
 
     def root(x: int) -> int:
@@ -217,7 +219,7 @@ def _compare(ids: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.nd
     maps = _bitmaps(arrays)
     found = []
     for i in left:
-        others = right[(labels[right] != labels[i]) & (sizes[right] * 100 >= percent * sizes[i]) & (sizes[i] * 100 >= percent * sizes[right])]
+        others = right[(labels[right] != labels[i]) & (kinds[right] != kinds[i]) & (sizes[right] * 100 >= percent * sizes[i]) & (sizes[i] * 100 >= percent * sizes[right])]
         if not len(others):
             continue
         differ = np.bitwise_count(maps[others] ^ maps[i]).sum(axis=1)
@@ -236,12 +238,12 @@ def _compare(ids: np.ndarray, labels: np.ndarray, left: np.ndarray, right: np.nd
 
 def _compare_block(percent: int):
     def run(table: pa.Table) -> pa.Table:
-        ids, labels = (table.column(c).to_numpy() for c in ("doc_id", "label"))
+        ids, labels, kinds = (table.column(c).to_numpy() for c in ("doc_id", "label", "kind"))
         side = table.column("side").to_numpy()
         arrays = [np.frombuffer(x, np.uint64) for x in table.column("hashed").to_pylist()]
         left = np.flatnonzero(side == 0)
         right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        links = _compare(ids, labels, left, right, arrays, percent)
+        links = _compare(ids, labels, kinds, left, right, arrays, percent)
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
@@ -255,21 +257,58 @@ def _send(words: int):
             row, hashed = shingles(*utf8(batch.column("text")), words)
             edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
             sets_ = pa.array([hashed[edges[k] : edges[k + 1]].tobytes() for k in range(batch.num_rows)], pa.binary())
-            names = ["hub", "i", "j", "side", "doc_id", "label"]
+            names = ["hub", "i", "j", "side", "doc_id", "label", "kind"]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), sets_], [*names, "hashed"])
 
     return run
 
 
 def _links(documents: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links found in the blocks (hub, i, j, side, doc_id, label)."""
+    """(a, b): links found in the blocks (hub, i, j, side, doc_id, label, kind)."""
     blocks = cut(blocks)
-    sent = documents.filter(F.col("doc_id").isNotNull()).join(near(blocks, BROADCAST_ROWS), "doc_id").select("hub", "i", "j", "side", "doc_id", "label", "text")
-    schema = "hub long, i long, j long, side int, doc_id long, label long, hashed binary"
+    sent = documents.filter(F.col("doc_id").isNotNull()).join(near(blocks, BROADCAST_ROWS), "doc_id").select("hub", "i", "j", "side", "doc_id", "label", "kind", "text")
+    schema = "hub long, i long, j long, side int, doc_id long, label long, kind long, hashed binary"
     return cut(sent.mapInArrow(_send(words), schema).groupBy("hub", "i", "j").applyInArrow(_compare_block(percent), "a long, b long"))
 
 
-def _spread(column: str, count: str) -> F.Column:
+def _labelled(around: DataFrame, joined: DataFrame) -> DataFrame:
+    """(hub, member) with the member's component as label."""
+    known = joined.select(F.col("id").alias("member"), "component")
+    return around.join(known, "member", "left").select("hub", "member", F.coalesce("component", "member").alias("label"))
+
+
+def _joined_with(joined: DataFrame, links: DataFrame) -> DataFrame:
+    return cut(components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links)))
+
+
+def _blocks(around: DataFrame, enough: Column) -> DataFrame:
+    """Blocks in which members of a hub meet all others of another kind, if they have several labels:
+    those not of the most frequent kind are dealt to blocks against that kind and among themselves."""
+    extra = [F.max("checked").alias("checked")] if "checked" in around.columns else []
+    per = around.groupBy("hub", "kind").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"), *extra)
+    extra = [F.max("checked").alias("checked")] if extra else []
+    most = F.max(F.struct("rows", "kind")).alias("most")
+    hubs = per.groupBy("hub").agg(F.count("*").alias("kinds"), F.sum("rows").alias("rows"), most, F.min("low").alias("low"), F.max("high").alias("high"), *extra)
+    hubs = hubs.filter((F.col("kinds") > 1) & (F.col("low") < F.col("high")) & enough)
+    hubs = cut(hubs.select("hub", F.col("most.kind").alias("main"), F.col("most.rows").alias("inside"), (F.col("rows") - F.col("most.rows")).alias("outside")))
+    rest = around.select("hub", "member", "label", "kind").join(hubs, "hub")
+    blocks_in, blocks_out = (F.ceil(F.col(c) / BLOCK) for c in ("inside", "outside"))
+    row = ["member", "label", "kind"]
+    inside = rest.filter("kind = main").select("hub", F.explode(F.sequence(_zero(), blocks_out - 1)).alias("i"), _spread("member", "inside").alias("j"), F.lit(1).alias("side"), *row)
+    outside = rest.filter("kind <> main").withColumn("own", _spread("member", "outside"))
+    against = outside.select("hub", F.col("own").alias("i"), F.explode(F.sequence(_zero(), blocks_in - 1)).alias("j"), F.lit(0).alias("side"), *row)
+    # Blocks of the others among themselves: pairs i <= j, numbered below zero.
+    among = outside.select("hub", "own", F.explode(F.sequence(_zero(), blocks_out - 1)).alias("other"), *row).select(
+        "hub", F.least("own", "other").alias("i"), (-1 - F.greatest("own", "other")).alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), *row
+    )
+    return inside.unionByName(against).unionByName(among).withColumnRenamed("member", "doc_id")
+
+
+def _zero() -> Column:
+    return F.lit(0).cast("long")
+
+
+def _spread(column: str, count: str) -> Column:
     """One of as many blocks as `count` members need."""
     return F.pmod(F.xxhash64(column), F.ceil(F.col(count) / BLOCK))
 
@@ -294,46 +333,36 @@ def linked(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     copies = shared.join(same.select(*key, "share", "class"), [*key, "share"]).filter("doc_id <> class")
     copies = cut(copies.select(F.col("doc_id").alias("id"), "class").distinct())
 
-    ties = candidates(texts.filter(F.col("doc_id").isNotNull()), words, Bands(percent, largest), buckets)
-    representative = near(copies.groupBy("id").agg(F.min("class").alias("class")).transform(cut), BROADCAST_ROWS)
-    for side in ("hub", "member"):
-        ties = ties.join(representative.select(F.col("id").alias(side), "class"), side, "left").withColumn(side, F.coalesce("class", side)).drop("class")
-    ties = cut(ties.filter("hub <> member").distinct())
+    # One row of each class files its parts. (A doc_id with several texts may stand for several classes.)
+    spare = near(copies.groupBy("id").agg(F.count("*").alias("classes")).filter("classes = 1").select(F.col("id").alias("doc_id")).transform(cut), BROADCAST_ROWS)
+    several = filled.groupBy("doc_id").agg(F.count_distinct(*key).alias("texts")).filter("texts > 1").select("doc_id").transform(cut)
+    spare = spare.join(several, "doc_id", "left_anti")
+    filing = texts.filter(F.col("doc_id").isNotNull()).join(spare, "doc_id", "left_anti")
+    ties = cut(candidates(filing, words, Bands(percent, largest), buckets).filter("hub <> member").distinct())
 
     # First round: every class against the smallest it met.
     nearest = cut(ties.groupBy("member").agg(F.min("hub").alias("hub")))
     crowded = cut(nearest.groupBy("hub").agg(F.count("*").alias("rows")).filter(F.col("rows") > BLOCK))
     placed = nearest.join(crowded, "hub", "left").withColumn("i", F.coalesce(_spread("member", "rows"), F.lit(0)).cast("long"))
-    zero = F.lit(0).cast("long")
-    first = placed.select("hub", "i", zero.alias("j"), F.lit(1).alias("side"), F.col("member").alias("doc_id"), F.col("member").alias("label"))
+    first = placed.select("hub", "i", _zero().alias("j"), F.lit(1).alias("side"), F.col("member").alias("doc_id"), F.col("member").alias("label"), F.col("member").alias("kind"))
     hubs = placed.select("hub", "i").distinct()
-    first = first.unionByName(hubs.select("hub", "i", zero.alias("j"), F.lit(0).alias("side"), F.col("hub").alias("doc_id"), F.col("hub").alias("label")))
+    first = first.unionByName(hubs.select("hub", "i", _zero().alias("j"), F.lit(0).alias("side"), F.col("hub").alias("doc_id"), F.col("hub").alias("label"), F.col("hub").alias("kind")))
     edges = copies.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(_links(texts, first, words, percent))
-    found = cut(components(edges))
-
-    # Second round: around each hub, members that are not yet joined with the largest part of it.
-    around = ties.unionByName(ties.select("hub", F.col("hub").alias("member")).distinct())
-    around = around.join(found.withColumnRenamed("id", "member"), "member", "left").withColumn("label", F.coalesce("component", "member"))
-    around = cut(around.select("hub", "member", "label"))
-    parts = cut(around.groupBy("hub", "label").agg(F.count("*").alias("rows")))
-    open_ = parts.groupBy("hub").agg(F.count("*").alias("labels"), F.sum("rows").alias("rows"), F.max(F.struct("rows", "label")).alias("most"))
-    # Two members were compared in the first round if the hub is the nearest of the other one.
-    done = nearest.select("hub", F.lit(1).alias("checked")).groupBy("hub").agg(F.sum("checked").alias("checked"))
-    open_ = open_.filter("labels > 1").join(done, "hub", "left").filter("NOT (rows = 2 AND coalesce(checked, 0) = 1)")
-    open_ = cut(open_.select("hub", F.col("most.label").alias("main"), F.col("most.rows").alias("inside"), (F.col("rows") - F.col("most.rows")).alias("outside")))
-    rest = around.join(open_, "hub")
-    blocks_in, blocks_out = (F.ceil(F.col(c) / BLOCK) for c in ("inside", "outside"))
-    inside = rest.filter("label = main").select("hub", F.explode(F.sequence(zero, blocks_out - 1)).alias("i"), _spread("member", "inside").alias("j"), F.lit(1).alias("side"), "member", "label")
-    outside = rest.filter("label <> main").withColumn("own", _spread("member", "outside"))
-    against = outside.select("hub", F.col("own").alias("i"), F.explode(F.sequence(zero, blocks_in - 1)).alias("j"), F.lit(0).alias("side"), "member", "label")
-    # Outside blocks among themselves: pairs i <= j, numbered below zero.
-    other = F.explode(F.sequence(zero, blocks_out - 1)).alias("other")
-    among = outside.select("hub", "own", other, "member", "label").select(
-        "hub", F.least("own", "other").alias("i"), (-1 - F.greatest("own", "other")).alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side"), "member", "label"
-    )
-    second = inside.unionByName(against).unionByName(among).withColumnRenamed("member", "doc_id")
-    later = _links(texts, second, words, percent)
-    joined = cut(components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(later)))
+    joined = cut(components(edges))
+
+    # Second round: all classes with the same nearest one, against each other.
+    own = nearest.unionByName(nearest.select(F.col("hub").alias("member"), "hub").distinct())
+    around = cut(_labelled(own, joined).withColumn("kind", F.col("label")))
+    joined = _joined_with(joined, _links(texts, _blocks(around, F.col("rows") > 2), words, percent))
+
+    # Third round: around each hub, classes with different nearest ones.
+    around = _labelled(ties.unionByName(ties.select("hub", F.col("hub").alias("member")).distinct()), joined)
+    kinds = nearest.select("member", F.col("hub").alias("kind"))
+    around = around.join(kinds, "member", "left").withColumn("kind", F.coalesce("kind", "member"))
+    # Two classes were compared in the first round if one is the nearest of the other.
+    checked = cut(nearest.select("hub", F.lit(1).alias("checked")).distinct())
+    around = cut(cut(around).join(checked, "hub", "left"))
+    joined = _joined_with(joined, _links(texts, _blocks(around, F.col("rows") > F.coalesce("checked", F.lit(0)) + 1), words, percent))
     return members.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

@@ -15,13 +15,15 @@ Likeness is 1 - |a - b|^2 / (|a|^2 + |b|^2), from 0 to 1: 1 for equal fingerprin
 texts, and 0 if only one is empty. Its standard error is about 0.09 (`SKETCH` = 128).
 
 Results: a null text is an empty text, whose fingerprint is all zero. Rows are ordered by falling
-doc_id, rows without one last; rows that share a doc_id by a hash of the text.
+doc_id, rows without one last; rows that share a doc_id by their texts.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import pickle
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +32,15 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import id_text, sequences, slices, utf8
+from kerbside.llm.common import SLICE, id_text, sequences, slices, utf8
 
 EXACT = 32
 SKETCH = 128
 WORDS = 3
 #: Text bytes of a block of neighbouring documents.
 BLOCK_BYTES = 8 << 20
+#: Text bytes that a task gathers before it packs them.
+GATHERED_BYTES = 24 << 20
 
 
 def vectors(texts: list[bytes]) -> np.ndarray:
@@ -104,12 +108,33 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a task by block, each share compressed as a whole: half the bytes of a row-wise shuffle."""
+    held: dict[int, list[tuple]] = {}
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        shares = [zlib.compress(pickle.dumps(rows), 3) for rows in held.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int32()), pa.array(shares, pa.binary())], ["block", "share"])
+
+    for batch in slices(batches):
+        columns = (batch.column(c).to_pylist() for c in ("block", "guest", "key", "doc_id"))
+        for block, *row in zip(*columns, _bytes(batch.column("text")), strict=True):
+            held.setdefault(block, []).append(tuple(row))
+            size += len(row[-1])
+        if size > GATHERED_BYTES:
+            yield flush()
+            held, size = {}, 0
+    if held:
+        yield flush()
+
+
 def in_turn(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(block, guest, doc_id, text), each block in one partition and sorted: its rows by falling
-    doc_id, then as guest the first row of the next block, or of the first block after the last.
+    """(block, share): rows as `_packed` packs them, every row in the block of its doc_id's range.
 
     Blocks are ranges of doc_id of about equal size, so there is no global sort in one task; only
-    the bounds of blocks, one pair of numbers for each, pass through the driver.
+    the bounds of blocks, one pair of numbers for each, pass through the driver. The first row of a
+    block is also a guest in the block before it, and that of the first block in the last one.
     """
     spark = documents.sparkSession
     rows = id_text(documents, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
@@ -127,8 +152,7 @@ def in_turn(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     at = F.col("block") + 1
     goes_to = F.when(F.col("key") == F.element_at(F.lit(first_of).cast("array<long>"), at), F.array("block", F.element_at(F.lit(host_of).cast("array<int>"), at)))
     rows = rows.select(F.posexplode(F.coalesce(goes_to, F.array("block"))).alias("guest", "block"), "key", "doc_id", "text")
-    rows = rows.withColumn("tie", F.xxhash64("text")).repartition("block")
-    return rows.sortWithinPartitions("block", "guest", F.desc("key"), "tie").select("block", "guest", "doc_id", "text")
+    return rows.mapInArrow(_packed, "block int, share binary")
 
 
 def edits(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -137,38 +161,42 @@ def edits(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     near_edited, near_next)."""
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
-    def results(ids: list, texts: list[bytes], guests: list) -> pa.RecordBatch:
-        """Of all rows but the last, and no guests; each row's next is the row behind it."""
-        use = [k for k in range(len(ids) - 1) if not guests[k]]
+    def results(ids: list, texts: list[bytes]) -> pa.Table:
+        """Of all rows but the last; each row's next is the row behind it."""
         lanes = vectors(texts)
         edited, sizes = [], []
-        for k in use:
-            text = texts[k].decode("utf-8")
+        for raw, following in zip(texts, texts[1:], strict=False):
+            text = raw.decode("utf-8")
             half = len(text) // 2
             sizes.append(len(text))
-            edited.append((text[: len(text) - half] + texts[k + 1].decode("utf-8")[:half]).encode("utf-8"))
+            edited.append((text[: len(text) - half] + following.decode("utf-8")[:half]).encode("utf-8"))
         changed = vectors(edited)
-        own, nxt = lanes[use], lanes[[k + 1 for k in use]]
         columns = [
-            pa.array([ids[k] for k in use], pa.int64()),
+            pa.array(ids[:-1], pa.int64()),
             pa.array(sizes, pa.int64()),
             pa.array([hashlib.sha256(t).hexdigest() for t in edited], pa.string()),
-            pa.array(encoded(own), pa.string()),
+            pa.array(encoded(lanes[:-1]), pa.string()),
             pa.array(encoded(changed), pa.string()),
-            pa.array(likeness(own, changed), pa.float64()),
-            pa.array(likeness(own, nxt), pa.float64()),
+            pa.array(likeness(lanes[:-1], changed), pa.float64()),
+            pa.array(likeness(lanes[:-1], lanes[1:]), pa.float64()),
         ]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, texts, guests = [], [], []
-        for batch in slices(batches):
-            # The row before comes along, as its next may be the first row here.
-            ids, texts, guests = ids[-1:], texts[-1:], guests[-1:]
-            ids += batch.column("doc_id").to_pylist()
-            texts += _bytes(batch.column("text"))
-            guests += batch.column("guest").to_pylist()
-            yield results(ids, texts, guests)
+        return pa.table(columns, names)
+
+    def run(table: pa.Table) -> pa.Table:
+        # Plain rows that this job has packed itself; by falling key, guests last.
+        rows = [row for share in table.column("share").to_pylist() for row in pickle.loads(zlib.decompress(share))]
+        rows.sort(key=lambda r: (r[0], -r[1], r[3]))
+        own = sum(1 for r in rows if not r[0])
+        rows = rows[: own + 1]
+        parts, first = [], 0
+        while first < own:  # about a slice at a time
+            last, size = first + 1, len(rows[first][3])
+            while last < own and size < SLICE:
+                size += len(rows[last][3])
+                last += 1
+            parts.append(results([r[2] for r in rows[first : last + 1]], [r[3] for r in rows[first : last + 1]]))
+            first = last
+        return pa.concat_tables(parts)
 
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-    return in_turn(documents, id_col, text_col).mapInArrow(run, schema)
+    return in_turn(documents, id_col, text_col).groupBy("block").applyInArrow(run, schema)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, fingerprint, ngram_join, pii, quality, substrings, toxicity
+from kerbside.llm import ann, bpe, fingerprint, ngram_join, pii, quality, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest vectors of every twentieth one."""
+    return ann.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def _held_out(divisor: int, remainder: int) -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == remainder
 
@@ -80,6 +85,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
+    "op7_neighbours": op7_neighbours,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,

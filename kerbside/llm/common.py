@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -187,6 +188,19 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def in_blocks(rows: DataFrame, key: str, blocks: int) -> DataFrame:
+    """Append `block`: consecutive ranges of the key (a long, not null) with about equally many rows.
+
+    The bounds are quantiles; they are all that passes through the driver.
+    """
+    shares = [k / blocks for k in range(1, blocks)] or [0.5]
+    bounds = rows.agg(F.percentile_approx(key, shares, max(10_000, 20 * blocks))).first()[0] or []
+    splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
+    placed = rows.withColumn("place", F.col(key).cast("double"))
+    placed = Bucketizer(splits=splits, inputCol="place", outputCol="block").transform(placed)
+    return placed.withColumn("block", F.col("block").cast("int")).drop("place")
+
+
 def near(frame: DataFrame, bound: int) -> DataFrame:
     """Mark a cut table for a broadcast join if it has at most `bound` rows; else Spark joins by key."""
     return F.broadcast(frame) if frame.count() <= bound else frame

@@ -28,11 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import SLICE, id_text, sequences, slices, utf8
+from kerbside.llm.common import SLICE, id_text, in_blocks, sequences, slices, utf8
 
 EXACT = 32
 SKETCH = 128
@@ -140,15 +139,11 @@ def in_turn(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rows = id_text(documents, id_col, text_col).withColumn("key", F.coalesce("doc_id", F.lit(-(1 << 63))))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BLOCK_BYTES))
-    shares = [k / blocks for k in range(1, blocks)]
-    bounds = rows.agg(F.percentile_approx("key", shares, max(10_000, 20 * blocks)).alias("at")).first()["at"] or []
-    splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
-    rows = rows.withColumn("place", F.col("key").cast("double"))
-    rows = Bucketizer(splits=splits, inputCol="place", outputCol="block").transform(rows).withColumn("block", F.col("block").cast("int"))
+    rows = in_blocks(rows, "key", blocks)
     firsts = dict(rows.groupBy("block").agg(F.max("key")).collect())  # a row for each block
     filled = sorted(firsts)
     host = {b: filled[(k + 1) % len(filled)] for k, b in enumerate(filled)}  # the block before b in falling order
-    first_of, host_of = ([table.get(b, -1) for b in range(len(splits))] for table in (firsts, host))
+    first_of, host_of = ([table.get(b, -1) for b in range(max(filled, default=0) + 1)] for table in (firsts, host))
     at = F.col("block") + 1
     goes_to = F.when(F.col("key") == F.element_at(F.lit(first_of).cast("array<long>"), at), F.array("block", F.element_at(F.lit(host_of).cast("array<int>"), at)))
     rows = rows.select(F.posexplode(F.coalesce(goes_to, F.array("block"))).alias("guest", "block"), "key", "doc_id", "text")

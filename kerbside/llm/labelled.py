@@ -7,8 +7,7 @@ and calibrates the scores.
 
 from __future__ import annotations
 
-import numpy as np
-from pyspark.ml.regression import IsotonicRegression
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +29,8 @@ def sample(documents: DataFrame, labels: DataFrame, label_col: str, rows: int =
     return id_text(documents).join(near(cut(known), 2 * rows), "doc_id").select("doc_id", "label", "calibrates", "text")
 
 
-def calibration(scored: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Scores and the shares of label 1 there, never falling, from (raw, label): isotonic regression."""
-    model = IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="share").fit(scored.select("raw", "label"))
-    return np.array(model.boundaries.toArray()), np.array(model.predictions.toArray())
 
 
-def calibrated(raw: np.ndarray, at: np.ndarray, share: np.ndarray) -> np.ndarray:
-    return np.clip(np.interp(raw, at, share), 0.0, 1.0)
+def calibration(scored: DataFrame) -> IsotonicRegressionModel:
+    """From (raw, label): the share of label 1 at each raw value, never falling, in column `share`."""
+    return IsotonicRegression(featuresCol="raw", labelCol="label", predictionCol="share").fit(scored.select("raw", "label"))

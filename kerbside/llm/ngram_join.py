@@ -366,3 +366,16 @@ def linked(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     return members.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )
+
+
+def without_copies(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows but for those linked to a smaller doc_id. Of rows that repeat a doc_id the one with the
+    smallest text stays, then the smallest in its other columns; rows without doc_id all stay."""
+    dropped = cut(linked(documents, words, percent).filter("component_id <> doc_id").select("doc_id").distinct())
+    kept = documents.join(near(dropped, BROADCAST_ROWS), "doc_id", "left_anti").select(*documents.columns)
+    rows, ids = documents.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
+    if ids == rows:
+        return kept
+    others = [c for c in documents.columns if c != "text"]
+    one = kept.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.struct("text", *others)).alias("row"))
+    return one.select(*(f"row.`{c}`" for c in documents.columns)).unionByName(kept.filter("doc_id IS NULL"))

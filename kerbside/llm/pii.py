@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import cut, id_text, slices
+from kerbside.llm.common import cut, id_text, near, slices
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -32,6 +32,8 @@ SUPPORT = 3
 #: Patterns keep this much of a word, and identifiers beyond this length are no candidates.
 WORD = 40
 LONGEST = 200
+#: Documents with added spans up to which these are sent to all executors.
+BROADCAST_ROWS = 200_000
 
 # The domain part alone: an address starts where the run of its allowed characters before @ does.
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -218,7 +220,7 @@ def masked(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     spare = f"{'_'.join(names)}_added"  # no column of the input has this name
     added = discovered(marked).withColumnRenamed("row", f"{spare}_row").withColumnRenamed("t", f"{spare}_t").withColumnRenamed("added", spare)
     keyed = documents.withColumn(f"{spare}_row", F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))).withColumn(f"{spare}_t", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    joined = keyed.join(added, [f"{spare}_row", f"{spare}_t"], "left").select(*names, spare)
+    joined = keyed.join(near(added, BROADCAST_ROWS), [f"{spare}_row", f"{spare}_t"], "left").select(*names, spare)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

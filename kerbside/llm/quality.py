@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kerbside.llm.common import Rolling, cut, id_text, mix, runs, slices, utf8, words
-from kerbside.llm.labelled import FIT_ROWS, calibrated, calibration, sample
+from kerbside.llm.labelled import FIT_ROWS, calibration, sample
 
 FEATURES = 256
 RIDGE = 1e-3
@@ -116,7 +116,7 @@ class Model:
     def score(self, stats: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(stats), self.constant)
-        return calibrated(self.raw(stats), self.at, self.share)
+        return np.clip(np.interp(self.raw(stats), self.at, self.share), 0.0, 1.0)
 
 
 def mapped(standard: np.ndarray) -> np.ndarray:
@@ -180,7 +180,8 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "quality", row
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(model.raw(_matrix(batch.column("stats")))), batch.column("label")], ["raw", "label"])
 
-    model.at, model.share = calibration(cut(held.select("stats", "label").mapInArrow(raw, "raw double, label double")))
+    shares = calibration(cut(held.select("stats", "label").mapInArrow(raw, "raw double, label double")))
+    model.at, model.share = shares.boundaries.toArray(), shares.predictions.toArray()
     return model
 
 

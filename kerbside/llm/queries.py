@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, pii, quality, substrings, toxicity
+from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, packing, pii, quality, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,11 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.linked(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length bucket, batch and slot of every document."""
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
@@ -90,6 +95,7 @@ QUERIES = {
     "op2_pii": op2_pii,
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
+    "op5_packing": op5_packing,
     "op6_html_text": op6_html_text,
     "op7_neighbours": op7_neighbours,
     "op8_quality": op8_quality,

@@ -29,11 +29,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kerbside.llm.common import Rolling, by_bucket, id_text, mix, runs, utf8
+from kerbside.llm.common import Rolling, by_bucket, mix, runs, slices, text_column, utf8
 
 WINDOW = 100
 DIGIT = 24
@@ -269,19 +271,21 @@ def _cut(rolling: Rolling, pending: np.ndarray, chunk: int) -> dict[str, np.ndar
 
 
 def keyed(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, int]:
-    """(doc_id, doc, t, text) and the number of text bytes. `doc` ranks rows, without nulls; `t` tells
-    rows of one doc_id apart and is only computed where some doc_id is missing or repeated."""
-    rows = id_text(documents, id_col, text_col)
+    """(doc_id, doc, t, text, rest) and the number of text bytes. `doc` ranks rows, without nulls; `t`
+    tells rows of one doc_id apart and is only computed where some doc_id is missing or repeated;
+    `rest` is the whole row without its text."""
+    others = [F.col(f"`{c}`") for c in documents.columns if c != text_col]
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), text_column(text_col).alias("text"), F.struct(*others).alias("rest"))
     seen = rows.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
     most, missing, size = seen.agg(F.max("n"), F.max(F.col("doc_id").isNull()), F.sum("size")).first()
     apart = F.xxhash64("text") if missing or (most or 0) > 1 else F.lit(0).cast("long")
     doc = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    return rows.select("doc_id", doc.alias("doc"), apart.alias("t"), "text"), size or 0
+    return rows.select("doc_id", doc.alias("doc"), apart.alias("t"), "text", "rest"), size or 0
 
 
 def repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, doc, t, text, starts, sizes) of every row: the repeated windows, as first window and number of
-    windows in a row; they may touch. Null where nothing repeats."""
+    """(doc_id, doc, t, text, rest, starts, sizes) of every row: the repeated windows, as first window and
+    number of windows in a row; they may touch. Null where nothing repeats."""
     spark = documents.sparkSession
     rows, size = keyed(documents, id_col, text_col)
     buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
@@ -313,29 +317,46 @@ def _removed(starts: list[int], sizes: list[int]) -> list[tuple[int, int]]:
 
 
 def cut_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_bytes, removed array<struct<begin, end>>, kept binary): each text without its repeats."""
+    """(doc_id, n_bytes, removed array<struct<begin, end>>, kept binary, rest): each text without its
+    repeats; `rest` holds the other columns."""
+    rows = repeats(documents, id_col, text_col).select("doc_id", "text", "starts", "sizes", "rest")
+    kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = batch.schema.names
-            texts, starts, sizes = (batch.column(columns.index(c)) for c in ("text", "starts", "sizes"))
-            first = 0
-            while first < batch.num_rows:
-                lengths, spans, kept, total = [], [], [], 0
-                while first + len(kept) < batch.num_rows and (not kept or total < 4 * SEGMENT):
-                    k = first + len(kept)
-                    text = texts[k].as_py().encode("utf-8")
-                    removed = _removed(starts[k].as_py(), sizes[k].as_py()) if starts[k].is_valid else []
-                    edges = [0, *(x for span in removed for x in span), len(text)]
-                    kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
-                    spans.append([{"begin": a, "end": b} for a, b in removed])
-                    lengths.append(len(text))
-                    total += len(text)
-                ids = batch.column(columns.index("doc_id")).slice(first, len(kept))
-                kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
-                arrays = [ids, pa.array(lengths, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "removed", "kept"])
-                first += len(kept)
-
-    schema = "doc_id long, n_bytes long, removed array<struct<begin: long, end: long>>, kept binary"
-    return repeats(documents, id_col, text_col).mapInArrow(run, schema)
+        for batch in slices(batches, size=4 * SEGMENT):
+            lengths, spans, kept = [], [], []
+            for text, starts, sizes in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "sizes")), strict=True):
+                raw = text.encode("utf-8")
+                removed = _removed(starts, sizes) if starts is not None else []
+                edges = [0, *(x for span in removed for x in span), len(raw)]
+                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                spans.append([{"begin": a, "end": b} for a, b in removed])
+                lengths.append(len(raw))
+            arrays = [batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()), batch.column("rest")]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "removed", "kept", "rest"])
+
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", T.LongType()),
+            T.StructField("n_bytes", T.LongType()),
+            T.StructField("removed", T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))),
+            T.StructField("kept", T.BinaryType()),
+            rows.schema["rest"],
+        ]
+    )
+    return rows.mapInArrow(run, schema)
+
+
+def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows with repeats cut from their texts. A character that is cut in two goes as a whole; a null
+    text stays null, and a text that is nothing but repeats becomes empty."""
+    rows = cut_repeats(documents.withColumn(_NULL, F.col(text_col).isNull()), id_col, text_col)
+    text = F.when(F.col(f"rest.{_NULL}"), None).when(F.size("removed") == 0, F.col("kept").cast("string")).otherwise(F.pandas_udf(_whole, "string")("kept"))
+    return rows.select(*(text.alias(c) if c == text_col else F.col(f"rest.`{c}`") for c in documents.columns))
+
+
+_NULL = "text was null"
+
+
+def _whole(kept: pd.Series) -> pd.Series:
+    return kept.map(lambda raw: raw.decode("utf-8", "ignore"))

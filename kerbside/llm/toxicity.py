@@ -22,11 +22,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import IsotonicRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.llm.common import Rolling, cut, id_text, mix, runs, slices, utf8, words
-from kerbside.llm.labelled import FIT_ROWS, calibrated, calibration, sample
+from kerbside.llm.common import Rolling, cut, id_text, mix, runs, slices, text_column, utf8, words
+from kerbside.llm.labelled import FIT_ROWS, calibration, sample
 from kerbside.session import ensure_checkpoint_dir
 
 #: Insults of common use, and pronouns of the second person.
@@ -212,8 +213,7 @@ def learn(known: DataFrame) -> Lexicon:
 class Model:
     lexicon: Lexicon | None = None
     trees: GBTClassificationModel | None = None
-    at: np.ndarray | None = None
-    share: np.ndarray | None = None
+    shares: IsotonicRegressionModel | None = None
     constant: float | None = None
 
 
@@ -245,8 +245,7 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "toxic", rows:
     trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.2, seed=SEED, minInstancesPerNode=3)
     trees = trees.fit(numbers.filter("NOT calibrates") if mixed else numbers)
     held = numbers.filter("calibrates") if True in seen and mixed else numbers
-    at, share = calibration(cut(_raw(held, trees).select("raw", "label")))
-    return Model(lexicon, trees, at, share)
+    return Model(lexicon, trees, calibration(cut(_raw(held, trees).select("raw", "label"))))
 
 
 def _raw(frame: DataFrame, trees: GBTClassificationModel) -> DataFrame:
@@ -258,12 +257,17 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
     rows = id_text(documents, id_col, text_col)
     if model.constant is not None:
         return rows.select("doc_id", F.lit(float(model.constant)).alias("score"))
+    return _scored(rows, model).select("doc_id", "score")
+
+
+def _scored(rows: DataFrame, model: Model) -> DataFrame:
     raw = _raw(_featured(rows, model.lexicon).withColumn("features", array_to_vector("numbers")), model.trees)
-    at, share = model.at, model.share
+    return model.shares.transform(raw).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "share")))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = calibrated(batch.column("raw").to_numpy(), at, share)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
-    return raw.select("doc_id", "raw").mapInArrow(run, "doc_id long, score double")
+def clean(documents: DataFrame, model: Model, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
+    """The rows whose score is below the threshold, all columns as they are."""
+    if model.constant is not None:
+        return documents if model.constant < threshold else documents.limit(0)
+    rows = documents.select(F.struct("*").alias("row"), text_column(text_col).alias("text"))
+    return _scored(rows, model).filter(F.col("score") < threshold).select("row.*")

@@ -20,7 +20,6 @@ from kerbside.session import ensure_checkpoint_dir
 SLICE = 2 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
 #: A random 64-bit value for each byte; the seed is part of every stored hash.
 _TABLE = np.random.default_rng(20240229).integers(0, 2**64, 256, dtype=np.uint64)
 _WHITE = np.zeros(256, bool)
@@ -52,16 +51,18 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def _power(which: str, n: int) -> np.ndarray:
-    """The first n powers of the base or of its inverse modulo 2^64."""
+    """The first n powers of the base or of its inverse modulo 2^64; kept for buffers of usual size."""
     have = _powers.get(which)
     if have is None or len(have) < n:
         base = _BASE if which == "base" else pow(_BASE, -1, 1 << 64)
-        have, size = np.ones(1, np.uint64), 1
-        while size < n:
-            have = np.concatenate([have, have * np.uint64(pow(base, size, 1 << 64))])
-            size *= 2
-        _powers[which] = have
-    return _powers[which][:n]
+        have, size = np.ones(max(n, SLICE + 1), np.uint64), 1
+        while size < len(have):
+            more = min(size, len(have) - size)
+            np.multiply(have[:more], np.uint64(pow(base, size, 1 << 64)), out=have[size : size + more])
+            size += more
+        if n <= 2 * SLICE:
+            _powers[which] = have
+    return have[:n]
 
 
 class Rolling:
@@ -194,8 +195,8 @@ def in_blocks(rows: DataFrame, key: str, blocks: int) -> DataFrame:
     The bounds are quantiles; they are all that passes through the driver.
     """
     shares = [k / blocks for k in range(1, blocks)] or [0.5]
-    bounds = rows.agg(F.percentile_approx(key, shares, max(10_000, 20 * blocks))).first()[0] or []
-    splits = [float("-inf"), *sorted({float(b) for b in bounds}), float("inf")]
+    bounds = rows.agg(F.percentile_approx(key, shares, max(10_000, 20 * blocks))).first()[0]
+    splits = [float("-inf"), *sorted({float(b) for b in bounds or [0]}), float("inf")]
     placed = rows.withColumn("place", F.col(key).cast("double"))
     placed = Bucketizer(splits=splits, inputCol="place", outputCol="block").transform(placed)
     return placed.withColumn("block", F.col("block").cast("int")).drop("place")

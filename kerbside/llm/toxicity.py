@@ -176,27 +176,42 @@ def features(buffer: np.ndarray, offsets: np.ndarray, lexicon: Lexicon) -> np.nd
     return np.stack(columns, axis=1)
 
 
+def _added(units: np.ndarray, *counts: np.ndarray) -> list[np.ndarray]:
+    """Each unit once, with the sums of its counts."""
+    order = np.argsort(units, kind="stable")
+    begin = np.flatnonzero(runs(units[order]))
+    return [units[order][begin], *(np.add.reduceat(c[order], begin) for c in counts)]
+
+
 def learn(known: DataFrame) -> Lexicon:
     """Units of the labelled rows (label, text) that mark toxic texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """How many texts of each label hold a unit, over the task's rows."""
-        for batch in slices(batches, size=16 << 20):
+        """How many texts of each label hold a unit, added up over about a million units at a time."""
+        held, size = [], 0
+        for batch in slices(batches):
             buffer, offsets = utf8(batch.column("text"))
-            label = batch.column("label").to_numpy().astype(bool)
+            label = batch.column("label").to_numpy().astype(np.int64)
             start, end, row = _letter_runs(buffer, offsets)
             if not len(start):
                 continue
             rows, units = zip(*((row[which], hashed) for which, hashed in _units(Rolling(_folded(buffer)), start, end)), strict=True)
             rows, units = np.concatenate(rows), np.concatenate(units)
             order = np.lexsort((rows, units))
-            rows, units = rows[order], units[order]
-            first = runs(units, rows)
-            rows, units = rows[first], units[first]
-            begin = np.flatnonzero(runs(units))
-            toxic = np.add.reduceat(label[rows].astype(np.int64), begin)
-            every = np.diff(np.append(begin, len(units)))
-            yield pa.RecordBatch.from_arrays([pa.array(units[begin].view(np.int64)), pa.array(toxic), pa.array(every - toxic)], ["unit", "toxic", "clean"])
+            once = order[runs(units[order], rows[order])]
+            held.append(_added(units[once], label[rows[once]], 1 - label[rows[once]]))
+            size += len(held[-1][0])
+            if size > 1_000_000:
+                held = [_added(*(np.concatenate(c) for c in zip(*held, strict=True)))]
+                if len(held[0][0]) > 500_000:
+                    yield packed(held.pop())
+                size = sum(len(h[0]) for h in held)
+        if held:
+            yield packed(_added(*(np.concatenate(c) for c in zip(*held, strict=True))))
+
+    def packed(sums: list[np.ndarray]) -> pa.RecordBatch:
+        units, toxic, clean = sums
+        return pa.RecordBatch.from_arrays([pa.array(units.view(np.int64)), pa.array(toxic), pa.array(clean)], ["unit", "toxic", "clean"])
 
     sizes = known.agg(F.sum("label"), F.count("*")).first()
     toxic, clean = sizes[0] or 0, sizes[1] - (sizes[0] or 0)

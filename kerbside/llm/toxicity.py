@@ -94,7 +94,10 @@ def _respelled(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, lis
     letter = _LETTER[buffer]
     odd = np.zeros(len(buffer), bool)
     if len(buffer) > 2:
-        between = _BETWEEN[buffer[1:-1]] & letter[:-2] & letter[2:]
+        sign = _BETWEEN[buffer]
+        behind = letter[2:].copy()  # a letter after the sign, or after one more
+        behind[:-1] |= sign[2:-1] & letter[3:]
+        between = sign[1:-1] & letter[:-2] & behind
         tripled = letter[1:-1] & (buffer[1:-1] == buffer[:-2]) & (buffer[1:-1] == buffer[2:]) & (buffer[1:-1] < 128)
         odd[1:-1] = between | tripled
     start, end, row = words(buffer, offsets)

@@ -16,6 +16,8 @@ RECORD = (
 USED_RECORD = "kinesis STRUCT<partitionKey STRING, data STRING, approximateArrivalTimestamp DOUBLE>, eventID STRING"
 USED_ENVELOPE = f"Records ARRAY<STRUCT<{USED_RECORD}>>"
 ENVELOPE = f"Records ARRAY<STRUCT<{RECORD}>>"
+# Where JSON readers leave a line that is no JSON, or is cut off.
+CORRUPT = "_corrupt"
 PREDICTION_EVENT = "model STRING, version STRING, prediction STRUCT<ride_duration DOUBLE, ride_id BIGINT>"
 
 # Fixed value: the model name consumers of the prediction events look for.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 MIN_MINUTES = 1
 MAX_MINUTES = 60
 UNKNOWN_ZONE = -1
+ZONE_COLUMNS = ("PULocationID", "DOLocationID")
 
 
 def as_timestamp(c: Column | str) -> Column:
@@ -66,11 +67,11 @@ def zone_code(c: Column | str) -> Column:
 
 
 def zone_text(c: Column | str) -> Column:
-    """Zone printed as it is stored (`1.0` for a double), missing as `nan`.
+    """Zone printed as it is stored (`1.0` for a double, `1` for an integer), missing as `nan`.
 
     Kept for comparisons with tables made that way; models use `zone_code`.
     """
-    return F.coalesce(F.nanvl(_col(c).cast("double"), F.lit(None).cast("double")).cast("string"), F.lit("nan"))
+    return F.when(is_missing(c), "nan").otherwise(_col(c).cast("string"))
 
 
 def pair_key(pickup_zone: Column | str, dropoff_zone: Column | str) -> Column:

@@ -18,7 +18,8 @@ from kerbside.functions.columns import ride_id
 from kerbside.sources.trips import SOURCE_FILE, SOURCE_ROW
 
 BLOCK = 1 << 17
-MONTH = ("year", "month")
+# The rows that are numbered together: months of two colours are different files.
+MONTH = ("color", "year", "month")
 # Offsets are one row per file. Up to this many (some 20 MB of paths) go to every executor, so the
 # trips stay where they were read.
 MAX_BROADCAST_FILES = 100_000
@@ -27,13 +28,16 @@ MAX_BROADCAST_FILES = 100_000
 def source_ride_ids(trips: DataFrame, all_trips: DataFrame | None = None) -> DataFrame:
     """Id from the position of the row in its month, counted before any filter.
 
-    For months of one file this is a projection. For months of several files pass the unfiltered
-    scan as `all_trips`: the count then continues from file to file, in name order.
+    For a single file this is a projection. For months of several files pass the unfiltered scan as
+    `all_trips`: the count then continues from file to file, in name order.
     """
-    if all_trips is None:
+    files = (trips if all_trips is None else all_trips).inputFiles()
+    if all_trips is None and len(files) > 1:
+        raise ValueError("positions restart in every file: pass the unfiltered scan as all_trips")
+    if len(files) <= 1:
         return trips.withColumn("ride_id", ride_id("year", "month", SOURCE_ROW))
     offsets = _file_offsets(all_trips.groupBy(*MONTH, SOURCE_FILE).agg(F.count(F.lit(1)).alias("rows")))
-    if len(all_trips.inputFiles()) <= MAX_BROADCAST_FILES:
+    if len(files) <= MAX_BROADCAST_FILES:
         offsets = F.broadcast(offsets)
     position = F.col("file_offset") + F.col(SOURCE_ROW)
     joined = trips.join(offsets, [*MONTH, SOURCE_FILE])

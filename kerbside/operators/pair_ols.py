@@ -36,27 +36,27 @@ def fit(rows: DataFrame, keys: Sequence[str], number: str | None, label: str = "
 
     Without a number, or with one that never varies inside a category, the slope is 0. Missing
     numbers fail; sums would skip them without a word.
+
+    Means come first and deviations from them second: a difference of large sums would leave rounding
+    noise where there is no variation. The second pass joins one row per category, without a shuffle
+    of the rows while the categories are few.
     """
     w, x, y = F.col(weight), required(number) if number else F.lit(0.0), F.col(label)
-    # Minutes and miles are small numbers, so sums of their products lose no digits that matter.
-    groups = rows.groupBy(*keys).agg(
-        F.sum(w).alias("w"),
-        (F.sum(w * x) / F.sum(w)).alias("mean_x"),
-        (F.sum(w * y) / F.sum(w)).alias("mean_y"),
-        F.sum(w * x * x).alias("xx"),
-        F.sum(w * x * y).alias("xy"),
-    )
+    mean_x = F.sum(w * x) / F.sum(w)
+    if number:
+        # Exact where the number is the same throughout: a weighted mean of 0.1 may not be 0.1.
+        mean_x = F.when(F.min(x) == F.max(x), F.min(x)).otherwise(mean_x)
+    groups = rows.groupBy(*keys).agg(mean_x.alias("mean_x"), (F.sum(w * y) / F.sum(w)).alias("mean_y"))
     # One row per category, read for the slope now and for the effects later.
     groups = groups.persist(StorageLevel.MEMORY_AND_DISK)
-    within = groups.agg(
-        F.sum(F.col("xy") - F.col("w") * F.col("mean_x") * F.col("mean_y")).alias("sxy"),
-        F.sum(F.col("xx") - F.col("w") * F.col("mean_x") * F.col("mean_x")).alias("sxx"),
-        F.avg("mean_x").alias("mx"),
-        F.avg("mean_y").alias("my"),
-    ).first()
-    slope = within["sxy"] / within["sxx"] if within["sxx"] else 0.0
+    means = groups.agg(F.avg("mean_x").alias("mx"), F.avg("mean_y").alias("my")).first()
+    slope = 0.0
+    if number:
+        dx, dy = x - F.col("mean_x"), y - F.col("mean_y")
+        within = rows.join(groups, list(keys)).agg(F.sum(w * dx * dx).alias("sxx"), F.sum(w * dx * dy).alias("sxy")).first()
+        slope = within["sxy"] / within["sxx"] if within["sxx"] else 0.0
     effects = groups.select(*keys, (F.col("mean_y") - F.lit(slope) * F.col("mean_x")).alias("effect"))
-    return PairOls(effects, slope, within["my"] - slope * within["mx"], list(keys), number, groups)
+    return PairOls(effects, slope, means["my"] - slope * means["mx"] if means["my"] is not None else 0.0, list(keys), number, groups)
 
 
 def predict(model: PairOls, rows: DataFrame) -> DataFrame:

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import as_timestamp, duration_minutes, month_split, trip_in_bounds, trip_interval, zone_code
+from kerbside.functions.columns import ZONE_COLUMNS, as_timestamp, duration_minutes, month_split, trip_in_bounds, trip_interval, zone_code
 from kerbside.sources.trips import TIME_COLUMNS
 
-ZONE_COLUMNS = ("PULocationID", "DOLocationID")
 
 
 def with_interval(trips: DataFrame, pickup: str = "pickup_datetime", dropoff: str = "dropoff_datetime") -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kerbside.functions.codec import CORRUPT
+from kerbside.functions.columns import is_missing
 from kerbside.operators.numbering import dense_ride_ids, source_ride_ids
 from kerbside.operators.prepare import drop_outliers
 from kerbside.operators.train import predict
@@ -18,7 +23,7 @@ def score_trips(model, trips: DataFrame, numbering: str = "source") -> DataFrame
     kept = drop_outliers(trips)
     if numbering not in ("source", "dense"):
         raise ValueError(f"unknown numbering {numbering!r}; known: source, dense")
-    numbered = source_ride_ids(kept) if numbering == "source" else dense_ride_ids(kept)
+    numbered = source_ride_ids(kept, trips) if numbering == "source" else dense_ride_ids(kept)
     return result_columns(predict(model, numbered))
 
 
@@ -32,12 +37,27 @@ def result_columns(scored: DataFrame) -> DataFrame:
     )
 
 
+def request_reason(model, requests: DataFrame) -> Column:
+    """Why a request cannot be answered, judged as stream records are; null when it can."""
+    numbers = model.spec.numerical if hasattr(model, "spec") else ()
+    missing = reduce(or_, [is_missing(n) for n in numbers], F.lit(False))
+    reason = F.when(missing, "input missing")
+    return F.when(F.col(CORRUPT).isNotNull(), "no JSON").otherwise(reason) if CORRUPT in requests.columns else reason
+
+
 def score_requests(model, requests: DataFrame, run_id: str | None = None) -> DataFrame:
-    """A table (or stream) of single rides to responses: the request, its duration, the model."""
-    scored = predict(model, requests).withColumnRenamed("prediction", "duration")
+    """A table (or stream) of single rides to responses: the request, its duration, the model. Requests
+    that cannot be answered are left to `request_rejects`."""
+    usable = requests.filter(request_reason(model, requests).isNull()).drop(CORRUPT)
+    scored = predict(model, usable).withColumnRenamed("prediction", "duration")
     return scored.withColumn("model_version", F.lit(run_id).cast("string"))
 
 
+def request_rejects(model, requests: DataFrame) -> DataFrame:
+    """The other requests, with the reason."""
+    return requests.withColumn("reason", request_reason(model, requests)).filter("reason IS NOT NULL")
+
+
 def write_predictions(predictions: DataFrame, path: str, compression: str = "uncompressed") -> None:
     """Overwrite exactly the months present; a re-run replaces its own output only.
 

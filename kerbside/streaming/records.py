@@ -9,7 +9,8 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.functions.codec import RIDE, USED_ENVELOPE, encode_event, event_json, parse_event, payload_text, prediction_event
+from kerbside.functions.codec import CORRUPT, RIDE, USED_ENVELOPE, encode_event, event_json, parse_event, payload_text, prediction_event
+from kerbside.functions.columns import ZONE_COLUMNS
 
 
 def read_envelopes(
@@ -17,10 +18,15 @@ def read_envelopes(
 ) -> DataFrame:
     """Envelopes from a folder of JSON lines. A stream replays the folder from its first file.
 
-    `schema` may be the full ENVELOPE; by default only the fields that scoring uses are parsed.
+    `schema` may be the full ENVELOPE; by default only the fields that scoring uses are parsed. Lines
+    that cannot be read are kept as text for the quarantine.
     """
+    return _json_lines(spark, schema, streaming).options(**options).json(path)
+
+
+def _json_lines(spark: SparkSession, schema: str, streaming: bool):
     reader = spark.readStream if streaming else spark.read
-    return reader.schema(schema).options(**options).json(path)
+    return reader.schema(f"{schema}, {CORRUPT} STRING").option("columnNameOfCorruptRecord", CORRUPT)
 
 
 def read_topic(spark: SparkSession, options: Mapping[str, str], streaming: bool = True) -> DataFrame:
@@ -43,22 +49,27 @@ def read_topic(spark: SparkSession, options: Mapping[str, str], streaming: bool
 
 
 def read_requests(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """Single rides as JSON lines."""
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(RIDE).json(path)
+    """Single rides as JSON lines; lines that cannot be read are kept as text."""
+    return _json_lines(spark, RIDE, streaming).json(path)
 
 
 def explode_records(envelopes: DataFrame) -> DataFrame:
-    return envelopes.selectExpr("inline(Records)")
+    """One row per record, and one for each line that holds no envelope: `broken`, with the line if known."""
+    line = F.col(CORRUPT) if CORRUPT in envelopes.columns else F.lit(None).cast("string")
+    broken = line.isNotNull() | F.col("Records").isNull()
+    nothing = F.array(F.lit(None).cast(envelopes.schema["Records"].dataType.elementType))
+    delivered = F.explode(F.when(broken, nothing).otherwise(F.col("Records"))).alias("record")
+    return envelopes.select(delivered, broken.alias("broken"), line.alias("line")).select("record.*", "broken", "line")
 
 
 def decode(envelopes: DataFrame) -> DataFrame:
-    """One row per record: payload text and the parsed event."""
+    """One row per record (or broken envelope): payload text and the parsed event."""
     records = explode_records(envelopes).select(
+        "broken",
         F.col("eventID").alias("event_id"),
         F.col("kinesis.partitionKey").alias("partition_key"),
         F.timestamp_seconds("kinesis.approximateArrivalTimestamp").alias("arrival"),
-        F.col("kinesis.data").alias("data"),
+        F.coalesce("kinesis.data", "line").alias("data"),
     )
     return records.withColumn("payload", payload_text(F.col("data"))).withColumn("event", parse_event(F.col("payload")))
 
@@ -66,11 +77,13 @@ def decode(envelopes: DataFrame) -> DataFrame:
 def reject_reason(inputs: list[str]):
     """Why a record cannot be scored; null when it can.
 
-    A usable record parses to a ride with an id and all inputs of the model.
+    A usable record parses to a ride with an id and all numbers the model takes. A missing zone is no
+    fault: it is the unknown zone, as in batch scoring and requests.
     """
-    missing = [F.col(f"event.ride.{name}").isNull() for name in inputs]
+    missing = [F.col(f"event.ride.{name}").isNull() for name in inputs if name not in ZONE_COLUMNS]
     return (
-        F.when(F.col("payload").isNull(), "not base64")
+        F.when(F.col("broken"), "no envelope")
+        .when(F.col("payload").isNull(), "not base64")
         .when(F.col("event.ride").isNull(), "no ride")
         .when(F.col("event.ride_id").isNull(), "no ride id")
         .when(reduce(or_, missing, F.lit(False)), "input missing")

@@ -109,3 +109,21 @@ def test_empty_month(spark, base, trained):
     model = models.load(spark, models.model_location(run_id, root, experiment="trip-duration"))
     none = read_month(spark, base, "green", 2023, 1).filter("false")
     assert score.summary(score.score_trips(model, none)).first().n == 0
+
+
+def test_ids_of_two_colours_and_several_files(spark, base, trained, tmp_path):
+    """A month of three files, scored with another colour or alone: the same ids, each once."""
+    root, run_id = trained
+    path = models.model_location(run_id, root, experiment="trip-duration")
+    for color in ("green", "yellow"):
+        rows = spark.read.parquet(month_path("green", 2023, 1, base)).orderBy("lpep_pickup_datetime")
+        names = {f"lpep_{x}": f"tpep_{x}" for x in ("pickup_datetime", "dropoff_datetime")} if color == "yellow" else {}
+        rows.withColumnsRenamed(names).repartitionByRange(3, rows.columns[1]).write.parquet(month_path(color, 2023, 1, str(tmp_path / "in")))
+    ids = {}
+    for colors in (("green",), ("yellow",), ("green", "yellow")):
+        out = str(tmp_path / "-".join(colors))
+        batch.score_months(spark, str(tmp_path / "in"), [(c, 2023, 1) for c in colors], path, out)
+        written = score.read_predictions(spark, out).collect()
+        ids[colors] = {c: sorted(r.ride_id for r in written if r.taxi_type == c) for c in colors}
+        assert all(len(set(x)) == len(x) == 116 for x in ids[colors].values())
+    assert ids["green", "yellow"] == {**ids["green",], **ids["yellow",]}

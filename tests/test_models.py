@@ -216,3 +216,20 @@ def test_search_and_register(spark, rides, tmp_path):
     assert champion.score == min(r.metrics["test_rmse"] for r in runs.filter("experiment = 'best'").collect())
     again = models.load(spark, models.model_location(champion.run_id, str(tmp_path), experiment="best"))
     assert models.metrics(again, cells)["test_rmse"] == pytest.approx(champion.score)
+
+
+@pytest.mark.parametrize("distance", [0.1, 1.1, 3.66, 2.0])
+def test_pair_ols_finds_no_slope_where_nothing_varies(spark, distance):
+    rows = trips(spark, [trip(m, m % 3, 1, distance + m % 3) for m in range(5, 40)])
+    for cells in (collapse(rows, PAIR_DISTANCE), uncollapsed(rows, PAIR_DISTANCE)):
+        assert pair_ols.fit(cells, ["PULocationID", "DOLocationID"], "trip_distance", LABEL, WEIGHT).slope == 0.0
+
+
+def test_pair_ols_keeps_digits_next_to_outliers(spark):
+    rows = trips(spark, [trip(5 + k % 7 + 0.25 * (k % 4), k % 2, 1, (k % 2) * 1e5 + k % 4 / 100) for k in range(56)])
+    model = pair_ols.fit(uncollapsed(rows, PAIR_DISTANCE), ["PULocationID", "DOLocationID"], "trip_distance", LABEL, WEIGHT)
+    table = rows.collect()
+    x, y = np.array([r.trip_distance for r in table]), np.array([r.duration for r in table])
+    zone = np.array([r.PULocationID for r in table])
+    dx, dy = (v - np.array([v[zone == z].mean() for z in zone]) for v in (x, y))
+    assert model.slope == pytest.approx((dx @ dy) / (dx @ dx), rel=1e-9)

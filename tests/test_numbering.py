@@ -15,10 +15,10 @@ def month_files(spark, tmp_path):
             rows = []
             for r in range(size):
                 keep = (r * 7 + i) % 3 != 0
-                rows.append((2023, month, keep, f"2023/{month:02d}_{position}", f"2023/{month:02d}_{dense}"))
+                rows.append(("green", 2023, month, keep, f"2023/{month:02d}_{position}", f"2023/{month:02d}_{dense}"))
                 position += 1
                 dense += keep
-            schema = "year INT, month INT, keep BOOLEAN, by_source STRING, by_rank STRING"
+            schema = "color STRING, year INT, month INT, keep BOOLEAN, by_source STRING, by_rank STRING"
             spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/m{month}/{i}.parquet")
             expected += rows
     return with_position(spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path))), expected
@@ -29,12 +29,16 @@ def test_source_ids_continue_over_files(month_files):
     kept = table.filter("keep")
     done = source_ride_ids(kept, table)
     assert done.filter("ride_id != by_source").count() == 0
-    assert done.count() == sum(r[2] for r in expected)
+    assert done.count() == sum(r[3] for r in expected)
 
 
-def test_source_ids_of_single_files_need_no_shuffle(month_files):
-    table, _ = month_files
-    done = source_ride_ids(table.filter("keep and month = 2"))
+def test_positions_in_several_files_need_the_scan(month_files):
+    with pytest.raises(ValueError, match="all_trips"):
+        source_ride_ids(month_files[0])
+
+
+def test_source_ids_of_single_files_need_no_shuffle(spark, month_files, tmp_path):
+    done = source_ride_ids(with_position(spark.read.parquet(f"{tmp_path}/m2/0.parquet")).filter("keep"))
     assert done.filter("ride_id != by_source").count() == 0
     assert "Exchange" not in done._jdf.queryExecution().executedPlan().toString()
 
@@ -44,4 +48,4 @@ def test_dense_ids(month_files, block):
     table, expected = month_files
     done = dense_ride_ids(table.filter("keep"), block)
     assert done.filter("ride_id != by_rank").count() == 0
-    assert done.select(F.countDistinct("ride_id")).first()[0] == sum(r[2] for r in expected)
+    assert done.select(F.countDistinct("ride_id")).first()[0] == sum(r[3] for r in expected)

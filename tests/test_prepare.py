@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from helpers import RAW, at, trip, trips
+from helpers import YELLOW_TIMES, raw_rides, trip, trips
 from kerbside.functions import columns as c
 from kerbside.operators import prepare, profile
 from kerbside.sources import trips as source
@@ -15,16 +15,21 @@ NAN = float("nan")
 
 
 def test_raw_fixture_rows(spark):
-    rows = [
-        (None, None, at(1, 1), at(1, 10)),
-        (1.0, 1.0, at(1, 2), at(1, 10)),
-        (1.0, None, at(1, 2, 0), at(1, 2, 59)),
-        (3.0, 4.0, at(1, 2, 0), at(2, 2, 1)),
-    ]
-    done = prepare.prepare_raw(spark.createDataFrame(rows, RAW), "yellow")
-    assert [tuple(r) for r in done.collect()] == [
-        ("-1", "-1", at(1, 1), at(1, 10), 9.0),
-        ("1", "1", at(1, 2), at(1, 10), 8.0),
+    # The rows and results every implementation of this preparation must agree on.
+    done = prepare.prepare_raw(
+        raw_rides(
+            spark,
+            (None, None, "2023-01-01 01:01:00", "2023-01-01 01:10:00"),
+            (1.0, 1.0, "2023-01-01 01:02:00", "2023-01-01 01:10:00"),
+            (1.0, None, "2023-01-01 01:02:00", "2023-01-01 01:02:59"),
+            (3.0, 4.0, "2023-01-01 01:02:00", "2023-01-01 02:02:01"),
+        ),
+        "yellow",
+    )
+    printed = done.withColumns({t: F.col(t).cast("string") for t in YELLOW_TIMES})
+    assert [tuple(r) for r in printed.collect()] == [
+        ("-1", "-1", "2023-01-01 01:01:00", "2023-01-01 01:10:00", 9.0),
+        ("1", "1", "2023-01-01 01:02:00", "2023-01-01 01:10:00", 8.0),
     ]
     assert dict(done.dtypes) == {
         "PULocationID": "string",
@@ -36,19 +41,20 @@ def test_raw_fixture_rows(spark):
 
 
 def test_bounds_are_inclusive_and_missing_times_are_dropped(spark):
-    rows = [
-        (1.0, 1.0, at(1, 0), at(1, 1)),
-        (2.0, 1.0, at(1, 0), at(2, 0)),
-        (3.0, 1.0, at(1, 0), None),
-        (4.0, 1.0, None, at(1, 5)),
-        (NAN, 1.0, at(1, 0), at(1, 30)),
-    ]
-    done = prepare.prepare_raw(spark.createDataFrame(rows, RAW), "yellow").collect()
+    raw = raw_rides(
+        spark,
+        (1.0, 1.0, "2023-03-05 10:00:00", "2023-03-05 10:01:00"),
+        (2.0, 1.0, "2023-03-05 10:00:00", "2023-03-05 11:00:00"),
+        (3.0, 1.0, "2023-03-05 10:00:00", None),
+        (4.0, 1.0, None, "2023-03-05 10:05:00"),
+        (NAN, 1.0, "2023-03-05 10:00:00", "2023-03-05 10:30:00"),
+    )
+    done = prepare.prepare_raw(raw, "yellow").collect()
     assert [(r.PULocationID, r.duration) for r in done] == [("1", 1.0), ("2", 60.0), ("-1", 30.0)]
 
 
 def test_unknown_colour(spark):
-    raw = spark.createDataFrame([], RAW)
+    raw = raw_rides(spark)
     for f in (prepare.prepare_raw, source.canonical):
         with pytest.raises(ValueError, match="colour"):
             f(raw, "purple")
@@ -121,9 +127,9 @@ def test_text_times_are_parsed(spark):
 
 def test_months_with_different_zone_types(spark, tmp_path):
     """Zones may be stored as integers in one month and as doubles with NaN in the next."""
-    times = "lpep_pickup_datetime TIMESTAMP_NTZ, lpep_dropoff_datetime TIMESTAMP_NTZ"
-    ints = spark.createDataFrame([(1, 2, at(1, 0), at(1, 5))], f"PULocationID INT, DOLocationID INT, {times}")
-    doubles = spark.createDataFrame([(NAN, 3.0, at(2, 0), at(2, 5))], f"PULocationID DOUBLE, DOLocationID DOUBLE, {times}")
+    times = ("lpep_pickup_datetime", "lpep_dropoff_datetime")
+    ints = raw_rides(spark, (1, 2, "2022-12-09 01:00:00", "2022-12-09 01:05:00"), zones="INT", times=times)
+    doubles = raw_rides(spark, (NAN, 3.0, "2023-01-09 02:00:00", "2023-01-09 02:05:00"), times=times)
     for month, table in ((12, ints), (1, doubles)):
         year = 2022 if month == 12 else 2023
         table.coalesce(1).write.parquet(source.month_path("green", year, month, str(tmp_path)))

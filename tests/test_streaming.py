@@ -7,10 +7,10 @@ from helpers import random_rides, trips
 from kerbside.operators import train as models
 from kerbside.operators.cells import collapse
 from kerbside.operators.encode import PAIR_DISTANCE
-from kerbside.operators.score import score_requests
+from kerbside.operators.score import request_rejects, score_requests
 from kerbside.streaming import records, service, sinks
 
-EVENT = {"ride": {"PULocationID": 130, "DOLocationID": 205, "trip_distance": 3.66}, "ride_id": 156}
+EVENT = {"ride": {"PULocationID": 17, "DOLocationID": 88, "trip_distance": 2.25}, "ride_id": 4711}
 
 
 def b64(value):
@@ -25,7 +25,7 @@ def record(data, i=0):
             "partitionKey": str(i),
             "sequenceNumber": str(i).zfill(8),
             "data": data,
-            "approximateArrivalTimestamp": 1654161514.132 + i,
+            "approximateArrivalTimestamp": 1700000000.132 + i,
         },
         "eventSource": "aws:kinesis",
         "eventID": f"shard-0:{i}",
@@ -49,23 +49,23 @@ def test_minimal_envelope_with_a_constant_model(spark, tmp_path):
     path = write(tmp_path / "in", {"Records": [{"kinesis": {"data": b64(EVENT)}}]})
     table = records.read_envelopes(spark, path, streaming=False)
     events = service.prediction_events(models.constant_model(10.0), table, "test1")
-    expected = {"model": "ride_duration_prediction_model", "version": "test1", "prediction": {"ride_duration": 10.0, "ride_id": 156}}
+    expected = {"model": "ride_duration_prediction_model", "version": "test1", "prediction": {"ride_duration": 10.0, "ride_id": 4711}}
     assert [r.asDict(recursive=True) for r in events.collect()] == [expected]
     message = records.messages(events).first()
-    assert message.key == "156" and json.loads(message.value) == expected
+    assert message.key == "4711" and json.loads(message.value) == expected
     unversioned = records.messages(service.prediction_events(models.constant_model(10.0), table, None)).first()
     assert json.loads(unversioned.value) == {**expected, "version": None}
 
 
 def test_bad_records_are_set_aside(spark, tmp_path):
-    ride = {"PULocationID": 1, "DOLocationID": None, "trip_distance": 1.0}
+    ride = {"PULocationID": 1, "DOLocationID": 3, "trip_distance": None}
     bad = ["!!bad", b64("no json"), b64({"ride_id": 3}), b64({"ride": EVENT["ride"]}), b64({"ride": ride, "ride_id": 5}), None]
     path = write(tmp_path / "in", {"Records": [record(d, i) for i, d in enumerate([*bad, b64(EVENT)])]})
     decoded = records.decode(records.read_envelopes(spark, path, streaming=False))
     inputs = PAIR_DISTANCE.inputs
     found = {r.event_id: r.reason for r in records.rejects(decoded, inputs).collect()}
     assert list(found.values()) == ["not base64", "no ride", "no ride", "no ride id", "input missing", "not base64"]
-    assert [r.ride_id for r in records.rides(decoded, inputs).collect()] == [156]
+    assert [r.ride_id for r in records.rides(decoded, inputs).collect()] == [4711]
 
 
 @pytest.fixture(scope="module")
@@ -131,7 +131,7 @@ def test_dry_run_keeps_events_in_memory(spark, model, tmp_path):
     query = service.dry_run(model, records.read_envelopes(spark, path), "v", "dry")
     query.awaitTermination()
     row = spark.table("dry").first()
-    assert row.prediction.ride_id == 156 and row.prediction.ride_duration > 0
+    assert row.prediction.ride_id == 4711 and row.prediction.ride_duration > 0
 
 
 def test_single_requests(spark, model, tmp_path):
@@ -154,3 +154,36 @@ def test_pack_is_bounded_and_inverse_to_decode(spark):
     assert sorted((r.ride_id, r.PULocationID, r.DOLocationID, r.trip_distance) for r in rides.collect()) == sorted(
         (r.id, r.PULocationID, r.DOLocationID, r.trip_distance) for r in table.collect()
     )
+
+
+def test_cut_off_lines_go_to_quarantine(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    good = json.dumps({"Records": [record(b64(EVENT), 1)]})
+    (folder / "0.json").write_text("\n".join([good, good[:90], "no json at all", "{}", json.dumps({"Records": []}), json.dumps({"Records": None})]))
+    decoded = records.decode(records.read_envelopes(spark, str(folder), streaming=False))
+    held = records.rejects(decoded, PAIR_DISTANCE.inputs).collect()
+    assert [r.reason for r in held] == ["no envelope"] * 4
+    assert {r.data for r in held} == {good[:90], "no json at all", None}
+    assert records.rides(decoded, PAIR_DISTANCE.inputs).count() == 1
+
+
+def test_a_ride_without_a_zone_gets_one_answer_everywhere(spark, model, tmp_path):
+    ride = {"PULocationID": None, "DOLocationID": 3, "trip_distance": 1.5}
+    table = spark.createDataFrame([(None, 3, 1.5)], "PULocationID BIGINT, DOLocationID BIGINT, trip_distance DOUBLE")
+    batch = models.predict(model, table).first().prediction
+    asked = score_requests(model, table).first().duration
+    path = write(tmp_path / "in", {"Records": [record(b64({"ride": ride, "ride_id": 5}))]})
+    event = service.prediction_events(model, records.read_envelopes(spark, path, streaming=False), None).first()
+    assert batch == asked == event.prediction.ride_duration
+
+
+def test_requests_that_are_no_json_are_refused(spark, model, tmp_path):
+    folder = tmp_path / "requests"
+    folder.mkdir()
+    lines = [{"PULocationID": 1, "DOLocationID": 2, "trip_distance": 1.0}, {"PULocationID": 1}, {"trip_distance": 2.0}]
+    (folder / "0.json").write_text("\n".join([*map(json.dumps, lines), "not json", '{"PULocationID": 1, "trip_']))
+    requests = records.read_requests(spark, str(folder))
+    assert sorted(r.trip_distance for r in score_requests(model, requests).collect()) == [1.0, 2.0]
+    reasons = sorted(r.reason for r in request_rejects(model, requests).collect())
+    assert reasons == ["input missing", "no JSON", "no JSON"]

@@ -15,11 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import UNKNOWN_ZONE, pair_key, zone_code
+from kerbside.session import ensure_checkpoint_dir
 
 PAIR = "PU_DO"
-# A fitted vocabulary lives on the driver and in every task. Zones are a closed set, pairs its
-# square; this bound keeps an open-ended key (an account, a time) from being encoded by mistake.
-MAX_VOCABULARY = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -100,23 +98,11 @@ def encoder(spec: FeatureSpec, one_hot: bool = True, on_missing: str = "error")
 
 
 def fit_encoder(rides: DataFrame, spec: FeatureSpec, one_hot: bool = True, on_missing: str = "error") -> PipelineModel:
-    check_vocabulary(rides, spec)
+    """The vocabulary is frozen in the pipeline: it lies on the driver and in every task, as Spark's
+    encoders keep it. Least squares on one categorical needs none (see `operators.linear`)."""
     return encoder(spec, one_hot, on_missing).fit(rides)
 
 
-def check_vocabulary(rides: DataFrame, spec: FeatureSpec, limit: int = MAX_VOCABULARY) -> None:
-    """Fail before anything is gathered when a categorical is no closed set."""
-    if not spec.categorical:
-        return
-    counts = with_keys(rides, spec).agg(*[F.approx_count_distinct(f"{c}_key").alias(c) for c in spec.categorical])
-    for name, n in counts.first().asDict().items():
-        if n > limit:
-            raise ValueError(
-                f"{name} has about {n} values, more than {limit}: fit it with operators.pair_ols, "
-                "which keeps its categories in a distributed table"
-            )
-
-
 def labels(model: PipelineModel) -> list[list[str]]:
     """Learned categories per categorical feature."""
     for stage in model.stages:
@@ -139,12 +125,19 @@ def feature_names(model: PipelineModel, spec: FeatureSpec) -> list[str]:
 def vocabulary(rides: DataFrame, spec: FeatureSpec) -> DataFrame:
     """The vocabulary as a table (feature, index), numbered in byte order of the names.
 
-    Duplicates go first, per task; the numbering sees one row per feature, within MAX_VOCABULARY.
+    Duplicates go first, per task. Ranges of names are numbered on their own and shifted by the number
+    of names in earlier ranges, so no task sees all of them. The ranges are written before they are
+    counted: counting and numbering must see the same ones.
     """
-    check_vocabulary(rides, spec)
     name = [F.concat(F.lit(f"{c}="), F.col(f"{c}_key")) for c in spec.categorical] + [F.lit(n) for n in spec.numerical]
     distinct = with_keys(rides, spec).select(F.explode(F.array(*name)).alias("feature")).distinct()
-    return distinct.select("feature", (F.row_number().over(Window.orderBy("feature")) - 1).alias("index"))
+    ensure_checkpoint_dir(rides.sparkSession)
+    ranged = distinct.repartitionByRange("feature").withColumn("range", F.spark_partition_id()).checkpoint()
+    sizes = ranged.groupBy("range").agg(F.count(F.lit(1)).alias("n"))  # a row for each partition
+    before = sizes.select("range", (F.sum("n").over(Window.orderBy("range")) - F.col("n")).alias("before"))
+    within = F.row_number().over(Window.partitionBy("range").orderBy("feature")) - 1
+    numbered = ranged.withColumn("within", within).join(F.broadcast(before), "range")
+    return numbered.select("feature", (F.col("before") + F.col("within")).cast("int").alias("index"))
 
 
 def vector_entries(encoded: DataFrame, keep: list[str], vector: str = "features") -> DataFrame:

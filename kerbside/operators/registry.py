@@ -110,9 +110,9 @@ def read_aliases(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current_aliases(aliases: DataFrame, models: Sequence[str] = ()) -> DataFrame:
-    """The newest row per model and alias."""
+    """The newest row per model and alias; of rows with one time the larger run id."""
     chosen = aliases.filter(F.col("model").isin(*models)) if models else aliases
-    newest = F.max_by(F.struct("run_id", "validation_status", "ts"), F.col("ts"))
+    newest = F.max_by(F.struct("run_id", "validation_status", "ts"), F.struct("ts", "run_id", "validation_status"))
     return chosen.groupBy("model", "alias").agg(newest.alias("x")).select("model", "alias", "x.*")
 
 

@@ -1,4 +1,4 @@
-"""Fit, evaluate, save and load duration models. Every model is one `PipelineModel`: features included."""
+"""Fit, evaluate, save and load duration models."""
 
 from __future__ import annotations
 
@@ -8,44 +8,44 @@ from dataclasses import asdict, dataclass, field
 from functools import reduce
 from operator import and_
 
-import pyarrow as pa
 from pyspark.ml import PipelineModel, Transformer
-from pyspark.ml.feature import SQLTransformer, VectorSlicer
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.feature import SQLTransformer
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.columns import zone_number
 from kerbside.operators import cells as cell
-from kerbside.operators import linear, pair_ols
-from kerbside.operators.encode import PAIR, FeatureSpec, feature_names, fit_encoder, labels, width, with_keys
+from kerbside.operators import linear
+from kerbside.operators.encode import PAIR, FeatureSpec, fit_encoder, labels
 from kerbside.session import ensure_checkpoint_dir
 
 # The accepted model types and the parameters the models are trained with unless
-# told otherwise. Depth 30 of the boosted trees is kept as a parameter; 8 is the default here
-# because a level-wise fit pays for every level.
+# told otherwise.
 MODEL_TYPES = ("LR", "RF", "XGB")
 FOREST = {"max_depth": 10, "n_estimators": 100, "min_samples_leaf": 1, "random_state": 42}
 BOOSTED = {
     "learning_rate": 0.09585355369315604,
-    "max_depth": 8,
+    "max_depth": 30,
     "min_child_weight": 1.060597050922164,
     "num_boost_round": 30,
+    "early_stopping_rounds": 50,
     "seed": 42,
 }
 # Taken and logged, but without a counterpart in Spark's trees.
-WITHOUT_EFFECT = ("min_samples_split", "reg_alpha", "reg_lambda", "objective", "early_stopping_rounds", "n_jobs")
+WITHOUT_EFFECT = ("min_samples_split", "reg_alpha", "reg_lambda", "objective", "n_jobs")
+# Identification that a search hands on with its parameters.
+LABELS = ("trial",)
 
-# The normal equations are solved on the driver from one pass; Spark takes 4,096 columns at most.
-MAX_NORMAL_COLUMNS = 4096
-
-# Trees keep statistics per category and node, and sample the square of it to place splits.
-MAX_TREE_CATEGORIES = 4096
+# Rows that trees are fitted on, at least: heavy cells are split so that bagging draws trips, not cells.
+TREE_ROWS = 4096
 
 
 @dataclass
 class Trained:
-    pipeline: PipelineModel
+    """A fitted model: effects for least squares, else a pipeline with the features included."""
+
+    pipeline: PipelineModel | linear.LinearEffects
     spec: FeatureSpec
     model_type: str
     params: dict = field(default_factory=dict)
@@ -56,7 +56,7 @@ class Trained:
 
     @property
     def intercept(self) -> float:
-        return self.regressor.intercept
+        return self.pipeline.intercept
 
 
 def fit(
@@ -69,136 +69,24 @@ def fit(
     """Fit a model on cells (see `operators.cells`); `validation` cells stop boosting early."""
     if model_type not in MODEL_TYPES:
         raise ValueError(f"unknown model type {model_type!r}; allowed: {list(MODEL_TYPES)}")
+    known = {"LR": {}, "RF": FOREST, "XGB": BOOSTED}[model_type]
+    given = dict(params or {})
+    if unknown := sorted(set(given) - set(known) - set(WITHOUT_EFFECT) - set(LABELS)):
+        raise ValueError(f"unknown parameters of {model_type}: {unknown}; known: {sorted(known)}, without effect: {sorted(WITHOUT_EFFECT)}")
     if model_type == "LR":
-        pipeline, used = _linear(train, spec, dict(params or {}))
+        pipeline = linear.fit(train, spec)
+        used = {"columns": sum(pipeline.sizes.values()) + len(pipeline.numbers), **given}
     elif model_type == "RF":
-        pipeline, used = _forest(train, spec, {**FOREST, **(params or {})})
+        pipeline, used = _forest(train, spec, {**FOREST, **given})
     else:
-        pipeline, used = _boosted(train, spec, {**BOOSTED, **(params or {})}, validation)
+        pipeline, used = _boosted(train, spec, {**BOOSTED, **given}, validation)
+    if idle := sorted(set(given) & set(WITHOUT_EFFECT)):
+        used["without_effect"] = ",".join(idle)
+    if model_type != "LR" and PAIR in spec.categorical:
+        used["pair_as"] = "two zones"  # an unseen pair of known zones is answered as what its zones say
     return Trained(pipeline, spec, model_type, used)
 
 
-def _linear(train: DataFrame, spec: FeatureSpec, params: dict):
-    """Ordinary least squares.
-
-    One-hot blocks plus an intercept are collinear: effects may be shifted against the intercept.
-    The solution of least norm is kept, in which the effects of a categorical average to zero. Its
-    intercept, the answer for a ride of unseen zones, is then the mean effect.
-
-    The effects are computed exactly, without a penalty that would bend rare categories, and put
-    into a linear model over the one-hot vector by fitting its corner points (see `_corner_model`).
-    Only several wide categoricals at once go to L-BFGS; it gives the same predictions for known
-    categories.
-    """
-    if not spec.numerical:
-        return _linear_on(train, train, spec, params)
-    # Distinct categories with their weight: all the encoder has to see.
-    zones = [c for c in spec.inputs if c not in spec.numerical]
-    known = train.groupBy(*zones).agg(F.sum(cell.WEIGHT).alias(cell.WEIGHT)).persist()
-    try:
-        return _linear_on(train, known, spec, params)
-    finally:
-        known.unpersist()
-
-
-def _linear_on(train: DataFrame, known: DataFrame, spec: FeatureSpec, params: dict):
-    encoder = fit_encoder(known, spec)
-    columns = width(encoder, spec)
-    if not spec.categorical:
-        model = _least_squares(encoder.transform(train))
-    elif len(spec.categorical) == 1 and len(spec.numerical) <= 1:
-        absorbed, corners = _absorbed_corners(train, spec)
-        model = _corner_model(encoder, spec, corners, columns)
-        absorbed.release()
-    elif columns <= MAX_NORMAL_COLUMNS:
-        model = _corner_model(encoder, spec, _contrast_corners(train, known, spec, encoder), columns)
-    else:
-        wide = LinearRegression(
-            solver="l-bfgs", regParam=0.0, tol=1e-9, maxIter=200,
-            labelCol=cell.LABEL, weightCol=cell.WEIGHT, featuresCol="features",
-        )
-        model = wide.fit(encoder.transform(train))
-    return PipelineModel([*encoder.stages, model]), {"columns": columns, **params}
-
-
-def _least_squares(encoded: DataFrame, features: str = "features"):
-    return LinearRegression(
-        solver="normal", regParam=0.0, labelCol=cell.LABEL, weightCol=cell.WEIGHT, featuresCol=features
-    ).fit(encoded)
-
-
-def _absorbed_corners(train: DataFrame, spec: FeatureSpec) -> tuple[pair_ols.PairOls, DataFrame]:
-    """One categorical of any size: its effects are one aggregation and stay distributed."""
-    key = f"{spec.categorical[0]}_key"
-    number = spec.numerical[0] if spec.numerical else None
-    zones = [c for c in spec.inputs if c not in spec.numerical]
-    fitted = pair_ols.fit(train, zones, number, cell.LABEL, cell.WEIGHT)
-    zero = [F.lit(0.0).alias(number)] if number else []
-    known = with_keys(fitted.effects, spec).select(key, *zero, F.col("effect").alias(cell.LABEL))
-    extra = {key: [None], cell.LABEL: [fitted.intercept]}
-    if number:
-        extra = {key: [None, None], number: [0.0, 1.0], cell.LABEL: [fitted.intercept, fitted.intercept + fitted.slope]}
-    return fitted, known.unionByName(_corner_table(train.sparkSession, extra))
-
-
-def _contrast_corners(train: DataFrame, known: DataFrame, spec: FeatureSpec, encoder: PipelineModel) -> DataFrame:
-    """Several categoricals: fit against the most frequent category of each, then centre.
-
-    Leaving one category out makes the columns independent, so the normal equations have one
-    solution and are solved exactly.
-    """
-    names = feature_names(encoder, spec)
-    left_out = {f"{c}={v}" for c, v in _most_frequent(known, spec).items()}
-    kept = [i for i, n in enumerate(names) if n not in left_out]
-    sliced = VectorSlicer(inputCol="features", outputCol="contrast", indices=kept).transform(encoder.transform(train))
-    fitted = _least_squares(sliced, "contrast")
-    coefficient = dict.fromkeys(names, 0.0) | {names[i]: float(v) for i, v in zip(kept, fitted.coefficients)}
-
-    keys = [f"{c}_key" for c in spec.categorical]
-    effects = {c: {v: coefficient[f"{c}={v}"] for v in vs} for c, vs in zip(spec.categorical, labels(encoder))}
-    means = {c: sum(e.values()) / len(e) for c, e in effects.items()}
-    intercept = fitted.intercept + sum(means.values())
-
-    corners = [({}, intercept)]
-    corners += [({f"{c}_key": v}, intercept + e - means[c]) for c in effects for v, e in effects[c].items()]
-    corners += [({n: 1.0}, intercept + coefficient[n]) for n in spec.numerical]
-    table = {k: [at.get(k) for at, _ in corners] for k in keys}
-    table |= {n: [at.get(n, 0.0) for at, _ in corners] for n in spec.numerical}
-    table[cell.LABEL] = [label for _, label in corners]
-    return _corner_table(train.sparkSession, table)
-
-
-def _corner_table(spark: SparkSession, columns: Mapping[str, list]) -> DataFrame:
-    kinds = {c: pa.string() if c.endswith("_key") else pa.float64() for c in columns}
-    return spark.createDataFrame(pa.table({c: pa.array(v, kinds[c]) for c, v in columns.items()}))
-
-
-def _most_frequent(known: DataFrame, spec: FeatureSpec) -> dict[str, str]:
-    entry = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("name"), spec.key(c).alias("value")) for c in spec.categorical])
-    )
-    sizes = known.select(entry.alias("f"), cell.WEIGHT).groupBy("f.name", "f.value").agg(F.sum(cell.WEIGHT).alias("w"))
-    top = sizes.groupBy("name").agg(F.max_by("value", F.struct("w", "value")).alias("value"))
-    return {r["name"]: r["value"] for r in top.collect()}
-
-
-def _corner_model(encoder: PipelineModel, spec: FeatureSpec, corners: DataFrame, columns: int):
-    """The linear model that takes the given values at the zero vector and at every unit vector.
-
-    There are as many corners as unknowns, so the fit reproduces them.
-    """
-    encoded = corners.withColumn(cell.WEIGHT, F.lit(1.0))
-    if columns <= MAX_NORMAL_COLUMNS:
-        encoded = encoded.repartition(1)  # as many rows as columns
-    for stage in encoder.stages[1:]:  # the first stage derives the keys, which corners state directly
-        encoded = stage.transform(encoded)
-    if columns <= MAX_NORMAL_COLUMNS:
-        return _least_squares(encoded)
-    return LinearRegression(
-        solver="l-bfgs", regParam=0.0, tol=1e-14, maxIter=500, labelCol=cell.LABEL, featuresCol="features"
-    ).fit(encoded)
-
-
 def _tree_spec(spec: FeatureSpec) -> FeatureSpec:
     """Trees take the two zones of a pair as two categories: two splits isolate any pair, while a
     column per pair would be stored densely for every row."""
@@ -211,61 +99,88 @@ def _tree_spec(spec: FeatureSpec) -> FeatureSpec:
 def _tree_encoder(train: DataFrame, spec: FeatureSpec):
     """Indexed categories (one column per zone feature, however many zones) and their bin count."""
     encoder = fit_encoder(train, _tree_spec(spec), one_hot=False)
-    bins = max([32] + [len(x) + 1 for x in labels(encoder)])
-    if bins > MAX_TREE_CATEGORIES:
-        raise ValueError(f"{bins - 1} categories in one feature, more than {MAX_TREE_CATEGORIES} for trees: group them first")
-    return encoder, bins
+    return encoder, max([32] + [len(x) + 1 for x in labels(encoder)])
+
+
+def _tree_rows(train: DataFrame, encoder: PipelineModel, bins: int) -> tuple[DataFrame, float]:
+    """Cells as rows for trees, and the weight of all trips.
+
+    A cell is split into parts of equal weight, as many as its share of the trips is worth out of
+    `TREE_ROWS` (or two for each bin, if that is more). Sums stay as they are, so splits do, too; but
+    bagging now leaves out a part of a heavy cell, as it leaves out some of its trips, and a
+    feature never has more categories than there are rows.
+    """
+    cells, trips = train.agg(F.count(F.lit(1)), F.sum(cell.WEIGHT)).first()
+    quota = (trips or 1.0) / max(TREE_ROWS, 2 * bins, 2 * cells)
+    parts = F.ceil(F.col(cell.WEIGHT) / F.lit(quota))
+    share = F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(parts, F.lit(1).cast("long")))).alias("part")
+    rows = train.select("*", parts.alias("parts"), share).withColumn(cell.WEIGHT, F.col(cell.WEIGHT) / F.col("parts"))
+    return encoder.transform(rows.drop("part", "parts")).select("features", cell.LABEL, cell.WEIGHT), trips
+
+
+def _leaf_size(least: float, trips: float, depth: int) -> dict:
+    """A leaf's size counts trips, not cells. Where a leaf must hold half of them nothing can be split."""
+    share = least / trips
+    return {"minWeightFractionPerNode": share, "maxDepth": depth} if share < 0.5 else {"maxDepth": 0}
 
 
 def _forest(train: DataFrame, spec: FeatureSpec, params: dict):
     encoder, bins = _tree_encoder(train, spec)
-    encoded = encoder.transform(train).select("features", cell.LABEL, cell.WEIGHT)
-    trips = train.agg(F.sum(cell.WEIGHT)).first()[0]
+    encoded, trips = _tree_rows(train, encoder, bins)
     model = RandomForestRegressor(
         labelCol=cell.LABEL,
         weightCol=cell.WEIGHT,
-        maxDepth=int(params["max_depth"]),
         numTrees=int(params["n_estimators"]),
-        # A leaf's size counts trips, not cells.
-        minWeightFractionPerNode=min(int(params["min_samples_leaf"]) / trips, 0.49),
         featureSubsetStrategy="all",
         maxBins=bins,
         seed=int(params["random_state"]),
+        **_leaf_size(int(params["min_samples_leaf"]), trips, int(params["max_depth"])),
     ).fit(encoded)
     return PipelineModel([*encoder.stages, model]), params
 
 
 def _boosted(train: DataFrame, spec: FeatureSpec, params: dict, validation: DataFrame | None):
+    """All rounds are fitted. With validation cells, and a patience shorter than the rounds, the model is
+    cut at the best round before the first one that `early_stopping_rounds` others did not improve."""
     if int(params["max_depth"]) > 30:
         raise ValueError("boosted trees take a depth of 30 at most")
     encoder, bins = _tree_encoder(train, spec)
     ensure_checkpoint_dir(train.sparkSession)
-    columns = ["features", cell.LABEL, cell.WEIGHT]
-    encoded = encoder.transform(train).select(*columns, F.lit(False).alias("held_out"))
-    trips = train.agg(F.sum(cell.WEIGHT)).first()[0]
+    encoded, trips = _tree_rows(train, encoder, bins)
+    rounds, patience = int(params["num_boost_round"]), int(params["early_stopping_rounds"])
     estimator = GBTRegressor(
         labelCol=cell.LABEL,
         weightCol=cell.WEIGHT,
-        maxIter=int(params["num_boost_round"]),
+        maxIter=rounds,
         stepSize=float(params["learning_rate"]),
-        maxDepth=int(params["max_depth"]),
-        minWeightFractionPerNode=min(float(params["min_child_weight"]) / trips, 0.49),
         maxBins=bins,
         seed=int(params["seed"]),
         checkpointInterval=10,
-        validationTol=0.0001,
+        **_leaf_size(float(params["min_child_weight"]), trips, int(params["max_depth"])),
     )
-    if validation is not None:
-        held_out = encoder.transform(validation).select(*columns, F.lit(True).alias("held_out"))
-        encoded = encoded.unionByName(held_out)
-        estimator = estimator.setValidationIndicatorCol("held_out")
-    return PipelineModel([*encoder.stages, estimator.fit(encoded)]), params
+    model = estimator.fit(encoded)
+    if validation is not None and patience < rounds:
+        held_out = encoder.transform(validation).select("features", cell.LABEL, cell.WEIGHT)
+        if kept := _best_round(model.evaluateEachIteration(held_out, "squared"), patience):
+            model = estimator.copy({estimator.maxIter: kept}).fit(encoded)  # the same trees, fewer of them
+    return PipelineModel([*encoder.stages, model]), params
+
+
+def _best_round(losses: Sequence[float], patience: int) -> int | None:
+    """The number of rounds to keep, or none if the patience never ran out."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            return best + 1
+    return None
 
 
 def predict(model: Transformer | Trained, rides: DataFrame) -> DataFrame:
     """Append `prediction`. Linear models add effects, all others run the pipeline."""
-    if isinstance(model, Trained) and linear.is_linear(model.pipeline):
-        return linear.predict(model.pipeline, model.spec, rides)
+    if isinstance(model, Trained) and isinstance(model.pipeline, linear.LinearEffects):
+        return model.pipeline.predict(rides)
     return predict_vectors(model, rides)
 
 
@@ -284,7 +199,7 @@ def predict_combinations(model: Transformer | Trained, rides: DataFrame, spec: F
     """
     keyed = {c: F.col(c) if c in spec.numerical else zone_number(c) for c in spec.inputs}
     combinations = rides.select(*[v.alias(c) for c, v in keyed.items()]).distinct()
-    answers = predict_vectors(model, combinations).select(*[F.col(c).alias(f"_{c}") for c in keyed], "prediction")
+    answers = predict(model, combinations).select(*[F.col(c).alias(f"_{c}") for c in keyed], "prediction")
     same = reduce(and_, [v.eqNullSafe(F.col(f"_{c}")) for c, v in keyed.items()])
     return rides.join(answers, same, "left").select(*[F.col(c) for c in rides.columns], "prediction")
 
@@ -310,9 +225,12 @@ def row_rmse(scored: DataFrame, label: str = "duration", prediction: str = "pred
 
 
 def save(model: Trained, path: str) -> None:
-    """Encoder and model as one pipeline, next to its feature set and parameters."""
+    """Effects, or encoder and model as one pipeline, next to the feature set and parameters."""
     spark = SparkSession.active()
-    model.pipeline.write().overwrite().save(f"{path}/pipeline")
+    if isinstance(model.pipeline, linear.LinearEffects):
+        model.pipeline.save(path)
+    else:
+        model.pipeline.write().overwrite().save(f"{path}/pipeline")
     about = {"spec": asdict(model.spec), "model_type": model.model_type, "params": model.params}
     spark.createDataFrame([(json.dumps(about),)], "value STRING").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
@@ -320,7 +238,8 @@ def save(model: Trained, path: str) -> None:
 def load(spark: SparkSession, path: str) -> Trained:
     about = json.loads(spark.read.text(f"{path}/about").first()["value"])
     spec = FeatureSpec(tuple(about["spec"]["categorical"]), tuple(about["spec"]["numerical"]))
-    return Trained(PipelineModel.load(f"{path}/pipeline"), spec, about["model_type"], about["params"])
+    fitted = linear.LinearEffects.load(spark, path) if about["model_type"] == "LR" else PipelineModel.load(f"{path}/pipeline")
+    return Trained(fitted, spec, about["model_type"], about["params"])
 
 
 def model_location(run_id: str, root: str, location: str | None = None, experiment: str = "1") -> str:

@@ -21,11 +21,11 @@ from kerbside.operators import train as models
 from kerbside.operators.cells import LABEL, WEIGHT, collapse, rmse, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
 from kerbside.operators.numbering import dense_ride_ids, source_ride_ids
-from kerbside.plans.batch import load_by_alias
+from kerbside.plans.batch import load_by_alias, score_months
 from kerbside.plans.training import feature_cells, train_and_log, training_rows
 from kerbside.session import new_folder
 from kerbside.sources.tables import event_trips, lineitem_trips, raw_lineitem
-from kerbside.sources.trips import TIME_COLUMNS, canonical, read_canonical, write_canonical
+from kerbside.sources.trips import TIME_COLUMNS, canonical, month_path, read_canonical, write_canonical
 from kerbside.streaming import records, service, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,7 +327,7 @@ def ols_group_mean(spark, sf_dir):
 @query
 def ols_numeric(spark, sf_dir):
     model, cells = _fit(spark, sf_dir, FeatureSpec((), ("trip_distance",)))
-    slope = float(model.regressor.coefficients[0])
+    slope = model.pipeline.numbers["trip_distance"]
     n = cells.filter("split = 'train'").agg(F.sum(WEIGHT).cast("bigint").alias("n"))
     return n.select(
         "n", F.round(F.lit(slope), 6).alias("slope"), F.round(F.lit(model.intercept), 6).alias("intercept")
@@ -349,6 +349,45 @@ def ols_orthogonality(spark, sf_dir):
     return sums
 
 
+def _folded(spark, sf_dir) -> DataFrame:
+    """Trips between few zones, with a duration that is a sum of two zone effects."""
+    trips = event_trips(spark, sf_dir).filter("PULocationID IS NOT NULL")
+    pu, do = F.pmod(F.col("PULocationID").cast("bigint"), F.lit(12)), F.pmod("DOLocationID", F.lit(10))
+    trips = trips.select("event_id", "split", pu.alias("PULocationID"), do.alias("DOLocationID"))
+    return trips.withColumn(LABEL, F.col("PULocationID") * 1.5 + F.col("DOLocationID") * F.col("DOLocationID") * 0.25)
+
+
+@query
+def zones_exact(spark, sf_dir):
+    """Least squares on both zones finds effects that add up: the answer is the label."""
+    trips = _folded(spark, sf_dir)
+    model = models.fit(collapse(trips.filter("split = 'train'"), ZONES, LABEL), ZONES)
+    scored = models.predict(model, trips.filter("split = 'test'"))
+    return scored.select("event_id", F.round("prediction", 6).alias("prediction"))
+
+
+@query
+def zone_islands(spark, sf_dir):
+    """Trained on trips inside two sets of zones without a trip between them, asked about all pairs."""
+    trips = _folded(spark, sf_dir)
+    inside = trips.filter("PULocationID % 2 = DOLocationID % 2 AND split = 'train'")
+    model = models.fit(collapse(inside, ZONES, LABEL), ZONES)
+    scored = models.predict(model, trips.select("PULocationID", "DOLocationID").distinct())
+    return scored.select("PULocationID", "DOLocationID", F.round("prediction", 6).alias("prediction"))
+
+
+@query
+def ols_zones_distance(spark, sf_dir):
+    """Both zones and a distance, on trips: residuals vanish in every zone and against the distance."""
+    trips = event_trips(spark, sf_dir)
+    rows = trips.select("split", "DOLocationID", "trip_distance", F.pmod(F.col("PULocationID").cast("bigint"), F.lit(12)).alias("PULocationID"))
+    rows = rows.filter("PULocationID IS NOT NULL AND split = 'train'").withColumn("DOLocationID", F.pmod("DOLocationID", F.lit(10)))
+    rows = rows.withColumn(LABEL, F.col("PULocationID") * 2.0 - F.col("DOLocationID") + 1.75 * F.col("trip_distance"))
+    model = models.fit(uncollapsed(rows, ZONES_DISTANCE, LABEL), ZONES_DISTANCE)
+    scored = models.predict(model, rows)
+    return scored.groupBy("PULocationID", "DOLocationID").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 6).alias("prediction"))
+
+
 @query
 def ols_pair_distance(spark, sf_dir):
     """Exact least squares on pair and distance, for any number of pairs."""
@@ -361,7 +400,7 @@ def ols_pair_distance(spark, sf_dir):
 @query
 def rmse_by_split(spark, sf_dir):
     model, cells = _fit(spark, sf_dir, PICKUP)
-    return models.evaluate(model, cells).select("split", "n", F.round("rmse", 3).alias("rmse"))
+    return _released(models.evaluate(model, cells).select("split", "n", F.round("rmse", 3).alias("rmse")), cells)
 
 
 @query
@@ -384,7 +423,14 @@ def prediction_histogram(spark, sf_dir):
 
 def _tree_report(spark, sf_dir, model_type: str, params: dict) -> DataFrame:
     model, cells = _fit(spark, sf_dir, ZONES_DISTANCE, model_type, params)
-    return models.evaluate(model, cells)
+    return _released(models.evaluate(model, cells), cells)
+
+
+def _released(result: DataFrame, cells: DataFrame) -> DataFrame:
+    """A report of a few rows, computed while its cells are held, which are given free."""
+    table = result.toArrow()
+    cells.unpersist()
+    return result.sparkSession.createDataFrame(table, result.schema)
 
 
 @query
@@ -585,6 +631,24 @@ def batch_score_zones(spark, sf_dir):
     return score.score_trips(model, trips).select("ride_id", "predicted_duration")
 
 
+@query
+def ride_id_many_files(spark, sf_dir):
+    """A raw month of several files, scored by the batch plan: positions continue from file to file."""
+    root = new_folder(spark, "months")
+    trips = event_trips(spark, sf_dir)
+    first = trips.agg(F.min("pickup_datetime")).first()[0]
+    raw = trips.select(
+        "event_id", F.col("pickup_datetime").alias("lpep_pickup_datetime"), F.col("dropoff_datetime").alias("lpep_dropoff_datetime"),
+        "PULocationID", "DOLocationID", "trip_distance",
+    )
+    month = ("green", first.year, first.month)
+    raw.repartitionByRange(5, "event_id").sortWithinPartitions("event_id").write.parquet(month_path(*month, f"{root}/in"))
+    models.save(_model(spark, sf_dir, PICKUP), f"{root}/model")
+    score_months(spark, f"{root}/in", [month], f"{root}/model", f"{root}/out")
+    done = score.read_predictions(spark, f"{root}/out")
+    return done.select("ride_id", F.round("predicted_duration", MEAN_DIGITS).alias("predicted_duration"))
+
+
 @query
 def alias_score(spark, sf_dir):
     """A model is trained, saved and named; another reader loads it by alias and scores."""
@@ -611,6 +675,26 @@ def request_scores(spark, sf_dir):
     )
 
 
+@query
+def request_rejects(spark, sf_dir):
+    """Requests as JSON lines, some cut off, some no JSON, some without the number: refused, not answered."""
+    model = _model(spark, sf_dir, PAIR_DISTANCE)
+    path = new_folder(spark, "requests")
+    whole = F.to_json(F.struct("PULocationID", "DOLocationID", "trip_distance"))
+    line = (
+        F.when(F.col("event_id") % 10 == 1, F.substring(whole, 1, 12))
+        .when(F.col("event_id") % 10 == 2, "not json")
+        .when(F.col("event_id") % 10 == 3, F.to_json(F.struct("DOLocationID")))
+        .otherwise(whole)
+    )
+    trips = event_trips(spark, sf_dir).withColumn("PULocationID", F.col("PULocationID").cast("bigint"))
+    trips.select(line.alias("value")).write.text(path)
+    requests = records.read_requests(spark, path)
+    refused = score.request_rejects(model, requests).select("reason")
+    answered = score.score_requests(model, requests, "run-1").select(F.lit("answered").alias("reason"))
+    return refused.unionByName(answered).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---- streaming ------------------------------------------------------------------------------
 
 
@@ -629,7 +713,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _break(packed: DataFrame) -> DataFrame:
-    """Damage the payload of records whose ride has no pickup zone, in turn: no base64, no JSON, no ride, as it is."""
+    """Damage the payload of records whose ride has no pickup zone, in turn: no base64, no JSON, no ride, as it is (an unknown zone)."""
     def text(s: str):
         return F.base64(F.lit(s).cast("binary"))
 
@@ -657,7 +741,12 @@ def envelope_roundtrip(spark, sf_dir):
 
 @query
 def quarantine_split(spark, sf_dir):
-    decoded = records.decode(envelopes(spark, sf_dir))
+    """Envelopes as JSON lines, each followed by itself cut in half: what cannot be scored, and why."""
+    path = new_folder(spark, "envelopes")
+    line = F.to_json(F.struct("Records"), {"ignoreNullFields": "false"})
+    both = F.explode(F.array("line", F.substring("line", 1, F.floor(F.length("line") / 2).cast("int"))))
+    envelopes(spark, sf_dir).select(line.alias("line")).select(both.alias("value")).write.text(path)
+    decoded = records.decode(records.read_envelopes(spark, path, streaming=False))
     rejected = records.rejects(decoded, PICKUP.inputs)
     key = F.split("event_id", ":")[1].cast("bigint")
     return rejected.select(key.alias("ride_id"), "reason")

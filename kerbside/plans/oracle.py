@@ -115,7 +115,16 @@ FROM ({source}) WHERE v IS NOT NULL GROUP BY 1, 2
 
 _RIDE_ID = "strftime(pickup, '%Y/%m') || '_' || CAST({position} AS VARCHAR)"
 _SOURCE_ID = _RIDE_ID.format(position="event_id")
-_DENSE_ID = _RIDE_ID.format(position="(row_number() OVER (ORDER BY event_id) - 1)")
+_DENSE_ID = _RIDE_ID.format(position="(row_number() OVER (PARTITION BY color ORDER BY event_id) - 1)")
+
+# Few zones, and a label that is the sum of an effect of each.
+FOLDED = TRIPS + """
+, folded AS (
+  SELECT event_id, split, trip_distance, CAST(pu AS BIGINT) % 12 AS pu, dz % 10 AS dz,
+         CAST(CAST(pu AS BIGINT) % 12 AS DOUBLE) * 1.5 AS a, CAST((dz % 10) * (dz % 10) AS DOUBLE) * 0.25 AS b
+  FROM trips WHERE pu IS NOT NULL
+)
+"""
 
 SQL: dict[str, str] = {
     "canonical_trips": LINEITEM + """
@@ -262,6 +271,34 @@ SELECT {_DENSE_ID} AS ride_id, round(p, 7) AS predicted_duration FROM kept_score
     "batch_summary": MEANS + """
 SELECT count(*) AS n, round(sum(p), 3) AS total, round(avg(p), 3) AS mean, round(stddev_pop(p), 3) AS std_population
 FROM kept_scored
+""",
+    "ride_id_many_files": MEANS + f"""
+SELECT {_SOURCE_ID} AS ride_id, round(p, 7) AS predicted_duration FROM kept_scored
+""",
+    "request_rejects": TRIPS + """
+SELECT CASE event_id % 10 WHEN 1 THEN 'no JSON' WHEN 2 THEN 'no JSON' WHEN 3 THEN 'input missing' ELSE 'answered' END AS reason,
+       count(*) AS n
+FROM trips GROUP BY 1
+""",
+    "zones_exact": FOLDED + """
+SELECT event_id, round(a + b, 6) AS prediction FROM folded WHERE split = 'test'
+""",
+    # Effects a and b of two islands k: n and m zones with means u and v. Of u + v the common part s moves
+    # to the intercept; what is left is shared out so that the squares are least.
+    "zone_islands": FOLDED + """
+, inside AS (SELECT * FROM folded WHERE pu % 2 = dz % 2 AND split = 'train'
+), x AS (SELECT pu % 2 AS k, count(*) AS n, avg(a) AS u FROM (SELECT DISTINCT pu, a FROM inside) GROUP BY 1
+), y AS (SELECT dz % 2 AS k, count(*) AS m, avg(b) AS v FROM (SELECT DISTINCT dz, b FROM inside) GROUP BY 1
+), island AS (SELECT *, CAST(n * m AS DOUBLE) / (n + m) AS pull FROM x JOIN y USING (k)
+), moved AS (SELECT sum(pull * (u + v)) / sum(pull) AS s FROM island
+)
+SELECT DISTINCT pu AS "PULocationID", dz AS "DOLocationID",
+       round(s + (a - i.u + (i.u + i.v - s) * i.m / (i.n + i.m)) + (b - j.v + (j.u + j.v - s) * j.n / (j.n + j.m)), 6) AS prediction
+FROM folded JOIN island i ON i.k = pu % 2 JOIN island j ON j.k = dz % 2 CROSS JOIN moved
+""",
+    "ols_zones_distance": FOLDED + """
+SELECT pu AS "PULocationID", dz AS "DOLocationID", count(*) AS n, round(avg(pu * 2.0::DOUBLE - dz + 1.75::DOUBLE * trip_distance), 6) AS prediction
+FROM folded WHERE split = 'train' GROUP BY ALL
 """,
     "alias_score": MEANS + "SELECT event_id, round(p, 7) AS prediction FROM kept_scored",
     "request_scores": MEANS + """
@@ -270,23 +307,23 @@ FROM scored GROUP BY pu
 """,
     "envelope_roundtrip": TRIPS + """
 SELECT event_id AS ride_id, CAST(pu AS BIGINT) AS "PULocationID", dz AS "DOLocationID", trip_distance
-FROM trips WHERE pu IS NOT NULL
+FROM trips WHERE pu IS NOT NULL OR event_id % 4 = 3
 """,
     "quarantine_split": TRIPS + """
-SELECT event_id AS ride_id,
-       CASE event_id % 4 WHEN 0 THEN 'not base64' WHEN 1 THEN 'no ride' WHEN 2 THEN 'no ride' ELSE 'input missing' END AS reason
-FROM trips WHERE pu IS NULL
+SELECT event_id AS ride_id, CASE event_id % 4 WHEN 0 THEN 'not base64' ELSE 'no ride' END AS reason
+FROM trips WHERE pu IS NULL AND event_id % 4 <> 3
+UNION ALL SELECT NULL, 'no envelope' FROM (SELECT DISTINCT event_id // 100 FROM trips)
 """,
     "prediction_events": MEANS + """
 SELECT CAST(event_id AS VARCHAR) AS key, 'ride_duration_prediction_model' AS model, 'run-1' AS version,
-       event_id AS ride_id, round(p, 7) AS ride_duration FROM scored WHERE pu IS NOT NULL
+       event_id AS ride_id, round(p, 7) AS ride_duration FROM scored WHERE pu IS NOT NULL OR event_id % 4 = 3
 """,
     "stream_score": MEANS + """
 SELECT 'ride_duration_prediction_model' AS model, 'run-1' AS version, event_id AS ride_id, round(p, 7) AS ride_duration
-FROM scored WHERE pu IS NOT NULL
+FROM scored WHERE pu IS NOT NULL OR event_id % 4 = 3
 """,
     "stream_messages": TRIPS + """
-SELECT CASE WHEN pu IS NULL THEN 'held' ELSE 'sent' END AS sink, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum
+SELECT CASE WHEN pu IS NULL AND event_id % 4 <> 3 THEN 'held' ELSE 'sent' END AS sink, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum
 FROM trips GROUP BY 1
 """,
     "first_record": TRIPS + """

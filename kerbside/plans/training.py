@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -107,7 +108,11 @@ def search_and_register(
     top_n: int = 5,
     space: Mapping = search.FOREST_SPACE,
 ) -> DataFrame:
-    """Search forests, train the best again on record, and name champion and challenger."""
+    """Search forests, train the best again on record, and name champion and challenger.
+
+    The names are also written to the alias table, as aliases of the model `best`, so `load_by_alias`
+    finds the champion afterwards.
+    """
     runs = f"{root}/runs"
     objective = search.forest_objective(cells, spec)
     for params, loss in search.search(objective, search.trials(spark, space, n_trials)):
@@ -116,4 +121,7 @@ def search_and_register(
     for params in [r["params"] for r in best.select("params").collect()]:
         typed = {k: int(v) for k, v in params.items() if k in search.FOREST_SPACE}
         train_and_log(spark, cells, spec, root, "best", "RF", typed)
-    return registry.candidates(registry.active_runs(registry.read_runs(spark, runs), "best"))
+    found = registry.candidates(registry.active_runs(registry.read_runs(spark, runs), "best"))
+    now = F.lit(datetime.now(timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    registry.set_aliases(found.select(F.lit("best").alias("model"), "alias", "run_id", "validation_status", now.alias("ts")), f"{root}/aliases")
+    return found

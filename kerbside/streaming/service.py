@@ -1,7 +1,8 @@
 """The stream scorer: envelopes in, prediction events out to any number of sinks.
 
 Each micro-batch is decoded and scored once, as a whole, and split into events and rejects for the
-sinks. Delivery is at least once, so sinks write per batch and overwrite on replay.
+sinks. Delivery is at least once: folder sinks write per batch and overwrite on replay,
+a topic may get a batch twice.
 """
 
 from __future__ import annotations

@@ -31,7 +31,10 @@ def message_sink(path: str) -> Sink:
 
 
 def topic_sink(options: Mapping[str, str]) -> Sink:
-    """Keyed JSON messages to Kafka. `options` name the servers (real or a local double) and topic."""
+    """Keyed JSON messages to Kafka. `options` name the servers (real or a local double) and topic.
+
+    A replayed batch is sent again: consumers tell repeats by the key.
+    """
 
     def write(events: DataFrame, batch_id: int) -> None:
         messages(events).write.format("kafka").options(**options).save()

@@ -2,14 +2,16 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import random_rides, trip, trips
-from kerbside.operators import encode, pair_ols, search
+from kerbside.operators import encode, linear, pair_ols, search
 from kerbside.operators import train as models
 from kerbside.operators.cells import LABEL, SPREAD, WEIGHT, collapse, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
 from kerbside.plans import training
+from kerbside.plans.batch import load_by_alias
 from kerbside.operators import registry
 
 SPECS = [ZONES, ZONES_DISTANCE, PAIR_DISTANCE, FeatureSpec(("PULocationID",)), FeatureSpec((), ("trip_distance",))]
@@ -47,32 +49,48 @@ def test_linear_equals_brute_force_on_rows(spark, rides, spec):
     cells = collapse(rides, spec)
     train = cells.filter("split = 'train'")
     model = models.fit(train, spec, "LR")
-    names = encode.feature_names(model.pipeline, spec)
-    assert names == sorted(names)
+    weights = model.pipeline.weights()
+    names = list(weights)
 
     rows = rides.filter("split = 'train'").collect()
     w, b = least_norm(design(rows, spec, names), np.array([r.duration for r in rows]))
-    assert np.allclose(model.regressor.coefficients.toArray(), w, atol=1e-6)
+    assert np.allclose(list(weights.values()), w, atol=1e-6)
     assert math.isclose(model.intercept, b, abs_tol=1e-6)
 
     others = trips(spark, [trip(5, 99, 98), trip(5, 2, 98), trip(5, 99, 1), trip(5, None, 3)]).union(rides.filter("split = 'test'"))
-    for predict in (models.predict, models.predict_vectors):
-        found = predict(model, others).collect()
-        assert np.allclose([r.prediction for r in found], design(found, spec, names) @ w + b, atol=1e-6)
-
-
-def test_wide_linear_models(rides, monkeypatch):
-    """Beyond the normal equations: one categorical stays exact, several agree on known rides."""
-    narrow = {s: models.fit(collapse(rides, s).filter("split = 'train'"), s) for s in (PAIR_DISTANCE, ZONES_DISTANCE)}
-    monkeypatch.setattr(models, "MAX_NORMAL_COLUMNS", 3)
-    for spec, tolerance in ((PAIR_DISTANCE, 1e-6), (ZONES_DISTANCE, 1e-3)):
-        cells = collapse(rides, spec).filter("split = 'train'")
-        wide = models.fit(cells, spec)
-        a = models.predict(narrow[spec], rides).orderBy("duration").collect()
-        b = models.predict(wide, rides).orderBy("duration").collect()
-        assert np.allclose([r.prediction for r in a], [r.prediction for r in b], atol=tolerance)
-        if spec is PAIR_DISTANCE:
-            assert math.isclose(narrow[spec].intercept, wide.intercept, abs_tol=1e-6)
+    found = models.predict(model, others).collect()
+    assert np.allclose([r.prediction for r in found], design(found, spec, names) @ w + b, atol=1e-6)
+
+
+@pytest.mark.parametrize("spec", [ZONES, ZONES_DISTANCE, PAIR_DISTANCE], ids=lambda s: "+".join(s.categorical + s.numerical))
+def test_the_width_does_not_change_the_answer(rides, monkeypatch, spec):
+    """Beyond the normal equations, and with effects in the shared folder: also for unseen zones."""
+    train = collapse(rides, spec).filter("split = 'train'")
+    narrow = models.fit(train, spec)
+    monkeypatch.setattr(linear, "MAX_NORMAL_COLUMNS", 3)
+    monkeypatch.setattr(linear, "MAX_BROADCAST", 2)
+    wide = models.fit(train, spec)
+    assert narrow.pipeline.weights() == pytest.approx(wide.pipeline.weights(), abs=1e-5)
+    assert math.isclose(narrow.intercept, wide.intercept, abs_tol=1e-5)
+    unseen = rides.withColumn("PULocationID", F.lit(77)).select(*rides.columns)
+    a, b = ([r.prediction for r in models.predict(m, unseen).orderBy("duration", "DOLocationID").collect()] for m in (narrow, wide))
+    assert np.allclose(a, b, atol=1e-5)
+
+
+@pytest.mark.parametrize("spec", [ZONES, ZONES_DISTANCE], ids=["zones", "zones+distance"])
+@pytest.mark.parametrize("columns", [4096, 3])
+def test_zone_islands(spark, monkeypatch, spec, columns):
+    """Zones in three groups without a trip between them: least norm decides what crosses them."""
+    monkeypatch.setattr(linear, "MAX_NORMAL_COLUMNS", columns)
+    rng = np.random.default_rng(4)
+    groups = [((1, 2), (3,)), ((4, 5, 6), (7, 8)), ((10,), (11, 12))]
+    rows = [trip(5 + 20 * g + 2 * pu - do + 1.5 * d + rng.normal(), pu, do, d) for g, (a, b) in enumerate(groups) for pu in a for do in b for d in (1.0, 2.0, 3.5)]
+    table = trips(spark, rows)
+    model = models.fit(collapse(table, spec), spec)
+    weights = model.pipeline.weights()
+    found = table.collect()
+    w, intercept = least_norm(design(found, spec, list(weights)), np.array([r.duration for r in found]))
+    assert np.allclose(list(weights.values()), w, atol=1e-4) and math.isclose(model.intercept, intercept, abs_tol=1e-4)
 
 
 def test_vocabulary_is_frozen(rides):
@@ -88,12 +106,6 @@ def test_vocabulary_is_frozen(rides):
     assert np.array_equal(np.array([r.features.toArray() for r in found]), expected)
 
 
-def test_open_ended_keys_are_refused(rides):
-    with pytest.raises(ValueError, match="pair_ols"):
-        encode.check_vocabulary(rides, ZONES, limit=3)
-    encode.check_vocabulary(rides, ZONES, limit=6)
-
-
 def test_missing_numbers(spark):
     table = trips(spark, [trip(5, distance=None), trip(6)])
     encoder = encode.fit_encoder(trips(spark, [trip(5), trip(6)]), ZONES_DISTANCE)
@@ -102,9 +114,9 @@ def test_missing_numbers(spark):
     for spec in (PAIR_DISTANCE, ZONES_DISTANCE):
         with pytest.raises(Exception, match="null|missing"):
             models.fit(collapse(table, spec), spec)
-    linear = models.fit(collapse(trips(spark, [trip(5), trip(6, 3, 4, 2.0)]), ZONES_DISTANCE), ZONES_DISTANCE)
+    fitted = models.fit(collapse(trips(spark, [trip(5), trip(6, 3, 4, 2.0)]), ZONES_DISTANCE), ZONES_DISTANCE)
     with pytest.raises(Exception, match="trip_distance is missing"):
-        models.predict(linear, table).collect()
+        models.predict(fitted, table).collect()
     keep = encode.fit_encoder(trips(spark, [trip(5)]), ZONES_DISTANCE, on_missing="keep")
     assert any(np.isnan(r.features.toArray()).any() for r in keep.transform(table).select("features").collect())
 
@@ -114,7 +126,7 @@ def test_cells_carry_all_that_rows_do(rides):
     assert cells.agg(F.sum(WEIGHT)).first()[0] == 600 and rows.count() == 600
     from_cells = models.fit(cells.filter("split = 'train'"), ZONES)
     from_rows = models.fit(rows.filter("split = 'train'"), ZONES)
-    assert np.allclose(from_cells.regressor.coefficients.toArray(), from_rows.regressor.coefficients.toArray(), atol=1e-6)
+    assert from_cells.pipeline.weights() == pytest.approx(from_rows.pipeline.weights(), abs=1e-6)
 
     scored = models.predict(from_cells, rides)
     direct = {r.split: r.rmse for r in models.row_rmse(scored, by=["split"]).collect()}
@@ -216,6 +228,8 @@ def test_search_and_register(spark, rides, tmp_path):
     assert champion.score == min(r.metrics["test_rmse"] for r in runs.filter("experiment = 'best'").collect())
     again = models.load(spark, models.model_location(champion.run_id, str(tmp_path), experiment="best"))
     assert models.metrics(again, cells)["test_rmse"] == pytest.approx(champion.score)
+    named = load_by_alias(spark, str(tmp_path), "best", "best", "champion")
+    assert models.metrics(named, cells)["test_rmse"] == pytest.approx(champion.score)
 
 
 @pytest.mark.parametrize("distance", [0.1, 1.1, 3.66, 2.0])
@@ -233,3 +247,40 @@ def test_pair_ols_keeps_digits_next_to_outliers(spark):
     zone = np.array([r.PULocationID for r in table])
     dx, dy = (v - np.array([v[zone == z].mean() for z in zone]) for v in (x, y))
     assert model.slope == pytest.approx((dx @ dy) / (dx @ dx), rel=1e-9)
+
+
+@pytest.mark.parametrize("model_type", ["RF", "XGB"])
+def test_trees_on_one_zone_feature(spark, rides, model_type):
+    """As many cells as categories, and few of them."""
+    spec = FeatureSpec(("PULocationID",))
+    params = {"max_depth": 3, **({"n_estimators": 3} if model_type == "RF" else {"num_boost_round": 3})}
+    model = models.fit(collapse(rides, spec).filter("split = 'train'"), spec, model_type, params)
+    assert models.predict(model, rides).filter("prediction IS NULL").count() == 0
+
+
+def test_bagging_draws_trips_not_cells(spark):
+    """Two cells of equal weight: the roots of row-wise bags stay near the mean."""
+    cells = spark.createDataFrame([(1, 10.0, 1e6, 0.0), (2, 20.0, 1e6, 0.0)], f"PULocationID BIGINT, {LABEL} DOUBLE, {WEIGHT} DOUBLE, {SPREAD} DOUBLE")
+    forest = models.fit(cells, FeatureSpec(("PULocationID",)), "RF", {"max_depth": 0, "n_estimators": 20})
+    roots = [t.predict(Vectors.dense(0.0)) for t in forest.regressor.trees]
+    assert all(abs(r - 15) < 0.5 for r in roots)
+
+
+def test_patience(rides):
+    assert models._best_round([5, 4, 3, 3, 3], 2) == 3 and models._best_round([5, 4, 3, 2, 1], 1) is None
+    assert models._best_round([5, 4, 4.5, 4.4, 3], 2) == 2 and models._best_round([5, 4, 4.5, 4.4, 3], 3) is None
+    cells = collapse(rides, ZONES)
+    train, val = (cells.filter(F.col("split") == s) for s in ("train", "val"))
+    params = {"num_boost_round": 12, "max_depth": 3, "learning_rate": 0.8}
+    kept = {p: models.fit(train, ZONES, "XGB", {**params, "early_stopping_rounds": p}, val).regressor.getNumTrees for p in (2, 12, 50)}
+    assert kept[12] == kept[50] == 12 and kept[2] <= 12
+
+
+def test_parameters_are_checked_and_recorded(rides):
+    cells = collapse(rides, PAIR_DISTANCE).filter("split = 'train'")
+    with pytest.raises(ValueError, match="max_dept"):
+        models.fit(cells, PAIR_DISTANCE, "RF", {"max_dept": 3})
+    model = models.fit(cells, PAIR_DISTANCE, "RF", {"max_depth": 2, "n_estimators": 2, "min_samples_split": 2})
+    assert model.params["without_effect"] == "min_samples_split" and model.params["pair_as"] == "two zones"
+    lone = models.fit(cells, PAIR_DISTANCE, "RF", {"max_depth": 5, "n_estimators": 2, "min_samples_leaf": 10_000})
+    assert all(t.numNodes == 1 for t in lone.regressor.trees)

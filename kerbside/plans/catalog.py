@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import codec
 from kerbside.functions.columns import next_month, pair_key, zone_code, zone_text
-from kerbside.operators import encode, pair_ols, prepare, profile, registry, score, search
+from kerbside.operators import encode, prepare, profile, registry, score, search
 from kerbside.operators import train as models
 from kerbside.operators.cells import LABEL, WEIGHT, collapse, rmse, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
@@ -321,7 +321,8 @@ def ols_group_mean(spark, sf_dir):
     """Least squares on one categorical is the mean per category."""
     model, cells = _fit(spark, sf_dir, PICKUP)
     scored = models.predict(model, cells.select("PULocationID").distinct())
-    return scored.select(F.col("PULocationID").cast("string").alias("PULocationID"), F.round("prediction", MEAN_DIGITS).alias("prediction"))
+    found = scored.select(F.col("PULocationID").cast("string").alias("PULocationID"), F.round("prediction", MEAN_DIGITS).alias("prediction"))
+    return _released(found, cells)
 
 
 @query
@@ -346,7 +347,7 @@ def ols_orthogonality(spark, sf_dir):
     sums = scored.select(entry, WEIGHT, "residual").groupBy("feature").agg(
         F.sum(WEIGHT).cast("bigint").alias("n"), (F.abs(F.sum("residual") / F.sum(WEIGHT)) < 1e-5).alias("orthogonal")
     )
-    return sums
+    return _released(sums, cells)
 
 
 def _folded(spark, sf_dir) -> DataFrame:
@@ -392,8 +393,8 @@ def ols_zones_distance(spark, sf_dir):
 def ols_pair_distance(spark, sf_dir):
     """Exact least squares on pair and distance, for any number of pairs."""
     rows = uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE, by=("event_id", "split"))
-    model = pair_ols.fit(rows.filter("split = 'train'"), prepare.ZONE_COLUMNS, "trip_distance", LABEL, WEIGHT)
-    scored = pair_ols.predict(model, rows.filter("split = 'test'"))
+    model = models.fit(rows.filter("split = 'train'"), PAIR_DISTANCE)
+    scored = models.predict(model, rows.filter("split = 'test'"))
     return scored.select("event_id", F.round("prediction", 6).alias("prediction"))
 
 
@@ -406,8 +407,8 @@ def rmse_by_split(spark, sf_dir):
 @query
 def pair_rmse_by_split(spark, sf_dir):
     rows = uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE)
-    model = pair_ols.fit(rows.filter("split = 'train'"), prepare.ZONE_COLUMNS, "trip_distance", LABEL, WEIGHT)
-    scored = pair_ols.predict(model, rows)
+    model = models.fit(rows.filter("split = 'train'"), PAIR_DISTANCE)
+    scored = models.predict(model, rows)
     return scored.groupBy("split").agg(F.sum(WEIGHT).cast("bigint").alias("n"), F.round(rmse(), 6).alias("rmse"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -47,6 +49,7 @@ def shared_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_root is None:
         _local_root = tempfile.mkdtemp(prefix="kerbside-")
+        atexit.register(shutil.rmtree, _local_root, ignore_errors=True)
     return _local_root
 
 

@@ -24,3 +24,13 @@ def test_shared_folder_comes_from_the_cluster():
 
 def test_local_sessions_fall_back_to_a_temp_folder():
     assert session.shared_root(Fake("", "local[2]")) == session.shared_root(Fake("", "local[2]"))
+
+
+@pytest.mark.parametrize("name", ["forest_predictions", "gbt_score", "rmse_by_split", "batch_score_zones", "ols_pair_distance", "ols_group_mean", "ols_orthogonality", "pair_rmse_by_split", "alias_score"])
+def test_queries_leave_no_cached_table(spark, sf_dir, name):
+    from kerbside.plans.catalog import QUERIES
+
+    spark.catalog.clearCache()
+    held = spark.sparkContext._jsc.getPersistentRDDs().size()
+    QUERIES[name](spark, sf_dir).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == held

@@ -444,6 +444,18 @@ def gbt_score(spark, sf_dir):
     return _tree_report(spark, sf_dir, "XGB", {"num_boost_round": 10, "max_depth": 4})
 
 
+@query
+def forest_full(spark, sf_dir):
+    """The forest at its default size: 100 trees of depth 10."""
+    return _tree_report(spark, sf_dir, "RF", {})
+
+
+@query
+def gbt_rounds(spark, sf_dir):
+    """All 30 rounds of boosting, as the patience is longer than that; trees of depth 6."""
+    return _tree_report(spark, sf_dir, "XGB", {"max_depth": 6})
+
+
 @query
 def forest_predictions(spark, sf_dir):
     """A forest's answer for every test trip, computed once per combination of inputs."""

@@ -15,8 +15,9 @@ what is not yet joined, so that a group of near copies never becomes all its pai
 2. Classes with the same nearest hub against each other, in blocks, if their components differ.
 3. Around every hub, classes with different nearest hubs, if their components still differ.
 
-A comparison first bounds the overlap: both sets are hashed to bitmaps, and every differing bit is a
-shingle of one set only. What passes is decided by intersecting the sorted arrays.
+A comparison first bounds the overlap: both sets are hashed to bitmap signatures, and every differing
+bit is a shingle of one set only. Blocks meet as signatures first, a few per cent of the sets; only
+rows with a possible partner are sent again, as sorted arrays, and decided by intersection.
 
 Results: null, empty and white texts have the empty set, which links with nothing. A text of fewer
 words than a shingle is one shingle. Rows without doc_id link with nothing and get no component. Rows
@@ -38,12 +39,13 @@ from kerbside.llm.common import by_bucket, components, cut, id_text, mix, near,
 GATHERED = 400_000
 #: Text bytes for each bucket of records.
 BUCKET_BYTES = 8 << 20
-#: Members of a block in a comparison, and rows up to which a table is sent to all executors (16 MB).
+#: Members of a block in a comparison, and ids up to which a set of them is sent to all executors.
 BLOCK = 256
 BROADCAST_ROWS = 500_000
 
 _BLOB = "bucket long, part binary, doc binary, met binary"
-_SET = "doc_id long, n long, a long, b long"
+_SET = "doc_id long, n long, a long, b long, bits binary"
+_ROW = ["hub", "i", "j", "side", "doc_id", "label", "kind"]
 
 
 class Bands:
@@ -77,13 +79,37 @@ def _digest(row: np.ndarray, hashed: np.ndarray, rows: int) -> tuple[np.ndarray,
     return n, a.view(np.int64), b.view(np.int64)
 
 
+def _width(n: np.ndarray) -> np.ndarray:
+    """Bits of a signature: a power of two, two for each element at least, from 64 to 32,768. A longer
+    set has a weaker bound, so more of its comparisons go on to the exact one."""
+    return np.clip(2 ** np.ceil(np.log2(np.maximum(2 * n, 2))).astype(np.int64), 64, 1 << 15)
+
+
+def _signatures(row: np.ndarray, hashed: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A hashed bitmap of each set; one of half the width is its two halves laid over each other."""
+    width = _width(n)
+    base = np.cumsum(width) - width
+    bits = np.zeros(int(width.sum()), np.uint8)
+    bits[base[row] + ((hashed >> np.uint64(7)).astype(np.int64) & (width[row] - 1))] = 1
+    packed = np.packbits(bits, bitorder="little")
+    return [packed[b // 8 : (b + w) // 8].tobytes() for b, w in zip(base.tolist(), width.tolist(), strict=True)]
+
+
+def _folded(signatures: list[bytes]) -> np.ndarray:
+    """Signatures as words, all of the least width among them."""
+    words = min(map(len, signatures)) // 8
+    return np.stack([np.bitwise_or.reduce(np.frombuffer(s, np.uint64).reshape(-1, words), axis=0) for s in signatures])
+
+
 def sets(documents: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n, a, b) of every row: size and digest of its shingle set."""
+    """(doc_id, n, a, b, bits) of every row: size, digest and signature of its shingle set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            n, a, b = _digest(*shingles(*utf8(batch.column(1)), words), batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(a), pa.array(b)], ["doc_id", "n", "a", "b"])
+            row, hashed = shingles(*utf8(batch.column(1)), words)
+            n, a, b = _digest(row, hashed, batch.num_rows)
+            bits = pa.array(_signatures(row, hashed, n), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(a), pa.array(b), bits], ["doc_id", "n", "a", "b", "bits"])
 
     return id_text(documents).mapInArrow(run, _SET)
 
@@ -194,56 +220,68 @@ def candidates(documents: DataFrame, words: int, bands: Bands, buckets: int) ->
     return local.unionByName(across).unionByName(further)
 
 
-def _bitmaps(arrays: list[np.ndarray]) -> np.ndarray:
-    """One hashed bitmap of each set, as words; four bits at least for an element of the largest, up
-    to 32,768: beyond that the bound is weaker and more pairs are intersected."""
-    width = min(1 << 15, max(64, 1 << int(4 * max(map(len, arrays)) - 1).bit_length()))
-    row = np.repeat(np.arange(len(arrays)), [len(a) for a in arrays])
-    bit = (np.concatenate(arrays) >> np.uint64(7)) & np.uint64(width - 1)
-    bits = np.zeros((len(arrays), width), np.uint8)
-    bits[row, bit.astype(np.int64)] = 1
-    return np.packbits(bits, axis=1).view(np.uint64)
-
-
-def _compare(ids: np.ndarray, labels: np.ndarray, kinds: np.ndarray, left: np.ndarray, right: np.ndarray, arrays: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between rows of `left` and `right` that differ in label (component) and kind, as few as
-    join the components that they link."""
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while parent.get(x, x) != x:
-            x = parent[x]
-        return x
-
-    sizes = np.array([len(a) for a in arrays])
-    maps = _bitmaps(arrays)
-    found = []
-    for i in left:
-        others = right[(labels[right] != labels[i]) & (kinds[right] != kinds[i]) & (sizes[right] * 100 >= percent * sizes[i]) & (sizes[i] * 100 >= percent * sizes[right])]
-        if not len(others):
-            continue
-        differ = np.bitwise_count(maps[others] ^ maps[i]).sum(axis=1)
-        total = sizes[others] + sizes[i]
-        # overlap <= (total - differ) / 2, and a link needs overlap * (100 + percent) >= percent * total
-        for j in others[(total - differ) * (100 + percent) >= 2 * percent * total]:
-            a, b = root(int(labels[i])), root(int(labels[j]))
-            if a == b:
-                continue
-            overlap = len(np.intersect1d(arrays[i], arrays[j], assume_unique=True))
-            if overlap * (100 + percent) >= percent * (sizes[i] + sizes[j]):
-                parent[max(a, b)] = min(a, b)
-                found.append((int(ids[i]), int(ids[j])))
-    return found
-
-
-def _compare_block(percent: int):
+def _may_link(sizes: np.ndarray, maps: np.ndarray, labels: np.ndarray, kinds: np.ndarray, i: int, right: np.ndarray, percent: int) -> np.ndarray:
+    """The rows of `right` that row i may link with: of another label (component) and kind, of a size
+    that allows it, and with signatures that differ in few enough bits. Each of those stands for an
+    element that only one of the sets has, so the overlap is (total - bits) / 2 at most."""
+    others = right[(labels[right] != labels[i]) & (kinds[right] != kinds[i]) & (sizes[right] * 100 >= percent * sizes[i]) & (sizes[i] * 100 >= percent * sizes[right])]
+    differ = np.bitwise_count(maps[others] ^ maps[i]).sum(axis=1, dtype=np.int64)
+    total = sizes[others] + sizes[i]
+    # A link needs overlap * (100 + percent) >= percent * total.
+    return others[(total - differ) * (100 + percent) >= 2 * percent * total]
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the two sides of a block; a block with one side meets itself."""
+    side = table.column("side").to_numpy()
+    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    return left, right if len(right) else left
+
+
+def _bounded(percent: int):
+    """The rows of a block that may link with any other one, by their signatures."""
+
+    def run(table: pa.Table) -> pa.Table:
+        labels, kinds, sizes = (table.column(c).to_numpy() for c in ("label", "kind", "n"))
+        maps = _folded(table.column("bits").to_pylist())
+        left, right = _sides(table)
+        alive = np.zeros(table.num_rows, bool)
+        for i in left:
+            partners = _may_link(sizes, maps, labels, kinds, i, right, percent)
+            alive[partners] = True
+            alive[i] |= len(partners) > 0
+        return table.select(_ROW).filter(pa.array(alive))
+
+    return run
+
+
+def _exact(percent: int):
+    """Links in a block, as few as join the components that they link."""
+
     def run(table: pa.Table) -> pa.Table:
         ids, labels, kinds = (table.column(c).to_numpy() for c in ("doc_id", "label", "kind"))
-        side = table.column("side").to_numpy()
         arrays = [np.frombuffer(x, np.uint64) for x in table.column("hashed").to_pylist()]
-        left = np.flatnonzero(side == 0)
-        right = np.flatnonzero(side == 1) if (side == 1).any() else left
-        links = _compare(ids, labels, kinds, left, right, arrays, percent)
+        sizes = np.array([len(a) for a in arrays])
+        row = np.repeat(np.arange(len(arrays)), sizes)
+        maps = _folded(_signatures(row, np.concatenate(arrays), np.full(len(arrays), 4 * sizes.max())))
+        left, right = _sides(table)
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                x = parent[x]
+            return x
+
+        links = []
+        for i in left:
+            for j in _may_link(sizes, maps, labels, kinds, i, right, percent):
+                a, b = root(int(labels[i])), root(int(labels[j]))
+                if a == b:
+                    continue
+                overlap = len(np.intersect1d(arrays[i], arrays[j], assume_unique=True))
+                if overlap * (100 + percent) >= percent * (sizes[i] + sizes[j]):
+                    parent[max(a, b)] = min(a, b)
+                    links.append((int(ids[i]), int(ids[j])))
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
     return run
@@ -257,39 +295,38 @@ def _send(words: int):
             row, hashed = shingles(*utf8(batch.column("text")), words)
             edges = np.searchsorted(row, np.arange(batch.num_rows + 1))
             sets_ = pa.array([hashed[edges[k] : edges[k + 1]].tobytes() for k in range(batch.num_rows)], pa.binary())
-            names = ["hub", "i", "j", "side", "doc_id", "label", "kind"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), sets_], [*names, "hashed"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in _ROW), sets_], [*_ROW, "hashed"])
 
     return run
 
 
-def _links(documents: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b): links found in the blocks (hub, i, j, side, doc_id, label, kind)."""
-    blocks = cut(blocks)
-    sent = documents.filter(F.col("doc_id").isNotNull()).join(near(blocks, BROADCAST_ROWS), "doc_id").select("hub", "i", "j", "side", "doc_id", "label", "kind", "text")
-    schema = "hub long, i long, j long, side int, doc_id long, label long, kind long, hashed binary"
-    return cut(sent.mapInArrow(_send(words), schema).groupBy("hub", "i", "j").applyInArrow(_compare_block(percent), "a long, b long"))
+def _links(documents: DataFrame, members: DataFrame, blocks: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): links found in the blocks (hub, i, j, side, doc_id, label, kind).
 
+    Signatures come first: they are a fraction of the sets, and rows without a possible partner in
+    their block go no further. Only what is left is joined with its text and compared exactly.
+    """
+    key = ["hub", "i", "j"]
+    kinds = "hub long, i long, j long, side int, doc_id long, label long, kind long"
+    signed = cut(blocks).join(members.filter("n > 0").select("doc_id", "n", "bits"), "doc_id").select(*_ROW, "n", "bits")
+    left = cut(signed.groupBy(*key).applyInArrow(_bounded(percent), kinds))
+    # Only ids are broadcast; texts that take part are shuffled to their blocks.
+    left = cut(left.distinct())
+    texts = documents.join(near(cut(left.select("doc_id").distinct()), BROADCAST_ROWS), "doc_id", "left_semi")
+    sent = texts.join(left, "doc_id").select(*_ROW, "text")
+    return cut(sent.mapInArrow(_send(words), f"{kinds}, hashed binary").groupBy(*key).applyInArrow(_exact(percent), "a long, b long"))
 
-def _labelled(around: DataFrame, joined: DataFrame) -> DataFrame:
-    """(hub, member) with the member's component as label."""
-    known = joined.select(F.col("id").alias("member"), "component")
-    return around.join(known, "member", "left").select("hub", "member", F.coalesce("component", "member").alias("label"))
 
-
-def _joined_with(joined: DataFrame, links: DataFrame) -> DataFrame:
-    return cut(components(joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(links)))
-
-
-def _blocks(around: DataFrame, enough: Column) -> DataFrame:
+def _blocks(around: DataFrame, compared: DataFrame) -> DataFrame:
     """Blocks in which members of a hub meet all others of another kind, if they have several labels:
-    those not of the most frequent kind are dealt to blocks against that kind and among themselves."""
-    extra = [F.max("checked").alias("checked")] if "checked" in around.columns else []
-    per = around.groupBy("hub", "kind").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"), *extra)
-    extra = [F.max("checked").alias("checked")] if extra else []
+    those not of the most frequent kind are dealt to blocks against that kind and among themselves.
+    A hub with one member needs none if the two are in `compared` (hub, member)."""
+    per = around.groupBy("hub", "kind").agg(F.count("*").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
     most = F.max(F.struct("rows", "kind")).alias("most")
-    hubs = per.groupBy("hub").agg(F.count("*").alias("kinds"), F.sum("rows").alias("rows"), most, F.min("low").alias("low"), F.max("high").alias("high"), *extra)
-    hubs = hubs.filter((F.col("kinds") > 1) & (F.col("low") < F.col("high")) & enough)
+    hubs = per.groupBy("hub").agg(F.count("*").alias("kinds"), F.sum("rows").alias("rows"), most, F.min("low").alias("low"), F.max("high").alias("high"))
+    hubs = cut(hubs.filter("kinds > 1 AND low < high"))
+    single = cut(compared.groupBy("hub").agg(F.count("*").alias("known")).filter("known = 1"))
+    hubs = hubs.join(single, "hub", "left").filter("NOT (rows = 2 AND known IS NOT NULL)")
     hubs = cut(hubs.select("hub", F.col("most.kind").alias("main"), F.col("most.rows").alias("inside"), (F.col("rows") - F.col("most.rows")).alias("outside")))
     rest = around.select("hub", "member", "label", "kind").join(hubs, "hub")
     blocks_in, blocks_out = (F.ceil(F.col(c) / BLOCK) for c in ("inside", "outside"))
@@ -334,10 +371,10 @@ def linked(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     copies = cut(copies.select(F.col("doc_id").alias("id"), "class").distinct())
 
     # One row of each class files its parts. (A doc_id with several texts may stand for several classes.)
-    spare = near(copies.groupBy("id").agg(F.count("*").alias("classes")).filter("classes = 1").select(F.col("id").alias("doc_id")).transform(cut), BROADCAST_ROWS)
-    several = filled.groupBy("doc_id").agg(F.count_distinct(*key).alias("texts")).filter("texts > 1").select("doc_id").transform(cut)
-    spare = spare.join(several, "doc_id", "left_anti")
-    filing = texts.filter(F.col("doc_id").isNotNull()).join(spare, "doc_id", "left_anti")
+    spare = copies.groupBy("id").agg(F.count("*").alias("classes")).filter("classes = 1").select(F.col("id").alias("doc_id"))
+    several = filled.groupBy("doc_id").agg(F.count_distinct(*key).alias("texts")).filter("texts > 1").select("doc_id")
+    spare = cut(cut(spare).join(cut(several), "doc_id", "left_anti"))
+    filing = texts.filter(F.col("doc_id").isNotNull()).join(near(spare, BROADCAST_ROWS), "doc_id", "left_anti")
     ties = cut(candidates(filing, words, Bands(percent, largest), buckets).filter("hub <> member").distinct())
 
     # First round: every class against the smallest it met.
@@ -347,22 +384,28 @@ def linked(documents: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     first = placed.select("hub", "i", _zero().alias("j"), F.lit(1).alias("side"), F.col("member").alias("doc_id"), F.col("member").alias("label"), F.col("member").alias("kind"))
     hubs = placed.select("hub", "i").distinct()
     first = first.unionByName(hubs.select("hub", "i", _zero().alias("j"), F.lit(0).alias("side"), F.col("hub").alias("doc_id"), F.col("hub").alias("label"), F.col("hub").alias("kind")))
-    edges = copies.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(_links(texts, first, words, percent))
+    edges = copies.select(F.col("id").alias("a"), F.col("class").alias("b")).unionByName(_links(texts, members, first, words, percent))
     joined = cut(components(edges))
 
+    # Component and nearest hub of each class; one without an entry is its own.
+    known = joined.select(F.col("id").alias("member"), "component").join(nearest, "member", "full")
+    known = cut(known.select("member", F.coalesce("component", "member").alias("label"), F.coalesce("hub", "member").alias("kind")))
+
+    def marked(meetings: DataFrame) -> DataFrame:
+        """(hub, member, label, kind) of the members of every hub, itself included."""
+        every = meetings.select("hub", "member").unionByName(meetings.select("hub", F.col("hub").alias("member")).distinct())
+        return every.join(known, "member", "left").select("hub", "member", F.coalesce("label", "member").alias("label"), F.coalesce("kind", "member").alias("kind"))
+
     # Second round: all classes with the same nearest one, against each other.
-    own = nearest.unionByName(nearest.select(F.col("hub").alias("member"), "hub").distinct())
-    around = cut(_labelled(own, joined).withColumn("kind", F.col("label")))
-    joined = _joined_with(joined, _links(texts, _blocks(around, F.col("rows") > 2), words, percent))
-
-    # Third round: around each hub, classes with different nearest ones.
-    around = _labelled(ties.unionByName(ties.select("hub", F.col("hub").alias("member")).distinct()), joined)
-    kinds = nearest.select("member", F.col("hub").alias("kind"))
-    around = around.join(kinds, "member", "left").withColumn("kind", F.coalesce("kind", "member"))
-    # Two classes were compared in the first round if one is the nearest of the other.
-    checked = cut(nearest.select("hub", F.lit(1).alias("checked")).distinct())
-    around = cut(cut(around).join(checked, "hub", "left"))
-    joined = _joined_with(joined, _links(texts, _blocks(around, F.col("rows") > F.coalesce("checked", F.lit(0)) + 1), words, percent))
+    around = cut(marked(nearest).withColumn("kind", F.col("label")))
+    second = _links(texts, members, _blocks(around, nearest), words, percent)
+
+    # Third round: around each hub, classes with different nearest ones. What the second round has joined
+    # was of the same nearest one, so the components need not be brought up to date in between.
+    around = cut(marked(ties))
+    third = _links(texts, members, _blocks(around, nearest), words, percent)
+    edges = joined.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(second).unionByName(third)
+    joined = cut(components(edges))
     return members.join(joined.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
     )

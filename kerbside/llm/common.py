@@ -12,12 +12,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.session import ensure_checkpoint_dir
 
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 #: A random 64-bit value for each byte; the seed is part of every stored hash.
@@ -30,6 +30,12 @@ _LOWER[65:91] += 32
 _powers: dict[str, np.ndarray] = {}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch than Spark's default, as rows are whole documents: 10,000 of them
+    would be held several times over, inside and outside of the JVM, by every task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def text_column(name: str = "text") -> Column:
     """The text, empty where it is missing."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

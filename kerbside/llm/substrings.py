@@ -29,7 +29,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,7 +41,7 @@ DIGIT = 24
 CHUNK = 8
 _WIDTH = WINDOW - DIGIT + 1
 #: A stretch of text that is hashed at once; longer texts are cut, all windows stay whole.
-SEGMENT = 1 << 21
+SEGMENT = 1 << 20
 _POSITION = np.uint64(24)  # bits for a position in a stretch, below the bits of a digit
 #: Records that a task gathers before it packs them.
 GATHERED = 300_000
@@ -319,44 +318,40 @@ def _removed(starts: list[int], sizes: list[int]) -> list[tuple[int, int]]:
 def cut_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, removed array<struct<begin, end>>, kept binary, rest): each text without its
     repeats; `rest` holds the other columns."""
+    return _without(documents, id_col, text_col, T.BinaryType())
+
+
+def _without(documents: DataFrame, id_col: str, text_col: str, kept_type: T.DataType) -> DataFrame:
+    """What is kept as bytes, or as a string without characters that were cut in two."""
     rows = repeats(documents, id_col, text_col).select("doc_id", "text", "starts", "sizes", "rest")
     kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+    as_text = isinstance(kept_type, T.StringType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, size=4 * SEGMENT):
+        for batch in slices(batches, size=2 * SEGMENT):
             lengths, spans, kept = [], [], []
             for text, starts, sizes in zip(*(batch.column(c).to_pylist() for c in ("text", "starts", "sizes")), strict=True):
                 raw = text.encode("utf-8")
                 removed = _removed(starts, sizes) if starts is not None else []
                 edges = [0, *(x for span in removed for x in span), len(raw)]
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+                left = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+                kept.append(left.decode("utf-8", "ignore") if as_text else left)
                 spans.append([{"begin": a, "end": b} for a, b in removed])
                 lengths.append(len(raw))
-            arrays = [batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.binary()), batch.column("rest")]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_bytes", "removed", "kept", "rest"])
-
-    schema = T.StructType(
-        [
-            T.StructField("doc_id", T.LongType()),
-            T.StructField("n_bytes", T.LongType()),
-            T.StructField("removed", T.ArrayType(T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())]))),
-            T.StructField("kept", T.BinaryType()),
-            rows.schema["rest"],
-        ]
-    )
-    return rows.mapInArrow(run, schema)
+            arrays = [batch.column("doc_id"), pa.array(lengths, pa.int64()), pa.array(spans, kind), pa.array(kept, pa.string() if as_text else pa.binary())]
+            yield pa.RecordBatch.from_arrays([*arrays, batch.column("rest")], ["doc_id", "n_bytes", "removed", "kept", "rest"])
+
+    span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])
+    fields = [("doc_id", T.LongType()), ("n_bytes", T.LongType()), ("removed", T.ArrayType(span)), ("kept", kept_type)]
+    return rows.mapInArrow(run, T.StructType([*(T.StructField(*f) for f in fields), rows.schema["rest"]]))
 
 
 def without_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows with repeats cut from their texts. A character that is cut in two goes as a whole; a null
     text stays null, and a text that is nothing but repeats becomes empty."""
-    rows = cut_repeats(documents.withColumn(_NULL, F.col(text_col).isNull()), id_col, text_col)
-    text = F.when(F.col(f"rest.{_NULL}"), None).when(F.size("removed") == 0, F.col("kept").cast("string")).otherwise(F.pandas_udf(_whole, "string")("kept"))
+    rows = _without(documents.withColumn(_NULL, F.col(text_col).isNull()), id_col, text_col, T.StringType())
+    text = F.when(~F.col(f"rest.`{_NULL}`"), F.col("kept"))
     return rows.select(*(text.alias(c) if c == text_col else F.col(f"rest.`{c}`") for c in documents.columns))
 
 
 _NULL = "text was null"
-
-
-def _whole(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda raw: raw.decode("utf-8", "ignore"))

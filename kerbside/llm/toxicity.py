@@ -236,16 +236,15 @@ class Model:
 
 
 def _featured(frame: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """The rows with the features of each text instead of it."""
-    schema = frame.drop("text").withColumn("numbers", F.lit(None).cast("array<double>")).schema
-    names = schema.names
+    """The rows with the features of each text; only the texts go through Python."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            numbers = features(*utf8(batch.column("text")), lexicon)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names[:-1]), pa.array(list(numbers), pa.list_(pa.float64()))], names)
+    def numbers(texts: pa.Array) -> pa.Array:
+        parts = [pa.array([], pa.list_(pa.float64()))]
+        for batch in slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+            parts.append(pa.array(list(features(*utf8(batch.column("text")), lexicon)), pa.list_(pa.float64())))
+        return pa.concat_arrays(parts)
 
-    return frame.mapInArrow(run, schema)
+    return frame.withColumn("numbers", F.arrow_udf(numbers, "array<double>")("text"))
 
 
 def fit(documents: DataFrame, labels: DataFrame, label_col: str = "toxic", rows: int = FIT_ROWS) -> Model:
@@ -259,7 +258,7 @@ def fit(documents: DataFrame, labels: DataFrame, label_col: str = "toxic", rows:
     mixed = False in seen and 0 < seen[False]["ones"] < seen[False]["n"]
     ready = known.filter("NOT calibrates") if mixed else known
     lexicon = learn(ready)
-    numbers = cut(_featured(known, lexicon).withColumn("features", array_to_vector("numbers")).drop("numbers"))
+    numbers = cut(_featured(known, lexicon).select("label", "calibrates", array_to_vector("numbers").alias("features")))
     trees = GBTClassifier(maxIter=ROUNDS, maxDepth=DEPTH, stepSize=0.2, seed=SEED, minInstancesPerNode=3)
     trees = trees.fit(numbers.filter("NOT calibrates") if mixed else numbers)
     held = numbers.filter("calibrates") if True in seen and mixed else numbers
@@ -279,7 +278,7 @@ def score(documents: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
 
 def _scored(rows: DataFrame, model: Model) -> DataFrame:
-    raw = _raw(_featured(rows, model.lexicon).withColumn("features", array_to_vector("numbers")), model.trees)
+    raw = _raw(_featured(rows, model.lexicon).drop("text").withColumn("features", array_to_vector("numbers")), model.trees)
     return model.shares.transform(raw).withColumn("score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), "share")))
 
 

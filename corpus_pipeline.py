@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import ngram_join, packing, pii, substrings, toxicity
+from kerbside.llm.common import small_batches
 from kerbside.session import new_folder
 
 
@@ -23,6 +24,7 @@ def _counted(documents: DataFrame) -> DataFrame:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents with a toxicity of 0.7 or more, as learnt from labelled rows outside a held-out third."""
+    small_batches(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     fitted = labels.filter(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 1)
     return toxicity.clean(docs, toxicity.fit(docs, fitted, "toxic"), 0.7)
@@ -31,21 +33,25 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of documents linked by a Jaccard similarity of 0.8 on five-word shingles, the one with
     the smallest doc_id stays."""
+    small_batches(spark)
     return ngram_join.without_copies(docs, words=5, percent=80)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut byte strings of 100 or more that stand earlier in the corpus; all documents stay."""
+    small_batches(spark)
     return _counted(substrings.without_repeats(docs))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace e-mail and IP addresses, card and phone numbers, and what else stands in their contexts."""
+    small_batches(spark)
     return _counted(pii.masked(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Deal documents to length buckets and batches of 32,768 tokens."""
+    small_batches(spark)
     return packing.pack(docs)
 
 

@@ -7,9 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, packing, pii, quality, substrings, toxicity
+from kerbside.llm.common import small_batches
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -37,6 +37,8 @@ from kerbside.llm.common import by_bucket, components, cut, id_text, mix, near,
 
 #: Records that a task gathers before it packs them.
 GATHERED = 400_000
+#: Documents of a task that may share a part before only one of them is sent on.
+CROWD = 16
 #: Text bytes for each bucket of records.
 BUCKET_BYTES = 8 << 20
 #: Members of a block in a comparison, and ids up to which a set of them is sent to all executors.
@@ -142,22 +144,26 @@ def _parts(row: np.ndarray, hashed: np.ndarray, sizes: np.ndarray, bands: Bands)
         yield owner[out], mix(sums[out] + salt)
 
 
-def _meetings(part: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted records; which are first of their part; and for each the first one's document."""
+def _meetings(part: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The order by part, then document; in it, which are first of their part, for each the first one's
+    document, and its own."""
     order = np.lexsort((doc, part))
     part, doc = part[order], doc[order]
     first = runs(part)
     hub = doc[np.flatnonzero(first)[np.cumsum(first) - 1]]
-    return order[first], hub, doc
+    return order, first, hub, doc
 
 
 def _pack(words: int, bands: Bands, buckets: int):
     def flush(parts: list, docs: list, turn: int) -> Iterator[pa.RecordBatch]:
         part, doc = np.concatenate(parts), np.concatenate(docs)
-        first, hub, member = _meetings(part, doc)
-        # Only one document of a part leaves the task; the others are tied to it here.
-        met = np.unique(np.stack([hub, member], axis=1)[hub != member], axis=0)
-        kept = np.sort(first)
+        order, first, hub, member = _meetings(part, doc)
+        # Where many documents of the task share a part, only one of them leaves it; the others are tied to
+        # it here.
+        begin = np.flatnonzero(first)
+        crowded = np.repeat(np.diff(np.append(begin, len(order))) > CROWD, np.diff(np.append(begin, len(order))))
+        met = np.unique(np.stack([hub, member], axis=1)[crowded & (hub != member)], axis=0)
+        kept = np.sort(order[first | ~crowded])
         part, doc = part[kept], doc[kept]
         rows = list(by_bucket(((part >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64), buckets))
         shares = np.array_split(met, len(rows), axis=0)
@@ -203,7 +209,7 @@ def _meet(table: pa.Table) -> pa.Table:
     """Documents of a bucket that share a part, tied to the smallest; `local` ties were made in a task."""
     part = np.frombuffer(b"".join(table.column("part").to_pylist()), np.uint64)
     doc = np.concatenate([np.cumsum(np.frombuffer(b, np.int64)) for b in table.column("doc").to_pylist()])
-    _, hub, member = _meetings(part, doc)
+    _, _, hub, member = _meetings(part, doc)
     ties = np.unique(np.stack([hub, member], axis=1)[hub != member], axis=0)
     local = np.unique(np.frombuffer(b"".join(table.column("met").to_pylist()), np.int64).reshape(-1, 2), axis=0)
     both = np.concatenate([ties, local])

@@ -2,11 +2,13 @@
 
 Markup is stripped to lines, one for each block element, in page order. A line weighs as many
 characters as it has outside of links; lines inside elements that never hold main text (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, styles, comments) weigh nothing, and if the page
-marks its article, neither do lines outside it. Weights are summed over windows of `WINDOW` lines. The
-text surges where the sum leaves zero and dives where it falls back to zero; between a surge and its
-dive all lines that are not boilerplate are text, however short. Of several such stretches the one with
-the highest sum counts, with those around it that reach `PEAK` of it.
+footers, sidebars, notices, adverts, forms, scripts, styles, comments) weigh nothing, and lines inside an
+<article> or <main> weigh `INSIDE` times as much. Weights are summed over windows of `WINDOW` lines, and
+no window reaches over the border of such an element. The text surges where the sum leaves zero and dives
+where it falls back to zero; between a surge and its dive all lines that are not boilerplate are text,
+however short. Of several such stretches the one with the highest sum counts, with those that reach `PEAK`
+of it and those between such stretches of the same element; if it lies in an <article>, all stretches of
+that article count. So articles that are teasers or comments do not outweigh a story outside of them.
 
 Results: null and empty pages give an empty text, and so do pages without any. Broken markup is read
 as far as it goes: unclosed elements end with their parent, a tag that is cut off is dropped.
@@ -27,6 +29,7 @@ from kerbside.llm.common import slices, text_column
 
 WINDOW = 4
 PEAK = 0.3
+INSIDE = 2
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(?P<end>/?)(?P<name>[A-Za-z][A-Za-z0-9:-]*)(?P<attrs>(?:[^<>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z|(?=<))",
@@ -51,6 +54,9 @@ _MARKED = set(
     notice notices notification overlay pager pagination popup promo promotion recommended related replies reply respond
     search share sharing sidebar signup skip social sponsor sponsored subscribe subscription toolbar topbar widget""".split()
 )
+#: Articles in or with these are other people's or other pages' text, unless the name only says that there are some.
+_FOREIGN = set("ad ads advert adverts advertisement comment comments disqus promo recommended related replies reply respond sponsored".split())
+_SAYS = set("has with without no open closed status enabled disabled allow show hide count".split())
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 
 
@@ -70,13 +76,24 @@ def _boilerplate(name: str, attrs: str, inside: bool) -> bool:
     return False
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, inside an article) of each block of a page that has any text."""
-    out: list[tuple[str, int, bool]] = []
+def _foreign(attrs: str) -> bool:
+    for match in _ATTRIBUTE.finditer(attrs):
+        if match[1].lower() in ("class", "id"):
+            for token in next((g for g in match.groups()[1:] if g is not None), "").split():
+                words = {w.lower() for w in _WORD.findall(token)}
+                if words & _FOREIGN and not words & _SAYS:
+                    return True
+    return False
+
+
+def lines(page: str) -> list[tuple[str, int, int]]:
+    """(text, weight, element) of each block of a page that has any text. The element is the innermost
+    <article> or <main> around it: 0 if there is none, n for the n-th if that is a <main>, -n if an <article>."""
+    out: list[tuple[str, int, int]] = []
     parts: list[str] = []
-    weight = 0
-    stack: list[tuple[str, bool, bool]] = []  # name, boilerplate, inside an article or main element
-    dropped, inside, links = False, False, 0
+    weight = seen = 0
+    stack: list[tuple[str, bool, int, bool]] = []  # name, boilerplate, element, in or with a foreign name
+    dropped, inside, links = False, 0, 0
 
     def close() -> None:
         nonlocal weight
@@ -111,7 +128,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         if match["end"]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    links -= sum(n == "a" for n, _, _ in stack[k:])
+                    links -= sum(n == "a" for n, *_ in stack[k:])
                     del stack[k:]
                     break
             else:
@@ -126,20 +143,22 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             if name in _CLOSES_P:
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k][0] == "p":
-                        links -= sum(n == "a" for n, _, _ in stack[k:])
+                        links -= sum(n == "a" for n, *_ in stack[k:])
                         del stack[k:]
                         break
                     if stack[k][0] in _BLOCK:
                         break
-            above = stack[-1] if stack else ("", False, False)
+            above = stack[-1] if stack else ("", False, 0, False)
+            foreign = above[3] or name not in ("html", "body", "main") and bool(match["attrs"]) and _foreign(match["attrs"])
             if name in ("article", "main"):
-                # An article counts even where a wrapper around it is named like boilerplate.
-                kept = above[1] and any(n in _NEVER for n, d, _ in stack if d)
-                stack.append((name, kept, not kept))
+                # An article counts even where a wrapper around it is named like boilerplate, but not among comments.
+                drop = foreign or above[1] and any(n in _NEVER for n, d, *_ in stack if d)
+                seen += 1
+                stack.append((name, drop, above[2] if drop else -seen if name == "article" else seen, foreign))
             else:
-                stack.append((name, above[1] or _boilerplate(name, match["attrs"], above[2]), above[2]))
+                stack.append((name, above[1] or _boilerplate(name, match["attrs"], above[2] != 0), above[2], foreign))
             links += name == "a"
-        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+        dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
     close()
     return out
 
@@ -148,28 +167,35 @@ def main_text(page: str) -> str:
     found = lines(page)
     if not found:
         return ""
-    marked = any(i for _, _, i in found)
-    if marked:  # the page says which lines are its article: any text there counts
-        weights = np.array([max(w, 1) if i else 0 for _, w, i in found])
-    else:
-        weights = np.array([w for _, w, _ in found])
-    padded = np.concatenate([np.zeros(WINDOW - 1, np.int64), weights, np.zeros(WINDOW - 1, np.int64)])
-    sums = np.convolve(padded, np.ones(WINDOW, np.int64), "valid")  # windows that begin before and end behind each line
+    element = np.array([e for _, _, e in found])
+    weights = np.array([w for _, w, _ in found]) * np.where(element != 0, INSIDE, 1)
+    if not weights.any():  # all text is in links: that of an article still counts
+        weights = (element != 0).astype(np.int64)
+    # WINDOW empty lines at each border of an element: no window reaches over it, and the text dives there.
+    at = np.arange(len(found)) + WINDOW * np.concatenate([[0], np.cumsum(element[1:] != element[:-1])])
+    spread = np.zeros(at[-1] + 1, np.int64)
+    spread[at] = weights
+    sums = np.convolve(spread, np.ones(WINDOW, np.int64))  # windows that begin before and end behind each line
     busy = np.concatenate([[False], sums > 0, [False]])
     surges, dives = np.flatnonzero(busy[1:] & ~busy[:-1]), np.flatnonzero(busy[:-1] & ~busy[1:])
     if not len(surges):
         return ""
     peaks = np.array([sums[a:b].max() for a, b in zip(surges, dives, strict=True)])
-    if marked:
-        chosen = np.arange(len(peaks))
-    else:
-        high = np.flatnonzero(peaks >= PEAK * peaks.max())
-        chosen = np.arange(high[0], high[-1] + 1)
+    owner = element[np.searchsorted(at, surges)]  # the text surges at a line that weighs something
+    chosen = np.zeros(len(peaks), bool)
+    for e in np.unique(owner):
+        own = np.flatnonzero(owner == e)
+        high = own[peaks[own] >= PEAK * peaks.max()]
+        if len(high):
+            chosen[own[(own >= high[0]) & (own <= high[-1])]] = True
+    best = owner[peaks.argmax()]
+    if best < 0:
+        chosen[owner == best] = True
     kept = np.zeros(len(sums), bool)
     for a, b in zip(surges[chosen], dives[chosen], strict=True):
         kept[a:b] = True
-    # Window k holds the lines k - WINDOW + 1 to k.
-    return "\n\n".join(text for k, (text, _, _) in enumerate(found) if weights[k] and kept[k : k + WINDOW].any())
+    # Window k holds the lines k - WINDOW + 1 to k. A heading inside an article may be a link.
+    return "\n\n".join(text for (text, w, e), k in zip(found, at, strict=True) if (w or e) and kept[k : k + WINDOW].any())
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

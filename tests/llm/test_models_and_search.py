@@ -162,6 +162,35 @@ def test_distribution_finds_text_without_marks():
     assert len(lines) == 25 and "!" in lines and not any("Item" in x or "tiny" in x for x in lines)
 
 
+STORY = [f"Paragraph {k} of the story, which goes on for long enough to be told from a teaser of one line, and then some more." for k in range(8)]
+
+
+def test_teasers_and_comments_in_articles_are_not_the_story():
+    story = "".join(f"<p>{x}</p>" for x in STORY)
+    teasers = "".join(f"<article class=card><h3><a href=/{k}>Other story {k}</a></h3><p>What it is about.</p></article>" for k in range(6))
+    talk = "I do not agree with any of this at all, and I will say so at length. " * 6
+    for page in (
+        f"<div><h1>Headline</h1>{story}</div><div>{teasers}</div>",
+        f"<div>{teasers}</div><div><h1>Headline</h1>{story}</div>",
+        f"<div><h1>Headline</h1>{story}</div><section class=comments><article><p>{talk}</p></article></section>",
+        f"<div><h1>Headline</h1>{story}</div><div><article class=comment-body><p>{talk}</p></article></div>",
+        f"<main><h1>Headline</h1>{story}<div class=related-posts>{teasers}</div>{teasers}</main>",
+        f"<div class=has-comments><article class=comments-open><h1>Headline</h1>{story}<div id=comments><article><p>{talk}</p></article></div></article></div>",
+    ):
+        assert html_text.main_text(page).split("\n\n") == ["Headline", *STORY], page[:80]
+    halves = "".join(f"<p>{x}</p>" for x in STORY[:4]), "".join(f"<p>{x}</p>" for x in STORY[4:])
+    assert html_text.main_text(f"<div>{halves[0]}</div>{teasers}<div>{halves[1]}</div>").split("\n\n") == STORY
+
+
+def test_windows_choose_inside_an_article():
+    story = "".join(f"<p>{x}</p>" for x in STORY)
+    tags = "".join(f"<li><a href=/{k}>Tag {k}</a></li>" for k in range(12))
+    got = html_text.main_text(f"<article><h1><a href=/>Headline</a></h1><p>Intro.</p><ul>{tags}</ul>{story}</article><div>Outside</div>").split("\n\n")
+    assert got[:2] == ["Headline", "Intro."] and got[-8:] == STORY and "Tag 5" not in got and "Tag 6" not in got
+    assert html_text.main_text("<article><p><a href=/>All in a link</a></p></article>") == "All in a link"
+    assert html_text.main_text("<article><p>Short.</p></article><div>By us</div>").startswith("Short.")
+
+
 @pytest.mark.parametrize("page", ["", "   ", "<", "<p", "<p>a", "a<b", "</p></p>", "<!-- open", "<script>x", "<a href='x>y", "&#x110000;&bad;&", "<article></article>", "<div hidden>x</div>", "<p>" * 3000 + "x"])
 def test_broken_pages_do_not_fail(page):
     assert isinstance(html_text.main_text(page), str)

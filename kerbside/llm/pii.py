@@ -1,8 +1,10 @@
 """Personal data: fixed patterns as seeds, and contextual extraction bootstrapped from them.
 
-1. One pass over the texts finds the base spans (e-mail, IP address, card and phone number) and other
-   tokens that look like identifiers, each with the lexical patterns around it: the two words before
-   it, and the word before with the word behind, in lower case and with digits as 0.
+1. One pass over the texts finds the base spans (e-mail, IP address, card and phone number) and what else
+   looks like an identifier: tokens with a digit or an @, groups of digits over blanks, brackets, dots
+   and hyphens as one, and addresses with at and dot spelled out. Each comes with the lexical patterns
+   around it: the two words before it, and the word before with the word behind, in lower case and with
+   digits as 0.
 2. Patterns and instances (what stands between the words) form a graph. Spark scores it for `ROUNDS`
    rounds: a pattern of a kind is trusted by the share of its instances that are of that kind, each
    weighted by its own confidence; an unknown instance is believed as far as any of its patterns is
@@ -16,7 +18,9 @@ spans never overlap base spans, which always stay. Rows that repeat get the same
 
 from __future__ import annotations
 
+import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +33,7 @@ KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
 TRUSTED = 0.6
 SUPPORT = 3
-#: Patterns keep this much of a word, and identifiers beyond this length are no candidates.
+#: Patterns keep this much of a word; an instance beyond this length is known by its hash.
 WORD = 40
 LONGEST = 200
 #: Documents with added spans up to which these are sent to all executors.
@@ -44,6 +48,19 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]|@")
 _BORDER = re.compile(r"[\s\"'<>(),;=|]")
+_GROUP = re.compile(r"[-+/]?[0-9]+(?:[-./–][0-9]+)*[-/]?")
+_LABEL = re.compile(r"[^\W\d_]+:+")
+_BLANK = r"[^\S\r\n\v\f\x1c-\x1e\x85\u2028\u2029]"
+#: What may stand between two groups of digits. A dot with a blank ends a sentence.
+_JOINT = re.compile(rf"{_BLANK}{{0,2}}[()/–-]{{0,2}}{_BLANK}{{0,2}}\(?")
+_DOT = rf"(?:{_BLANK}{{0,3}}[(\[{{<]{_BLANK}?(?:dot|punkt|point|punto|\.){_BLANK}?[)\]}}>]{_BLANK}{{0,3}}|{_BLANK}{{1,3}}(?:dot|punkt|point|punto|\.){_BLANK}{{1,3}}|\.)"
+# All alternatives begin with a set of characters, which the search runs through quickly.
+_WORD_AT = r"(?:[tT]|[rR][oO][bB][aA][sS][eE]|[rR][rR][oO][bB][aA])"
+_AT = re.compile(rf"(?P<sure>[(\[{{<]{_BLANK}?(?:[aAäÄ]{_WORD_AT}|@){_BLANK}?[)\]}}>])|(?P<word>[aAäÄ](?<!\w.){_WORD_AT}(?!\w))|@")
+_BLANKS = frozenset(c for c in map(chr, range(0x3001)) if re.match(_BLANK, c))
+_HOST = re.compile(rf"[^\W_](?:[\w-]*\w)?(?:{_DOT}[^\W_](?:[\w-]*\w)?)*", re.IGNORECASE)
+_DOMAIN_END = re.compile(rf"{_DOT}[^\W\d_]{{2,}}\Z", re.IGNORECASE)
+_DOT_BEFORE = re.compile(rf"(?<=[\w%+-]){_DOT}\Z", re.IGNORECASE)
 _SPAN = "struct<kind: string, begin: int, end: int>"
 
 
@@ -86,28 +103,105 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def _candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Tokens of four characters or more with a digit or an @ that touch no span."""
-    taken = sorted((b, e) for _, b, e in spans)
-    found, last, k = [], 0, 0
+def _touched(taken: list[tuple[int, int]], begin: int, end: int) -> bool:
+    """Whether any of the spans, which are in order, overlaps the range."""
+    k = bisect_left(taken, (begin, 0))
+    return any(b < end and begin < e for b, e in taken[max(0, k - 8) : k + 1])
+
+
+def _tokens(text: str) -> Iterator[tuple[int, int]]:
+    """Tokens with a digit or an @, without the marks that end a sentence."""
+    last = 0
     for match in _DIGIT.finditer(text):
         at = match.start()
         if at < last:
             continue
-        while k < len(taken) and taken[k][1] <= at:
-            k += 1
         begin = at
-        while begin > last and at - begin <= LONGEST and not _BORDER.match(text[begin - 1]):
+        while begin > last and not _BORDER.match(text[begin - 1]):
             begin -= 1
         border = _BORDER.search(text, at)
         last = border.start() if border else len(text)
         end = last
         while end > at + 1 and text[end - 1] in ".:!?":
             end -= 1
-        touches = any(b < end and begin < e for b, e in taken[max(0, k - 1) : k + 2])
-        if 4 <= end - begin <= LONGEST and not touches:
-            found.append((begin, end))
-    return found
+        yield begin, end
+
+
+def _spelled(text: str) -> Iterator[tuple[int, int]]:
+    """Addresses with a spelled-out at. Without brackets around it, the host must end like a domain."""
+    last = 0
+    for match in _AT.finditer(text):
+        middle, begin = match.span()[::-1]
+        while begin > last and match.start() - begin < 3 and text[begin - 1] in _BLANKS:
+            begin -= 1
+        while middle < len(text) and middle - match.end() < 3 and text[middle] in _BLANKS:
+            middle += 1
+        before, behind = begin < match.start(), middle > match.end()
+        if match["word"] and not (before and behind) or not match["sure"] and not (before or behind):
+            continue
+        host = _HOST.match(text, middle)
+        if not host:
+            continue
+        end, start = host.end(), begin
+        if not match["sure"] and not _DOMAIN_END.search(text, max(middle, end - 2 * WORD), end):
+            continue
+        while begin > last:
+            while begin > last and (text[begin - 1].isalnum() or text[begin - 1] in "._%+-"):
+                begin -= 1
+            dot = _DOT_BEFORE.search(text, max(last, begin - 20), begin) if begin < start else None
+            if not dot:
+                break
+            begin = dot.start()
+        if begin < start:
+            last = end
+            yield begin, end
+
+
+def _candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int, int, int]]:
+    """What may be an identifier, of four characters or more, and touches no span: spelled-out addresses,
+    groups of digits that stand together as one, and other tokens with a digit or an @. Behind each is the
+    range of the whole that it is a part of: of joined groups, each of four characters or more comes too."""
+    taken = sorted((b, e) for _, b, e in spans)
+    found = [(b, e, b, e) for b, e in _spelled(text) if not _touched(taken, b, e)]
+    taken = sorted(taken + [f[:2] for f in found])
+    groups: list[tuple[int, int]] = []
+
+    def close() -> None:
+        if groups:
+            whole = _bracketed(text, groups[0][0], groups[-1][1])
+            found.append(whole + whole)
+            if len(groups) > 1:
+                found.extend((b, e, *whole) for b, e in groups)
+            groups.clear()
+
+    for begin, end in _tokens(text):
+        if _touched(taken, begin, end):
+            continue
+        group = _GROUP.fullmatch(text, begin, end)
+        if groups and not (group and begin - groups[-1][1] <= 7 and _JOINT.fullmatch(text, groups[-1][1], begin)):
+            close()
+        label = None if group else _LABEL.match(text, begin, end)
+        if group or label and _GROUP.fullmatch(text, label.end(), end):
+            groups.append((begin, end))
+        else:
+            found.append((begin, end, begin, end))
+    close()
+    return sorted(f for f in found if f[1] - f[0] >= 4)
+
+
+def _bracketed(text: str, begin: int, end: int) -> tuple[int, int]:
+    """With the bracket that opens before the first group, and the one that closes behind the last."""
+    inner = text[begin:end]
+    opened, closed = inner.find("("), inner.find(")")
+    if closed >= 0 and (opened < 0 or closed < opened) and text[begin - 1 : begin] == "(":
+        begin -= 1
+    if inner.rfind("(") > inner.rfind(")") and text[end : end + 1] == ")":
+        end += 1
+    return begin, end
+
+
+def _instance(found: str) -> str:
+    return found if len(found) <= LONGEST else f"{found[:WORD]} {hashlib.blake2b(found.encode('utf-8', 'surrogatepass'), digest_size=16).hexdigest()}"
 
 
 def _plain(word: str) -> str:
@@ -121,26 +215,38 @@ def _patterns(text: str, begin: int, end: int) -> list[str]:
     return [f"{first} {second} _", f"{second} _ {after}"]
 
 
+def _part_patterns(text: str, begin: int, end: int, first: int, last: int) -> list[str]:
+    """Patterns of a part without those of its whole, which stands in them itself."""
+    patterns = _patterns(text, begin, end)
+    if (begin, end) == (first, last):
+        return patterns
+    whole = _patterns(text, first, last)
+    return [p for p in patterns if p not in whole]
+
+
 def marks(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, t, n_chars, base, seen) of every row: base spans, and all instances with their patterns.
     `t` is a hash of the text; it tells rows of one doc_id apart."""
     span = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32())])
-    seen = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("instance", pa.string()), ("patterns", pa.list_(pa.string()))])
+    seen = pa.struct([("kind", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("whole", pa.int32()), ("is_whole", pa.bool_()), ("instance", pa.string()), ("patterns", pa.list_(pa.string()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             base, around, sizes = [], [], []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text)
-                places = [*spans, *((None, b, e) for b, e in _candidates(text, spans))]
+                places = [*((k, b, e, b, e) for k, b, e in spans), *((None, *c) for c in _candidates(text, spans))]
                 sizes.append(len(text))
                 base.append([{"kind": k, "begin": b, "end": e} for k, b, e in spans])
-                around.append([{"kind": k, "begin": b, "end": e, "instance": text[b:e], "patterns": _patterns(text, b, e)} for k, b, e in places])
+                around.append([
+                    {"kind": k, "begin": b, "end": e, "whole": first, "is_whole": (b, e) == (first, last), "instance": _instance(text[b:e]), "patterns": _part_patterns(text, b, e, first, last)}
+                    for k, b, e, first, last in places
+                ])
             columns = [batch.column("doc_id"), batch.column("t"), pa.array(sizes, pa.int64()), pa.array(base, pa.list_(span)), pa.array(around, pa.list_(seen))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "t", "n_chars", "base", "seen"])
 
     rows = id_text(documents, id_col, text_col).withColumn("t", F.xxhash64("text"))
-    schema = f"doc_id long, t long, n_chars long, base array<{_SPAN}>, seen array<struct<kind: string, begin: int, end: int, instance: string, patterns: array<string>>>"
+    schema = f"doc_id long, t long, n_chars long, base array<{_SPAN}>, seen array<struct<kind: string, begin: int, end: int, whole: int, is_whole: boolean, instance: string, patterns: array<string>>>"
     return cut(rows.mapInArrow(run, schema))
 
 
@@ -172,11 +278,14 @@ def discovered(marked: DataFrame, rounds: int = ROUNDS, trusted: float = TRUSTED
     seen = marked.select(*_row_key(), F.explode("seen").alias("s")).select("row", "t", "s.*")
     edges = cut(seen.select("kind", "instance", F.explode("patterns").alias("pattern")).distinct())
     patterns = _scored(edges, rounds).filter(F.col("trust") >= trusted)
-    places = seen.filter("kind IS NULL").select("row", "t", "begin", "end", F.explode("patterns").alias("pattern"))
-    best = places.join(cut(patterns.select("pattern", "kind", "trust")), "pattern").groupBy("row", "t", "begin", "end").agg(
+    places = seen.filter("kind IS NULL").select("row", "t", "begin", "end", "whole", "is_whole", F.explode("patterns").alias("pattern"))
+    best = places.join(cut(patterns.select("pattern", "kind", "trust")), "pattern").groupBy("row", "t", "whole", "is_whole", "begin", "end").agg(
         F.max_by("kind", F.struct("trust", "kind")).alias("kind")
     )
-    return cut(best.groupBy("row", "t").agg(F.collect_list(F.struct("kind", "begin", "end")).alias("added")))
+    # Rows that repeat have the same spans, so each comes once; parts give way to their whole.
+    wholes = best.groupBy("row", "t", "whole").agg(F.max("is_whole").alias("is_whole"), F.collect_list(F.struct("is_whole", "kind", "begin", "end")).alias("parts"))
+    spans = F.transform(F.filter("parts", lambda p: p["is_whole"] == F.col("is_whole")), lambda p: F.struct(p["kind"].alias("kind"), p["begin"].alias("begin"), p["end"].alias("end")))
+    return cut(wholes.groupBy("row", "t").agg(F.flatten(F.collect_list(spans)).alias("added")))
 
 
 def find(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

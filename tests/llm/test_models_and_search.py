@@ -117,6 +117,26 @@ def test_contexts_find_what_the_patterns_miss(spark):
     assert masked[21] == rows[9][1]
 
 
+def test_identifiers_of_several_tokens_are_one(spark):
+    rows = [(k, f"Note {k}. Please call +49 30 123456{k:02} today. Or write to a{k}@b.example.com now.") for k in range(12)]
+    phones = ["030 123 4567", "(030) 1234567", "0301 234567", "030-123 45.67", "0049 (0)30 / 12 34 56", "030 1234 (567)", "0" * 150 + " " + "1" * 150]
+    mails = ["name (at) host", "name.last [at] host [dot] org", "first dot last at host dot com", "name@ host.org", "name AT host.org", "x" * 300 + "1"]
+    rows += [(100 + k, f"Hello. Please call {x} today. Thanks") for k, x in enumerate(phones)]
+    rows += [(200 + k, f"Hello. Or write to {x} now. Thanks") for k, x in enumerate(mails)]
+    rows += [(300, "We met at home. In 1990 - 2000 it was 030 123 4567 or so"), (301, "Please call 0301234567. 25 people came")]
+    rows += [(302, "Note 5 0301234567 x")] + [(400 + k, f"Note {k} +49 30 123457{k:02} x") for k in range(8)]
+    frame = cases.documents(spark, rows)
+    found = {r.doc_id: [(s.kind, s.begin, s.end) for s in r.spans] for r in pii.find(frame).collect()}
+    texts = {r.doc_id: r.text for r in pii.masked(frame).collect()}
+    for k, x in enumerate(phones):
+        assert found[100 + k] == [("phone", 19, 19 + len(x))] and texts[100 + k] == "Hello. Please call [PHONE] today. Thanks", x
+    for k, x in enumerate(mails):
+        assert found[200 + k] == [("email", 19, 19 + len(x))] and texts[200 + k] == "Hello. Or write to [EMAIL] now. Thanks", x
+    assert found[300] == [] and texts[300] == rows[-11][1]
+    assert texts[301] == "Please call [PHONE]. 25 people came"
+    assert texts[302] == "Note 5 [PHONE] x"  # the number before it belongs to the context
+
+
 def test_personal_data_in_odd_documents(spark):
     rows = [*cases.ODD, (30, "mail a.b@c.example.com, ip 10.0.0.1"), (30, "mail a.b@c.example.com, ip 10.0.0.1"), (30, "call +1 (555) 555-0100")]
     frame = cases.documents(spark, rows)

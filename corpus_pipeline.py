@@ -7,6 +7,7 @@ code points anew, where there is such a column.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,9 +51,9 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Deal documents to length buckets and batches of 32,768 tokens."""
+    """Deal documents to length buckets and batches of 32,768 tokens of the 50k vocabulary."""
     small_batches(spark)
-    return packing.pack(docs)
+    return packing.pack(docs, tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [

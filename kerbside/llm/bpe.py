@@ -268,6 +268,21 @@ def encode(documents: DataFrame, path: str, text_col: str = "text", id_col: str
     return source.mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def sizes(texts: DataFrame, path: str, text_col: str = "text", out_col: str = "n_tokens") -> DataFrame:
+    """The rows with the number of ids of the text, which may not be null, in place of the text."""
+    at = texts.columns.index(text_col)
+    schema = T.StructType([*(f for f in texts.schema.fields if f.name != text_col), T.StructField(out_col, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(vocabulary(path))
+        for batch in batches:
+            counts = pa.array([len(encoder(text.as_py())) for text in batch.column(at)], pa.int64())
+            columns = [*batch.columns[:at], *batch.columns[at + 1 :], counts]
+            yield pa.RecordBatch.from_arrays(columns, [f.name for f in schema.fields])
+
+    return texts.mapInArrow(run, schema)
+
+
 def decode(encoded: DataFrame, path: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """Append the text that the ids stand for; bytes that are no UTF-8 become replacement characters."""
     schema = T.StructType([*encoded.schema.fields, T.StructField(out_col, T.StringType())])

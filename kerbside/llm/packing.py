@@ -2,7 +2,8 @@
 
 All lengths are gathered to one histogram, and dynamic programming over it chooses the bucket bounds
 with the least padding in total. Inside a bucket documents follow each other by doc_id and fill batches
-of as many as fit the token budget when each is padded to the bucket's bound.
+of as many as fit the token budget when each is padded to the bucket's bound. Lengths are words, any
+column, or with a tokenizer's file the exact number of its tokens.
 
 Lengths enter the histogram rounded up: to a multiple of `GRAIN` up to 64 of them, beyond that to six
 significant bits, so it has at most a few thousand entries, whatever the texts are, and padding
@@ -19,6 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kerbside.llm import bpe
 from kerbside.llm.common import cut, in_blocks, text_column
 
 BUCKETS = 16
@@ -29,7 +31,7 @@ BLOCK_ROWS = 65_536
 
 
 def word_count(text_col: str = "text") -> Column:
-    """Words, as a stand-in for tokens: runs of anything but ASCII white space."""
+    """Words, the length of `pack` unless it is given another: runs of anything but ASCII white space."""
     return F.regexp_count(text_column(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
@@ -72,12 +74,18 @@ def bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     return found[::-1]
 
 
-def pack(documents: DataFrame, length: Column | None = None, buckets: int = BUCKETS, budget: int = BUDGET, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pack(documents: DataFrame, length: Column | None = None, buckets: int = BUCKETS, budget: int = BUDGET, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None) -> DataFrame:
     """(doc_id, n_tokens, bucket, bucket_length, batch, slot) of every row; batches are numbered from 0 in
-    each bucket, slots from 0 in each batch."""
+    each bucket, slots from 0 in each batch. `tokenizer` is a JSON file on every executor."""
     spark = documents.sparkSession
-    tokens = word_count(text_col) if length is None else F.coalesce(length.cast("long"), F.lit(0))
-    rows = cut(documents.select(F.col(id_col).cast("long").alias("doc_id"), tokens.alias("n_tokens"), F.xxhash64(text_column(text_col)).alias("tie")))
+    if length is not None and tokenizer is not None:
+        raise ValueError("either a length or a tokenizer")
+    key, tie = F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_column(text_col)).alias("tie")
+    if tokenizer is not None:
+        rows = cut(bpe.sizes(documents.select(key, tie, text_column(text_col).alias("text")), tokenizer))
+    else:
+        tokens = word_count(text_col) if length is None else F.coalesce(length.cast("long"), F.lit(0))
+        rows = cut(documents.select(key, tokens.alias("n_tokens"), tie))
     rows = rows.withColumn("rounded", rounded(F.col("n_tokens")))
     histogram = rows.groupBy("rounded").agg(F.count("*").alias("n")).collect()  # a few thousand rows at most
     ends = bounds(np.array([r["rounded"] for r in histogram]), np.array([r["n"] for r in histogram]), buckets) or [0]

@@ -48,10 +48,15 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Length bucket, batch and slot of every document."""
+    """Length bucket, batch and slot of every document, by words."""
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def pack_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by tokens of the 50k vocabulary, as the pipeline packs."""
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_text.extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
@@ -98,6 +103,7 @@ QUERIES = {
     "op3_substrings": op3_substrings,
     "op4_ngram_join": op4_ngram_join,
     "op5_packing": op5_packing,
+    "pack_tokens": pack_tokens,
     "op6_html_text": op6_html_text,
     "op7_neighbours": op7_neighbours,
     "op8_quality": op8_quality,

@@ -7,11 +7,14 @@ import re
 
 import cases
 import numpy as np
+import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+import corpus_pipeline
 from kerbside.llm import fingerprint, ngram_join, packing, queries, substrings
 
 
@@ -294,6 +297,20 @@ def test_packing_odd_documents(spark):
     assert {r.n_tokens for r in by_chars if r.doc_id == 1} == {0}
 
 
+def test_packing_counts_tokens(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    rows = cases.ODD + [(20, "漢字" * 2000), (21, "QUJD" * 3000)]
+    frame = cases.documents(spark, rows)
+    expected = collections.Counter((i, len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in rows)
+    for got in (packing.pack(frame, tokenizer=path).collect(), corpus_pipeline.pack(spark, frame, "").collect()):
+        assert collections.Counter((r.doc_id, r.n_tokens) for r in got) == expected
+        check_packing(got, packing.BUCKETS, packing.BUDGET)
+    assert packing.pack(cases.empty(spark), tokenizer=path).count() == 0
+    with pytest.raises(ValueError):
+        packing.pack(frame, length=F.col("n_chars"), tokenizer=path)
+
+
 def test_op5_on_the_table(spark, sf_dir):
     rows = queries.op5_packing(spark, sf_dir).collect()
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}

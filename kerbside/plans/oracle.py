@@ -271,6 +271,12 @@ SELECT {_DENSE_ID} AS ride_id, round(p, 7) AS predicted_duration FROM kept_score
     "batch_summary": MEANS + """
 SELECT count(*) AS n, round(sum(p), 3) AS total, round(avg(p), 3) AS mean, round(stddev_pop(p), 3) AS std_population
 FROM kept_scored
+""",
+    "batch_score_zones_exact": TRIPS + f"""
+SELECT {_SOURCE_ID} AS ride_id,
+       round(coalesce(CAST(CAST(pu AS BIGINT) % 12 AS DOUBLE) * 1.5, CAST(5 AS DOUBLE)) + CAST((dz % 10) * (dz % 10) AS DOUBLE) * 0.25, 6)
+       AS predicted_duration
+FROM kept
 """,
     "ride_id_many_files": MEANS + f"""
 SELECT {_SOURCE_ID} AS ride_id, round(p, 7) AS predicted_duration FROM kept_scored

@@ -30,3 +30,11 @@ def test_query(spark, con, sf_dir, name):
 def test_entry(spark):
     df = entry(spark)
     assert df.columns == ["ride_id", "predicted_duration"] and df.count() > 0
+
+
+def test_the_flagship_scores_every_trip(spark, con, sf_dir):
+    for name in ("batch_score_zones", "batch_score_zones_exact"):
+        got = [r.ride_id for r in queries()[name](spark, sf_dir).collect()]
+        expected = [r[0] for r in con.execute(f"SELECT ride_id FROM ({SQL['batch_score']})").fetchall()]
+        assert sorted(got) == sorted(expected), name
+    spark.catalog.clearCache()

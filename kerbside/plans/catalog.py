@@ -22,7 +22,7 @@ from kerbside.operators.cells import LABEL, WEIGHT, collapse, rmse, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
 from kerbside.operators.numbering import dense_ride_ids, source_ride_ids
 from kerbside.plans.batch import load_by_alias, score_months
-from kerbside.plans.training import feature_cells, train_and_log, training_rows
+from kerbside.plans.training import feature_cells, load_features, prepare_features, search_and_register, train_and_log, train_month, training_rows
 from kerbside.session import new_folder
 from kerbside.sources.tables import event_trips, lineitem_trips, raw_lineitem
 from kerbside.sources.trips import TIME_COLUMNS, canonical, month_path, read_canonical, write_canonical
@@ -43,6 +43,7 @@ FEATURE_SETS = {
 # Durations have two decimals, so their means are often exactly half way between two numbers of few
 # digits, where engines may round either way. Seven digits keep clear of that.
 MEAN_DIGITS = 7
+GREEN_MONTHS = [(1996, 12), (1997, 1), (1997, 2)]
 SMALL_FOREST = {"n_estimators": 10, "max_depth": 6, "random_state": 42}
 
 
@@ -492,6 +493,73 @@ def retrain_top(spark, sf_dir):
     return spark.createDataFrame(rows, "run_id STRING, val_rmse DOUBLE, test_rmse DOUBLE")
 
 
+@query
+def gbt_full(spark, sf_dir):
+    """Boosting at its default size: 30 rounds of depth 30."""
+    return _tree_report(spark, sf_dir, "XGB", {})
+
+
+@query
+def forest_predictions_full(spark, sf_dir):
+    """The answers of 100 trees of depth 10."""
+    model, cells = _fit(spark, sf_dir, ZONES, "RF", {})
+    cells.unpersist()
+    scored = models.predict_combinations(model, kept(spark, sf_dir).filter("split = 'test'"), ZONES)
+    return scored.select("event_id", "prediction")
+
+
+@query
+def search_full(spark, sf_dir):
+    """All 15 trials over the full space, the best five trained again on record, champion and challenger named."""
+    cells = feature_cells(event_trips(spark, sf_dir), ZONES_DISTANCE)
+    root = new_folder(spark, "search")
+    found = search_and_register(spark, cells, root)
+    runs = registry.read_runs(spark, f"{root}/runs")
+    named = runs.join(found.select("run_id", "alias"), "run_id", "left")
+    metrics = [F.col("metrics")[m].alias(m) for m in ("rmse", "test_rmse")]
+    params = [F.col("params")[p].try_cast("double").cast("int").alias(p) for p in sorted(search.FOREST_SPACE)]
+    return _released(named.select("experiment", "run_id", *params, *metrics, "alias"), cells)
+
+
+def _green_months(spark, sf_dir, root: str) -> None:
+    """Three raw months of green trips, in one file each, where the plans look for them."""
+    for year, month in GREEN_MONTHS:
+        begin = F.col(TIME_COLUMNS["green"][0])
+        rows = raw_lineitem(spark, sf_dir, "green").filter((F.year(begin) == year) & (F.month(begin) == month))
+        rows.write.parquet(month_path("green", year, month, root))
+
+
+@query
+def train_month_run(spark, sf_dir):
+    """A month's model by pickup zone, validated on the next month, as its run records it."""
+    root = new_folder(spark, "train-month")
+    _green_months(spark, sf_dir, f"{root}/in")
+    train_month(spark, f"{root}/in", f"{root}/out", "green", *GREEN_MONTHS[0], spec=PICKUP)
+    runs = registry.read_runs(spark, f"{root}/out/runs")
+    return runs.select("experiment", "model_type", F.round(F.col("metrics")["val_rmse"], 6).alias("val_rmse"))
+
+
+@query
+def prepared_features(spark, sf_dir):
+    """The feature sets of three months, written by the plan and loaded again."""
+    root = new_folder(spark, "features")
+    _green_months(spark, sf_dir, f"{root}/in")
+    prepare_features(spark, f"{root}/in", f"{root}/out", "green", GREEN_MONTHS, PICKUP)
+    sets = load_features(spark, f"{root}/out")
+    return sets.groupBy("split").agg(F.sum(WEIGHT).cast("long").alias("n"), F.round(F.sum(F.col(WEIGHT) * F.col(LABEL)), 6).alias("total"))
+
+
+@query
+def score_months_summary(spark, sf_dir):
+    """Two months scored by the model of the month before them, found by its path."""
+    root = new_folder(spark, "score-months")
+    _green_months(spark, sf_dir, f"{root}/in")
+    run_id = train_month(spark, f"{root}/in", f"{root}/out", "green", *GREEN_MONTHS[0], spec=PICKUP)
+    path = models.model_location(run_id, f"{root}/out", experiment="trip-duration")
+    s = score_months(spark, f"{root}/in", [("green", *m) for m in GREEN_MONTHS[1:]], path, f"{root}/scored")
+    return s.select("n", *[F.round(c, 3).alias(c) for c in ("total", "mean", "std_population")])
+
+
 # ---- runs and promotion ---------------------------------------------------------------------
 
 

@@ -41,6 +41,17 @@ WITH raw AS (
 )
 """
 
+# The means of one month, asked about the two that follow.
+FIRST_MONTH = LINEITEM + """
+, model AS (
+  SELECT pu, avg(duration) AS m FROM kept WHERE color = 'green' AND year = 1996 AND month = 12 GROUP BY pu
+), unseen AS (SELECT avg(m) AS u FROM model
+), scored AS (
+  SELECT k.*, coalesce(m, u) AS p FROM kept k LEFT JOIN model USING (pu) CROSS JOIN unseen
+  WHERE color = 'green' AND year = 1997 AND month IN (1, 2)
+)
+"""
+
 # Least squares on one categorical: the mean per category; an unseen one gets the mean of the means.
 MEANS = TRIPS + """
 , model AS (
@@ -187,6 +198,18 @@ FROM months t JOIN months v ON t.color = v.color AND v.period = CAST(t.period +
 ), unseen AS (SELECT color, period, avg(m) AS u FROM model GROUP BY ALL)
 SELECT color, year, month, count(*) AS n, round(sqrt(avg(pow(duration - coalesce(m, u), 2))), 6) AS rmse
 FROM kept JOIN unseen USING (color, period) LEFT JOIN model USING (color, period, pu) GROUP BY color, year, month
+""",
+    "train_month_run": FIRST_MONTH + """
+SELECT 'trip-duration' AS experiment, 'LR' AS model_type, round(sqrt(avg(pow(duration - p, 2))), 6) AS val_rmse
+FROM scored WHERE month = 1
+""",
+    "prepared_features": LINEITEM + """
+SELECT CASE WHEN year = 1996 THEN 'train' WHEN month = 1 THEN 'val' ELSE 'test' END AS split,
+       count(*) AS n, round(sum(duration), 6) AS total
+FROM kept WHERE color = 'green' AND ((year = 1996 AND month = 12) OR (year = 1997 AND month IN (1, 2))) GROUP BY 1
+""",
+    "score_months_summary": FIRST_MONTH + """
+SELECT count(*) AS n, round(sum(p), 3) AS total, round(avg(p), 3) AS mean, round(stddev_pop(p), 3) AS std_population FROM scored
 """,
     "vocabulary": TRIPS + """
 , names AS (

@@ -116,9 +116,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             first = last
 
 
-def words(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every run of bytes that are not ASCII white space."""
-    solid = ~_WHITE[buffer]
+def lowered(buffer: np.ndarray) -> np.ndarray:
+    """A-Z to a-z, all other bytes as they are."""
+    return _LOWER[buffer]
+
+
+def words(buffer: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every run of bytes that are not in the table `breaks`: ASCII white space."""
+    solid = ~breaks[buffer]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     firsts = offsets[:-1][offsets[:-1] < offsets[1:]]

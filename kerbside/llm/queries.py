@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, packing, pii, quality, substrings, toxicity
+from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, packing, periodic, pii, quality, resample, substrings, toxicity
 from kerbside.llm.common import small_batches
 
 
@@ -97,6 +97,45 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tenth of the documents that importance resampling draws towards the benchmark."""
+    drawn = resample.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def _looped(documents: DataFrame) -> DataFrame:
+    """(doc_id, text), in which every tenth document, by a hash of its id, repeats some of its words up to its end."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    white = "[\\x20\\x09-\\x0D]+"
+    bare = F.regexp_replace(F.regexp_replace("text", f"^{white}", ""), f"{white}$", "")
+    split = F.when((h % 10 == 0) & (bare != ""), F.split(bare, white))
+    rows = documents.select("doc_id", "text", F.floor(h / 10).alias("g"), split.alias("words")).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.expr("int(g % n)")).withColumn("p", F.expr("1 + int((n - a) div (3 + g % 8))"))
+    loop = F.flatten(F.expr("array_repeat(slice(words, a + 1, p), 1 + int((n - a) div p))"))
+    looped = F.array_join(F.concat(F.expr("slice(words, 1, a)"), F.slice(loop, 1, F.col("n") - F.col("a"))), " ")
+    return rows.select("doc_id", F.when(F.col("words").isNotNull(), looped).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words, the one that repeats most often, and what collapsing them leaves."""
+    found = periodic.collapse(_looped(_table(spark, sf_dir, "documents")))
+
+    def by_exponent(x: F.Column, y: F.Column) -> F.Column:
+        longer, shorter = x["length"] * y["period"], y["length"] * x["period"]
+        return F.when(longer != shorter, F.when(longer > shorter, -1).otherwise(1)).when(x["start"] != y["start"], F.when(x["start"] < y["start"], -1).otherwise(1)).otherwise(F.when(x["period"] < y["period"], -1).when(x["period"] > y["period"], 1).otherwise(0))
+
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.get(F.array_sort("runs", by_exponent), F.lit(0))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_pii": op2_pii,
@@ -109,6 +148,8 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op11_resample": op11_resample,
+    "op12_periodic": op12_periodic,
 }
 
 # What the pages of the test tables need: their articles hold headings and paragraphs with inline tags.
@@ -132,4 +173,43 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
-SQL: dict[str, str] = {"op6_html_text": _ARTICLE, "op7_neighbours": _NEIGHBOURS}
+# CRC-32 byte by byte, once for each distinct word.
+_RESAMPLE = """
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]),
+      lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+occurs AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM d) GROUP BY ALL),
+aims AS (SELECT w, count(*) AS n FROM (SELECT unnest(w) AS w FROM b) GROUP BY ALL),
+hashed AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(w))),
+        lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+      lambda c, x: xor(c >> 8, crc.t[xor(c & 255, x) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT w FROM occurs UNION SELECT DISTINCT w FROM aims), crc),
+s AS (SELECT bucket, sum(n) AS s FROM occurs JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM aims JOIN hashed USING (w) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM occurs) + 10000)
+      / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM aims) + 10000)))) AS gain
+  FROM s FULL JOIN t USING (bucket)),
+weights AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, floor(sum(n * gain) / sum(n))::BIGINT AS weight
+  FROM occurs JOIN hashed USING (w) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (doc_id)),
+places AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS able
+  FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * able // 100 THEN place END AS rank
+FROM scored LEFT JOIN places USING (doc_id)
+"""
+
+SQL: dict[str, str] = {"op6_html_text": _ARTICLE, "op7_neighbours": _NEIGHBOURS, "op11_resample": _RESAMPLE}

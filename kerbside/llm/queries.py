@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, packing, periodic, pii, quality, resample, substrings, toxicity
+from kerbside.llm import ann, bpe, fingerprint, html_text, ngram_join, packing, periodic, perplexity, pii, quality, resample, substrings, toxicity
 from kerbside.llm.common import small_batches
 
 
@@ -136,6 +136,11 @@ def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Plain counts of every text, and whether these and its perplexity let it pass."""
+    return perplexity.judged(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_fingerprint": op1_fingerprint,
     "op2_pii": op2_pii,
@@ -150,6 +155,7 @@ QUERIES = {
     "op10_bpe": op10_bpe,
     "op11_resample": op11_resample,
     "op12_periodic": op12_periodic,
+    "op13_perplexity": op13_perplexity,
 }
 
 # What the pages of the test tables need: their articles hold headings and paragraphs with inline tags.

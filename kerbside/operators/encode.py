@@ -14,7 +14,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kerbside.functions.columns import UNKNOWN_ZONE, pair_key, zone_code
+from kerbside.functions.columns import UNKNOWN_ZONE, pair_key, required, zone_code
 from kerbside.session import ensure_checkpoint_dir
 
 PAIR = "PU_DO"
@@ -140,6 +140,34 @@ def vocabulary(rides: DataFrame, spec: FeatureSpec) -> DataFrame:
     return numbered.select("feature", (F.col("before") + F.col("within")).cast("int").alias("index"))
 
 
+# Rows of a vocabulary (a name and a number each) that are sent to all executors instead of joined by key.
+MAX_BROADCAST = 500_000
+
+
+def joined(rides: DataFrame, names: DataFrame, spec: FeatureSpec) -> DataFrame:
+    """Append `features` (size, indices, values), a sparse vector as columns, by joins with the vocabulary
+    `names` (feature, index): it stays a table, of any size. Unseen categories have no entry; a missing number
+    fails the job."""
+    names = names.persist()
+    size = names.count()
+    parts, encoded = [], with_keys(rides, spec)
+    for c in spec.categorical:
+        one = names.filter(F.col("feature").startswith(f"{c}=")).select(F.substr("feature", F.lit(len(c) + 2)).alias(f"{c}_key"), F.col("index").alias(f"{c}_at"))
+        encoded = encoded.join(F.broadcast(one) if size <= MAX_BROADCAST else one, f"{c}_key", "left")
+        parts.append(F.struct(F.col(f"{c}_at").alias("index"), F.lit(1.0).alias("value")))
+    places = {r["feature"]: r["index"] for r in names.filter(F.col("feature").isin(list(spec.numerical))).collect()}  # one a number
+    parts += [F.struct(F.lit(places[n]).alias("index"), required(n).alias("value")) for n in spec.numerical]
+    filled = F.array_sort(F.filter(F.array(*parts), lambda e: e["index"].isNotNull() & (e["value"] != 0)))
+    vector = F.struct(F.lit(size).alias("size"), filled["index"].alias("indices"), filled["value"].alias("values"))
+    return encoded.select(*[F.col(c) for c in rides.columns], vector.alias("features"))
+
+
+def joined_entries(encoded: DataFrame, keep: list[str]) -> DataFrame:
+    """Entries of the vectors of `joined` as rows (index, value)."""
+    entry = F.explode(F.arrays_zip(F.col("features.indices").alias("index"), F.col("features.values").alias("value")))
+    return encoded.select(*keep, entry.alias("e")).select(*keep, F.col("e.index").alias("index"), F.col("e.value").alias("value"))
+
+
 def vector_entries(encoded: DataFrame, keep: list[str], vector: str = "features") -> DataFrame:
     """Non-zero entries of a vector column as rows (index, value)."""
     v = F.unwrap_udt(vector)

@@ -27,15 +27,17 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.columns import required, zone_number
 from kerbside.operators import cells as cell
-from kerbside.operators import pair_ols
+from kerbside.operators import conjugate, pair_ols
 from kerbside.operators.encode import PAIR, FeatureSpec, feature_names, fit_encoder, labels
 from kerbside.session import ensure_checkpoint_dir, new_folder
 
 # Rows of an effect table (about 40 bytes each) that every executor may hold.
 MAX_BROADCAST = 500_000
+# Rows that the driver keeps as a local table; larger ones are written to the shared folder.
+MAX_HELD = 10_000
 
-# Columns up to which Spark solves the normal equations. Beyond, an iterative solver finds the same
-# solution to its tolerance; both are brought to least norm in the same way.
+# Columns up to which Spark solves the normal equations, and so categories that pass through the driver.
+# Beyond, conjugate gradients over effect tables find the same solution to their tolerance.
 MAX_NORMAL_COLUMNS = 4096
 
 
@@ -89,16 +91,17 @@ def _held(name: str, effects: DataFrame) -> tuple[DataFrame, int]:
     spark = effects.sparkSession
     named = effects.select(*[F.col(z).alias(f"_{name}_{i}") for i, z in enumerate(zones_of(name))], F.col("effect").alias(f"_{name}_effect"))
     size = named.count()
-    if size <= MAX_BROADCAST:
+    if size <= MAX_HELD:
         return spark.createDataFrame(named.toArrow()), size
     path = new_folder(spark, "effects")
     named.write.parquet(path)
     return spark.read.parquet(path), size
 
 
-def fit(train: DataFrame, spec: FeatureSpec) -> LinearEffects:
+def fit(train: DataFrame, spec: FeatureSpec, columns: int | None = None) -> LinearEffects:
     """Ordinary least squares on cells or trips with a weight, without a penalty that would bend rare
-    categories."""
+    categories. Of several categoricals with more than `columns` categories (by default
+    `MAX_NORMAL_COLUMNS`) the effects are found as tables."""
     if not spec.categorical:
         solved = _least_squares(fit_encoder(train, spec).transform(train))
         return LinearEffects(solved.intercept, dict(zip(spec.numerical, map(float, solved.coefficients))))
@@ -114,14 +117,14 @@ def fit(train: DataFrame, spec: FeatureSpec) -> LinearEffects:
         return LinearEffects(solved.intercept, {number: solved.slope} if number else {}, {name: table}, {name: size})
     rows = _moments(train, spec).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _several(rows, spec)
+        return _several(rows, spec, MAX_NORMAL_COLUMNS if columns is None else columns)
     finally:
         rows.unpersist()
 
 
-def _least_squares(encoded: DataFrame, features: str = "features", solver: str = "normal"):
+def _least_squares(encoded: DataFrame, features: str = "features"):
     return LinearRegression(
-        solver=solver, regParam=0.0, tol=1e-12, maxIter=1000, labelCol=cell.LABEL, weightCol=cell.WEIGHT, featuresCol=features
+        solver="normal", regParam=0.0, tol=1e-12, maxIter=1000, labelCol=cell.LABEL, weightCol=cell.WEIGHT, featuresCol=features
     ).fit(encoded)
 
 
@@ -152,25 +155,36 @@ def _moments(train: DataFrame, spec: FeatureSpec) -> DataFrame:
     return spread.select(*zones, F.explode(points).alias("_point")).select(*zones, "_point.*")
 
 
-def _several(rows: DataFrame, spec: FeatureSpec) -> LinearEffects:
-    """Several categoricals (or numbers): solve for the one-hot columns, then bring to least norm."""
+def _several(rows: DataFrame, spec: FeatureSpec, most: int) -> LinearEffects:
+    """Several categoricals (or numbers): few categories by the normal equations of their one-hot columns, any
+    number of them as tables by conjugate gradients. Both end in the solution of least norm."""
     zones = list(dict.fromkeys(z for name in spec.categorical for z in zones_of(name)))
     known = rows.groupBy(*zones).agg(F.sum(cell.WEIGHT).alias(cell.WEIGHT))
+    columns = sum(known.agg(*(F.count_distinct(spec.key(c)) for c in spec.categorical)).first()) + len(spec.numerical)
+    return _as_columns(rows, known, spec) if columns <= most else _as_tables(rows, spec)
+
+
+def _as_tables(rows: DataFrame, spec: FeatureSpec) -> LinearEffects:
+    solved = conjugate.solve(rows, spec, cell.WEIGHT, cell.LABEL)
+    tables, sizes = {}, {}
+    for name, found in solved.effects.items():
+        parts = F.split("key", "_")
+        tables[name], sizes[name] = _held(name, found.select(*(parts[i].cast("bigint").alias(z) for i, z in enumerate(zones_of(name))), "effect"))
+    return LinearEffects(solved.intercept, solved.slopes, tables, sizes)
+
+
+def _as_columns(rows: DataFrame, known: DataFrame, spec: FeatureSpec) -> LinearEffects:
+    """Columns become independent if one category of the first feature is left out, and one on each island
+    of every other; all driver-held parts are bounded by the number of columns."""
     encoder = fit_encoder(known, spec)
     names = feature_names(encoder, spec)
     categories = dict(zip(spec.categorical, labels(encoder)))
     islands = _islands(known, spec, categories)
     encoded = encoder.transform(rows)
-    if len(names) <= MAX_NORMAL_COLUMNS:
-        # Columns become independent if one category of the first feature is left out, and one on each
-        # island of every other.
-        left_out = _left_out(known, spec, islands)
-        kept = [i for i, n in enumerate(names) if n not in left_out]
-        solved = _least_squares(VectorSlicer(inputCol="features", outputCol="contrast", indices=kept).transform(encoded), "contrast")
-        coefficient = dict.fromkeys(names, 0.0) | {names[i]: float(v) for i, v in zip(kept, solved.coefficients)}
-    else:
-        solved = _least_squares(encoded, solver="l-bfgs")
-        coefficient = dict(zip(names, map(float, solved.coefficients)))
+    left_out = _left_out(known, spec, islands)
+    kept = [i for i, n in enumerate(names) if n not in left_out]
+    solved = _least_squares(VectorSlicer(inputCol="features", outputCol="contrast", indices=kept).transform(encoded), "contrast")
+    coefficient = dict.fromkeys(names, 0.0) | {names[i]: float(v) for i, v in zip(kept, solved.coefficients)}
     effects = {c: {v: coefficient[f"{c}={v}"] for v in vs} for c, vs in categories.items()}
     intercept = solved.intercept + _to_least_norm(effects, islands)
     spark, tables, sizes = rows.sparkSession, {}, {}

@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.columns import zone_number
 from kerbside.operators import cells as cell
-from kerbside.operators import linear
+from kerbside.operators import linear, trees
 from kerbside.operators.encode import PAIR, FeatureSpec, fit_encoder, labels
 from kerbside.session import ensure_checkpoint_dir
 
 # The accepted model types and the parameters the models are trained with unless
 # told otherwise.
 MODEL_TYPES = ("LR", "RF", "XGB")
-FOREST = {"max_depth": 10, "n_estimators": 100, "min_samples_leaf": 1, "random_state": 42}
+FOREST = {"max_depth": 10, "n_estimators": 100, "min_samples_leaf": 1, "min_samples_split": 2, "bootstrap": True, "random_state": 42}
 BOOSTED = {
     "learning_rate": 0.09585355369315604,
     "max_depth": 30,
@@ -33,7 +33,7 @@ BOOSTED = {
     "seed": 42,
 }
 # Taken and logged, but without a counterpart in Spark's trees.
-WITHOUT_EFFECT = ("min_samples_split", "reg_alpha", "reg_lambda", "objective", "n_jobs")
+WITHOUT_EFFECT = ("reg_alpha", "reg_lambda", "objective", "n_jobs")
 # Identification that a search hands on with its parameters.
 LABELS = ("trial",)
 
@@ -134,9 +134,12 @@ def _forest(train: DataFrame, spec: FeatureSpec, params: dict):
         featureSubsetStrategy="all",
         maxBins=bins,
         seed=int(params["random_state"]),
+        bootstrap=bool(params["bootstrap"]),
         **_leaf_size(int(params["min_samples_leaf"]), trips, int(params["max_depth"])),
     ).fit(encoded)
-    return PipelineModel([*encoder.stages, model]), params
+    # A node that can be split has two trips anyway.
+    least = int(params["min_samples_split"])
+    return PipelineModel([*encoder.stages, trees.pruned(model, least) if least > 2 else model]), params
 
 
 def _boosted(train: DataFrame, spec: FeatureSpec, params: dict, validation: DataFrame | None):
@@ -148,7 +151,7 @@ def _boosted(train: DataFrame, spec: FeatureSpec, params: dict, validation: Data
     ensure_checkpoint_dir(train.sparkSession)
     encoded, trips = _tree_rows(train, encoder, bins)
     rounds, patience = int(params["num_boost_round"]), int(params["early_stopping_rounds"])
-    estimator = GBTRegressor(
+    model = GBTRegressor(
         labelCol=cell.LABEL,
         weightCol=cell.WEIGHT,
         maxIter=rounds,
@@ -157,12 +160,11 @@ def _boosted(train: DataFrame, spec: FeatureSpec, params: dict, validation: Data
         seed=int(params["seed"]),
         checkpointInterval=10,
         **_leaf_size(float(params["min_child_weight"]), trips, int(params["max_depth"])),
-    )
-    model = estimator.fit(encoded)
+    ).fit(encoded)
     if validation is not None and patience < rounds:
         held_out = encoder.transform(validation).select("features", cell.LABEL, cell.WEIGHT)
         if kept := _best_round(model.evaluateEachIteration(held_out, "squared"), patience):
-            model = estimator.copy({estimator.maxIter: kept}).fit(encoded)  # the same trees, fewer of them
+            model = trees.shortened(model, kept)
     return PipelineModel([*encoder.stages, model]), params
 
 

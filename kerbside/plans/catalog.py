@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions import codec
 from kerbside.functions.columns import next_month, pair_key, zone_code, zone_text
-from kerbside.operators import encode, prepare, profile, registry, score, search
+from kerbside.operators import encode, linear, prepare, profile, registry, score, search
 from kerbside.operators import train as models
 from kerbside.operators.cells import LABEL, WEIGHT, collapse, rmse, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
@@ -281,7 +281,15 @@ def vocabulary(spark, sf_dir):
 
 @query
 def one_hot_long(spark, sf_dir):
-    """Feature vectors of the test trips under the train vocabulary; unseen pairs have no entry."""
+    """Feature vectors of all trips under the train vocabulary, encoded by joins; unseen pairs have no entry."""
+    trips = kept(spark, sf_dir)
+    names = encode.vocabulary(trips.filter("split = 'train'"), PAIR_DISTANCE)
+    return encode.joined_entries(encode.joined(trips, names, PAIR_DISTANCE), ["event_id"])
+
+
+@query
+def one_hot_stages(spark, sf_dir):
+    """The same vectors of the test trips from the fitted pipeline that models are saved with."""
     pairs = FeatureSpec(("PU_DO",))  # the vocabulary needs no distances
     cells = _train_cells(spark, sf_dir, pairs)
     fitted = encode.fit_encoder(cells, PAIR_DISTANCE)
@@ -338,16 +346,13 @@ def ols_numeric(spark, sf_dir):
 
 @query
 def ols_orthogonality(spark, sf_dir):
-    """What defines least squares on both zones: residuals sum to zero in every category."""
+    """What defines least squares on both zones: residuals sum to zero in every category. The sums of the answers
+    of the trips in each are those of their durations."""
     model, cells = _fit(spark, sf_dir, ZONES)
-    residual = F.col(WEIGHT) * (F.col(LABEL) - F.col("prediction"))
-    scored = models.predict(model, cells.filter("split = 'train'")).withColumn("residual", residual)
-    entry = F.explode(
-        F.array(*[F.concat(F.lit(f"{z}="), F.col(z).cast("string")) for z in ZONES.categorical])
-    ).alias("feature")
-    sums = scored.select(entry, WEIGHT, "residual").groupBy("feature").agg(
-        F.sum(WEIGHT).cast("bigint").alias("n"), (F.abs(F.sum("residual") / F.sum(WEIGHT)) < 1e-5).alias("orthogonal")
-    )
+    scored = models.predict(model, cells.filter("split = 'train'"))
+    entry = F.explode(F.array(*[F.concat(F.lit(f"{z}="), F.col(z).cast("string")) for z in ZONES.categorical])).alias("feature")
+    total = F.round(F.sum(F.col(WEIGHT) * F.col("prediction")), 3).alias("total")
+    sums = scored.select(entry, WEIGHT, "prediction").groupBy("feature").agg(F.sum(WEIGHT).cast("bigint").alias("n"), total)
     return _released(sums, cells)
 
 
@@ -387,7 +392,7 @@ def ols_zones_distance(spark, sf_dir):
     rows = rows.withColumn(LABEL, F.col("PULocationID") * 2.0 - F.col("DOLocationID") + 1.75 * F.col("trip_distance"))
     model = models.fit(uncollapsed(rows, ZONES_DISTANCE, LABEL), ZONES_DISTANCE)
     scored = models.predict(model, rows)
-    return scored.groupBy("PULocationID", "DOLocationID").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), 6).alias("prediction"))
+    return scored.groupBy("PULocationID", "DOLocationID").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("prediction"), MEAN_DIGITS).alias("prediction"))
 
 
 @query
@@ -395,7 +400,7 @@ def ols_pair_distance(spark, sf_dir):
     """Exact least squares on pair and distance, for any number of pairs."""
     rows = uncollapsed(kept(spark, sf_dir), PAIR_DISTANCE, by=("event_id", "split"))
     model = models.fit(rows.filter("split = 'train'"), PAIR_DISTANCE)
-    scored = models.predict(model, rows.filter("split = 'test'"))
+    scored = models.predict(model, rows)
     return scored.select("event_id", F.round("prediction", 6).alias("prediction"))
 
 
@@ -435,6 +440,56 @@ def _released(result: DataFrame, cells: DataFrame) -> DataFrame:
     return result.sparkSession.createDataFrame(table, result.schema)
 
 
+@query
+def zones_exact_tables(spark, sf_dir):
+    """`zones_exact` by conjugate gradients over effect tables, as if there were too many zones for columns."""
+    trips = _folded(spark, sf_dir)
+    found = linear.fit(collapse(trips.filter("split = 'train'"), ZONES, LABEL), ZONES, columns=0)
+    return found.predict(trips.filter("split = 'test'")).select("event_id", F.round("prediction", 6).alias("prediction"))
+
+
+@query
+def zone_islands_tables(spark, sf_dir):
+    """`zone_islands` by effect tables: least norm on each island."""
+    trips = _folded(spark, sf_dir)
+    inside = trips.filter("PULocationID % 2 = DOLocationID % 2 AND split = 'train'")
+    found = linear.fit(collapse(inside, ZONES, LABEL), ZONES, columns=0)
+    scored = found.predict(trips.select("PULocationID", "DOLocationID").distinct())
+    return scored.select("PULocationID", "DOLocationID", F.round("prediction", 6).alias("prediction"))
+
+
+def _tree_answers(spark, sf_dir, model_type: str, params: dict) -> DataFrame:
+    """The answer of a model on both zones for every kept trip."""
+    model, cells = _fit(spark, sf_dir, ZONES, model_type, params)
+    cells.unpersist()
+    return models.predict(model, kept(spark, sf_dir)).select("event_id", F.round("prediction", 6).alias("prediction"))
+
+
+ONE_TREE = {"n_estimators": 1, "bootstrap": False}
+STUMPS = {"max_depth": 1, "min_child_weight": 1}
+
+
+@query
+def tree_exact(spark, sf_dir):
+    """One tree with one split: the best cut of the zones in the order of their means."""
+    return _tree_answers(spark, sf_dir, "RF", {**ONE_TREE, "max_depth": 1})
+
+
+@query
+def tree_split_limit(spark, sf_dir):
+    """A tree of depth 2 whose nodes are split only if they hold half of the trips, next to one without the limit."""
+    half = kept(spark, sf_dir).filter("split = 'train'").count() // 2
+    free, limited = (_tree_answers(spark, sf_dir, "RF", {**ONE_TREE, "max_depth": 2, "min_samples_split": n}) for n in (2, half))
+    return free.join(limited.withColumnRenamed("prediction", "limited"), "event_id")
+
+
+@query
+def boost_exact(spark, sf_dir):
+    """One and two rounds of boosted stumps."""
+    one, two = (_tree_answers(spark, sf_dir, "XGB", {**STUMPS, "num_boost_round": n}) for n in (1, 2))
+    return one.withColumnRenamed("prediction", "one").join(two.withColumnRenamed("prediction", "two"), "event_id")
+
+
 @query
 def forest_score(spark, sf_dir):
     return _tree_report(spark, sf_dir, "RF", SMALL_FOREST)
@@ -459,10 +514,10 @@ def gbt_rounds(spark, sf_dir):
 
 @query
 def forest_predictions(spark, sf_dir):
-    """A forest's answer for every test trip, computed once per combination of inputs."""
+    """A forest's answer for every trip, computed once per combination of inputs."""
     model, cells = _fit(spark, sf_dir, ZONES, "RF", SMALL_FOREST)
     cells.unpersist()
-    scored = models.predict_combinations(model, kept(spark, sf_dir).filter("split = 'test'"), ZONES)
+    scored = models.predict_combinations(model, kept(spark, sf_dir), ZONES)
     return scored.select("event_id", "prediction")
 
 
@@ -504,7 +559,7 @@ def forest_predictions_full(spark, sf_dir):
     """The answers of 100 trees of depth 10."""
     model, cells = _fit(spark, sf_dir, ZONES, "RF", {})
     cells.unpersist()
-    scored = models.predict_combinations(model, kept(spark, sf_dir).filter("split = 'test'"), ZONES)
+    scored = models.predict_combinations(model, kept(spark, sf_dir), ZONES)
     return scored.select("event_id", "prediction")
 
 

@@ -41,6 +41,34 @@ WITH raw AS (
 )
 """
 
+
+
+def _stumps(name: str, rows: str) -> str:
+    """The best cut of the train rows of every node, and the answers for all rows: zones of a feature in the order
+    of their means, cut where the squares of sums over counts are largest."""
+    return f"""
+, {name}_rows AS ({rows}
+), {name}_zones AS (
+  SELECT node, 'pu' AS f, pu_code AS k, count(*) AS n, sum(y) AS s, avg(y) AS m FROM {name}_rows WHERE split = 'train' GROUP BY node, pu_code
+  UNION ALL
+  SELECT node, 'do', do_code, count(*), sum(y), avg(y) FROM {name}_rows WHERE split = 'train' GROUP BY node, do_code
+), {name}_sums AS (
+  SELECT *, row_number() OVER w AS place, sum(n) OVER w AS ln, sum(s) OVER w AS ls,
+         sum(n) OVER (PARTITION BY node, f) AS n_all, sum(s) OVER (PARTITION BY node, f) AS s_all
+  FROM {name}_zones WINDOW w AS (PARTITION BY node, f ORDER BY m, k)
+), {name}_cuts AS (
+  SELECT node, f, place AS last, ls / ln AS left_mean, (s_all - ls) / (n_all - ln) AS right_mean
+  FROM {name}_sums WHERE ln < n_all
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY ls * ls / ln + (s_all - ls) * (s_all - ls) / (n_all - ln) DESC) = 1
+), {name}_answers AS (
+  SELECT r.event_id, pu_code, do_code, split, y, CASE WHEN place <= last THEN 1 ELSE 2 END AS side,
+         CASE WHEN place <= last THEN left_mean ELSE right_mean END AS p
+  FROM {name}_rows r JOIN {name}_cuts c USING (node)
+  LEFT JOIN {name}_sums z ON z.node = r.node AND z.f = c.f AND z.k = CASE c.f WHEN 'pu' THEN pu_code ELSE do_code END
+)
+"""
+
+
 # The means of one month, asked about the two that follow.
 FIRST_MONTH = LINEITEM + """
 , model AS (
@@ -137,6 +165,18 @@ FOLDED = TRIPS + """
 )
 """
 
+_ISLANDS = FOLDED + """
+, inside AS (SELECT * FROM folded WHERE pu % 2 = dz % 2 AND split = 'train'
+), x AS (SELECT pu % 2 AS k, count(*) AS n, avg(a) AS u FROM (SELECT DISTINCT pu, a FROM inside) GROUP BY 1
+), y AS (SELECT dz % 2 AS k, count(*) AS m, avg(b) AS v FROM (SELECT DISTINCT dz, b FROM inside) GROUP BY 1
+), island AS (SELECT *, CAST(n * m AS DOUBLE) / (n + m) AS pull FROM x JOIN y USING (k)
+), moved AS (SELECT sum(pull * (u + v)) / sum(pull) AS s FROM island
+)
+SELECT DISTINCT pu AS "PULocationID", dz AS "DOLocationID",
+       round(s + (a - i.u + (i.u + i.v - s) * i.m / (i.n + i.m)) + (b - j.v + (j.u + j.v - s) * j.n / (j.n + j.m)), 6) AS prediction
+FROM folded JOIN island i ON i.k = pu % 2 JOIN island j ON j.k = dz % 2 CROSS JOIN moved
+"""
+
 SQL: dict[str, str] = {
     "canonical_trips": LINEITEM + """
 SELECT strftime(pickup, '%Y-%m-%d %H:%M:%S.%f') AS pickup, strftime(dropoff, '%Y-%m-%d %H:%M:%S.%f') AS dropoff,
@@ -223,6 +263,15 @@ SELECT feature, CAST(row_number() OVER (ORDER BY feature) - 1 AS INTEGER) AS ind
   SELECT pu_do, row_number() OVER (ORDER BY pu_do) - 1 AS i
   FROM (SELECT DISTINCT pu_do FROM kept WHERE split = 'train')
 )
+SELECT event_id, CAST(i AS INTEGER) AS index, CAST(1 AS DOUBLE) AS value FROM kept JOIN names USING (pu_do)
+UNION ALL
+SELECT event_id, CAST((SELECT count(*) FROM names) AS INTEGER), trip_distance FROM kept WHERE trip_distance != 0
+""",
+    "one_hot_stages": TRIPS + """
+, names AS (
+  SELECT pu_do, row_number() OVER (ORDER BY pu_do) - 1 AS i
+  FROM (SELECT DISTINCT pu_do FROM kept WHERE split = 'train')
+)
 SELECT event_id, CAST(i AS INTEGER) AS index, CAST(1 AS DOUBLE) AS value
 FROM kept JOIN names USING (pu_do) WHERE split = 'test'
 UNION ALL
@@ -242,11 +291,28 @@ SELECT count(*) AS n, round(regr_slope(duration, trip_distance), 6) AS slope,
        round(regr_intercept(duration, trip_distance), 6) AS intercept FROM kept WHERE split = 'train'
 """,
     "ols_orthogonality": TRIPS + """
-SELECT 'PULocationID=' || pu_code AS feature, count(*) AS n, true AS orthogonal FROM kept WHERE split = 'train' GROUP BY 1
+SELECT 'PULocationID=' || pu_code AS feature, count(*) AS n, round(sum(duration), 3) AS total FROM kept WHERE split = 'train' GROUP BY 1
 UNION ALL
-SELECT 'DOLocationID=' || do_code, count(*), true FROM kept WHERE split = 'train' GROUP BY 1
+SELECT 'DOLocationID=' || do_code, count(*), round(sum(duration), 3) FROM kept WHERE split = 'train' GROUP BY 1
+""",
+    "ols_pair_distance": PAIR + "SELECT event_id, round(p, 6) AS prediction FROM scored",
+    "tree_exact": TRIPS + _stumps("a", "SELECT event_id, 0 AS node, pu_code, do_code, split, duration AS y FROM kept") + """
+SELECT event_id, round(p, 6) AS prediction FROM a_answers
+""",
+    "tree_split_limit": TRIPS + _stumps("a", "SELECT event_id, 0 AS node, pu_code, do_code, split, duration AS y FROM kept")
+    + ", " + _stumps("b", "SELECT event_id, side AS node, pu_code, do_code, split, y FROM a_answers")[2:] + """
+, sizes AS (SELECT side, count(*) AS n FROM a_answers WHERE split = 'train' GROUP BY side
+)
+SELECT event_id, round(b_answers.p, 6) AS prediction,
+       round(CASE WHEN n < (SELECT sum(n) FROM sizes) // 2 THEN a_answers.p ELSE b_answers.p END, 6) AS limited
+FROM a_answers JOIN b_answers USING (event_id) JOIN sizes ON sizes.side = a_answers.side
+""",
+    # A boosting round fits twice the residuals; the first tree counts in full, the others by the rate.
+    "boost_exact": TRIPS + _stumps("a", "SELECT event_id, 0 AS node, pu_code, do_code, split, duration AS y FROM kept")
+    + ", " + _stumps("b", "SELECT event_id, 0 AS node, pu_code, do_code, split, 2 * (y - p) AS y FROM a_answers")[2:] + """
+SELECT event_id, round(a_answers.p, 6) AS one, round(a_answers.p + 0.09585355369315604::DOUBLE * b_answers.p, 6) AS two
+FROM a_answers JOIN b_answers USING (event_id)
 """,
-    "ols_pair_distance": PAIR + "SELECT event_id, round(p, 6) AS prediction FROM scored WHERE split = 'test'",
     "pair_rmse_by_split": PAIR + """
 SELECT split, count(*) AS n, round(sqrt(avg((duration - p) * (duration - p))), 6) AS rmse FROM scored GROUP BY split
 """,
@@ -314,19 +380,13 @@ SELECT event_id, round(a + b, 6) AS prediction FROM folded WHERE split = 'test'
 """,
     # Effects a and b of two islands k: n and m zones with means u and v. Of u + v the common part s moves
     # to the intercept; what is left is shared out so that the squares are least.
-    "zone_islands": FOLDED + """
-, inside AS (SELECT * FROM folded WHERE pu % 2 = dz % 2 AND split = 'train'
-), x AS (SELECT pu % 2 AS k, count(*) AS n, avg(a) AS u FROM (SELECT DISTINCT pu, a FROM inside) GROUP BY 1
-), y AS (SELECT dz % 2 AS k, count(*) AS m, avg(b) AS v FROM (SELECT DISTINCT dz, b FROM inside) GROUP BY 1
-), island AS (SELECT *, CAST(n * m AS DOUBLE) / (n + m) AS pull FROM x JOIN y USING (k)
-), moved AS (SELECT sum(pull * (u + v)) / sum(pull) AS s FROM island
-)
-SELECT DISTINCT pu AS "PULocationID", dz AS "DOLocationID",
-       round(s + (a - i.u + (i.u + i.v - s) * i.m / (i.n + i.m)) + (b - j.v + (j.u + j.v - s) * j.n / (j.n + j.m)), 6) AS prediction
-FROM folded JOIN island i ON i.k = pu % 2 JOIN island j ON j.k = dz % 2 CROSS JOIN moved
+    "zone_islands": _ISLANDS,
+    "zone_islands_tables": _ISLANDS,
+    "zones_exact_tables": FOLDED + """
+SELECT event_id, round(a + b, 6) AS prediction FROM folded WHERE split = 'test'
 """,
     "ols_zones_distance": FOLDED + """
-SELECT pu AS "PULocationID", dz AS "DOLocationID", count(*) AS n, round(avg(pu * 2.0::DOUBLE - dz + 1.75::DOUBLE * trip_distance), 6) AS prediction
+SELECT pu AS "PULocationID", dz AS "DOLocationID", count(*) AS n, round(avg(pu * 2.0::DOUBLE - dz + 1.75::DOUBLE * trip_distance), 7) AS prediction
 FROM folded WHERE split = 'train' GROUP BY ALL
 """,
     "alias_score": MEANS + "SELECT event_id, round(p, 7) AS prediction FROM kept_scored",

@@ -2,11 +2,12 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import random_rides, trip, trips
-from kerbside.operators import encode, linear, pair_ols, search
+from kerbside.operators import conjugate, encode, linear, pair_ols, search, trees
 from kerbside.operators import train as models
 from kerbside.operators.cells import LABEL, SPREAD, WEIGHT, collapse, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
@@ -69,6 +70,7 @@ def test_the_width_does_not_change_the_answer(rides, monkeypatch, spec):
     narrow = models.fit(train, spec)
     monkeypatch.setattr(linear, "MAX_NORMAL_COLUMNS", 3)
     monkeypatch.setattr(linear, "MAX_BROADCAST", 2)
+    monkeypatch.setattr(linear, "MAX_HELD", 2)
     wide = models.fit(train, spec)
     assert narrow.pipeline.weights() == pytest.approx(wide.pipeline.weights(), abs=1e-5)
     assert math.isclose(narrow.intercept, wide.intercept, abs_tol=1e-5)
@@ -93,6 +95,42 @@ def test_zone_islands(spark, monkeypatch, spec, columns):
     assert np.allclose(list(weights.values()), w, atol=1e-4) and math.isclose(model.intercept, intercept, abs_tol=1e-4)
 
 
+@pytest.mark.parametrize("spec", [ZONES, ZONES_DISTANCE, FeatureSpec(("PULocationID",), ("trip_distance", "passengers"))], ids=["zones", "zones+distance", "two numbers"])
+def test_conjugate_gradients_equal_brute_force(rides, spec):
+    table = rides.withColumn("passengers", F.pmod(F.xxhash64("duration"), F.lit(5)).cast("double")).filter("split = 'train'")
+    found = conjugate.solve(uncollapsed(table, spec), spec, WEIGHT, LABEL)
+    names = [f"{c}={r.key}" for c, e in found.effects.items() for r in e.orderBy("key").collect()] + list(spec.numerical)
+    values = [r.effect for e in found.effects.values() for r in e.orderBy("key").collect()] + [found.slopes[n] for n in spec.numerical]
+    rows = table.collect()
+    w, b = least_norm(design(rows, spec, names), np.array([r.duration for r in rows]))
+    assert np.allclose(values, w, atol=1e-7) and math.isclose(found.intercept, b, abs_tol=1e-7)
+
+
+def test_conjugate_gradients_without_variation(spark):
+    """A number that never varies has no slope; one zone alone has no effect."""
+    table = trips(spark, [trip(5, 1, 1, 2.0), trip(7, 1, 2, 2.0), trip(9, 1, 2, 2.0)])
+    found = conjugate.solve(uncollapsed(table, ZONES_DISTANCE), ZONES_DISTANCE, WEIGHT, LABEL)
+    assert found.slopes == {"trip_distance": 0.0}
+    effects = {c: {r.key: r.effect for r in e.collect()} for c, e in found.effects.items()}
+    assert effects["PULocationID"] == pytest.approx({"1": 0.0}, abs=1e-9) and effects["DOLocationID"] == pytest.approx({"1": -1.5, "2": 1.5})
+    assert found.intercept == pytest.approx(6.5)
+
+
+def test_two_hundred_thousand_zones_stay_tables(spark, monkeypatch):
+    """No category passes through the driver: what is collected are sums."""
+    n = 200_000  # three trips each, and 101 zones on the other side
+    rows = spark.range(3 * n).select(
+        (F.col("id") % n).alias("PULocationID"), (F.col("id") * 7 % 101).alias("DOLocationID"), F.lit(1.0).alias(WEIGHT), F.lit("train").alias("split"),
+    ).withColumn(LABEL, 10.0 + F.col("PULocationID") % 13 + 0.5 * F.col("DOLocationID"))
+    collected = []
+    real = type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda self: collected.append(real(self)) or collected[-1])
+    model = models.fit(rows, ZONES)
+    assert max(map(len, collected)) <= 200 and model.pipeline.sizes == {"DOLocationID": 101, "PULocationID": n}
+    wrong = models.predict(model, rows).filter(F.abs(F.col("prediction") - F.col(LABEL)) > 1e-6)
+    assert wrong.count() == 0
+
+
 def test_vocabulary_is_frozen(rides):
     train = rides.filter("split = 'train'")
     model = encode.fit_encoder(train, PAIR_DISTANCE)
@@ -276,11 +314,33 @@ def test_patience(rides):
     assert kept[12] == kept[50] == 12 and kept[2] <= 12
 
 
+def test_a_shortened_model_is_that_of_fewer_rounds(spark, rides, tmp_path):
+    train = collapse(rides, ZONES).filter("split = 'train'")
+    long, short = (models.fit(train, ZONES, "XGB", {"num_boost_round": n, "max_depth": 3}) for n in (6, 2))
+    cut = trees.shortened(long.regressor, 2)
+    assert cut.getNumTrees == 2 and cut.treeWeights == short.regressor.treeWeights
+    long.pipeline = PipelineModel([*long.pipeline.stages[:-1], cut])
+    a, b = ([r.prediction for r in models.predict(m, rides).orderBy("duration").collect()] for m in (long, short))
+    assert a == b
+    models.save(long, f"{tmp_path}/m")
+    assert models.load(spark, f"{tmp_path}/m").regressor.getNumTrees == 2
+
+
+def test_small_nodes_are_not_split(rides):
+    """Trips of a node count, and the answers are those of the nodes that stay."""
+    train = collapse(rides, ZONES_DISTANCE).filter("split = 'train'")
+    fit = lambda n: models.fit(train, ZONES_DISTANCE, "RF", {"n_estimators": 3, "max_depth": 6, "min_samples_split": n})
+    sizes = {n: [t.numNodes for t in fit(n).regressor.trees] for n in (2, 20, 60, 10_000)}
+    assert all(a > b > c > d == 1 for a, b, c, d in zip(*(sizes[n] for n in (2, 20, 60, 10_000)), strict=True))
+    with_limit = models.predict(fit(10_000), rides).select("prediction").distinct().collect()
+    assert len(with_limit) == 1
+
+
 def test_parameters_are_checked_and_recorded(rides):
     cells = collapse(rides, PAIR_DISTANCE).filter("split = 'train'")
     with pytest.raises(ValueError, match="max_dept"):
         models.fit(cells, PAIR_DISTANCE, "RF", {"max_dept": 3})
-    model = models.fit(cells, PAIR_DISTANCE, "RF", {"max_depth": 2, "n_estimators": 2, "min_samples_split": 2})
-    assert model.params["without_effect"] == "min_samples_split" and model.params["pair_as"] == "two zones"
+    model = models.fit(cells, PAIR_DISTANCE, "RF", {"max_depth": 2, "n_estimators": 2, "n_jobs": 2})
+    assert model.params["without_effect"] == "n_jobs" and model.params["pair_as"] == "two zones"
     lone = models.fit(cells, PAIR_DISTANCE, "RF", {"max_depth": 5, "n_estimators": 2, "min_samples_leaf": 10_000})
     assert all(t.numNodes == 1 for t in lone.regressor.trees)

@@ -932,6 +932,53 @@ def stream_score(spark, sf_dir):
     )
 
 
+DRAIN = {"availableNow": True}
+
+
+@query
+def stream_once(spark, sf_dir):
+    """All records are delivered, then all again to the restarted stream, which knows them from its state."""
+    model = _model(spark, sf_dir, PICKUP)
+    root = new_folder(spark, "stream")
+    for _ in range(2):
+        envelopes(spark, sf_dir).write.mode("append").json(f"{root}/in")
+        stream = records.read_envelopes(spark, f"{root}/in", maxFilesPerTrigger="64")
+        publish, held = [sinks.parquet_sink(f"{root}/events")], sinks.parquet_sink(f"{root}/rejects")
+        service.start(model, stream, "run-1", publish, f"{root}/checkpoint", held, DRAIN, repeats_within="60 days").awaitTermination()
+    events = sinks.read_events(spark, f"{root}/events")
+    return events.select("prediction.ride_id", F.round("prediction.ride_duration", MEAN_DIGITS).alias("ride_duration"))
+
+
+@query
+def stream_windows(spark, sf_dir):
+    """Predictions of the stream averaged by day of arrival."""
+    model = _model(spark, sf_dir, PICKUP)
+    root = new_folder(spark, "stream")
+    envelopes(spark, sf_dir).write.json(f"{root}/in")
+    stream = records.read_envelopes(spark, f"{root}/in", maxFilesPerTrigger="64")
+    service.start_windows(model, stream, f"{root}/windows", f"{root}/checkpoint", "1 day", "60 days", DRAIN).awaitTermination()
+    days = service.read_windows(spark, f"{root}/windows")
+    return days.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "n", F.round("mean", 6).alias("mean"))
+
+
+@query
+def stream_promotion(spark, sf_dir):
+    """Half of the records, then a promotion, then the other half: the stream follows the alias, batch by batch."""
+    root = new_folder(spark, "stream")
+    versions = {"run-1": _model(spark, sf_dir, PICKUP), "run-2": _model(spark, sf_dir, FeatureSpec(("DOLocationID",)))}
+    sent = envelopes(spark, sf_dir)
+    first = F.element_at("Records", 1)["kinesis"]["partitionKey"].cast("bigint")
+    for turn, (run_id, model) in enumerate(versions.items()):
+        models.save(model, models.model_location(run_id, root, experiment="durations"))
+        registry.set_alias(spark, f"{root}/aliases", "durations", "production", run_id, "approved")
+        sent.filter(F.floor(first / 100) % 2 == turn).write.mode("append").json(f"{root}/in")
+        stream = records.read_envelopes(spark, f"{root}/in", maxFilesPerTrigger="64")
+        scorers = service.by_alias(spark, root, "durations", "durations", "production")
+        service.start(scorers, stream, None, [sinks.parquet_sink(f"{root}/events")], f"{root}/checkpoint", None, DRAIN).awaitTermination()
+    events = sinks.read_events(spark, f"{root}/events")
+    return events.select("version", "prediction.ride_id", F.round("prediction.ride_duration", MEAN_DIGITS).alias("ride_duration"))
+
+
 @query
 def stream_messages(spark, sf_dir):
     """The stream's keyed messages and its rejects, counted per sink."""

@@ -410,6 +410,21 @@ SELECT CAST(event_id AS VARCHAR) AS key, 'ride_duration_prediction_model' AS mod
     "stream_score": MEANS + """
 SELECT 'ride_duration_prediction_model' AS model, 'run-1' AS version, event_id AS ride_id, round(p, 7) AS ride_duration
 FROM scored WHERE pu IS NOT NULL OR event_id % 4 = 3
+""",
+    "stream_once": MEANS + """
+SELECT event_id AS ride_id, round(p, 7) AS ride_duration FROM scored WHERE pu IS NOT NULL OR event_id % 4 = 3
+""",
+    "stream_windows": MEANS + """
+SELECT strftime(TIMESTAMP '1970-01-01' + to_seconds(date_diff('second', TIMESTAMP '2024-01-01', pickup)), '%Y-%m-%d') AS day, count(*) AS n, round(avg(p), 6) AS mean
+FROM scored WHERE pu IS NOT NULL OR event_id % 4 = 3 GROUP BY 1
+""",
+    "stream_promotion": MEANS + """
+, other AS (SELECT do_code, avg(duration) AS m2 FROM kept WHERE split = 'train' GROUP BY do_code
+), unseen2 AS (SELECT avg(m2) AS u2 FROM other
+)
+SELECT CASE event_id // 100 % 2 WHEN 0 THEN 'run-1' ELSE 'run-2' END AS version, event_id AS ride_id,
+       round(CASE event_id // 100 % 2 WHEN 0 THEN p ELSE coalesce(m2, u2) END, 7) AS ride_duration
+FROM scored LEFT JOIN other USING (do_code) CROSS JOIN unseen2 WHERE pu IS NOT NULL OR event_id % 4 = 3
 """,
     "stream_messages": TRIPS + """
 SELECT CASE WHEN pu IS NULL AND event_id % 4 <> 3 THEN 'held' ELSE 'sent' END AS sink, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS id_sum

@@ -74,6 +74,18 @@ def decode(envelopes: DataFrame) -> DataFrame:
     return records.withColumn("payload", payload_text(F.col("data"))).withColumn("event", parse_event(F.col("payload")))
 
 
+def once(decoded: DataFrame, within: str) -> DataFrame:
+    """Each record of a stream once, however often it is delivered within this time of its first arrival.
+
+    The state store holds the ids of that time. A record that comes later than the watermark, the latest
+    arrival less `within`, is dropped as a repeat would be (`late` counts these); records without id cannot
+    be told apart and all stay.
+    """
+    named = decoded.withColumn("arrival", F.coalesce("arrival", F.current_timestamp()))
+    named = named.withColumn("_id", F.coalesce("event_id", F.concat(F.lit("none:"), F.uuid())))
+    return named.withWatermark("arrival", within).dropDuplicatesWithinWatermark(["_id"]).drop("_id")
+
+
 def reject_reason(inputs: list[str]):
     """Why a record cannot be scored; null when it can.
 
@@ -128,6 +140,14 @@ def events(scored: DataFrame, version: str | None) -> DataFrame:
     return scored.select(event.alias("e")).select("e.*")
 
 
+def window_means(scored: DataFrame, width: str, late_by: str) -> DataFrame:
+    """Running count and mean of the predictions of a stream in windows of arrival time; a window takes records
+    until the watermark has passed its end."""
+    seen = scored.withWatermark("arrival", late_by)
+    means = seen.groupBy(F.window("arrival", width)).agg(F.count("prediction").alias("n"), F.avg("prediction").alias("mean"))
+    return means.select(F.col("window.start").alias("start"), F.col("window.end").alias("end"), "n", "mean")
+
+
 def messages(prediction_events: DataFrame) -> DataFrame:
     """Key and JSON value, one message per ride, keyed by ride."""
     key = F.col("prediction.ride_id").cast("string")

@@ -187,3 +187,50 @@ def test_requests_that_are_no_json_are_refused(spark, model, tmp_path):
     assert sorted(r.trip_distance for r in score_requests(model, requests).collect()) == [1.0, 2.0]
     reasons = sorted(r.reason for r in request_rejects(model, requests).collect())
     assert reasons == ["input missing", "no JSON", "no JSON"]
+
+
+DAY = 86_400
+
+
+def timed(ride_id, arrival):
+    entry = record(b64({**EVENT, "ride_id": ride_id}), ride_id)
+    entry["kinesis"]["approximateArrivalTimestamp"] = float(arrival)
+    return entry
+
+
+def test_repeats_are_scored_once_and_records_without_id_all(spark, tmp_path):
+    nameless = {k: v for k, v in timed(9, 5 * DAY).items() if k != "eventID"}
+    path = write(tmp_path / "in", {"Records": [timed(1, 5 * DAY), timed(1, 5 * DAY), timed(2, 5 * DAY), nameless, nameless]})
+
+    def drain():
+        stream = records.read_envelopes(spark, path, maxFilesPerTrigger="1")
+        run = service.start(models.constant_model(3.0), stream, "v", [sinks.parquet_sink(f"{tmp_path}/out")], f"{tmp_path}/check", None, {"availableNow": True}, "1 day")
+        run.awaitTermination()
+        found = sinks.read_events(spark, f"{tmp_path}/out").select("prediction.ride_id").collect()
+        return sorted(r.ride_id for r in found), service.late(run)
+
+    assert drain() == ([1, 2, 9, 9], 0)
+    # From the checkpoint: one known, one new, and one that is later than the watermark.
+    write(tmp_path / "in", {"Records": [timed(2, 5 * DAY), timed(3, 6 * DAY)]})
+    assert drain()[0] == [1, 2, 3, 9, 9]
+    write(tmp_path / "in", {"Records": [timed(4, 1 * DAY)]})
+    assert drain() == ([1, 2, 3, 9, 9], 1)
+
+
+def test_windows_take_late_records_until_the_watermark(spark, tmp_path):
+    path = write(tmp_path / "in", {"Records": [timed(k, 5 * DAY + k) for k in range(4)]})
+
+    def drain():
+        stream = records.read_envelopes(spark, path, maxFilesPerTrigger="1")
+        run = service.start_windows(models.constant_model(3.0), stream, f"{tmp_path}/out", f"{tmp_path}/check", "1 day", "2 days", {"availableNow": True})
+        run.awaitTermination()
+        return sorted((int(r.start.timestamp()) // DAY, r.n, r["mean"]) for r in service.read_windows(spark, f"{tmp_path}/out").collect()), service.late(run)
+
+    assert drain() == ([(5, 4, 3.0)], 0)
+    write(tmp_path / "in", {"Records": [timed(20, 4 * DAY), timed(21, 5 * DAY)]})
+    assert drain() == ([(4, 1, 3.0), (5, 5, 3.0)], 0)
+    write(tmp_path / "in", {"Records": [timed(30, 9 * DAY)]})
+    drain()
+    write(tmp_path / "in", {"Records": [timed(31, 2 * DAY)]})
+    found, dropped = drain()
+    assert found == [(4, 1, 3.0), (5, 5, 3.0), (9, 1, 3.0)] and dropped == 1

@@ -8,7 +8,12 @@ no window reaches over the border of such an element. The text surges where the
 where it falls back to zero; between a surge and its dive all lines that are not boilerplate are text,
 however short. Of several such stretches the one with the highest sum counts, with those that reach `PEAK`
 of it and those between such stretches of the same element; if it lies in an <article>, all stretches of
-that article count. So articles that are teasers or comments do not outweigh a story outside of them.
+that article count. So articles that are teasers or comments do not outweigh a story outside of them. One or two
+lines that are all links stay between lines of a chosen stretch; more of them are a list of links.
+
+A form, or an element whose name is marked, that holds most of the page's text outside of links is a wrapper
+around the page and no boilerplate; one of comments or adverts stays what it is. A name that
+merely says something (`has-sidebar`, `comments-open`) marks nothing.
 
 Results: null and empty pages give an empty text, and so do pages without any. Broken markup is read
 as far as it goes: unclosed elements end with their parent, a tag that is cut off is dropped.
@@ -56,24 +61,33 @@ _MARKED = set(
 )
 #: Articles in or with these are other people's or other pages' text, unless the name only says that there are some.
 _FOREIGN = set("ad ads advert adverts advertisement comment comments disqus promo recommended related replies reply respond sponsored".split())
+_SAYING = {"has", "with", "without", "no"}
 _SAYS = set("has with without no open closed status enabled disabled allow show hide count".split())
 _ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"}
 
 
-def _boilerplate(name: str, attrs: str, inside: bool) -> bool:
+def _boilerplate(name: str, attrs: str, inside: bool) -> int:
+    """0 for an element that may hold text, 1 for one that is a wrapper if it holds most of it, else 2."""
+    if name == "form":
+        return 1
     if name in _NEVER or name == "header" and not inside:
-        return True
+        return 2
     if not attrs or name in ("html", "body", "main", "article"):
-        return False
+        return 0
+    found = 0
     for match in _ATTRIBUTE.finditer(attrs):
         key, value = match[1].lower(), next((g for g in match.groups()[1:] if g is not None), "")
-        if key in ("class", "id") and any(w.lower() in _MARKED for w in _WORD.findall(value)):
-            return True
+        if key in ("class", "id"):
+            for token in value.split():
+                words = [w.lower() for w in _WORD.findall(token)]
+                if words and words[0] not in _SAYING and not _MARKED.isdisjoint(words):
+                    foreign = not _FOREIGN.isdisjoint(words)
+                    found = max(found, 0 if foreign and not _SAYS.isdisjoint(words) else 2 if foreign else 1)
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "role" and value.lower() in _ROLES:
-            return True
+            return 2
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
-    return False
+            return 2
+    return found
 
 
 def _foreign(attrs: str) -> bool:
@@ -89,10 +103,23 @@ def _foreign(attrs: str) -> bool:
 def lines(page: str) -> list[tuple[str, int, int]]:
     """(text, weight, element) of each block of a page that has any text. The element is the innermost
     <article> or <main> around it: 0 if there is none, n for the n-th if that is a <main>, -n if an <article>."""
+    wrappers: set[int] = set()
+    while True:
+        out, within, total = _lines(page, wrappers)
+        more = {at for at, weight in within.items() if 2 * weight > total}
+        if not more:
+            return out
+        wrappers |= more
+
+
+def _lines(page: str, wrappers: set[int]) -> tuple[list[tuple[str, int, int]], dict[int, int], int]:
+    """The lines, if the elements that begin at `wrappers` are no boilerplate; the weight of the text in each
+    outermost element that may be a wrapper, by its place; and the weight of all text that is seen."""
     out: list[tuple[str, int, int]] = []
     parts: list[str] = []
-    weight = seen = 0
-    stack: list[tuple[str, bool, int, bool]] = []  # name, boilerplate, element, in or with a foreign name
+    weight = seen = total = 0
+    within: dict[int, int] = {}
+    stack: list[tuple[str, bool, int, bool, int]] = []  # name, boilerplate, element, in or with a foreign name, wrapper
     dropped, inside, links = False, 0, 0
 
     def close() -> None:
@@ -104,11 +131,15 @@ def lines(page: str) -> list[tuple[str, int, int]]:
         weight = 0
 
     def add(text: str) -> None:
-        nonlocal weight
+        nonlocal weight, total
+        size = 0 if links else len(text.strip())
         if text and not dropped:
             parts.append(text)
-            if not links:
-                weight += len(text.strip())
+            weight += size
+            total += size
+        elif size and stack[-1][4] >= 0:
+            within[stack[-1][4]] = within.get(stack[-1][4], 0) + size
+            total += size
 
     at = 0
     while True:
@@ -117,7 +148,7 @@ def lines(page: str) -> list[tuple[str, int, int]]:
             add(page[at:])
             break
         add(page[at : match.start()])
-        at = max(match.end(), match.start() + 1)
+        place, at = match.start(), max(match.end(), match.start() + 1)
         if match["name"] is None:
             continue
         name = match["name"].lower()
@@ -148,19 +179,24 @@ def lines(page: str) -> list[tuple[str, int, int]]:
                         break
                     if stack[k][0] in _BLOCK:
                         break
-            above = stack[-1] if stack else ("", False, 0, False)
+            above = stack[-1] if stack else ("", False, 0, False, -1)
             foreign = above[3] or name not in ("html", "body", "main") and bool(match["attrs"]) and _foreign(match["attrs"])
+            # Text counts for the outermost dropped element, if that may be a wrapper; for none below any other.
+            kind = 0 if place in wrappers else _boilerplate(name, match["attrs"], above[2] != 0)
+            wrapper = above[4] if kind < 2 else -1
             if name in ("article", "main"):
                 # An article counts even where a wrapper around it is named like boilerplate, but not among comments.
                 drop = foreign or above[1] and any(n in _NEVER for n, d, *_ in stack if d)
                 seen += 1
-                stack.append((name, drop, above[2] if drop else -seen if name == "article" else seen, foreign))
+                stack.append((name, drop, above[2] if drop else -seen if name == "article" else seen, foreign, wrapper if drop and not foreign else -1))
             else:
-                stack.append((name, above[1] or _boilerplate(name, match["attrs"], above[2] != 0), above[2], foreign))
+                if kind == 1 and not above[1]:
+                    wrapper = place
+                stack.append((name, above[1] or kind > 0, above[2], foreign, wrapper))
             links += name == "a"
         dropped, inside = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
     close()
-    return out
+    return out, within, total
 
 
 def main_text(page: str) -> str:
@@ -195,7 +231,15 @@ def main_text(page: str) -> str:
     for a, b in zip(surges[chosen], dives[chosen], strict=True):
         kept[a:b] = True
     # Window k holds the lines k - WINDOW + 1 to k. A heading inside an article may be a link.
-    return "\n\n".join(text for (text, w, e), k in zip(found, at, strict=True) if (w or e) and kept[k : k + WINDOW].any())
+    stays = [bool(w or e) and bool(kept[k : k + WINDOW].any()) for (_, w, e), k in zip(found, at, strict=True)]
+    for k, (_, w, e) in enumerate(found):
+        if not (w or e):
+            # Up to two lines in links between lines that stay; elsewhere links are lists of other pages.
+            before = next((j for j in range(k - 1, max(k - 3, -1), -1) if found[j][1] or found[j][2]), None)
+            after = next((j for j in range(k + 1, min(k + 3, len(found))) if found[j][1] or found[j][2]), None)
+            if before is not None and after is not None and after - before <= 3:
+                stays[k] = stays[before] and stays[after] and found[before][2] == found[after][2] == 0
+    return "\n\n".join(text for (text, _, _), stay in zip(found, stays, strict=True) if stay)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -216,6 +216,46 @@ def test_broken_pages_do_not_fail(page):
     assert isinstance(html_text.main_text(page), str)
 
 
+PARAGRAPHS = [f"{cases.prose(k, 30)} and a sentence that ends here, {k}." for k in range(300, 308)]
+
+
+@pytest.mark.parametrize(
+    "begin, end",
+    [
+        ("<form id='aspnetForm'>", "</form>"),
+        ("<form><article>", "</article></form>"),
+        ("<div class='page has-sidebar'>", "</div>"),
+        ("<div id='content' class='no-sidebar'>", "</div>"),
+        ("<div class='post comments-open'>", "</div>"),
+        ("<div class='newsletter-issue'>", "</div>"),
+        ("<form method=post><div class='sidebar-page'><div id=body>", "</div></div></form>"),
+    ],
+)
+def test_wrappers_around_a_page_hold_its_story(begin, end):
+    story = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+    menu = "<nav><a href=/>Home</a> <a href=/a>About</a></nav><div class=sidebar><p>Popular posts of this week</p></div>"
+    search = "<form action=/search><label>Search for</label><input><p>Search all of it</p></form>"
+    rest = "<div class='comments'><p>First! I like this story</p></div><footer>&copy; us</footer>"
+    page = f"<html><body>{begin}{menu}{search}{story}{rest}{end}</body></html>"
+    assert html_text.main_text(page).split("\n\n") == [" ".join(p.split()) for p in PARAGRAPHS]
+
+
+def test_comments_that_outweigh_a_story_stay_out():
+    story = "".join(f"<p>{p}</p>" for p in PARAGRAPHS[:2])
+    comments = "".join(f"<p>{p}</p>" for p in PARAGRAPHS[2:]) * 3
+    for opening in ("<div class=comments>", "<section id='respond'>", "<div class='comments'><form>"):
+        page = f"<body><div id=main-text>{story}</div>{opening}{comments}</body>"
+        assert html_text.main_text(page).split("\n\n") == [" ".join(p.split()) for p in PARAGRAPHS[:2]], opening
+
+
+def test_linked_lines_inside_a_story_stay():
+    p = [" ".join(x.split()) for x in PARAGRAPHS]
+    page = f"<div><p>{p[0]}</p><h2><a href=/x>A linked headline</a></h2><p>{p[1]}</p><p><a href=/y>{p[2]}</a></p><p>{p[3]}</p></div>"
+    assert html_text.main_text(page).split("\n\n") == [p[0], "A linked headline", p[1], p[2], p[3]]
+    listed = "".join(f"<li><a href=/{k}>Other story {k}</a></li>" for k in range(5))
+    assert html_text.main_text(f"<div><p>{p[0]}</p><ul>{listed}</ul><p>{p[1]}</p></div>").split("\n\n") == [p[0], p[1]]
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (None, "u", "<p>a</p>"), (4, "u", "<article><p>b</p></article>"), (4, "u", "<article><p>b</p></article>")]
     frame = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit("own"))

@@ -11,15 +11,17 @@ from pyspark.sql import functions as F
 
 from kerbside.operators import registry, search
 from kerbside.operators import train as models
-from kerbside.operators.cells import collapse, uncollapsed
+from kerbside.operators.cells import collapse, edges, uncollapsed
 from kerbside.operators.encode import ZONES_DISTANCE, FeatureSpec, fit_encoder
 from kerbside.operators.prepare import drop_outliers, with_duration, with_month_split
 from kerbside.sources.trips import following_month, read_months
 
 
 def feature_cells(trips: DataFrame, spec: FeatureSpec) -> DataFrame:
-    """Split trips to cells, kept for the fits that follow (recomputed if an executor is lost)."""
-    return collapse(drop_outliers(trips), spec).persist(StorageLevel.MEMORY_AND_DISK)
+    """Split trips to cells, kept for the fits that follow (recomputed if an executor is lost). Numbers are
+    binned by the quantiles of all trips, as many trips may have as many distances."""
+    kept = drop_outliers(trips)
+    return collapse(kept, spec, binned=edges(kept, spec)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def training_rows(trips: DataFrame, spec: FeatureSpec, model_type: str) -> DataFrame:

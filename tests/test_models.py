@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from helpers import random_rides, trip, trips
 from kerbside.operators import conjugate, encode, linear, pair_ols, search, trees
 from kerbside.operators import train as models
-from kerbside.operators.cells import LABEL, SPREAD, WEIGHT, collapse, uncollapsed
+from kerbside.operators.cells import LABEL, SPREAD, WEIGHT, collapse, edges, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
 from kerbside.plans import training
 from kerbside.plans.batch import load_by_alias
@@ -344,3 +344,24 @@ def test_parameters_are_checked_and_recorded(rides):
     assert model.params["without_effect"] == "n_jobs" and model.params["pair_as"] == "two zones"
     lone = models.fit(cells, PAIR_DISTANCE, "RF", {"max_depth": 5, "n_estimators": 2, "min_samples_leaf": 10_000})
     assert all(t.numNodes == 1 for t in lone.regressor.trees)
+
+
+def test_cells_of_distinct_distances_are_bounded(spark):
+    """As many distances as trips: cells are bins times pairs, and a forest loses less than five per cent."""
+    n, bins = 6000, 128
+    rows = spark.range(n).select(
+        (F.col("id") % 3).alias("PULocationID"), (F.col("id") % 2).alias("DOLocationID"), F.pmod(F.xxhash64("id") / 1e12, F.lit(9.0)).alias("trip_distance"),
+        F.when(F.col("id") % 4 == 0, "val").otherwise("train").alias("split"),
+    )
+    rows = rows.withColumn("duration", 5 + 4 * F.col("trip_distance") + F.col("PULocationID") + F.pmod(F.xxhash64("trip_distance"), F.lit(100)) / 50)
+    exact, binned = (collapse(rows, ZONES_DISTANCE, binned=b).cache() for b in (None, edges(rows, ZONES_DISTANCE, bins)))
+    assert exact.count() == n and binned.count() <= bins * 6 * 2
+    assert binned.agg(F.sum(WEIGHT)).first()[0] == n
+    params = {"n_estimators": 5, "max_depth": 6}
+    fitted = [models.fit(c.filter("split = 'train'"), ZONES_DISTANCE, "RF", params) for c in (exact, binned)]
+    val = rows.filter("split = 'val'")
+    a, b = (models.row_rmse(models.predict(m, val)).first().rmse for m in fitted)
+    assert b < 1.05 * a, (a, b)
+    few = rows.withColumn("trip_distance", F.round("trip_distance"))
+    kept = collapse(few, ZONES_DISTANCE, binned=edges(few, ZONES_DISTANCE, bins))
+    assert sorted(kept.collect()) == sorted(collapse(few, ZONES_DISTANCE).select(*kept.columns).collect())

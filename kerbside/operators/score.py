@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kerbside.functions.codec import CORRUPT
@@ -58,6 +59,30 @@ def request_rejects(model, requests: DataFrame) -> DataFrame:
     return requests.withColumn("reason", request_reason(model, requests)).filter("reason IS NOT NULL")
 
 
+def watched(predictions: DataFrame, value: str = "predicted_duration") -> tuple[DataFrame, Observation]:
+    """The predictions, and the numbers behind `summary` that their next write will leave: no second pass."""
+    seen = Observation()
+    v = F.col(value)
+    return predictions.observe(seen, F.count(v).alias("n"), F.sum(v).alias("total"), F.avg(v).alias("mean"), F.var_pop(v).alias("variance")), seen
+
+
+def watched_summary(spark: SparkSession, seen: Sequence[Observation]) -> DataFrame:
+    """`summary` of what several watched writes have written together."""
+    n, total, spread = 0, 0.0, 0.0
+    for x in (o.get for o in seen):
+        if x["n"]:
+            # The spread inside both parts, and that of their means.
+            between = (x["mean"] - total / n) ** 2 * n * x["n"] / (n + x["n"]) if n else 0.0
+            n, total, spread = n + x["n"], total + x["total"], spread + x["variance"] * x["n"] + between
+    row = (n, total, total / n, (spread / n) ** 0.5) if n else (0, None, None, None)
+    return spark.createDataFrame([row], "n BIGINT, total DOUBLE, mean DOUBLE, std_population DOUBLE")
+
+
+def write_month(predictions: DataFrame, path: str, compression: str = "uncompressed") -> None:
+    """The predictions of one month to a folder of its own, which is overwritten."""
+    predictions.drop("taxi_type", "year", "month").write.mode("overwrite").option("compression", compression).parquet(path)
+
+
 def write_predictions(predictions: DataFrame, path: str, compression: str = "uncompressed") -> None:
     """Overwrite exactly the months present; a re-run replaces its own output only.
 

@@ -3,11 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from kerbside.operators import registry, score
 from kerbside.operators import train as models
@@ -22,16 +18,24 @@ def score_months(
     dest: str,
     numbering: str = "source",
     pattern: str | None = None,
+    output: str | None = None,
 ) -> DataFrame:
-    """Read months, score, write partitioned Parquet; returns the summary of what was written."""
+    """Read months, score, write Parquet; returns the summary of what was written, as seen by the write.
+
+    By default all months are written at once, to partitions by colour, year and month. With `output`, a
+    pattern of `color`, `year` and `month`, each month goes to a folder of that name.
+    """
     model = models.load(spark, model_path)
     months = list(months)
-    trips = read_months(spark, base, months, pattern)
-    score.write_predictions(score.score_trips(model, trips, numbering), dest)
-    written = score.read_predictions(spark, dest)
-    # A filter on the partition columns only: other months in `dest` are not even listed for reading.
-    wanted = [(F.col("taxi_type") == c) & (F.col("year") == y) & (F.col("month") == m) for c, y, m in months]
-    return score.summary(written.filter(reduce(or_, wanted)))
+    seen = []
+    for part in [[m] for m in months] if output else [months]:
+        predictions, numbers = score.watched(score.score_trips(model, read_months(spark, base, part, pattern), numbering))
+        if output:
+            score.write_month(predictions, score.output_path(*part[0], dest, output))
+        else:
+            score.write_predictions(predictions, dest)
+        seen.append(numbers)
+    return score.watched_summary(spark, seen)
 
 
 def load_by_alias(spark: SparkSession, root: str, experiment: str, model: str, alias: str) -> models.Trained:

@@ -615,6 +615,22 @@ def score_months_summary(spark, sf_dir):
     return s.select("n", *[F.round(c, 3).alias(c) for c in ("total", "mean", "std_population")])
 
 
+@query
+def score_months_places(spark, sf_dir):
+    """The same months, each written to a place that the caller names."""
+    root = new_folder(spark, "score-months")
+    _green_months(spark, sf_dir, f"{root}/in")
+    run_id = train_month(spark, f"{root}/in", f"{root}/out", "green", *GREEN_MONTHS[0], spec=PICKUP)
+    path = models.model_location(run_id, f"{root}/out", experiment="trip-duration")
+    months = [("green", *m) for m in GREEN_MONTHS[1:]]
+    score_months(spark, f"{root}/in", months, path, f"{root}/scored", output="predictions-{color}-{year:04d}-{month:02d}")
+    parts = []
+    for color, year, month in months:
+        part = spark.read.parquet(f"{root}/scored/predictions-{color}-{year:04d}-{month:02d}")
+        parts.append(score.summary(part).select(F.lit(month).alias("month"), "n", *[F.round(c, 3).alias(c) for c in ("total", "mean")]))
+    return parts[0].unionByName(parts[1])
+
+
 # ---- runs and promotion ---------------------------------------------------------------------
 
 

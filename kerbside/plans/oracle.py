@@ -247,6 +247,9 @@ FROM scored WHERE month = 1
 SELECT CASE WHEN year = 1996 THEN 'train' WHEN month = 1 THEN 'val' ELSE 'test' END AS split,
        count(*) AS n, round(sum(duration), 6) AS total
 FROM kept WHERE color = 'green' AND ((year = 1996 AND month = 12) OR (year = 1997 AND month IN (1, 2))) GROUP BY 1
+""",
+    "score_months_places": FIRST_MONTH + """
+SELECT month, count(*) AS n, round(sum(p), 3) AS total, round(avg(p), 3) AS mean FROM scored GROUP BY month
 """,
     "score_months_summary": FIRST_MONTH + """
 SELECT count(*) AS n, round(sum(p), 3) AS total, round(avg(p), 3) AS mean, round(stddev_pop(p), 3) AS std_population FROM scored

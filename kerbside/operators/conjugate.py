@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.columns import required
 from kerbside.operators.encode import FeatureSpec
-from kerbside.session import ensure_checkpoint_dir
+from kerbside.session import Scratch, ensure_checkpoint_dir
 
 # Residual, as a share of the first one, at which the rounds end.
 TOLERANCE = 1e-10
@@ -58,13 +58,15 @@ def solve(rows: DataFrame, spec: FeatureSpec, weight: str, label: str, tolerance
     typed = typed.select(*keys, *(c.alias(f"_x{i}") for i, c in enumerate(centred)), "_w", (F.col("_y") - F.lit(mean_y)).alias("_y"))
     typed = typed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        state = _conjugate_gradients(typed, keys, len(numbers), tolerance)
-        slopes = dict.fromkeys(range(len(numbers)), 0.0) | {r.feature - len(names): r.x for r in state.filter(F.col("feature") >= len(names)).select("feature", "x").collect()}
-        effects = [state.filter(F.col("feature") == i).select("key", "d", F.col("x").alias("effect")) for i in range(len(names))]
-        above = sum(e.agg(F.sum(F.col("d") * F.col("effect")) / F.sum("d")).first()[0] for e in effects)
-        intercept = mean_y - above - sum(slopes[i] * m for i, m in enumerate(mean_x))
-        moved, effects = _least_norm([e.drop("d") for e in effects], typed, keys, names)
-        return Solution(intercept + moved, {n: slopes[i] for i, n in enumerate(numbers)}, dict(zip(names, effects, strict=True)))
+        with Scratch(rows.sparkSession) as scratch:
+            state = _conjugate_gradients(typed, keys, len(numbers), tolerance, scratch)
+            slopes = dict.fromkeys(range(len(numbers)), 0.0) | {r.feature - len(names): r.x for r in state.filter(F.col("feature") >= len(names)).select("feature", "x").collect()}
+            effects = [state.filter(F.col("feature") == i).select("key", "d", F.col("x").alias("effect")) for i in range(len(names))]
+            above = sum(e.agg(F.sum(F.col("d") * F.col("effect")) / F.sum("d")).first()[0] for e in effects)
+            intercept = mean_y - above - sum(slopes[i] * m for i, m in enumerate(mean_x))
+            moved, effects = _least_norm([e.drop("d") for e in effects], typed, keys, scratch)
+            found = {c: e.checkpoint() for c, e in zip(names, effects, strict=True)}
+        return Solution(intercept + moved, {n: slopes[i] for i, n in enumerate(numbers)}, found)
     finally:
         typed.unpersist()
 
@@ -80,11 +82,11 @@ def _back(rows: DataFrame, keys: Sequence[str], numbers: int, value) -> DataFram
     return rows.select(F.explode(F.array(*entries)).alias("_e")).groupBy("_e.feature", "_e.key").agg(F.sum("_e.d").alias("d"), F.sum("_e.s").alias("s"))
 
 
-def _conjugate_gradients(rows: DataFrame, keys: Sequence[str], numbers: int, tolerance: float) -> DataFrame:
+def _conjugate_gradients(rows: DataFrame, keys: Sequence[str], numbers: int, tolerance: float, scratch: Scratch) -> DataFrame:
     """(feature, key, d, x) at the solution, from zero."""
     category = F.col("feature") < len(keys)
     start = _back(rows, keys, numbers, F.col("_y")).filter("d > 0")  # a number that never varies has no slope
-    state = start.select("feature", "key", "d", F.lit(0.0).alias("x"), F.col("s").alias("r"), (F.col("s") / F.col("d")).alias("p")).checkpoint()
+    state = scratch.cut(start.select("feature", "key", "d", F.lit(0.0).alias("x"), F.col("s").alias("r"), (F.col("s") / F.col("d")).alias("p")))
     sizes = {r.feature: r.n for r in state.groupBy("feature").agg(F.count("*").alias("n")).collect()}
     slope = {r.feature: r.p for r in state.filter(~category).select("feature", "p").collect()}
     first = None
@@ -97,7 +99,7 @@ def _conjugate_gradients(rows: DataFrame, keys: Sequence[str], numbers: int, tol
         for i in range(numbers):
             product += F.lit(slope.get(len(keys) + i, 0.0)) * F.col(f"_x{i}")
         back = _back(joined, keys, numbers, product).drop("d")
-        now = state.join(back, ["feature", "key"]).checkpoint()  # the next round starts from this table
+        now = scratch.cut(state.join(back, ["feature", "key"]))  # the next round starts from this table
         p, r, d, s, one = (F.col(c) for c in ("p", "r", "d", "s", "feature"))
         among = lambda c: F.sum(F.when(category, c)).alias
         picked = [F.struct(*(F.max(F.when(one == f, F.col(c))).alias(c) for c in "prds")).alias(f"n{f}") for f in slope]
@@ -120,7 +122,7 @@ def _conjugate_gradients(rows: DataFrame, keys: Sequence[str], numbers: int, tol
     return state.select("feature", "key", "d", "x")
 
 
-def _least_norm(effects: list[DataFrame], rows: DataFrame, keys: Sequence[str], names: Sequence[str]) -> tuple[float, list[DataFrame]]:
+def _least_norm(effects: list[DataFrame], rows: DataFrame, keys: Sequence[str], scratch: Scratch) -> tuple[float, list[DataFrame]]:
     """What moves to the intercept, and the effects shifted to the least sum of squares.
 
     On an island all effects of one feature may rise and all of the other fall by as much, and the sum of
@@ -129,10 +131,10 @@ def _least_norm(effects: list[DataFrame], rows: DataFrame, keys: Sequence[str],
     if len(effects) != 2:
         means = [e.agg(F.avg("effect")).first()[0] for e in effects]
         return sum(means), [e.select("key", (F.col("effect") - F.lit(m)).alias("effect")) for e, m in zip(effects, means, strict=True)]
-    islands = _islands(rows.select(*keys).distinct(), *keys)
+    islands = _islands(rows.select(*keys).distinct(), *keys, scratch)
     placed = [e.join(i, "key") for e, i in zip(effects, islands, strict=True)]
     sides = [p.groupBy("island").agg(F.count("*").alias(f"n{k}"), F.avg("effect").alias(f"mean{k}")) for k, p in enumerate(placed)]
-    per = sides[0].join(sides[1], "island").withColumn("sum", F.col("mean0") + F.col("mean1")).checkpoint()
+    per = scratch.cut(sides[0].join(sides[1], "island").withColumn("sum", F.col("mean0") + F.col("mean1")))
     # With s moved to the intercept an island's means become shares of sum - s, at the cost of its square
     # times n * m / (n + m): so s is a weighted mean.
     pull = F.col("n0") * F.col("n1") / (F.col("n0") + F.col("n1"))
@@ -145,20 +147,20 @@ def _least_norm(effects: list[DataFrame], rows: DataFrame, keys: Sequence[str],
     return moved, out
 
 
-def _islands(edges: DataFrame, a: str, b: str) -> list[DataFrame]:
+def _islands(edges: DataFrame, a: str, b: str, scratch: Scratch) -> list[DataFrame]:
     """(key, island) of both features: the connected part of the graph of categories that meet in a trip.
 
     Each side takes the smallest label of its neighbours until none changes; a pointer to the label's own
     label makes long chains short.
     """
-    edges = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).checkpoint()
-    of_a, before = edges.groupBy("a").agg(F.min("b").alias("island")).checkpoint(), None
+    edges = scratch.cut(edges.select(F.col(a).alias("a"), F.col(b).alias("b")))
+    of_a, before = scratch.cut(edges.groupBy("a").agg(F.min("b").alias("island"))), None
     while True:
         of_b = edges.join(of_a, "a").groupBy("b").agg(F.min("island").alias("island"))
         # A label is the name of a category of b, which has a label of its own by now.
         jump = of_b.select(F.col("b").alias("island"), F.col("island").alias("further"))
-        of_b = of_b.join(jump, "island", "left").select("b", F.least("island", F.coalesce("further", "island")).alias("island")).checkpoint()
-        of_a = edges.join(of_b, "b").groupBy("a").agg(F.min("island").alias("island")).checkpoint()
+        of_b = scratch.cut(of_b.join(jump, "island", "left").select("b", F.least("island", F.coalesce("further", "island")).alias("island")))
+        of_a = scratch.cut(edges.join(of_b, "b").groupBy("a").agg(F.min("island").alias("island")))
         now = reduce(lambda x, y: (*x, *y), [tuple(t.agg(F.count_distinct("island"), F.sum(F.xxhash64(c, "island").cast("decimal(38,0)"))).first()) for t, c in ((of_a, "a"), (of_b, "b"))])
         if now == before:
             return [of_a.select(F.col("a").alias("key"), "island"), of_b.select(F.col("b").alias("key"), "island")]

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Only settings the results or the plans rely on; sizes (memory, shuffle partitions) belong to
 # the cluster that submits the job.
@@ -62,3 +62,33 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Iterative fits cut their lineage with checkpoints, so the context needs a folder for them."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(f"{shared_root(spark)}/checkpoints")
+
+
+class Scratch:
+    """Tables in the shared folder that an operator needs on its way and deletes at the end:
+
+    with Scratch(spark) as scratch:
+        steps = scratch.cut(frame)
+        result = cut(steps...)
+
+    A table of it costs lost executors no more than a read, and hands on nothing of the plan behind it, where a
+    checkpoint keeps the constraints of its plan, which grow with every step of an iteration.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def cut(self, frame: DataFrame) -> DataFrame:
+        path = new_folder(self.spark, "scratch")
+        self.paths.append(path)
+        frame.write.option("compression", "none").parquet(path)  # read once or twice: codecs would hold memory for little
+        return self.spark.read.schema(frame.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        path_of, conf = self.spark._jvm.org.apache.hadoop.fs.Path, self.spark.sparkContext._jsc.hadoopConfiguration()
+        for path in map(path_of, self.paths):
+            path.getFileSystem(conf).delete(path, True)
+        self.paths.clear()

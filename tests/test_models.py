@@ -120,7 +120,7 @@ def test_two_hundred_thousand_zones_stay_tables(spark, monkeypatch):
     """No category passes through the driver: what is collected are sums."""
     n = 200_000  # three trips each, and 101 zones on the other side
     rows = spark.range(3 * n).select(
-        (F.col("id") % n).alias("PULocationID"), (F.col("id") * 7 % 101).alias("DOLocationID"), F.lit(1.0).alias(WEIGHT), F.lit("train").alias("split"),
+        (F.col("id") % n).alias("PULocationID"), F.pmod(F.xxhash64("id"), F.lit(101)).alias("DOLocationID"), F.lit(1.0).alias(WEIGHT), F.lit("train").alias("split"),
     ).withColumn(LABEL, 10.0 + F.col("PULocationID") % 13 + 0.5 * F.col("DOLocationID"))
     collected = []
     real = type(rows).collect

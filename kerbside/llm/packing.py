@@ -5,9 +5,10 @@ with the least padding in total. Inside a bucket documents follow each other by
 of as many as fit the token budget when each is padded to the bucket's bound. Lengths are words, any
 column, or with a tokenizer's file the exact number of its tokens.
 
-Lengths enter the histogram rounded up: to a multiple of `GRAIN` up to 64 of them, beyond that to six
-significant bits, so it has at most a few thousand entries, whatever the texts are, and padding
-to a rounded length costs below two per cent. Bounds are rounded lengths.
+Lengths up to `EXACT` are entries of the histogram by themselves, longer ones share an entry where six
+leading bits are equal, so it has at most a few thousand entries, whatever the texts are. An entry has the
+number, the sum and the longest of its lengths: the padding of a split is exact, and only splits inside
+an entry are left out. The bound of a bucket is its longest length.
 
 Results: null and empty texts have length 0 and are packed as documents of bound 0 or more. A document
 longer than the budget is a batch of its own. Rows without doc_id come last in their bucket; rows that
@@ -21,13 +22,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kerbside.llm import bpe
-from kerbside.llm.common import cut, in_blocks, text_column
+from kerbside.llm.common import cut, near, text_column
 
 BUCKETS = 16
 BUDGET = 32_768
-GRAIN = 8
-#: Rows of a block that is numbered by itself, on average.
-BLOCK_ROWS = 65_536
+EXACT = 1024
+#: Rows of a range that is numbered by itself, on average, and ranges up to which their sizes are broadcast.
+RANGE_ROWS = 65_536
+RANGES = 1_000_000
 
 
 def word_count(text_col: str = "text") -> Column:
@@ -36,16 +38,17 @@ def word_count(text_col: str = "text") -> Column:
 
 
 def rounded(length: Column) -> Column:
-    """Up to a multiple of the grain; of a longer length the six leading bits count."""
-    octave = F.floor(F.log2(F.greatest(length.cast("double"), F.lit(64.0 * GRAIN)) / (64 * GRAIN)))
-    step = (F.lit(float(GRAIN)) * F.pow(F.lit(2.0), octave)).cast("long")
-    return F.floor((length + step - 1) / step).cast("long") * step
+    """The entry of a length: itself, or beyond `EXACT` rounded up to six bits behind the leading one."""
+    octave = F.floor(F.log2(F.greatest(length.cast("double"), F.lit(float(EXACT))) / EXACT))
+    step = (F.lit(EXACT / 64.0) * F.pow(F.lit(2.0), octave)).cast("long")
+    return F.when(length <= EXACT, length).otherwise(F.floor((length + step - 1) / step).cast("long") * step)
 
 
-def bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
-    """The upper bounds of at most `buckets` buckets with the least padding, exactly.
+def bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int, sums: np.ndarray | None = None) -> list[int]:
+    """The upper bounds of at most `buckets` buckets with the least padding, exactly. Entries have a longest
+    length, a count, and a sum of lengths if these are not all equal.
 
-    With the lengths in order, a bucket is a run of them and pads each to its last one.
+    With the entries in order, a bucket is a run of them and pads each to its last one.
     """
     order = np.argsort(lengths)
     length, count = lengths[order].astype(np.float64), counts[order].astype(np.float64)
@@ -53,7 +56,7 @@ def bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> list[int]:
     if n <= buckets:
         return [int(x) for x in length]
     rows = np.concatenate([[0.0], np.cumsum(count)])
-    tokens = np.concatenate([[0.0], np.cumsum(count * length)])
+    tokens = np.concatenate([[0.0], np.cumsum(count * length if sums is None else sums[order].astype(np.float64))])
     best = np.full(n + 1, np.inf)
     best[0] = 0.0
     cuts = []
@@ -86,24 +89,25 @@ def pack(documents: DataFrame, length: Column | None = None, buckets: int = BUCK
     else:
         tokens = word_count(text_col) if length is None else F.coalesce(length.cast("long"), F.lit(0))
         rows = cut(documents.select(key, tokens.alias("n_tokens"), tie))
-    rows = rows.withColumn("rounded", rounded(F.col("n_tokens")))
-    histogram = rows.groupBy("rounded").agg(F.count("*").alias("n")).collect()  # a few thousand rows at most
-    ends = bounds(np.array([r["rounded"] for r in histogram]), np.array([r["n"] for r in histogram]), buckets) or [0]
-    total = sum(r["n"] for r in histogram)
-
-    blocks = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BLOCK_ROWS))
-    key = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    fits = F.filter(F.lit(ends).cast("array<long>"), lambda end: end >= F.col("rounded"))
-    placed = in_blocks(rows.withColumn("key", key), "key", blocks).withColumn("bucket_length", fits[0])
-    placed = placed.withColumn("bucket", (F.lit(len(ends)) - F.size(fits)).cast("int"))
-
-    # A row's number in its bucket: rows in blocks before its own, and rows before it in the block.
-    sizes = cut(placed.groupBy("bucket", "block").agg(F.count("*").alias("n")))
-    before = F.sum("n").over(Window.partitionBy("bucket").orderBy("block")) - F.col("n")
-    within = F.row_number().over(Window.partitionBy("bucket", "block").orderBy("key", "n_tokens", "tie")) - 1
-    numbered = placed.withColumn("within", within).join(cut(sizes.select("bucket", "block", before.alias("before"))), ["bucket", "block"])
-    number = F.col("before") + F.col("within")
+    entry = [F.count("*").alias("n"), F.max("n_tokens").alias("longest"), F.sum("n_tokens").alias("tokens")]
+    histogram = rows.groupBy(rounded(F.col("n_tokens")).alias("entry")).agg(*entry).collect()  # a few thousand rows at most
+    lengths, counts, sums = (np.array([r[c] for r in histogram], np.int64) for c in ("longest", "n", "tokens"))
+    ends = bounds(lengths, counts, buckets, sums) or [0]
+
+    fits = F.filter(F.lit(ends).cast("array<long>"), lambda end: end >= F.col("n_tokens"))
+    placed = rows.withColumn("bucket_length", fits[0]).withColumn("bucket", (F.lit(len(ends)) - F.size(fits)).cast("int"))
+    placed = placed.withColumn("key", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
+    # A row's place is its range, in the upper bits, and its position there; its number in the bucket is its
+    # distance from the bucket's first place in the range, and the rows of the bucket in ranges before.
+    order = ["bucket", "key", "n_tokens", "tie"]
+    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(counts.sum()) // RANGE_ROWS))
+    ranged = placed.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
+    ranged = cut(ranged.withColumn("range", F.shiftright("place", 33)))
+    sizes = ranged.groupBy("bucket", "range").agg(F.count("*").alias("n"), F.min("place").alias("first"))
+    before = F.sum("n").over(Window.partitionBy("bucket").orderBy("range")) - F.col("n")
+    shifts = near(cut(sizes.select("bucket", "range", (before - F.col("first")).alias("shift"))), RANGES)
+    number = F.col("place") + F.col("shift")
     room = F.greatest(F.lit(1).cast("long"), F.floor(F.lit(budget) / F.greatest("bucket_length", F.lit(1).cast("long"))))
-    return numbered.select(
+    return ranged.join(shifts, ["bucket", "range"]).select(
         "doc_id", "n_tokens", "bucket", "bucket_length", F.floor(number / room).cast("long").alias("batch"), (number % room).cast("int").alias("slot")
     )

@@ -81,10 +81,11 @@ class Scratch:
     def __enter__(self) -> Scratch:
         return self
 
-    def cut(self, frame: DataFrame) -> DataFrame:
+    def cut(self, frame: DataFrame, *by: str) -> DataFrame:
+        """The rows, in a folder for each value of the columns `by`."""
         path = new_folder(self.spark, "scratch")
         self.paths.append(path)
-        frame.write.option("compression", "none").parquet(path)  # read once or twice: codecs would hold memory for little
+        frame.write.partitionBy(*by).option("compression", "none").parquet(path)  # read once or twice: codecs would hold memory for little
         return self.spark.read.schema(frame.schema).parquet(path)
 
     def __exit__(self, *_) -> None:

@@ -8,6 +8,7 @@ slice of its own, so memory follows the longest text and not the size of a parti
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import ExitStack
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kerbside.session import ensure_checkpoint_dir
+from kerbside.session import Scratch, ensure_checkpoint_dir
 
 SLICE = 1 << 20
 
@@ -170,6 +171,11 @@ def shingles(buffer: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.nda
     return row[new], hashed[new]
 
 
+def let_go() -> None:
+    """Give Arrow's spare memory back: workers are reused, and hold it otherwise until they end."""
+    pa.default_memory_pool().release_unused()
+
+
 def by_bucket(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
     """The positions of the entries of each bucket that has any."""
     order = np.argsort(bucket, kind="stable")
@@ -223,7 +229,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until every node points at its smallest: each node hands its larger
     neighbours to its smallest one, then its smaller ones. Groups are only aggregated, never gathered;
-    both sides of each join are cut tables, so a node with very many edges is split by Spark.
+    both sides of each join are cut tables, so a node with very many edges is split by Spark. The
+    tables of a round are deleted after the next one.
     """
 
     def oriented(frame: DataFrame) -> DataFrame:
@@ -232,20 +239,26 @@ def components(edges: DataFrame) -> DataFrame:
     def state(frame: DataFrame) -> tuple:
         return tuple(frame.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
-    links = cut(oriented(edges))
-    before = state(links)
-    while before[0]:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("w")))
-        links = cut(oriented(both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("w").alias("b"))))
-        least = cut(links.groupBy("u").agg(F.min("v").alias("w")))
-        smaller = links.join(least, "u").select(F.col("v").alias("a"), F.col("w").alias("b"))
-        links = cut(oriented(smaller.unionByName(least.select(F.col("u").alias("a"), F.col("w").alias("b")))))
-        after = state(links)
-        if after == before:
-            break
-        before = after
-    # Every node hangs on its smallest by now; that one has no edge down and names itself.
-    return links.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(
-        links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    )
+    spark = edges.sparkSession
+    with ExitStack() as rounds:
+        last = rounds.enter_context(Scratch(spark))
+        links = last.cut(oriented(edges))
+        before = state(links)
+        while before[0]:
+            now = rounds.enter_context(Scratch(spark))
+            with Scratch(spark) as scratch:
+                both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+                least = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("w")))
+                links = scratch.cut(oriented(both.join(least, "u").filter("v > u").select(F.col("v").alias("a"), F.col("w").alias("b"))))
+                least = scratch.cut(links.groupBy("u").agg(F.min("v").alias("w")))
+                smaller = links.join(least, "u").select(F.col("v").alias("a"), F.col("w").alias("b"))
+                links = now.cut(oriented(smaller.unionByName(least.select(F.col("u").alias("a"), F.col("w").alias("b")))))
+            last.__exit__()
+            last = now
+            after = state(links)
+            if after == before:
+                break
+            before = after
+        # Every node hangs on its smallest by now; that one has no edge down and names itself.
+        named = links.select(F.col("u").alias("id"), F.col("v").alias("component"))
+        return cut(named.unionByName(links.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()))

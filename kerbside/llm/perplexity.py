@@ -190,13 +190,23 @@ class Arrays:
 
     @classmethod
     def of(cls, model: DataFrame) -> Arrays:
-        table = model.toArrow()
-        keys = [table.column(c).to_pylist() for c in ("lang", "size", "kind")]
-        salts = {k: _salt(*k) for k in set(zip(*keys, strict=True))}
-        salt = np.array([salts[k] for k in zip(*keys, strict=True)], np.uint64)
-        hashed = mix(table.column("gram").to_numpy().astype(np.uint64) * _ODD + salt)
+        """Hashed and packed in tasks, so that the driver only joins and sorts numbers."""
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                keys = list(zip(*(batch.column(c).to_pylist() for c in ("lang", "size", "kind")), strict=True))
+                salts = {k: _salt(*k) for k in set(keys)}
+                salt = np.array([salts[k] for k in keys], np.uint64)
+                hashed = mix(batch.column("gram").to_numpy().astype(np.uint64) * _ODD + salt)
+                packed = [hashed.tobytes(), batch.column("value").to_numpy().tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in packed] + [pa.array([max(k[1] for k in keys)], pa.int32())], ["hashed", "value", "size"])
+
+        rows = model.mapInArrow(pack, "hashed binary, value binary, size int").collect()
+        hashed = np.frombuffer(b"".join(r.hashed for r in rows), np.uint64)
         at = np.argsort(hashed)
-        return cls(max(keys[1], default=2), hashed[at], table.column("value").to_numpy()[at])
+        return cls(max([r.size for r in rows], default=2), hashed[at], np.frombuffer(b"".join(r.value for r in rows))[at])
 
     def _found(self, grams: np.ndarray, salt: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         hashed = mix(grams.astype(np.uint64) * _ODD + salt)

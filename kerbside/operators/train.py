@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from functools import reduce
@@ -39,6 +40,8 @@ LABELS = ("trial",)
 
 # Rows that trees are fitted on, at least: heavy cells are split so that bagging draws trips, not cells.
 TREE_ROWS = 4096
+# Rows in a partition of them: a task a core where it has the former, and more tasks beyond the latter.
+PART_ROWS, MAX_PART_ROWS = 4096, 500_000
 
 
 @dataclass
@@ -109,13 +112,22 @@ def _tree_rows(train: DataFrame, encoder: PipelineModel, bins: int) -> tuple[Dat
     `TREE_ROWS` (or two for each bin, if that is more). Sums stay as they are, so splits do, too; but
     bagging now leaves out a part of a heavy cell, as it leaves out some of its trips, and a
     feature never has more categories than there are rows.
+
+    For every level of its trees a fit sends the bins of all open nodes from each partition, full or not. So
+    there are as many partitions as cores can work on, and not as many as the shuffle of the cells had. They are
+    a checkpoint, as every task of a fit is sent the plan behind its rows.
     """
     cells, trips = train.agg(F.count(F.lit(1)), F.sum(cell.WEIGHT)).first()
-    quota = (trips or 1.0) / max(TREE_ROWS, 2 * bins, 2 * cells)
+    about = max(TREE_ROWS, 2 * bins, 2 * cells)
+    quota = (trips or 1.0) / about
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    partitions = max(1, min(cores, about // PART_ROWS), math.ceil(about / MAX_PART_ROWS))
     parts = F.ceil(F.col(cell.WEIGHT) / F.lit(quota))
     share = F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(parts, F.lit(1).cast("long")))).alias("part")
     rows = train.select("*", parts.alias("parts"), share).withColumn(cell.WEIGHT, F.col(cell.WEIGHT) / F.col("parts"))
-    return encoder.transform(rows.drop("part", "parts")).select("features", cell.LABEL, cell.WEIGHT), trips
+    encoded = encoder.transform(rows.drop("part", "parts")).select("features", cell.LABEL, cell.WEIGHT).coalesce(partitions)
+    ensure_checkpoint_dir(train.sparkSession)
+    return encoded.checkpoint(), trips
 
 
 def _leaf_size(least: float, trips: float, depth: int) -> dict:

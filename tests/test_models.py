@@ -296,6 +296,18 @@ def test_trees_on_one_zone_feature(spark, rides, model_type):
     assert models.predict(model, rides).filter("prediction IS NULL").count() == 0
 
 
+def test_rows_of_trees_have_as_many_partitions_as_they_fill(spark, rides):
+    """However many the shuffle of the cells left: each partition sends the bins of every open node of a fit."""
+    cells = collapse(rides, ZONES_DISTANCE).filter("split = 'train'")
+    encoder, bins = models._tree_encoder(cells, ZONES_DISTANCE)
+    rows, trips_ = models._tree_rows(cells.repartition(60), encoder, bins)
+    assert rows.rdd.getNumPartitions() == 1 and rows.agg(F.sum(WEIGHT)).first()[0] == pytest.approx(trips_)
+    assert "Scan ExistingRDD" in rows._jdf.queryExecution().executedPlan().toString()
+    many = spark.range(40_000).select((F.col("id") % 200).alias("PULocationID"), F.lit(1).alias("DOLocationID"), F.col("id").cast("double").alias("trip_distance"), F.lit(1.0).alias(WEIGHT), F.lit(2.0).alias(LABEL))
+    wide = models._tree_rows(many.repartition(60), *models._tree_encoder(many, ZONES_DISTANCE))[0]
+    assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and wide.count() >= 40_000
+
+
 def test_bagging_draws_trips_not_cells(spark):
     """Two cells of equal weight: the roots of row-wise bags stay near the mean."""
     cells = spark.createDataFrame([(1, 10.0, 1e6, 0.0), (2, 20.0, 1e6, 0.0)], f"PULocationID BIGINT, {LABEL} DOUBLE, {WEIGHT} DOUBLE, {SPREAD} DOUBLE")

@@ -60,7 +60,8 @@ def found(word: np.ndarray, row: np.ndarray, least: int = LEAST, times: int = TI
     left = first[row] + size - np.arange(total)
     entry, width = word.copy(), 1
     while width < FIRST:
-        entry[: total - width] = mix(entry[: total - width] * _STEP + entry[width:] + np.uint64(width))
+        ahead = max(total - width, 0)
+        entry[:ahead] = mix(entry[:ahead] * _STEP + entry[width:] + np.uint64(width))
         width *= 2
     at = np.flatnonzero((left >= width) & (size >= least))
     out = []

@@ -51,6 +51,10 @@ def test_runs_of_two_letters(pieces):
     assert found(w, least=16, times=4) == runs_by_hand(w, 16, 4)
 
 
+def test_a_slice_of_fewer_words_than_a_first_sequence():
+    assert all(found(["a"] * n) == [] for n in range(12))
+
+
 def test_runs_inside_runs_and_at_every_scale():
     word = lambda k: f"w{k}"
     inner = ["x"] * 30 + [word(k) for k in range(11)]  # a run of period one in every period of another

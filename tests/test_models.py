@@ -308,6 +308,14 @@ def test_rows_of_trees_have_as_many_partitions_as_they_fill(spark, rides):
     assert wide.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and wide.count() >= 40_000
 
 
+def test_boosting_keeps_no_trees_in_the_plan_of_a_round(rides, monkeypatch):
+    """Every round starts from a checkpoint: what its tasks are sent does not grow with the trees before."""
+    asked, real = {}, models.GBTRegressor
+    monkeypatch.setattr(models, "GBTRegressor", lambda **k: asked.update(k) or real(**k))
+    models.fit(collapse(rides, ZONES).filter("split = 'train'"), ZONES, "XGB", {"num_boost_round": 2, "max_depth": 3})
+    assert asked["checkpointInterval"] == 1
+
+
 def test_bagging_draws_trips_not_cells(spark):
     """Two cells of equal weight: the roots of row-wise bags stay near the mean."""
     cells = spark.createDataFrame([(1, 10.0, 1e6, 0.0), (2, 20.0, 1e6, 0.0)], f"PULocationID BIGINT, {LABEL} DOUBLE, {WEIGHT} DOUBLE, {SPREAD} DOUBLE")

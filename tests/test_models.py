@@ -1,4 +1,5 @@
 import math
+from functools import partial
 
 import numpy as np
 import pytest
@@ -7,7 +8,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from helpers import random_rides, trip, trips
-from kerbside.operators import conjugate, encode, linear, pair_ols, search, trees
+from kerbside.operators import conjugate, encode, grow, linear, pair_ols, search, trees
 from kerbside.operators import train as models
 from kerbside.operators.cells import LABEL, SPREAD, WEIGHT, collapse, edges, uncollapsed
 from kerbside.operators.encode import PAIR_DISTANCE, ZONES, ZONES_DISTANCE, FeatureSpec
@@ -356,6 +357,53 @@ def test_small_nodes_are_not_split(rides):
     assert len(with_limit) == 1
 
 
+@pytest.mark.parametrize("together", [grow.TOGETHER, 40])
+def test_deep_forests_are_grown_to_the_nodes_of_a_spark_fit(spark, rides, tmp_path, monkeypatch, together):
+    """Whether nodes are split by sums or where their rows meet. No node weighs exactly what a limit says: there
+    rounding decides in Spark."""
+    train = collapse(rides, ZONES_DISTANCE).filter("split = 'train'").withColumn(WEIGHT, F.col(WEIGHT) * 1.37)
+    params = {"n_estimators": 2, "bootstrap": False, "max_depth": 9, "min_samples_leaf": 2, "min_samples_split": 6}
+    of_spark = models.fit(train, ZONES_DISTANCE, "RF", params)
+    monkeypatch.setattr(models, "SPARK_LEAVES", 0)
+    monkeypatch.setattr(grow, "grown", partial(grow.grown, together=together))
+    own = models.fit(train, ZONES_DISTANCE, "RF", params)
+    assert [t.numNodes for t in own.regressor.trees] == [t.numNodes for t in of_spark.regressor.trees]
+    assert own.regressor.trees[1].depth == of_spark.regressor.trees[1].depth and own.regressor.getMaxDepth() == 9
+    a, b = ([r.prediction for r in models.predict(m, train).orderBy(*ZONES_DISTANCE.inputs).collect()] for m in (own, of_spark))
+    assert a == pytest.approx(b)
+    models.save(own, f"{tmp_path}/m")
+    assert models.metrics(models.load(spark, f"{tmp_path}/m"), train) == pytest.approx(models.metrics(own, train))
+
+
+def test_grown_forests_do_not_depend_on_partitions_and_bag_as_poisson(spark, rides, monkeypatch):
+    monkeypatch.setattr(models, "SPARK_LEAVES", 0)
+    train = collapse(rides, ZONES_DISTANCE).filter("split = 'train'")
+    params = {"n_estimators": 4, "max_depth": 8}
+    a, b = (models.fit(cells, ZONES_DISTANCE, "RF", params) for cells in (train, train.repartition(30)))
+    sizes = [t.numNodes for t in a.regressor.trees]
+    assert sizes == [t.numNodes for t in b.regressor.trees] and len(set(sizes)) > 1
+    assert models.metrics(a, train) == pytest.approx(models.metrics(b, train))
+    k = [r[0] for r in spark.range(20_000).select(grow._drawn(F.xxhash64("id", F.lit(42)))).collect()]
+    assert np.mean(k) == pytest.approx(1, abs=0.03) and np.var(k) == pytest.approx(1, abs=0.05)
+
+
+def test_a_search_fits_no_deep_forest_by_dense_bins(rides, monkeypatch):
+    """Spark's fit, which searches all bins of every node, is asked for the roots alone."""
+    asked, real = [], models.RandomForestRegressor
+    monkeypatch.setattr(models, "SPARK_LEAVES", 100)
+
+    class Seen(real):
+        def _fit(self, rows):
+            asked.append(self.getMaxDepth())
+            return super()._fit(rows)
+
+    monkeypatch.setattr(models, "RandomForestRegressor", Seen)
+    cells = collapse(rides, ZONES_DISTANCE)
+    loss = search.forest_objective(cells, ZONES_DISTANCE)
+    assert loss({"trial": 0, "max_depth": 20, "n_estimators": 10}) > 0 and loss({"max_depth": 2, "n_estimators": 3}) > 0
+    assert asked == [0, 2]
+
+
 def test_parameters_are_checked_and_recorded(rides):
     cells = collapse(rides, PAIR_DISTANCE).filter("split = 'train'")
     with pytest.raises(ValueError, match="max_dept"):

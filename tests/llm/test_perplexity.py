@@ -150,6 +150,28 @@ def test_a_large_model_is_joined(table, monkeypatch):
     check(perplexity.judged(table, 3), corpus(), 3)
 
 
+@pytest.mark.parametrize(("order", "most"), [(5, 9_000), (5, 3_000), (3, 900)])
+def test_a_large_model_is_dealt_in_parts(table, monkeypatch, order, most):
+    dealt, used = perplexity._dealt, []
+    monkeypatch.setattr(perplexity, "_dealt", lambda *a: used.append(a[-2:]) or dealt(*a))
+    monkeypatch.setattr(perplexity, "_joined", None)  # moves every sequence of every text
+    monkeypatch.setattr(perplexity.measured, "__defaults__", (perplexity.ORDER, most))
+    check(perplexity.judged(table, order), corpus(), order)
+    assert len(used) == 1 and used[0][0] * used[0][1] > 1
+
+
+def test_copies_beyond_a_broadcast_are_left_out_in_parts(spark):
+    rows = [(k, "en", cases.prose(k // 2, 40)) for k in range(80)] + [(None, "en", cases.prose(90, 40))] * 2 + [(99, None, "alone")]
+    frame = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(5)
+    whole, parts = perplexity.different(frame), perplexity.different(frame, 9)
+    assert len(whole) == 1 and len(parts) == 5
+    found = sorted((r.doc_id or -1, r.lang, r.text) for part in parts for r in part.collect())
+    assert found == sorted((i or -1, lang or "", t) for i, lang, t in rows if i is None or i % 2 == 0 or i == 99)
+    assert not any("SortMergeJoin" in part._jdf.queryExecution().executedPlan().toString() for part in parts)
+    one, several = ({(r.size, r.kind, r.lang, r.gram): r.value for r in perplexity.fit(x, 3).collect()} for x in (whole, parts))
+    assert one.keys() == several.keys() and all(abs(one[k] - several[k]) < 1e-12 for k in one)
+
+
 def test_sums_of_a_task_are_passed_on_in_parts(table, monkeypatch):
     whole = {(r.lang, r.gram): r.n for r in perplexity.counted(table, 4).collect()}
     monkeypatch.setattr(perplexity, "GATHERED", 300)

@@ -375,6 +375,41 @@ def test_deep_forests_are_grown_to_the_nodes_of_a_spark_fit(spark, rides, tmp_pa
     assert models.metrics(models.load(spark, f"{tmp_path}/m"), train) == pytest.approx(models.metrics(own, train))
 
 
+@pytest.mark.parametrize(("together", "kept"), [(grow.ALONE, grow.KEPT), (40, 2)])
+def test_deep_boosting_is_grown_to_the_trees_of_a_spark_fit(spark, rides, tmp_path, monkeypatch, together, kept):
+    train = collapse(rides, ZONES_DISTANCE).filter("split = 'train'").withColumn(WEIGHT, F.col(WEIGHT) * 1.37)
+    params = {"num_boost_round": 4, "max_depth": 6, "min_child_weight": 3, "learning_rate": 0.3}
+    of_spark = models.fit(train, ZONES_DISTANCE, "XGB", params)
+    asked, real = [], models.GBTRegressor
+
+    class Seen(real):
+        def _fit(self, rows):
+            asked.append((self.getMaxDepth(), self.getMaxIter()))
+            return super()._fit(rows)
+
+    monkeypatch.setattr(models, "GBTRegressor", Seen)
+    monkeypatch.setattr(models, "SPARK_LEVELS", 0)
+    monkeypatch.setattr(grow, "boosted", partial(grow.boosted, together=together, kept=kept))
+    own = models.fit(train, ZONES_DISTANCE, "XGB", params)
+    assert asked == [(0, 2)] and own.regressor.treeWeights == of_spark.regressor.treeWeights == [1, 0.3, 0.3, 0.3]
+    assert [t.numNodes for t in own.regressor.trees] == [t.numNodes for t in of_spark.regressor.trees]
+    assert own.regressor.getMaxDepth() == 6 and own.regressor.getMaxIter() == 4
+    a, b = ([r.prediction for r in models.predict(m, train).orderBy(*ZONES_DISTANCE.inputs).collect()] for m in (own, of_spark))
+    assert a == pytest.approx(b)
+    models.save(own, f"{tmp_path}/m")
+    assert models.metrics(models.load(spark, f"{tmp_path}/m"), train) == pytest.approx(models.metrics(own, train))
+    one = models.fit(train, ZONES_DISTANCE, "XGB", {**params, "num_boost_round": 1}).regressor
+    assert one.treeWeights == [1] and one.trees[0].numNodes == own.regressor.trees[0].numNodes
+
+
+def test_rows_are_answered_as_by_their_leaves(spark):
+    """Categories, numbers and bins that a node has not seen."""
+    rows = [(0, 1, 6.0, 12.0, 30.0, 6, 0, [1.0, 2.0], 1.0), (0, 2, 4.0, 4.0, 5.0, 4, 1, [2.5], 1.0), (0, 3, 2.0, 8.0, 33.0, 2, -1, [], -1.0)]
+    rows += [(0, 4, 3.0, 1.5, 2.0, 3, -1, [], -1.0), (0, 5, 1.0, 2.5, 7.0, 1, -1, [], -1.0)]
+    tree = grow._walk(spark.createDataFrame(rows, grow.NODES).toArrow(), [[], [1.5, 2.5, 7.0]], [4, 0])
+    assert grow._answers(tree, np.array([[0, 1, 2, 3, 1, 2], [0, 0, 1, 1, 2, 3]])).tolist() == [4, 0.5, 0.5, 4, 2.5, 2.5]
+
+
 def test_grown_forests_do_not_depend_on_partitions_and_bag_as_poisson(spark, rides, monkeypatch):
     monkeypatch.setattr(models, "SPARK_LEAVES", 0)
     train = collapse(rides, ZONES_DISTANCE).filter("split = 'train'")

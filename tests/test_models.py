@@ -439,6 +439,25 @@ def test_a_search_fits_no_deep_forest_by_dense_bins(rides, monkeypatch):
     assert asked == [0, 2]
 
 
+def test_trials_of_a_search_share_the_rows_of_trees(rides, monkeypatch):
+    made, real = [], models._tree_rows
+    monkeypatch.setattr(models, "_tree_rows", lambda *a: made.append(a) or real(*a))
+    cells = collapse(rides, ZONES_DISTANCE)
+    loss = search.forest_objective(cells, ZONES_DISTANCE)
+    losses = [loss({"max_depth": d, "n_estimators": 3}) for d in (1, 5)]
+    assert len(made) == 1 and losses[0] != losses[1]
+    alone = models.fit(cells.filter("split = 'train'"), ZONES_DISTANCE, "RF", {"max_depth": 1, "n_estimators": 1, "bootstrap": False})
+    assert loss({"max_depth": 1, "n_estimators": 1, "bootstrap": False}) == pytest.approx(models.metrics(alone, cells)["val_rmse"])
+
+
+def test_rows_of_grown_trees_are_binned_once(spark):
+    """Number bins count the limits below a value; categories are their own bins; later jobs read a table."""
+    rows = spark.createDataFrame([(Vectors.dense(2, x), 1.0, 3.0, 1) for x in (-1.0, 1.5, 1.6, 9.0)], ["features", WEIGHT, LABEL, "part"])
+    binned = grow._binned(rows, [[], [1.5, 2.5]], [4, 0])
+    assert [r.bins for r in binned.collect()] == [[2, 0], [2, 0], [2, 1], [2, 2]] and len({r.own for r in binned.collect()}) == 4
+    assert "MapInArrow" not in binned._jdf.queryExecution().executedPlan().toString()
+
+
 def test_parameters_are_checked_and_recorded(rides):
     cells = collapse(rides, PAIR_DISTANCE).filter("split = 'train'")
     with pytest.raises(ValueError, match="max_dept"):

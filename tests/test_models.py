@@ -1,4 +1,5 @@
 import math
+import re
 from functools import partial
 
 import numpy as np
@@ -458,6 +459,18 @@ def test_rows_of_grown_trees_are_binned_once(spark):
     assert "MapInArrow" not in binned._jdf.queryExecution().executedPlan().toString()
 
 
+def test_thresholds_of_boosted_trees_are_those_of_a_spark_fit(spark, monkeypatch):
+    """Weights count, zeros too; numbers of very many values are cut at quantiles."""
+    data = [(Vectors.dense(round((k * 7919 % 1009) ** 1.5 / 50 - 3, 3) if k % 9 else 0.0), 0.5 + k % 4, float(k * 31 % 101), 1) for k in range(1500)]
+    rows = spark.createDataFrame(data, ["features", WEIGHT, LABEL, "part"])
+    deep = models.RandomForestRegressor(labelCol=LABEL, weightCol=WEIGHT, numTrees=1, featureSubsetStrategy="all", bootstrap=False, maxBins=40, maxDepth=14).fit(rows)
+    used = {float(x) for x in re.findall(r"feature 0 <= ([-0-9.E]+)", deep.trees[0].toDebugString)}
+    (found,) = grow.strides(rows, [0], 40)
+    assert len(found) >= 38 and used <= set(found) and len(used) > 30
+    monkeypatch.setattr(grow, "VALUES", 100)
+    assert grow.strides(rows, [0], 40) == grow.cuts(rows, [0], 40)
+
+
 def test_parameters_are_checked_and_recorded(rides):
     cells = collapse(rides, PAIR_DISTANCE).filter("split = 'train'")
     with pytest.raises(ValueError, match="max_dept"):
